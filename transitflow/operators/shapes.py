@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import materialize
 
 DEFAULT_CHUNK = 1 << 16
 
@@ -35,8 +36,9 @@ def _chunked(points: DataFrame, chunk_size: int) -> DataFrame:
 def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Every pair of consecutive points of a shape (ordered by sequence, then
     lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
-    A one-point shape yields no pair."""
-    p = _chunked(points, chunk_size)
+    A one-point shape yields no pair.  The points are materialised once since
+    both the per-chunk heads and the pairs read them."""
+    p = materialize(_chunked(points, chunk_size))
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy(*_ORDER)
     by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
     bridge = (p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
@@ -63,12 +65,16 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
                  chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Shapes table: id, sequence (kept-segment counter from 0), lat1, lon1,
     lat2, lon2, dist (metres), total_dist (running sum including this one)."""
-    seg = (shape_pairs(points, chunk_size).where(keep_rule(keep_axis_aligned))
-           .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2")))
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy("sequence", "lat1", "lon1")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = (seg.withColumn("run_dist", F.sum("dist").over(upto))
-           .withColumn("run_n", F.row_number().over(in_chunk)))
+    # The running frames share the (shape_id, chunk) partitioning of the pair
+    # window, so they add no shuffle; the result is materialised because both
+    # the per-chunk offsets and the output read it.
+    seg = materialize(
+        shape_pairs(points, chunk_size).where(keep_rule(keep_axis_aligned))
+        .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
+        .withColumn("run_dist", F.sum("dist").over(upto))
+        .withColumn("run_n", F.row_number().over(in_chunk)))
     earlier = Window.partitionBy("shape_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (seg.groupBy("shape_id", "chunk")
                .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))

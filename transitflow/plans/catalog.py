@@ -143,8 +143,13 @@ def q_trips_by_route(spark, sf_dir):
     return trips.trips_lookup(trips_table(spark, sf_dir), route_id="7")
 
 
+def q_trips_by_id(spark, sf_dir):
+    return trips.trips_lookup(fx.trips(spark, sf_dir), trip_id=0)
+
+
 def q_trips_by_id_and_route(spark, sf_dir):
-    return trips.trips_lookup(fx.trips(spark, sf_dir), trip_id=7, route_id="1")
+    # The pair exists at sf0.01 (order 0 belongs to customer 899).
+    return trips.trips_lookup(fx.trips(spark, sf_dir), trip_id=0, route_id="899")
 
 
 def q_gps_clean(spark, sf_dir):

@@ -246,8 +246,9 @@ from fx_stops"""
 select id, md5(concat(cast(lat as varchar), ',', cast(lon as varchar))) as stop_key from fx_stops"""
     q["trips_by_route"] = with_fx("fx_trips", extra=[("trips", TRIPS)]) + \
         "select * from trips where route_id = '7'"
+    q["trips_by_id"] = with_fx("fx_trips") + "select * from fx_trips where id = 0"
     q["trips_by_id_and_route"] = with_fx("fx_trips") + \
-        "select * from fx_trips where id = 7 and route_id = '1'"
+        "select * from fx_trips where id = 0 and route_id = '899'"
     q["gps_clean"] = with_fx("fx_gps") + f"select {GPS_CLEAN_COLS} from fx_gps"
     q["gps_route_codes"] = with_fx("fx_gps") + f"""
 select {line_code_sql('line')} as route_code, count(*) as n from fx_gps group by 1"""

@@ -65,3 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     temp space) for stream checkpoints, landing files and staged tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/transitflow/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Cut lineage where a plan branches: a reliable checkpoint into the
+    shared checkpoint folder (survives executor loss; never local).  The
+    result keeps the plan's output partitioning, so a following window or
+    aggregate on the same keys adds no shuffle."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
