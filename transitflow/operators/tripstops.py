@@ -78,6 +78,20 @@ def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERAN
     return v.select("*", F.explode(cells).alias("cell")).drop("_pad")
 
 
+def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
+                        tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
+    """(stop row, segment) pairs sharing a shape and a grid cell: a superset
+    of the corridor matches, far smaller than all pairs of a shape.
+
+    Segments of shapes no stop row uses are dropped first by a semi-join on
+    the (small) set of used shape ids."""
+    used = stop_rows.select(F.col("shape_id").alias("id")).distinct()
+    segs = (segments.join(used, "id", "left_semi")
+            .select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
+                    "lat1", "lon1", "lat2", "lon2", "dist", "total_dist"))
+    return stop_cells(stop_rows).join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
+
+
 def corridor_matches(stop_rows: DataFrame, segments: DataFrame,
                      tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
     """Every (stop row, segment of its shape) pair passing the corridor test.
@@ -85,12 +99,9 @@ def corridor_matches(stop_rows: DataFrame, segments: DataFrame,
     ``stop_rows``: trip_id, stop_id, sequence, shape_id, lat, lon.
     ``segments``: the shapes table (id, sequence, lat1, lon1, lat2, lon2, dist,
     total_dist).  Output: stop columns, seg_sequence, segment end points, dist,
-    total_dist, along (metres from the segment start)."""
-    used = stop_rows.select(F.col("shape_id").alias("id")).distinct()
-    segs = (segments.join(used, "id", "left_semi")
-            .select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
-                    "lat1", "lon1", "lat2", "lon2", "dist", "total_dist"))
-    pairs = stop_cells(stop_rows).join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
+    total_dist, along (metres from the segment start) and the unit vectors
+    (p*, a*, b*) of stop and end points."""
+    pairs = corridor_candidates(stop_rows, segments, tolerance)
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     at_start = geo.same_point("lat", "lon", "lat1", "lon1")
@@ -116,3 +127,21 @@ def trip_stops(stop_times: DataFrame, stops: DataFrame, segments: DataFrame,
     m = corridor_matches(stop_rows_of(stop_times, stops), segments, tolerance)
     return m.select("trip_id", "stop_id", "sequence",
                     (F.col("total_dist") - F.col("dist") + F.col("along")).alias("dist"))
+
+
+def trip_stops_sql(stop_rows: DataFrame, segments: DataFrame, view: str = "tf_stop_segment_pairs") -> DataFrame:
+    """The trip-stops step written as SQL text over a temporary view, with the
+    SQL-registered ``onSegment`` and ``alongTrack`` functions (see
+    :func:`transitflow.functions.sql.register_sql_functions`).  The view holds
+    the grid-keyed candidates, so the SQL never sees all pairs of a shape."""
+    from ..functions.sql import register_sql_functions
+
+    spark = stop_rows.sparkSession
+    register_sql_functions(spark)
+    corridor_candidates(stop_rows, segments).createOrReplaceTempView(view)
+    hits = spark.sql(f"select * from {view} where onSegment(lat, lon, lat1, lon1, lat2, lon2) = true")
+    along = F.call_function("alongTrack", *[F.col(c) for c in ("lat", "lon", "lat1", "lon1", "lat2", "lon2")])
+    return (hits.withColumn("along_track", along)
+            .withColumn("stop_dist", F.col("total_dist") - F.col("dist") + F.col("along_track"))
+            .drop("dist").withColumnRenamed("stop_dist", "dist")
+            .select("trip_id", "stop_id", "sequence", "dist"))

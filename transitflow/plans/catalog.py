@@ -92,6 +92,12 @@ def q_trip_stops(spark, sf_dir):
     return ts.select("trip_id", "stop_id", "sequence", _r("dist", 2).alias("dist"))
 
 
+def q_trip_stops_sql(spark, sf_dir):
+    rows = tripstops.stop_rows_of(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir))
+    ts = tripstops.trip_stops_sql(rows, shapes_table(spark, sf_dir))
+    return ts.select("trip_id", "stop_id", "sequence", _r("dist", 2).alias("dist"))
+
+
 def q_stops_on_segment(spark, sf_dir):
     return matches(spark, sf_dir).select(*_KEYS, _r("along", 2).alias("along"))
 
