@@ -3,9 +3,10 @@
 Each file is comma-separated with a header line and double-quoted fields.
 The Spark CSV reader handles quoted commas, doubled quotes and bare values;
 columns are picked by position through full-width declared schemas (no
-inference).  Lines that do not fit (missing or extra fields, bad numbers,
-repeated header lines with numeric columns) keep their parsable prefix, set
+inference).  Lines that do not fit (missing fields, bad numbers, repeated
+header lines with numeric columns) keep their parsable prefix, set
 ``_corrupt_record`` and go to the quarantine side; nothing is lost silently.
+Extra trailing fields are ignored, as the original's positional pick did.
 """
 
 from __future__ import annotations
@@ -30,12 +31,12 @@ FILES = {
 
 # What each job reads from a file, under the names the jobs use.
 PROJECTIONS = {
-    "fare_attributes": [F.col("fare_id").alias("id"), "price", "transfers", "transfer_duration"],
+    "fare_attributes": ["fare_id as id", "price", "transfers", "transfer_duration"],
     "fare_rules": ["fare_id", "route_id"],
     "routes": ["route_id", "code", "name", "description", "color"],
     "shapes": ["shape_id", "sequence", "lat", "lon"],
     "stops": ["id", "code", "name", "info", "lat", "lon"],
-    "trips": [F.col("trip_id").alias("id"), "route_id", "direction", "headsign", "shape_id"],
+    "trips": ["trip_id as id", "route_id", "direction", "headsign", "shape_id"],
     "stop_times": ["trip_id", "stop_id", "sequence"],
 }
 
@@ -63,7 +64,7 @@ def read_file(spark: SparkSession, gtfs_dir: str, name: str, mode: str = "PERMIS
     bad = F.col(schemas.CORRUPT).isNotNull()
     for k in keys:
         bad = bad | F.col(k).isNull()
-    return Parsed(rows=raw.where(~bad).select(*PROJECTIONS[name]), quarantine=raw.where(bad))
+    return Parsed(rows=raw.where(~bad).selectExpr(*PROJECTIONS[name]), quarantine=raw.where(bad))
 
 
 def read_all(spark: SparkSession, gtfs_dir: str, mode: str = "PERMISSIVE") -> dict[str, Parsed]:
