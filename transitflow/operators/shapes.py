@@ -75,17 +75,20 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
         .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
         .withColumn("run_dist", F.sum("dist").over(upto))
         .withColumn("run_n", F.row_number().over(in_chunk)))
+    # Offsets exist only for chunks after a shape's first one: an ordinary
+    # shape fits one chunk, so this table stays tiny (rows <= points /
+    # chunk_size) and the adaptive planner broadcasts it into the join.
     earlier = Window.partitionBy("shape_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (seg.groupBy("shape_id", "chunk")
                .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
-               .select("shape_id", "chunk",
-                       F.coalesce(F.sum("chunk_dist").over(earlier), F.lit(0.0)).alias("dist_before"),
-                       F.coalesce(F.sum("chunk_n").over(earlier), F.lit(0)).alias("n_before")))
-    return (seg.join(offsets, ["shape_id", "chunk"])
+               .select("shape_id", "chunk", F.sum("chunk_dist").over(earlier).alias("dist_before"),
+                       F.sum("chunk_n").over(earlier).alias("n_before"))
+               .where(F.col("n_before").isNotNull()))
+    return (seg.join(offsets, ["shape_id", "chunk"], "left")
             .select(F.col("shape_id").alias("id"),
-                    (F.col("n_before") + F.col("run_n") - 1).cast("long").alias("sequence"),
+                    (F.coalesce("n_before", F.lit(0)) + F.col("run_n") - 1).cast("long").alias("sequence"),
                     "lat1", "lon1", "lat2", "lon2", "dist",
-                    (F.col("dist_before") + F.col("run_dist")).alias("total_dist")))
+                    (F.coalesce("dist_before", F.lit(0.0)) + F.col("run_dist")).alias("total_dist")))
 
 
 def shape_lengths(shapes: DataFrame) -> DataFrame:

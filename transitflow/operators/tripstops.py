@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
+from ..session import materialize
 
 # Finest cell edge (100 m, in unit-sphere chord units), growth per level, and
 # the number of levels (the top one spans the whole sphere).
@@ -84,7 +85,9 @@ def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
     of the corridor matches, far smaller than all pairs of a shape.
 
     Segments of shapes no stop row uses are dropped first by a semi-join on
-    the (small) set of used shape ids."""
+    the (small) set of used shape ids.  The stop rows are materialised once
+    because both that set and the join read them."""
+    stop_rows = materialize(stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon"))
     used = stop_rows.select(F.col("shape_id").alias("id")).distinct()
     segs = (segments.join(used, "id", "left_semi")
             .select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
