@@ -38,6 +38,9 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
     docs.select("json").write.text(landing)
     q = gps_stream.start_parquet_sink(gps_stream.gps_rows_stream(spark, landing), out, ckpt, available_now=True)
     q.awaitTermination()
+    seen = sum(p["observedMetrics"][gps_stream.METRICS]["records"] for p in q.recentProgress
+               if gps_stream.METRICS in p["observedMetrics"])
+    assert seen == 1000
     batch = gps.normalize_gps(gps_json.read_documents(spark, landing))
     assert _rows(spark.read.parquet(out)) == _rows(batch)
     n = spark.read.parquet(out).count()

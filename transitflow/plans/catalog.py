@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geo
+from ..functions import geo, text
 from ..operators import gps, network, shapes, trips, tripstops
 from ..sources import fixtures as fx
 from ..streaming import gps_stream as stream
@@ -122,7 +122,14 @@ def q_geo_distance(spark, sf_dir):
         _r(geo.distance("lat", "lon", "lat1", "lon1"), 3).alias("to_start"),
         _r(geo.distance("lat", "lon", "lat2", "lon2"), 3).alias("to_end"),
         _r(geo.haversine("lat", "lon", "lat1", "lon1"), 3).alias("haversine_to_start"),
-        _r(geo.cross_track("lat", "lon", "lat1", "lon1", "lat2", "lon2"), 3).alias("cross_track"))
+        _r(geo.cross_track("lat", "lon", "lat1", "lon1", "lat2", "lon2"), 3).alias("cross_track"),
+        _r(geo.along_track_via_nearest("lat", "lon", "lat1", "lon1", "lat2", "lon2"), 2).alias("along_via_nearest"))
+
+
+def q_route_line_groups(spark, sf_dir):
+    r = fx.routes(spark, sf_dir)
+    return r.select("route_id", text.line_group("name").alias("line_group"),
+                    text.route_destination("name", 0).alias("dest1"))
 
 
 def q_routes_with_fares(spark, sf_dir):
@@ -181,6 +188,12 @@ def q_gps_stream(spark, sf_dir):
     return stream.replay_through_stream(spark, gps.to_documents(fx.gps_rows(spark, sf_dir)))
 
 
+def q_gps_record_text(spark, sf_dir):
+    g = gps_feed(spark, sf_dir)
+    return g.select("serial_number", "datetime", text.gps_record_text(
+        "datetime", "serial_number", "route_code", "lat", "lon", "vel", "direction").alias("record"))
+
+
 def q_nearby_vehicles(spark, sf_dir):
     near = gps.vehicles_near(gps_feed(spark, sf_dir), *NEAR_CENTER, NEAR_RADIUS_M)
     return near.select("serial_number", "datetime", "lat", "lon", _r("dist", 2).alias("dist"))

@@ -8,6 +8,7 @@ against the direct formulation.  Geometry is expanded inline.
 
 from __future__ import annotations
 
+from ..functions.text import LINE_GROUP_PATTERN as LINE_GROUP
 from ..functions.sql_text import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql,
                                   line_code_sql, nearest_latlon_sql, on_segment_sql)
 
@@ -146,8 +147,13 @@ from shapes"""
         f"round({dist_sql('lat', 'lon', 'lat1', 'lon1')}, 3) as to_start, "
         f"round({dist_sql('lat', 'lon', 'lat2', 'lon2')}, 3) as to_end, "
         f"round({haversine_sql('lat', 'lon', 'lat1', 'lon1')}, 3) as haversine_to_start, "
-        f"round({cross_track_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 3) as cross_track "
+        f"round({cross_track_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 3) as cross_track, "
+        f"round({dist_sql('lat1', 'lon1', nla, nlo)}, 2) as along_via_nearest "
         f"from matches")
+    q["route_line_groups"] = with_fx("fx_routes") + f"""
+select route_id, regexp_extract(name, '{LINE_GROUP}', 0) as line_group,
+       trim(string_split(name, '-')[1]) as dest1
+from fx_routes"""
     q["routes_with_fares"] = with_fx("fx_routes", "fx_fare_rules") + """
 select r.route_id as id, r.code, r.name, r.description,
        trim(string_split(r.name, '-')[1]) as dest1, trim(string_split(r.name, '-')[3]) as dest2,
@@ -175,6 +181,12 @@ where event_id in (select min(event_id) from fx_gps group by floor(event_id / 25
     q["gps_all_feeds"] = with_fx("fx_gps") + f"""
 select {GPS_CLEAN_COLS}, case when event_id % 2 = 0 then 'bus' else 'brt' end as feed from fx_gps"""
     q["gps_stream"] = with_fx("fx_gps") + f"select {GPS_CLEAN_COLS} from fx_gps"
+    q["gps_record_text"] = with_fx("fx_gps") + f"""
+select serial_number, date_trunc('second', datetime) as datetime,
+       concat('H: ', cast(date_trunc('second', datetime) as varchar), '|S:', serial_number,
+              '|L:', {line_code_sql('line')}, '|P:(', cast(lat as varchar), ',', cast(lon as varchar),
+              ')|V:', cast(vel as varchar), '|D:', direction) as record
+from fx_gps"""
     q["nearby_vehicles"] = with_fx("fx_gps") + f"""
 select serial_number, date_trunc('second', datetime) as datetime, lat, lon, round(d, 2) as dist
 from (select *, {dist_sql('lat', 'lon', '-22.86e0', '-43.23e0')} as d from fx_gps) g

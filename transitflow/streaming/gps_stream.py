@@ -22,11 +22,21 @@ from ..sources import gps_json
 DEFAULT_TRIGGER = "30 seconds"
 
 
+METRICS = "gps_batch"
+
+
 def gps_rows_stream(spark: SparkSession, landing_dir: str, encoding: str = "UTF-8",
                     first_only: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of normalised GPS rows from documents in a folder."""
+    """Streaming DataFrame of normalised GPS rows from documents in a folder.
+
+    Each micro-batch reports its record count and the number of rows without
+    a valid time or position in ``query.lastProgress["observedMetrics"]
+    ["gps_batch"]`` (computed on the fly, no extra pass)."""
     docs = gps_json.stream_documents(spark, landing_dir, encoding, max_files_per_trigger)
-    return gps.normalize_gps(docs, first_only=first_only)
+    rows = gps.normalize_gps(docs, first_only=first_only)
+    invalid = F.col("datetime").isNull() | F.col("lat").isNull() | F.col("lon").isNull()
+    return rows.observe(METRICS, F.count(F.lit(1)).alias("records"),
+                        F.count(F.when(invalid, F.lit(1))).alias("invalid"))
 
 
 def _trigger(writer, trigger: str | None, available_now: bool):
