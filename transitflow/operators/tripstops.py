@@ -44,9 +44,9 @@ def _cell_key(ix: Column, iy: Column, iz: Column) -> Column:
     return ((ix + _OFF) * F.lit(1 << 42) + (iy + _OFF) * F.lit(1 << 21) + (iz + _OFF)).cast("long")
 
 
-def stop_cells(stop_rows: DataFrame) -> DataFrame:
-    """Stop rows with vector columns (px, py, pz) and one (level, cell) row per
-    level."""
+def point_cells(stop_rows: DataFrame) -> DataFrame:
+    """Point rows (lat, lon) with vector columns (px, py, pz) and one
+    (level, cell) row per level."""
     n0 = geo.nvector("lat", "lon")
     v = stop_rows.select("*", *n0.columns("p"))
     lv = v.select("*", F.explode(F.sequence(F.lit(0), F.lit(N_LEVELS - 1))).alias("level"))
@@ -55,14 +55,27 @@ def stop_cells(stop_rows: DataFrame) -> DataFrame:
     return lv.withColumn("cell", key)
 
 
-def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
+stop_cells = point_cells
+
+
+def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
+                  within_m: float | None = None) -> DataFrame:
     """Segments with end-point vectors (a*, b*), chord length ``chord`` and one
-    (level, cell) row per cell the padded segment touches."""
+    (level, cell) row per cell the padded segment touches.
+
+    The pad covers every point the corridor test with ``tolerance`` can
+    accept; with ``within_m`` it instead covers every point within that many
+    metres of the arc (chord bound plus the arc's sag off its chord)."""
     n1, n2 = geo.nvector("lat1", "lon1"), geo.nvector("lat2", "lon2")
     v = segments.select("*", *n1.columns("a"), *n2.columns("b"))
     a, b = Vec3.named("a"), Vec3.named("b")
     v = v.withColumn("chord", b.minus(a).norm())
-    pad = F.sqrt((F.col("chord") * tolerance + tolerance * tolerance) / 2) + F.lit(1e-9)
+    if within_m is None:
+        pad = F.sqrt((F.col("chord") * tolerance + tolerance * tolerance) / 2) + F.lit(1e-9)
+    else:
+        half = F.least(F.col("chord") / 2, F.lit(1.0))
+        sag = F.lit(1.0) - F.sqrt(F.lit(1.0) - half * half)
+        pad = F.lit(within_m / geo.EARTH_RADIUS_M) + sag + F.lit(1e-9)
     extent = F.col("chord") + 2 * pad
     level = F.least(F.lit(N_LEVELS - 1),
                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, extent / F.lit(BASE_CELL))))).cast("int")
@@ -92,7 +105,7 @@ def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
     segs = (segments.join(used, "id", "left_semi")
             .select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
                     "lat1", "lon1", "lat2", "lon2", "dist", "total_dist"))
-    return stop_cells(stop_rows).join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
+    return point_cells(stop_rows).join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
 
 
 def corridor_matches(stop_rows: DataFrame, segments: DataFrame,

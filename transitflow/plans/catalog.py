@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..operators import gps, network, shapes, trips, tripstops
+from ..operators import gps, matching, network, shapes, trips, tripstops
 from ..sources import fixtures as fx
 from ..streaming import gps_stream as stream
 
@@ -194,6 +194,14 @@ def q_gps_record_text(spark, sf_dir):
         "datetime", "serial_number", "route_code", "lat", "lon", "vel", "direction").alias("record"))
 
 
+def q_gps_on_routes(spark, sf_dir):
+    routes = network.routes_with_fares(fx.routes(spark, sf_dir), fx.fare_rules(spark, sf_dir))
+    m = matching.match_fixes(gps_feed(spark, sf_dir), routes, trips_table(spark, sf_dir),
+                             shapes_table(spark, sf_dir))
+    return m.select("serial_number", "datetime", "route_code", "shape_id", "seg_sequence",
+                    _r("offset_m", 2).alias("offset_m"), _r("route_dist", 2).alias("route_dist"))
+
+
 def q_nearby_vehicles(spark, sf_dir):
     near = gps.vehicles_near(gps_feed(spark, sf_dir), *NEAR_CENTER, NEAR_RADIUS_M)
     return near.select("serial_number", "datetime", "lat", "lon", _r("dist", 2).alias("dist"))

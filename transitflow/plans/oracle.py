@@ -110,6 +110,33 @@ GPS_CLEAN_COLS = (f"date_trunc('second', datetime) as datetime, serial_number, {
                   f"as route_code, lat, lon, vel, direction")
 
 
+ROUTES = """
+select r.route_id as id, r.code
+from fx_routes r join fx_fare_rules f on r.route_id = f.route_id"""
+
+
+def _gps_on_routes(max_offset_m: str = "100e0") -> str:
+    a6 = ("g.lat", "g.lon", "s.lat1", "s.lon1", "s.lat2", "s.lon2")
+    off = (f"case when {between_sql(*a6)} and not (s.lat1 = s.lat2 and s.lon1 = s.lon2) "
+           f"then {cross_track_sql(*a6)} else least({dist_sql('g.lat', 'g.lon', 's.lat1', 's.lon1')}, "
+           f"{dist_sql('g.lat', 'g.lon', 's.lat2', 's.lon2')}) end")
+    cand = f"""
+select g.event_id, g.serial_number, g.datetime, g.route_code, s.id as shape_id, s.sequence as seg_sequence,
+       {off} as offset_m, s.total_dist - s.dist + {along_sql(*a6)} as route_dist
+from (select event_id, {GPS_CLEAN_COLS} from fx_gps) g
+join (select distinct r.code as route_code, t.shape_id
+      from (select distinct id, code from routes) r join trips t on r.id = t.route_id) c
+  on g.route_code = c.route_code
+join shapes s on s.id = c.shape_id"""
+    return with_fx("fx_shape_points", "fx_trips", "fx_routes", "fx_fare_rules", "fx_gps", extra=[
+        ("shapes", SHAPES), ("trips", TRIPS), ("routes", ROUTES), ("cand", cand)]) + f"""
+select serial_number, datetime, route_code, shape_id, seg_sequence, round(offset_m, 2) as offset_m,
+       round(route_dist, 2) as route_dist
+from (select *, row_number() over (partition by event_id order by round(offset_m, 3), shape_id, seg_sequence) as rn
+      from cand where offset_m <= {max_offset_m}) x
+where rn = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["shape_pairs"] = with_fx("fx_shape_points") + """
@@ -187,6 +214,7 @@ select serial_number, date_trunc('second', datetime) as datetime,
               '|L:', {line_code_sql('line')}, '|P:(', cast(lat as varchar), ',', cast(lon as varchar),
               ')|V:', cast(vel as varchar), '|D:', direction) as record
 from fx_gps"""
+    q["gps_on_routes"] = _gps_on_routes()
     q["nearby_vehicles"] = with_fx("fx_gps") + f"""
 select serial_number, date_trunc('second', datetime) as datetime, lat, lon, round(d, 2) as dist
 from (select *, {dist_sql('lat', 'lon', '-22.86e0', '-43.23e0')} as d from fx_gps) g
