@@ -10,7 +10,9 @@ task.  Points are therefore windowed per (shape_id, chunk) where ``chunk`` is
 ``floor(sequence / chunk_size)`` - a bounded run of consecutive points.  Two
 small per-chunk tables stitch the chunks back together: the first point of the
 next non-empty chunk (closing the last pair of each chunk) and the distance /
-segment count of all earlier chunks (offsetting the running values).
+segment count of all earlier chunks (offsetting the running values).  A tiny
+aggregate first measures whether any shape spans chunks at all; when none
+does (ordinary networks), the stitching is left out of the plan.
 """
 
 from __future__ import annotations
@@ -33,24 +35,43 @@ def _chunked(points: DataFrame, chunk_size: int) -> DataFrame:
             .withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size))))
 
 
-def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """Every pair of consecutive points of a shape (ordered by sequence, then
-    lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
-    A one-point shape yields no pair.  The points are materialised once since
-    both the per-chunk heads and the pairs read them."""
-    p = materialize(_chunked(points, chunk_size))
+def _spans_chunks(p: DataFrame) -> bool:
+    """True when some shape may span several chunks.  A tiny global aggregate
+    (two numbers reach the driver); when every point lies in one chunk, no
+    stitching is needed and the plan skips it."""
+    lo, hi = p.agg(F.min("chunk"), F.max("chunk")).first()
+    return lo is not None and lo != hi
+
+
+def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy(*_ORDER)
-    by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
-    bridge = (p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
-              .select("shape_id", "chunk", F.lead("head").over(by_chunk).alias("next_head")))
     nxt = F.lead(F.struct(*_ORDER)).over(in_chunk)
-    return (p.select("shape_id", "chunk", "sequence", "lat", "lon", nxt.alias("nxt"))
-            .join(bridge, ["shape_id", "chunk"], "left")
-            .select("shape_id", "chunk", "sequence", F.col("lat").alias("lat1"),
-                    F.col("lon").alias("lon1"), F.coalesce("nxt", "next_head").alias("p2"))
-            .where(F.col("p2").isNotNull())
+    w = p.select("shape_id", "chunk", "sequence", "lat", "lon", nxt.alias("p2"))
+    if stitch:
+        by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
+        bridge = (p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
+                  .select("shape_id", "chunk", F.lead("head").over(by_chunk).alias("next_head")))
+        w = (w.join(bridge, ["shape_id", "chunk"], "left")
+             .withColumn("p2", F.coalesce("p2", "next_head")).drop("next_head"))
+    return (w.where(F.col("p2").isNotNull())
             .select("shape_id", "chunk", "sequence", F.col("p2.sequence").alias("sequence2"),
-                    "lat1", "lon1", F.col("p2.lat").alias("lat2"), F.col("p2.lon").alias("lon2")))
+                    F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
+                    F.col("p2.lat").alias("lat2"), F.col("p2.lon").alias("lon2")))
+
+
+def _prepare(points: DataFrame, chunk_size: int) -> tuple[DataFrame, bool]:
+    # Materialised once: the span check and the pair window (and, when
+    # stitching, the per-chunk heads) all read the points.
+    p = materialize(_chunked(points, chunk_size))
+    return p, _spans_chunks(p)
+
+
+def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+    """Every pair of consecutive points of a shape (ordered by sequence, then
+    lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
+    A one-point shape yields no pair."""
+    p, stitch = _prepare(points, chunk_size)
+    return _pairs(p, stitch)
 
 
 def keep_rule(keep_axis_aligned: bool = False):
@@ -67,17 +88,22 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
     lat2, lon2, dist (metres), total_dist (running sum including this one)."""
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy("sequence", "lat1", "lon1")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    p, stitch = _prepare(points, chunk_size)
     # The running frames share the (shape_id, chunk) partitioning of the pair
-    # window, so they add no shuffle; the result is materialised because both
-    # the per-chunk offsets and the output read it.
-    seg = materialize(
-        shape_pairs(points, chunk_size).where(keep_rule(keep_axis_aligned))
-        .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
-        .withColumn("run_dist", F.sum("dist").over(upto))
-        .withColumn("run_n", F.row_number().over(in_chunk)))
-    # Offsets exist only for chunks after a shape's first one: an ordinary
-    # shape fits one chunk, so this table stays tiny (rows <= points /
-    # chunk_size) and the adaptive planner broadcasts it into the join.
+    # window, so they add no shuffle.
+    seg = (_pairs(p, stitch).where(keep_rule(keep_axis_aligned))
+           .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
+           .withColumn("run_dist", F.sum("dist").over(upto))
+           .withColumn("run_n", F.row_number().over(in_chunk)))
+    out = seg.select(F.col("shape_id").alias("id"), (F.col("run_n") - 1).cast("long").alias("sequence"),
+                     "lat1", "lon1", "lat2", "lon2", "dist", F.col("run_dist").alias("total_dist"))
+    if not stitch:
+        return out
+    # Shapes span chunks: add the distance and count of earlier chunks.  The
+    # segments are materialised because the offsets and the output read them.
+    # Offsets exist only for chunks after a shape's first one, so the table
+    # stays tiny (rows <= points / chunk_size) and AQE broadcasts it.
+    seg = materialize(seg)
     earlier = Window.partitionBy("shape_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (seg.groupBy("shape_id", "chunk")
                .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
