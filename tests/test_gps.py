@@ -69,3 +69,35 @@ def test_documents_bounded(spark):
 def test_nearby_vehicles(spark):
     near = catalog.q_nearby_vehicles(spark, SF001).collect()
     assert all(r.dist <= 200 for r in near)
+
+
+def test_route_matching_stream_equals_batch(spark, tmp_dir):
+    from transitflow.operators import matching, network
+    from transitflow.plans import catalog as cat
+
+    routes = network.routes_with_fares(fx.routes(spark, SF001), fx.fare_rules(spark, SF001))
+    tr, segs = cat.trips_table(spark, SF001), cat.shapes_table(spark, SF001)
+    docs = gps.to_documents(fx.gps_rows(spark, SF001), doc_size=64)
+    landing = f"{tmp_dir}/landing"
+    docs.select("json").write.text(landing)
+    q = gps_stream.start_route_matching(gps_stream.gps_rows_stream(spark, landing), routes, tr, segs,
+                                        f"{tmp_dir}/matched", f"{tmp_dir}/ck", available_now=True)
+    q.awaitTermination()
+    streamed = spark.read.parquet(f"{tmp_dir}/matched").drop("batch")
+    batch = matching.match_fixes(gps.normalize_gps(gps_json.read_documents(spark, landing)), routes, tr, segs)
+    assert _rows(streamed.select(batch.columns)) == _rows(batch)
+    assert batch.count() > 0
+
+
+def test_repeated_fixes_keep_multiplicity(spark):
+    from transitflow.operators import matching
+
+    gps_df = spark.createDataFrame([("A1", "R", 0.0, 0.0005), ("A1", "R", 0.0, 0.0005), ("B", "R", 1.0, 1.0)],
+                                   "serial_number string, route_code string, lat double, lon double")
+    routes = spark.createDataFrame([("r1", "R")], "id string, code string")
+    trips_df = spark.createDataFrame([(1, "r1", "s")], "id long, route_id string, shape_id string")
+    segs = spark.createDataFrame([("s", 0, 0.0, 0.0, 0.0, 0.001, 111.19, 111.19)],
+                                 "id string, sequence long, lat1 double, lon1 double, lat2 double, lon2 double, "
+                                 "dist double, total_dist double")
+    out = matching.match_fixes(gps_df, routes, trips_df, segs).collect()
+    assert len(out) == 2 and all(r.serial_number == "A1" and r.offset_m < 1e-6 for r in out)

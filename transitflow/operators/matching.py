@@ -36,20 +36,27 @@ def offset_v(n0: Vec3, a: Vec3, b: Vec3, degenerate, at_start, to_a, to_b):
 
 
 def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: DataFrame,
-                max_offset_m: float = DEFAULT_MAX_OFFSET_M) -> DataFrame:
+                max_offset_m: float = DEFAULT_MAX_OFFSET_M, segment_cells_df: DataFrame | None = None
+                ) -> DataFrame:
     """GPS rows (with ``route_code``) matched to their route's shape.
 
     Output: the GPS columns plus shape_id, seg_sequence, offset_m (metres off
     the shape) and route_dist (metres along the route).  Fixes whose line code
     names no route, or that lie farther than ``max_offset_m`` from every
     segment, are left out.  Ties go to the smaller (offset to the millimetre,
-    shape_id, seg_sequence)."""
+    shape_id, seg_sequence).
+
+    Identical fixes (a feed re-polled before the vehicle moved repeats rows)
+    are grouped first - a partial aggregate - matched once, and expanded back,
+    so the fix itself is the deterministic grouping key.  ``segment_cells_df``
+    lets a caller pass precomputed :func:`segment_cells` (e.g. cached across
+    micro-batches of a stream)."""
     gcols = gps.columns
-    fixes = (gps.withColumn("fix_id", F.monotonically_increasing_id())
+    fixes = (gps.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
              .join(route_shapes(routes, trips), "route_code"))
-    segs = segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
-                           "lat1", "lon1", "lat2", "lon2", "dist", "total_dist")
-    pairs = point_cells(fixes).join(segment_cells(segs, within_m=max_offset_m), ["shape_id", "level", "cell"])
+    if segment_cells_df is None:
+        segment_cells_df = segment_cells(prepare_segments(segments), within_m=max_offset_m)
+    pairs = point_cells(fixes).join(segment_cells_df, ["shape_id", "level", "cell"])
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))
@@ -58,5 +65,14 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     cand = (pairs.withColumn("offset_m", off).where(F.col("offset_m") <= F.lit(max_offset_m))
             .withColumn("route_dist", F.col("total_dist") - F.col("dist") + geo.along_track_v(n0, a, b)))
     rank = F.struct(F.round("offset_m", 3).alias("o"), "shape_id", "seg_sequence")
-    best = F.min_by(F.struct(*gcols, "shape_id", "seg_sequence", "offset_m", "route_dist"), rank)
-    return cand.groupBy("fix_id").agg(best.alias("m")).select("m.*")
+    best = F.min_by(F.struct("shape_id", "seg_sequence", "offset_m", "route_dist", "_n"), rank)
+    return (cand.groupBy(*gcols).agg(best.alias("m"))
+            .select(*gcols, "m.shape_id", "m.seg_sequence", "m.offset_m", "m.route_dist",
+                    F.explode(F.array_repeat(F.lit(0), F.col("m._n").cast("int"))).alias("_copy"))
+            .drop("_copy"))
+
+
+def prepare_segments(segments: DataFrame) -> DataFrame:
+    """Shapes table -> the segment columns the matcher joins on."""
+    return segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
+                           "lat1", "lon1", "lat2", "lon2", "dist", "total_dist")

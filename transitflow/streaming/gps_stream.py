@@ -91,3 +91,26 @@ def replay_through_stream(spark: SparkSession, documents: DataFrame) -> DataFram
     if q.exception() is not None:
         raise RuntimeError(f"GPS stream failed: {q.exception()}")
     return spark.read.parquet(out)
+
+
+def start_route_matching(rows: DataFrame, routes: DataFrame, trips: DataFrame, segments: DataFrame,
+                         out_path: str, checkpoint: str, *, max_offset_m: float = 100.0,
+                         trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Match each micro-batch of GPS rows to route shapes and append the
+    result to Parquet.
+
+    The static side (segments exploded into grid cells) is computed once and
+    kept in executor memory across batches; each batch is a plain batch
+    DataFrame inside ``foreachBatch``.  Output files are named by batch id
+    (overwrite of ``batch=<id>``), so a batch replayed after a failure
+    replaces its own output instead of appending twice."""
+    from ..operators import matching
+    from ..operators.tripstops import segment_cells
+
+    cells = segment_cells(matching.prepare_segments(segments), within_m=max_offset_m).persist()
+
+    def _batch(batch: DataFrame, batch_id: int) -> None:
+        matched = matching.match_fixes(batch, routes, trips, segments, max_offset_m, segment_cells_df=cells)
+        matched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+
+    return start_batch_sink(rows, _batch, checkpoint, trigger=trigger, available_now=available_now)
