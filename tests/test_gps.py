@@ -101,3 +101,14 @@ def test_repeated_fixes_keep_multiplicity(spark):
                                  "dist double, total_dist double")
     out = matching.match_fixes(gps_df, routes, trips_df, segs).collect()
     assert len(out) == 2 and all(r.serial_number == "A1" and r.offset_m < 1e-6 for r in out)
+
+
+def test_windows_1252_feed(spark, tmp_dir):
+    doc = '{"DATA": [["06-27-2015 00:01:10", "A1", "123", "-22.8", "-43.2", "0.0", "São João"]]}\n'
+    with open(f"{tmp_dir}/f.json", "wb") as f:
+        f.write(doc.encode("cp1252"))
+    # read as UTF-8 the document is counted as corrupt, never dropped silently
+    assert gps_json.corrupt_documents(gps_json.read_documents(spark, tmp_dir)).count() == 1
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    rows = gps.normalize_gps(gps_json.read_documents(spark, tmp_dir, encoding="windows-1252")).collect()
+    assert [r.direction for r in rows] == ["São João"] and rows[0].route_code == "00123"

@@ -193,3 +193,24 @@ def cross_track(lat, lon, lat1, lon1, lat2, lon2) -> Column:
     n0, n1, n2 = nvector(lat, lon), nvector(lat1, lon1), nvector(lat2, lon2)
     off = F.abs(F.lit(EARTH_RADIUS_M) * (n1.cross(n2).angle_to(n0) - F.lit(math.pi / 2)))
     return F.when(same_point(lat1, lon1, lat2, lon2), distance(lat, lon, lat1, lon1)).otherwise(off)
+
+
+# ---- planar approximations in degree space ------------------------------------
+
+# Fixed value (must equal the original's): metres per degree of the planar
+# approximation.
+PLANAR_METRES_PER_DEGREE = 100000.0
+
+
+def planar_distance(lat1, lon1, lat2, lon2) -> Column:
+    """Euclidean distance in degree space scaled to approximate metres."""
+    dlat, dlon = _c(lat2) - _c(lat1), _c(lon2) - _c(lon1)
+    return F.sqrt(dlat * dlat + dlon * dlon) * F.lit(PLANAR_METRES_PER_DEGREE)
+
+
+def planar_projection(lat, lon, lat1, lon1, lat2, lon2) -> Column:
+    """``struct<lat, lon>``: orthogonal projection of the point on the line
+    through the end points, in degree space (not clamped to the segment)."""
+    dlat, dlon = _c(lat2) - _c(lat1), _c(lon2) - _c(lon1)
+    t = (dlat * (_c(lat) - _c(lat1)) + dlon * (_c(lon) - _c(lon1))) / (dlat * dlat + dlon * dlon)
+    return F.struct((_c(lat1) + dlat * t).alias("lat"), (_c(lon1) + dlon * t).alias("lon"))

@@ -92,3 +92,13 @@ def cross_track_sql(lat, lon, lat1, lon1, lat2, lon2) -> str:
 def line_code_sql(c: str) -> str:
     return (f"(case when length({c}) <= 2 then '' else split_part(concat(case length({c}) when 3 then '00' "
             f"when 4 then '0' else '' end, {c}), '.', 1) end)")
+
+
+def planar_distance_sql(lat1, lon1, lat2, lon2) -> str:
+    return f"(sqrt(({lat2} - {lat1}) * ({lat2} - {lat1}) + ({lon2} - {lon1}) * ({lon2} - {lon1})) * 100000e0)"
+
+
+def planar_projection_sql(lat, lon, lat1, lon1, lat2, lon2) -> tuple[str, str]:
+    dla, dlo = f"({lat2} - {lat1})", f"({lon2} - {lon1})"
+    t = f"(({dla} * ({lat} - {lat1}) + {dlo} * ({lon} - {lon1})) / ({dla} * {dla} + {dlo} * {dlo}))"
+    return f"({lat1} + {dla} * {t})", f"({lon1} + {dlo} * {t})"

@@ -126,6 +126,14 @@ def q_geo_distance(spark, sf_dir):
         _r(geo.along_track_via_nearest("lat", "lon", "lat1", "lon1", "lat2", "lon2"), 2).alias("along_via_nearest"))
 
 
+def q_planar_metrics(spark, sf_dir):
+    proj = geo.planar_projection("lat", "lon", "lat1", "lon1", "lat2", "lon2")
+    return (matches(spark, sf_dir)
+            .select(*_KEYS, _r(geo.planar_distance("lat", "lon", "lat1", "lon1"), 3).alias("planar_to_start"),
+                    proj.alias("q"))
+            .select(*_KEYS, "planar_to_start", _r("q.lat", 6).alias("proj_lat"), _r("q.lon", 6).alias("proj_lon")))
+
+
 def q_route_line_groups(spark, sf_dir):
     r = fx.routes(spark, sf_dir)
     return r.select("route_id", text.line_group("name").alias("line_group"),
@@ -177,9 +185,15 @@ def q_gps_first_only(spark, sf_dir):
     return gps_feed(spark, sf_dir, first_only=True)
 
 
+# The driver's events form one feed; its rows are divided between two
+# sources by a categorical column, and the union brings every row back.
+BRT_DIRECTIONS = ("purchase", "signup")
+
+
 def q_gps_all_feeds(spark, sf_dir):
     rows = fx.gps_rows(spark, sf_dir)
-    feeds = {"bus": rows.where(F.col("event_id") % 2 == 0), "brt": rows.where(F.col("event_id") % 2 != 0)}
+    is_brt = F.col("direction").isin(*BRT_DIRECTIONS)
+    feeds = {"bus": rows.where(~is_brt), "brt": rows.where(is_brt)}
     parsed = {k: gps.parse_documents(gps.to_documents(v)) for k, v in feeds.items()}
     return stream.union_feeds({k: gps.normalize_gps(v) for k, v in parsed.items()})
 

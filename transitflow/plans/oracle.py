@@ -9,6 +9,7 @@ against the direct formulation.  Geometry is expanded inline.
 from __future__ import annotations
 
 from ..functions.text import LINE_GROUP_PATTERN as LINE_GROUP
+from ..functions.sql_text import planar_distance_sql, planar_projection_sql
 from ..functions.sql_text import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql,
                                   line_code_sql, nearest_latlon_sql, on_segment_sql)
 
@@ -177,6 +178,11 @@ from shapes"""
         f"round({cross_track_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 3) as cross_track, "
         f"round({dist_sql('lat1', 'lon1', nla, nlo)}, 2) as along_via_nearest "
         f"from matches")
+    pla, plo = planar_projection_sql("lat", "lon", "lat1", "lon1", "lat2", "lon2")
+    q["planar_metrics"] = _matches_query(
+        f"select trip_id, stop_id, sequence, seg_sequence, "
+        f"round({planar_distance_sql('lat', 'lon', 'lat1', 'lon1')}, 3) as planar_to_start, "
+        f"round({pla}, 6) as proj_lat, round({plo}, 6) as proj_lon from matches")
     q["route_line_groups"] = with_fx("fx_routes") + f"""
 select route_id, regexp_extract(name, '{LINE_GROUP}', 0) as line_group,
        trim(string_split(name, '-')[1]) as dest1
@@ -206,7 +212,8 @@ select {line_code_sql('line')} as route_code, count(*) as n from fx_gps group by
 select {GPS_CLEAN_COLS} from fx_gps
 where event_id in (select min(event_id) from fx_gps group by floor(event_id / 256))"""
     q["gps_all_feeds"] = with_fx("fx_gps") + f"""
-select {GPS_CLEAN_COLS}, case when event_id % 2 = 0 then 'bus' else 'brt' end as feed from fx_gps"""
+select {GPS_CLEAN_COLS}, case when direction in ('purchase', 'signup') then 'brt' else 'bus' end as feed
+from fx_gps"""
     q["gps_stream"] = with_fx("fx_gps") + f"select {GPS_CLEAN_COLS} from fx_gps"
     q["gps_record_text"] = with_fx("fx_gps") + f"""
 select serial_number, date_trunc('second', datetime) as datetime,
