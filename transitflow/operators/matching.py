@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from .tripstops import point_cells, segment_cells
+from ..session import materialize
+from .tripstops import point_cells, segment_cells, segment_levels
 
 DEFAULT_MAX_OFFSET_M = 100.0
 
@@ -52,10 +53,13 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     lets a caller pass precomputed :func:`segment_cells` (e.g. cached across
     micro-batches of a stream)."""
     gcols = gps.columns
-    fixes = (gps.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-             .join(route_shapes(routes, trips), "route_code"))
     if segment_cells_df is None:
-        segment_cells_df = segment_cells(prepare_segments(segments), within_m=max_offset_m)
+        segment_cells_df = route_segment_cells(routes, trips, segments, max_offset_m)
+    # route code -> (shape, level) pairs in use: small, so the fixes fan out
+    # only to the grid levels their shapes' segments occupy
+    levels = segment_cells_df.select("shape_id", "level").distinct()
+    rs_levels = route_shapes(routes, trips).join(levels, "shape_id")
+    fixes = gps.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).join(rs_levels, "route_code")
     pairs = point_cells(fixes).join(segment_cells_df, ["shape_id", "level", "cell"])
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
@@ -72,6 +76,15 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
             .drop("_copy"))
 
 
+def route_segment_cells(routes: DataFrame, trips: DataFrame, segments: DataFrame,
+                        max_offset_m: float = DEFAULT_MAX_OFFSET_M) -> DataFrame:
+    """Grid cells of the segments of shapes some route code can reach (a
+    semi-join on the small set of those shape ids drops the rest first)."""
+    used = route_shapes(routes, trips).select("shape_id").distinct()
+    segs = materialize(prepare_segments(segments).join(used, "shape_id", "left_semi"))
+    return segment_cells(segs, within_m=max_offset_m)
+
+
 def prepare_segments(segments: DataFrame) -> DataFrame:
     """Shapes table -> the segment columns the matcher joins on."""
     return segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),

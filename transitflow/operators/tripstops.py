@@ -44,12 +44,20 @@ def _cell_key(ix: Column, iy: Column, iz: Column) -> Column:
     return ((ix + _OFF) * F.lit(1 << 42) + (iy + _OFF) * F.lit(1 << 21) + (iz + _OFF)).cast("long")
 
 
-def point_cells(stop_rows: DataFrame) -> DataFrame:
-    """Point rows (lat, lon) with vector columns (px, py, pz) and one
-    (level, cell) row per level."""
+def point_cells(rows: DataFrame, levels: DataFrame | None = None) -> DataFrame:
+    """Point rows (lat, lon, shape_id) with vector columns (px, py, pz) and one
+    (level, cell) row per level.  With ``levels`` (shape_id, level) only the
+    levels some segment of the row's shape uses are listed (a join to that
+    small table instead of one row per level); rows that already carry a
+    ``level`` column keep it."""
     n0 = geo.nvector("lat", "lon")
-    v = stop_rows.select("*", *n0.columns("p"))
-    lv = v.select("*", F.explode(F.sequence(F.lit(0), F.lit(N_LEVELS - 1))).alias("level"))
+    v = rows.select("*", *n0.columns("p"))
+    if "level" in rows.columns:
+        lv = v
+    elif levels is None:
+        lv = v.select("*", F.explode(F.sequence(F.lit(0), F.lit(N_LEVELS - 1))).alias("level"))
+    else:
+        lv = v.join(levels, "shape_id")
     g = _cell_size(F.col("level"))
     key = _cell_key(F.floor(F.col("px") / g), F.floor(F.col("py") / g), F.floor(F.col("pz") / g))
     return lv.withColumn("cell", key)
@@ -58,10 +66,8 @@ def point_cells(stop_rows: DataFrame) -> DataFrame:
 stop_cells = point_cells
 
 
-def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
-                  within_m: float | None = None) -> DataFrame:
-    """Segments with end-point vectors (a*, b*), chord length ``chord`` and one
-    (level, cell) row per cell the padded segment touches.
+def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> DataFrame:
+    """Segments with end-point vectors (a*, b*), chord length, pad and level.
 
     The pad covers every point the corridor test with ``tolerance`` can
     accept; with ``within_m`` it instead covers every point within that many
@@ -79,7 +85,21 @@ def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERAN
     extent = F.col("chord") + 2 * pad
     level = F.least(F.lit(N_LEVELS - 1),
                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, extent / F.lit(BASE_CELL))))).cast("int")
-    v = v.withColumn("level", level).withColumn("_pad", pad)
+    return v.withColumn("_pad", pad).withColumn("level", level)
+
+
+def segment_levels(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
+                   within_m: float | None = None) -> DataFrame:
+    """(shape_id, level) pairs in use: at most one row per level per shape."""
+    return _sized(segments, tolerance, within_m).select("shape_id", "level").distinct()
+
+
+def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
+                  within_m: float | None = None) -> DataFrame:
+    """Segments with end-point vectors (a*, b*), chord length ``chord`` and one
+    (level, cell) row per cell the padded segment touches (see :func:`_sized`
+    for the pad)."""
+    v = _sized(segments, tolerance, within_m)
     g = _cell_size(F.col("level"))
 
     def rng(ca: str, cb: str):
@@ -93,19 +113,25 @@ def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERAN
 
 
 def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
-                        tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
+                        tolerance: float = geo.ON_SEGMENT_TOLERANCE, prune_levels: bool = True) -> DataFrame:
     """(stop row, segment) pairs sharing a shape and a grid cell: a superset
     of the corridor matches, far smaller than all pairs of a shape.
 
     Segments of shapes no stop row uses are dropped first by a semi-join on
-    the (small) set of used shape ids.  The stop rows are materialised once
-    because both that set and the join read them."""
+    the (small) set of used shape ids.  With ``prune_levels`` the kept
+    segments are materialised and each stop row is listed only under the grid
+    levels its shape's segments occupy (instead of all levels)."""
     stop_rows = materialize(stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon"))
     used = stop_rows.select(F.col("shape_id").alias("id")).distinct()
     segs = (segments.join(used, "id", "left_semi")
             .select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
                     "lat1", "lon1", "lat2", "lon2", "dist", "total_dist"))
-    return point_cells(stop_rows).join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
+    if prune_levels:
+        segs = materialize(segs)
+        points = point_cells(stop_rows, segment_levels(segs, tolerance))
+    else:
+        points = point_cells(stop_rows)
+    return points.join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
 
 
 def corridor_matches(stop_rows: DataFrame, segments: DataFrame,

@@ -105,9 +105,8 @@ def start_route_matching(rows: DataFrame, routes: DataFrame, trips: DataFrame, s
     (overwrite of ``batch=<id>``), so a batch replayed after a failure
     replaces its own output instead of appending twice."""
     from ..operators import matching
-    from ..operators.tripstops import segment_cells
 
-    cells = segment_cells(matching.prepare_segments(segments), within_m=max_offset_m).persist()
+    cells = matching.route_segment_cells(routes, trips, segments, max_offset_m).persist()
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
         matched = matching.match_fixes(batch, routes, trips, segments, max_offset_m, segment_cells_df=cells)
