@@ -97,3 +97,16 @@ def test_malformed_lines_quarantined(spark, tmp_dir):
     good = sorted(map(tuple, p.rows.collect()))
     assert good == [(1, "s,1", 1), (2, 's"2', 2), (3, "s3", 3), (5, "s5", 5)]
     assert p.quarantine.count() == 2
+
+
+def test_refresh_cli(spark, tmp_dir, capsys):
+    from transitflow.plans.refresh import main
+
+    gtfs, store = f"{tmp_dir}/gtfs", f"{tmp_dir}/store"
+    os.makedirs(gtfs)
+    _gtfs_folder(spark, gtfs)
+    assert main(["--gtfs", gtfs, "--store", store]) == 1          # no step: usage text
+    assert main(["--gtfs", gtfs, "--store", store, "--routes"]) == 0
+    out = capsys.readouterr().out
+    assert "routes:" in out and "fares: 25" in out
+    assert TableStore(spark, store).routes().count() > 0
