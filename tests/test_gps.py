@@ -112,3 +112,11 @@ def test_windows_1252_feed(spark, tmp_dir):
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     rows = gps.normalize_gps(gps_json.read_documents(spark, tmp_dir, encoding="windows-1252")).collect()
     assert [r.direction for r in rows] == ["São João"] and rows[0].route_code == "00123"
+
+
+def test_documents_bounded_with_repeated_ids(spark):
+    rows = fx.gps_rows(spark, SF001)
+    hot = rows.withColumn("event_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("event_id")))
+    parsed = gps.parse_documents(gps.to_documents(hot, doc_size=50)).select(F.size("DATA").alias("n"))
+    stats = parsed.agg(F.max("n"), F.sum("n")).first()
+    assert stats[0] <= 50 and stats[1] == 1000

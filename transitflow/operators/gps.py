@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import geo, text
+from .ranking import row_number_within
 
 DATA_FIELDS = ("datetime", "serial_number", "line", "lat", "lon", "vel", "direction")
 
@@ -52,14 +53,19 @@ def split_valid(gps: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_documents(rows: DataFrame, doc_size: int = 256) -> DataFrame:
-    """Typed GPS rows (with an ``event_id``) -> JSON feed documents of at most
-    ``doc_size`` consecutive ids each: column ``json``.  Records keep id
-    order inside a document, so ``DATA[0]`` is the document's smallest id."""
+    """Typed GPS rows (with an ``event_id``) -> JSON feed documents, column
+    ``json``.  Rows are numbered in (event_id, ...) order with the skew-safe
+    ranking, and document ``d`` holds positions ``d*doc_size ..
+    (d+1)*doc_size - 1``: at most ``doc_size`` records each whatever the ids
+    (repeated ids cannot grow a document).  Records keep that order, so
+    ``DATA[0]`` is the document's first position."""
+    order = ["event_id", *DATA_FIELDS]
+    ranked = row_number_within(rows.select(F.lit(0).alias("_feed"), *order), "_feed", order, "_pos")
     item = F.array(F.date_format("datetime", text.FEED_TIME_FORMAT), F.col("serial_number"),
                    F.col("line"), F.col("lat").cast("string"), F.col("lon").cast("string"),
                    F.col("vel").cast("string"), F.col("direction"))
-    keyed = rows.select(F.floor(F.col("event_id") / doc_size).alias("doc_id"),
-                        F.struct(F.col("event_id").alias("k"), item.alias("r")).alias("e"))
+    keyed = ranked.select(F.floor((F.col("_pos") - 1) / doc_size).alias("doc_id"),
+                          F.struct(F.col("_pos").alias("k"), item.alias("r")).alias("e"))
     data = F.transform(F.array_sort(F.collect_list("e")), lambda e: e["r"])
     return (keyed.groupBy("doc_id")
             .agg(F.to_json(F.struct(data.alias("DATA"))).alias("json")))

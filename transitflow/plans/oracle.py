@@ -209,8 +209,10 @@ select id, md5(concat(cast(lat as varchar), ',', cast(lon as varchar))) as stop_
     q["gps_route_codes"] = with_fx("fx_gps") + f"""
 select {line_code_sql('line')} as route_code, count(*) as n from fx_gps group by 1"""
     q["gps_first_only"] = with_fx("fx_gps") + f"""
-select {GPS_CLEAN_COLS} from fx_gps
-where event_id in (select min(event_id) from fx_gps group by floor(event_id / 256))"""
+select {GPS_CLEAN_COLS}
+from (select *, row_number() over (order by event_id, datetime, serial_number, line, lat, lon, vel, direction)
+                as pos from fx_gps) g
+where (pos - 1) % 256 = 0"""
     q["gps_all_feeds"] = with_fx("fx_gps") + f"""
 select {GPS_CLEAN_COLS}, case when direction in ('purchase', 'signup') then 'brt' else 'bus' end as feed
 from fx_gps"""
