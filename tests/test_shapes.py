@@ -73,3 +73,14 @@ def test_row_number_within_hot_key(spark):
     w = Window.partitionBy("k").orderBy("v")
     want = df.select("k", "v", F.row_number().over(w).alias("rn"))
     assert sorted(map(tuple, want.collect())) == sorted(map(tuple, got.select("k", "v", "rn").collect()))
+
+
+def test_copies_of_points(spark):
+    base = [("c", 1, 1.0, 1.0), ("c", 2, 1.1, 1.2), ("c", 3, 1.3, 1.1)]
+    copies = base + [("c", 2, 1.1, 1.2)] * 5
+    a = spark.createDataFrame(base, PTS)
+    b = spark.createDataFrame(copies, PTS)
+    assert _rows(shapes.build_shapes(a)) == _rows(shapes.build_shapes(b))
+    pairs = shapes.shape_pairs(b).collect()
+    assert len(pairs) == 2 + 5
+    assert sum(1 for r in pairs if r.lat1 == r.lat2 and r.lon1 == r.lon2) == 5

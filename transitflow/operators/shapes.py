@@ -29,9 +29,13 @@ _ORDER = ("sequence", "lat", "lon")
 
 
 def _chunked(points: DataFrame, chunk_size: int) -> DataFrame:
+    """Distinct points with their copy count ``_n`` and chunk.  Exact copies
+    of a point are collapsed by a partial aggregate (map-side combined), so
+    a group of copies never fills one window partition."""
     return (points.select("shape_id", "sequence", "lat", "lon")
             .where(F.col("shape_id").isNotNull() & F.col("sequence").isNotNull()
                    & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+            .groupBy("shape_id", "sequence", "lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
             .withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size))))
 
 
@@ -71,7 +75,15 @@ def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame
     lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
     A one-point shape yields no pair."""
     p, stitch = _prepare(points, chunk_size)
-    return _pairs(p, stitch)
+    # n copies of a point are n-1 pairs of identical points before the pair
+    # to the next distinct point
+    copies = (p.where(F.col("_n") > 1)
+              .select("shape_id", "chunk", "sequence", F.col("sequence").alias("sequence2"),
+                      F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
+                      F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
+                      F.explode(F.array_repeat(F.lit(0), (F.col("_n") - 1).cast("int"))).alias("_copy"))
+              .drop("_copy"))
+    return _pairs(p, stitch).unionByName(copies)
 
 
 def keep_rule(keep_axis_aligned: bool = False):
@@ -89,8 +101,9 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy("sequence", "lat1", "lon1")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p, stitch = _prepare(points, chunk_size)
-    # The running frames share the (shape_id, chunk) partitioning of the pair
-    # window, so they add no shuffle.
+    # Pairs of identical points (copies) never pass either keep rule, so the
+    # distinct points suffice.  The running frames share the (shape_id,
+    # chunk) partitioning of the pair window, so they add no shuffle.
     seg = (_pairs(p, stitch).where(keep_rule(keep_axis_aligned))
            .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
            .withColumn("run_dist", F.sum("dist").over(upto))
