@@ -10,14 +10,17 @@ task.  Points are therefore windowed per (shape_id, chunk) where ``chunk`` is
 ``floor(sequence / chunk_size)`` - a bounded run of consecutive points.  Two
 small per-chunk tables stitch the chunks back together: the first point of the
 next non-empty chunk (closing the last pair of each chunk) and the distance /
-segment count of all earlier chunks (offsetting the running values).  A tiny
-aggregate first measures whether any shape spans chunks at all; when none
-does (ordinary networks), the stitching is left out of the plan.
+segment count of all earlier chunks (offsetting the running values).
+Metrics observed while the points are materialised (min and max chunk) tell
+whether any shape spans chunks at all; when none does (ordinary networks),
+the stitching is left out of the plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -39,14 +42,6 @@ def _chunked(points: DataFrame, chunk_size: int) -> DataFrame:
             .withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size))))
 
 
-def _spans_chunks(p: DataFrame) -> bool:
-    """True when some shape may span several chunks.  A tiny global aggregate
-    (two numbers reach the driver); when every point lies in one chunk, no
-    stitching is needed and the plan skips it."""
-    lo, hi = p.agg(F.min("chunk"), F.max("chunk")).first()
-    return lo is not None and lo != hi
-
-
 def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy(*_ORDER)
     nxt = F.lead(F.struct(*_ORDER)).over(in_chunk)
@@ -64,10 +59,17 @@ def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
 
 
 def _prepare(points: DataFrame, chunk_size: int) -> tuple[DataFrame, bool]:
-    # Materialised once: the span check and the pair window (and, when
-    # stitching, the per-chunk heads) all read the points.
-    p = materialize(_chunked(points, chunk_size))
-    return p, _spans_chunks(p)
+    """Materialise the distinct points once (the pair window and, when
+    stitching, the per-chunk heads both read them) and learn, from metrics
+    observed on that same job, whether any shape spans several chunks.  When
+    every point lies in one chunk, no stitching is needed and the plan skips
+    it."""
+    obs = Observation(f"chunk_span_{uuid.uuid4().hex}")
+    p = materialize(_chunked(points, chunk_size)
+                    .observe(obs, F.min("chunk").alias("lo"), F.max("chunk").alias("hi")))
+    span = obs.get
+    lo, hi = span.get("lo"), span.get("hi")
+    return p, lo is not None and lo != hi
 
 
 def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
