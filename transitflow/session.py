@@ -31,6 +31,9 @@ def build_session(master: str | None = None, *, app: str = "transitflow",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.driver.memory", "16g")
+        # checkpoint files of materialised intermediates are removed once the
+        # DataFrames that use them are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -69,8 +72,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df):
     """Cut lineage where a plan branches: a reliable checkpoint into the
-    shared checkpoint folder (survives executor loss; never local).  The
-    result keeps the plan's output partitioning, so a following window or
-    aggregate on the same keys adds no shuffle."""
+    shared checkpoint folder (survives executor loss; never local).
+
+    Sessions should set ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    (as :func:`build_session` does) so these files are deleted once no
+    DataFrame refers to them."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
