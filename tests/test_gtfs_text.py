@@ -91,12 +91,12 @@ def test_malformed_lines_quarantined(spark, tmp_dir):
         f.write('"2","08:00","08:00","s""2","2"\n')         # doubled quote
         f.write('3,08:00,08:00,s3,3\n')                     # bare values
         f.write('"4","08:00","08:00"\n')                     # missing fields
-        f.write('"5","08:00","08:00","s5","5","extra"\n')    # extra trailing field: ignored
+        f.write('"5","08:00","08:00","s5","5","extra"\n')    # extra field
         f.write('"x6","08:00","08:00","s6","6"\n')           # bad number
     p = gtfs_text.read_file(spark, tmp_dir, "stop_times")
     good = sorted(map(tuple, p.rows.collect()))
-    assert good == [(1, "s,1", 1), (2, 's"2', 2), (3, "s3", 3), (5, "s5", 5)]
-    assert p.quarantine.count() == 2
+    assert good == [(1, "s,1", 1), (2, 's"2', 2), (3, "s3", 3)]
+    assert p.quarantine.count() == 3
 
 
 def test_refresh_cli(spark, tmp_dir, capsys):
@@ -110,3 +110,15 @@ def test_refresh_cli(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "routes:" in out and "fares: 25" in out
     assert TableStore(spark, store).routes().count() > 0
+
+
+def test_repeated_header_lines_dropped(spark, tmp_dir):
+    with open(f"{tmp_dir}/fare_rules.txt", "w") as f:
+        f.write('"fare_id","route_id"\n"1","10"\n"fare_id","route_id"\n"2","20"\n')
+    with open(f"{tmp_dir}/stop_times.txt", "w") as f:
+        f.write('"trip_id","arrival_time","departure_time","stop_id","stop_sequence"\n"1","a","d","s1","1"\n'
+                '"trip_id","arrival_time","departure_time","stop_id","stop_sequence"\n"2","a","d","s2","2"\n')
+    rules = gtfs_text.read_file(spark, tmp_dir, "fare_rules")
+    assert sorted(map(tuple, rules.rows.collect())) == [("1", "10"), ("2", "20")]
+    st = gtfs_text.read_file(spark, tmp_dir, "stop_times")
+    assert st.rows.count() == 2 and st.quarantine.count() == 0

@@ -3,10 +3,12 @@
 Each file is comma-separated with a header line and double-quoted fields.
 The Spark CSV reader handles quoted commas, doubled quotes and bare values;
 columns are picked by position through full-width declared schemas (no
-inference).  Lines that do not fit (missing fields, bad numbers, repeated
-header lines with numeric columns) keep their parsable prefix, set
-``_corrupt_record`` and go to the quarantine side; nothing is lost silently.
-Extra trailing fields are ignored, as the original's positional pick did.
+inference).  Every line equal to the header line is dropped, wherever it
+appears.  Lines that do not fit (missing or extra fields, bad numbers) keep
+their parsable prefix, set ``_corrupt_record`` and go to the quarantine
+side; nothing is lost silently.  The header check reads every positional
+column, so the CSV parser always sees the full width and flags extra fields
+the same way whichever columns a job later keeps.
 """
 
 from __future__ import annotations
@@ -57,10 +59,34 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType, mode: str = "
             .csv(path))
 
 
+def _header_repeats(spark: SparkSession, path: str, schema: T.StructType):
+    """Condition matching lines equal to the file's header line: as raw text
+    when the line failed to parse (typed columns), or field by field when it
+    parsed (all-string files)."""
+    first = spark.read.text(path).limit(1).collect()
+    if not first:
+        return F.lit(False)
+    line = first[0][0]
+    fields = [f.name for f in schema.fields if f.name != schemas.CORRUPT]
+    toks = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in fields]))
+            .option("quote", '"').option("escape", '"').csv(path).limit(1).collect())
+    same = F.col(schemas.CORRUPT) == F.lit(line)
+    if toks:
+        same_fields = F.lit(True)
+        for name, tok in zip(fields, toks[0]):
+            same_fields = same_fields & F.col(name).cast("string").eqNullSafe(F.lit(tok))
+        same = same | (F.col(schemas.CORRUPT).isNull() & same_fields)
+    return same
+
+
 def read_file(spark: SparkSession, gtfs_dir: str, name: str, mode: str = "PERMISSIVE") -> Parsed:
-    """Read one GTFS file; ``mode="FAILFAST"`` aborts on the first bad line."""
+    """Read one GTFS file; ``mode="FAILFAST"`` aborts on the first bad line.
+    Every line equal to the header is dropped (not only the first one)."""
     fname, schema, keys = FILES[name]
-    raw = read_raw(spark, f"{gtfs_dir.rstrip('/')}/{fname}", schema, mode)
+    path = f"{gtfs_dir.rstrip('/')}/{fname}"
+    raw = read_raw(spark, path, schema, mode)
+    if mode == "PERMISSIVE":
+        raw = raw.where(~F.coalesce(_header_repeats(spark, path, schema), F.lit(False)))
     bad = F.col(schemas.CORRUPT).isNotNull()
     for k in keys:
         bad = bad | F.col(k).isNull()
