@@ -10,6 +10,8 @@ of a long shape.  The nearest candidate per fix is a partial aggregate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +31,13 @@ def route_shapes(routes: DataFrame, trips: DataFrame) -> DataFrame:
 
 
 def offset_v(n0: Vec3, a: Vec3, b: Vec3, degenerate, at_start, to_a, to_b):
-    """Metres from a point to a segment arc: cross-track distance when the
-    point lies between the end perpendiculars, else the nearer end point."""
+    """Metres from a point to a segment arc: the cross-track distance when the
+    point lies on the segment's side of the sphere (``n0.(a+b) > 0``) between
+    the end perpendiculars, else the distance to the nearer end point."""
     between = geo.between_perpendiculars_v(n0, a, b, degenerate, at_start)
-    cross = F.abs(F.lit(geo.EARTH_RADIUS_M) * (a.cross(b).angle_to(n0) - F.lit(3.141592653589793 / 2)))
-    return F.when(between & ~degenerate, cross).otherwise(F.least(to_a, to_b))
+    near_side = n0.dot(a.plus(b)) > 0
+    cross = F.abs(F.lit(geo.EARTH_RADIUS_M) * (a.cross(b).angle_to(n0) - F.lit(math.pi / 2)))
+    return F.when(between & near_side & ~degenerate, cross).otherwise(F.least(to_a, to_b))
 
 
 def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: DataFrame,

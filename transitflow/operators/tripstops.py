@@ -12,7 +12,8 @@ join is keyed spatially as well:
   ``g = 100 m * 8^level``.  Each segment picks the coarsest level it needs so
   its padded bounding box spans at most two cells per axis, and is listed
   under every cell that box touches (a handful of rows per segment).
-* Each stop is listed under the one cell containing it at every level.
+* Each stop is listed under the one cell containing it at every level its
+  shape's segments use.
 
 Joining on (shape_id, level, cell) yields every pair the corridor test could
 accept - no false negatives - while pairs far apart never meet.  The exact
@@ -21,6 +22,8 @@ test then runs on native columns with each point's vector computed once.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,9 +82,18 @@ def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> Dat
     if within_m is None:
         pad = F.sqrt((F.col("chord") * tolerance + tolerance * tolerance) / 2) + F.lit(1e-9)
     else:
+        # A point counts as within ``within_m`` of the segment when it is that
+        # close to an end point, or on the segment's side of the sphere,
+        # between the end perpendiculars and that close to its great circle
+        # (see matching.offset_v).  With ch = cos(half the arc angle) and
+        # sm = sin(within_m / R) such a point is within
+        # sqrt(B^2 + sm^2) of the chord, B = max(1 - ch, ch - sqrt(ch^2 - sm^2)).
         half = F.least(F.col("chord") / 2, F.lit(1.0))
-        sag = F.lit(1.0) - F.sqrt(F.lit(1.0) - half * half)
-        pad = F.lit(within_m / geo.EARTH_RADIUS_M) + sag + F.lit(1e-9)
+        ch = F.sqrt(F.lit(1.0) - half * half)
+        sm = math.sin(min(within_m / geo.EARTH_RADIUS_M, math.pi / 2))
+        inner = F.sqrt(F.greatest(ch * ch - F.lit(sm * sm), F.lit(0.0)))
+        b = F.greatest(F.lit(1.0) - ch, ch - inner)
+        pad = F.sqrt(b * b + F.lit(sm * sm)) + F.lit(1e-9)
     extent = F.col("chord") + 2 * pad
     level = F.least(F.lit(N_LEVELS - 1),
                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, extent / F.lit(BASE_CELL))))).cast("int")

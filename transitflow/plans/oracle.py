@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from ..functions.text import LINE_GROUP_PATTERN as LINE_GROUP
 from ..functions.sql_text import planar_distance_sql, planar_projection_sql
+from ..functions.sql_text import nvec
 from ..functions.sql_text import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql,
                                   line_code_sql, nearest_latlon_sql, on_segment_sql)
 
@@ -118,7 +119,9 @@ from fx_routes r join fx_fare_rules f on r.route_id = f.route_id"""
 
 def _gps_on_routes(max_offset_m: str = "100e0") -> str:
     a6 = ("g.lat", "g.lon", "s.lat1", "s.lon1", "s.lat2", "s.lon2")
-    off = (f"case when {between_sql(*a6)} and not (s.lat1 = s.lat2 and s.lon1 = s.lon2) "
+    n0, n1, n2 = nvec("g.lat", "g.lon"), nvec("s.lat1", "s.lon1"), nvec("s.lat2", "s.lon2")
+    near_side = " + ".join(f"{x} * ({y} + {z})" for x, y, z in zip(n0, n1, n2)) + " > 0"
+    off = (f"case when {between_sql(*a6)} and ({near_side}) and not (s.lat1 = s.lat2 and s.lon1 = s.lon2) "
            f"then {cross_track_sql(*a6)} else least({dist_sql('g.lat', 'g.lon', 's.lat1', 's.lon1')}, "
            f"{dist_sql('g.lat', 'g.lon', 's.lat2', 's.lon2')}) end")
     cand = f"""
