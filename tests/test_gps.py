@@ -120,3 +120,20 @@ def test_documents_bounded_with_repeated_ids(spark):
     parsed = gps.parse_documents(gps.to_documents(hot, doc_size=50)).select(F.size("DATA").alias("n"))
     stats = parsed.agg(F.max("n"), F.sum("n")).first()
     assert stats[0] <= 50 and stats[1] == 1000
+
+
+def test_nearby_across_antimeridian(spark):
+    g = spark.createDataFrame([("a", 10.0, 179.9995), ("b", 10.0, -179.9995), ("c", 10.0, -179.99)],
+                              "serial_number string, lat double, lon double")
+    near = {r.serial_number for r in gps.vehicles_near(g, 10.0, 180.0, 200.0).collect()}
+    assert near == {"a", "b"}
+
+
+def test_radius_search_pushes_box_to_parquet(spark, tmp_dir, capsys):
+    path = f"{tmp_dir}/gps.parquet"
+    catalog.q_gps_clean(spark, SF001).write.parquet(path)
+    near = gps.vehicles_near(spark.read.parquet(path), -22.86, -43.23, 200.0)
+    near.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
+    assert near.count() >= 0
