@@ -120,3 +120,11 @@ def test_no_python_worker_in_geometry_plan(spark, capsys):
     df.explain()
     plan = capsys.readouterr().out
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_scale_settings():
+    from transitflow.session import scale_settings
+
+    s = scale_settings(100 * (1 << 40))          # 100 TiB of input
+    assert int(s["spark.sql.shuffle.partitions"]) == 819200
+    assert scale_settings(1 << 20)["spark.sql.shuffle.partitions"] == "200"
