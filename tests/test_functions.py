@@ -126,5 +126,6 @@ def test_scale_settings():
     from transitflow.session import scale_settings
 
     s = scale_settings(100 * (1 << 40))          # 100 TiB of input
-    assert int(s["spark.sql.shuffle.partitions"]) == 819200
+    assert int(s["spark.sql.shuffle.partitions"]) == 100_000
+    assert scale_settings(10 * (1 << 40))["spark.sql.shuffle.partitions"] == "20480"
     assert scale_settings(1 << 20)["spark.sql.shuffle.partitions"] == "200"

@@ -81,21 +81,23 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def scale_settings(input_bytes: int, *, target_partition_bytes: int = 128 << 20,
-                   max_split_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_settings(input_bytes: int, *, target_partition_bytes: int = 512 << 20,
+                   max_partitions: int = 100_000, max_split_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of
-    input so that no shuffle partition outgrows executor memory; AQE then
-    coalesces small ones and splits skewed ones at run time.  Pass the result
-    to ``SparkSession.builder.config(map=...)`` or set it on the session."""
-    parts = max(200, -(-int(input_bytes) // target_partition_bytes))
+    input (shuffles carry only the projected columns, usually a fraction of
+    that), capped at ``max_partitions`` because shuffle blocks grow as
+    map tasks x reduce partitions; AQE then coalesces small partitions toward
+    128 MB and splits skewed ones at run time.  Pass the result to
+    ``SparkSession.builder.config(map=...)``."""
+    parts = min(max_partitions, max(200, -(-int(input_bytes) // target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
