@@ -137,3 +137,17 @@ def test_radius_search_pushes_box_to_parquet(spark, tmp_dir, capsys):
     plan = capsys.readouterr().out
     assert "PushedFilters" in plan and "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
     assert near.count() >= 0
+
+
+def test_stream_dedupe_within_watermark(spark, tmp_dir):
+    doc = {"DATA": [["06-27-2015 00:01:10", "A1", "123", "-22.8", "-43.2", "0.0", "N"],
+                    ["06-27-2015 00:01:10", "A1", "123", "-22.8", "-43.2", "0.0", "N"],
+                    ["06-27-2015 00:01:40", "A1", "123", "-22.81", "-43.2", "3.0", "N"]]}
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.json", "w") as f:
+        f.write(json.dumps(doc) + "\n" + json.dumps(doc) + "\n")   # the same snapshot polled twice
+    rows = gps_stream.gps_rows_stream(spark, f"{tmp_dir}/in", dedupe_within="10 minutes")
+    q = gps_stream.start_parquet_sink(rows, f"{tmp_dir}/out", f"{tmp_dir}/ck", available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert sorted(str(r.datetime) for r in got) == ["2015-06-27 00:01:10", "2015-06-27 00:01:40"]

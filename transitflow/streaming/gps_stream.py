@@ -26,17 +26,30 @@ METRICS = "gps_batch"
 
 
 def gps_rows_stream(spark: SparkSession, landing_dir: str, encoding: str = "UTF-8",
-                    first_only: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+                    first_only: bool = False, max_files_per_trigger: int | None = None,
+                    dedupe_within: str | None = None) -> DataFrame:
     """Streaming DataFrame of normalised GPS rows from documents in a folder.
 
     Each micro-batch reports its record count and the number of rows without
     a valid time or position in ``query.lastProgress["observedMetrics"]
-    ["gps_batch"]`` (computed on the fly, no extra pass)."""
+    ["gps_batch"]`` (computed on the fly, no extra pass).
+
+    ``dedupe_within`` (e.g. ``"10 minutes"``, off by default as in the
+    original): a feed re-polled before vehicles report again repeats rows;
+    keep one row per (serial_number, datetime) seen within that watermark
+    delay.  State older than the watermark is dropped, so it stays bounded."""
     docs = gps_json.stream_documents(spark, landing_dir, encoding, max_files_per_trigger)
     rows = gps.normalize_gps(docs, first_only=first_only)
     invalid = F.col("datetime").isNull() | F.col("lat").isNull() | F.col("lon").isNull()
-    return rows.observe(METRICS, F.count(F.lit(1)).alias("records"),
+    rows = rows.observe(METRICS, F.count(F.lit(1)).alias("records"),
                         F.count(F.when(invalid, F.lit(1))).alias("invalid"))
+    if dedupe_within:
+        # watermarks need a TIMESTAMP column; the feed time has no zone
+        rows = (rows.withColumn("_event_time", F.col("datetime").cast("timestamp"))
+                .withWatermark("_event_time", dedupe_within)
+                .dropDuplicatesWithinWatermark(["serial_number", "datetime"])
+                .drop("_event_time"))
+    return rows
 
 
 def _trigger(writer, trigger: str | None, available_now: bool):
