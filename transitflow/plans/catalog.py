@@ -26,8 +26,10 @@ NEAR_RADIUS_M = 200.0
 
 # ---- pipeline stages shared by several queries ------------------------------
 
-def shapes_table(spark, sf_dir) -> DataFrame:
-    return shapes.build_shapes(fx.shape_points(spark, sf_dir))
+def shapes_table(spark, sf_dir, only: DataFrame | None = None) -> DataFrame:
+    """The shapes table; with ``only`` (shape_id) just those shapes are built
+    (same segments - a shape depends on its own points alone)."""
+    return shapes.build_shapes(fx.shape_points(spark, sf_dir, only=only))
 
 
 def trips_table(spark, sf_dir) -> DataFrame:
@@ -38,9 +40,14 @@ def stop_times_table(spark, sf_dir) -> DataFrame:
     return trips.stop_times_of_trips(fx.stop_times(spark, sf_dir), trips_table(spark, sf_dir))
 
 
+def trip_shapes(spark, sf_dir) -> DataFrame:
+    """Segments of the shapes representative trips use."""
+    return shapes_table(spark, sf_dir, only=trips_table(spark, sf_dir).select("shape_id"))
+
+
 def matches(spark, sf_dir) -> DataFrame:
     rows = tripstops.stop_rows_of(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir))
-    return tripstops.corridor_matches(rows, shapes_table(spark, sf_dir))
+    return tripstops.corridor_matches(rows, trip_shapes(spark, sf_dir))
 
 
 def gps_feed(spark, sf_dir, first_only=False) -> DataFrame:
@@ -88,13 +95,13 @@ def q_stop_times_filtered(spark, sf_dir):
 
 def q_trip_stops(spark, sf_dir):
     ts = tripstops.trip_stops(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir),
-                              shapes_table(spark, sf_dir))
+                              trip_shapes(spark, sf_dir))
     return ts.select("trip_id", "stop_id", "sequence", _r("dist", 2).alias("dist"))
 
 
 def q_trip_stops_sql(spark, sf_dir):
     rows = tripstops.stop_rows_of(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir))
-    ts = tripstops.trip_stops_sql(rows, shapes_table(spark, sf_dir))
+    ts = tripstops.trip_stops_sql(rows, trip_shapes(spark, sf_dir))
     return ts.select("trip_id", "stop_id", "sequence", _r("dist", 2).alias("dist"))
 
 
@@ -210,8 +217,9 @@ def q_gps_record_text(spark, sf_dir):
 
 def q_gps_on_routes(spark, sf_dir):
     routes = network.routes_with_fares(fx.routes(spark, sf_dir), fx.fare_rules(spark, sf_dir))
-    m = matching.match_fixes(gps_feed(spark, sf_dir), routes, trips_table(spark, sf_dir),
-                             shapes_table(spark, sf_dir))
+    tr = trips_table(spark, sf_dir)
+    reachable = matching.route_shapes(routes, tr).select("shape_id")
+    m = matching.match_fixes(gps_feed(spark, sf_dir), routes, tr, shapes_table(spark, sf_dir, only=reachable))
     return m.select("serial_number", "datetime", "route_code", "shape_id", "seg_sequence",
                     _r("offset_m", 2).alias("offset_m"), _r("route_dist", 2).alias("route_dist"))
 

@@ -8,6 +8,7 @@ text so the DuckDB oracle can run the very same definitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.ranking import row_number_within
 
@@ -18,12 +19,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shape_points(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
     """shape_id, sequence, lat, lon.  ``sequence`` is the 1-based position of
     the line item in its order, computed skew-safely (a hot order is split
-    over many tasks), equal to the ``row_number()`` of FIXTURES.md."""
+    over many tasks), equal to the ``row_number()`` of FIXTURES.md.
+
+    ``only`` (a DataFrame with ``shape_id``) keeps just those shapes; the
+    semi-join runs before the ranking, since a shape's points depend on its
+    own line items alone."""
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    if only is not None:
+        keep = only.select(F.col("shape_id").alias("_sid")).distinct()
+        li = li.join(keep, F.col("l_orderkey").cast("string") == F.col("_sid"), "left_semi")
     ranked = row_number_within(
         li, "l_orderkey",
         ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn")
