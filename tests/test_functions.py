@@ -19,9 +19,10 @@ def test_format_bus_line_golden(spark):
 
 
 def test_feed_timestamp_golden(spark):
-    got = _one(spark, [("06-25-2015 00:38:02",), ("bad",), ("02-31-2015 00:00:00",)], "c string",
-               text.parse_feed_timestamp("c"))
+    got = _one(spark, [("06-25-2015 00:38:02",), ("bad",), ("02-31-2015 00:00:00",), ("06-25-2015 00:38:02.25",)],
+               "c string", text.parse_feed_timestamp("c"))
     assert str(got[0]) == "2015-06-25 00:38:02" and got[1] is None and got[2] is None
+    assert str(got[3]) == "2015-06-25 00:38:02.250000"
 
 
 def test_route_destinations(spark):

@@ -10,6 +10,8 @@ from .geo import ColumnOrName, _c
 # Fixed values (must equal the original application's for equal results):
 # feed time format, the line-group pattern and the record text layout.
 FEED_TIME_FORMAT = "MM-dd-yyyy HH:mm:ss"
+# parsing also accepts an optional fraction of a second (up to microseconds)
+FEED_TIME_PARSE = FEED_TIME_FORMAT + "[.SSSSSS]"
 LINE_GROUP_PATTERN = r"\bBRS?\b (([ABCDI0-9])+, ?)+([A-Za-z0-9 -])+"
 FEED_ESCAPES = (("%22", '"'), ("%20", " "), ("%5B", "["), ("%5D", "]"))
 
@@ -25,9 +27,9 @@ def format_bus_line(c: ColumnOrName) -> Column:
 
 
 def parse_feed_timestamp(c: ColumnOrName) -> Column:
-    """``MM-dd-yyyy HH:mm:ss`` text -> timestamp without zone; null when the
-    text is not a valid date-time (garbage, Feb 31)."""
-    return F.try_to_timestamp(_c(c), F.lit(FEED_TIME_FORMAT)).cast("timestamp_ntz")
+    """``MM-dd-yyyy HH:mm:ss[.ffffff]`` text -> timestamp without zone; null
+    when the text is not a valid date-time (garbage, Feb 31)."""
+    return F.try_to_timestamp(_c(c), F.lit(FEED_TIME_PARSE)).cast("timestamp_ntz")
 
 
 def route_destination(name: ColumnOrName, k: int) -> Column:
