@@ -25,6 +25,17 @@ def test_feed_timestamp_golden(spark):
     assert str(got[3]) == "2015-06-25 00:38:02.250000"
 
 
+def test_feed_timestamp_ignores_session_zone(spark):
+    # 2018-11-04 00:30 did not exist in Sao Paulo (DST gap); the feed time has no zone
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        got = _one(spark, [("11-04-2018 00:30:00",)], "c string", text.parse_feed_timestamp("c"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert str(got[0]) == "2018-11-04 00:30:00"
+
+
 def test_route_destinations(spark):
     df = spark.createDataFrame([("a - b - c",), ("a",), ("x-y-z-",)], "n string")
     rows = df.select(text.route_destination("n", 0), text.route_destination("n", 2)).collect()

@@ -10,8 +10,9 @@ from .geo import ColumnOrName, _c
 # Fixed values (must equal the original application's for equal results):
 # feed time format, the line-group pattern and the record text layout.
 FEED_TIME_FORMAT = "MM-dd-yyyy HH:mm:ss"
-# parsing also accepts an optional fraction of a second (up to microseconds)
-FEED_TIME_PARSE = FEED_TIME_FORMAT + "[.SSSSSS]"
+# the same layout as a pattern; parsing also accepts an optional fraction of
+# a second (up to microseconds)
+_FEED_TIME_RE = r"^(\d{2})-(\d{2})-(\d{4}) (\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)$"
 LINE_GROUP_PATTERN = r"\bBRS?\b (([ABCDI0-9])+, ?)+([A-Za-z0-9 -])+"
 FEED_ESCAPES = (("%22", '"'), ("%20", " "), ("%5B", "["), ("%5D", "]"))
 
@@ -28,8 +29,14 @@ def format_bus_line(c: ColumnOrName) -> Column:
 
 def parse_feed_timestamp(c: ColumnOrName) -> Column:
     """``MM-dd-yyyy HH:mm:ss[.ffffff]`` text -> timestamp without zone; null
-    when the text is not a valid date-time (garbage, Feb 31)."""
-    return F.try_to_timestamp(_c(c), F.lit(FEED_TIME_PARSE)).cast("timestamp_ntz")
+    when the text is not a valid date-time (garbage, Feb 31).
+
+    Zone-free: the text is reordered to ISO and cast straight to
+    ``timestamp_ntz``, so the session time zone (and its DST gaps) never
+    touches the wall-clock value."""
+    c = _c(c)
+    iso = F.regexp_replace(c, _FEED_TIME_RE, "$3-$1-$2 $4")
+    return F.when(c.rlike(_FEED_TIME_RE), iso.try_cast("timestamp_ntz"))
 
 
 def route_destination(name: ColumnOrName, k: int) -> Column:
