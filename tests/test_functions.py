@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from transitflow.functions import geo, text
 from transitflow.functions.sql import register_sql_functions
