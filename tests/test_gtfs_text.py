@@ -43,6 +43,7 @@ def test_plan_steps():
     assert plan_steps(["--all"]) == ["routes", "shapes", "stops", "trips", "tripstops"]
     assert plan_steps(["--routes", "--bogus"]) == ["routes"]
     assert plan_steps([]) == []
+    assert plan_steps(["trips"], with_dependents=False) == ["trips"]
 
 
 def test_text_round_trip_equals_direct_build(spark, tmp_dir):

@@ -1,10 +1,12 @@
 """Rebuild the cleaned tables from GTFS text files.
 
 Steps run in a fixed order - routes (fares + routes), shapes, stops, trips -
-and the trip-stops step runs after trips or stops.  Each table is written
-once with ``overwrite``; row counts come from ``DataFrame.observe`` on the
-write itself (no extra pass).  Rejected text lines go to
-``<store>/_quarantine/<file>.parquet``.
+and the trip-stops step runs after trips or stops.  Each text file is parsed
+once and staged as Parquet partitioned by status
+(``<store>/_staged/<file>.parquet/_status=ok|quarantine``): the jobs read
+the ``ok`` partition (partition and column pruning), rejected lines stay in
+the ``quarantine`` one.  Each table is written once with ``overwrite``; row
+counts come from ``DataFrame.observe`` on the write itself (no extra pass).
 
     python -m transitflow.plans.refresh --gtfs DIR --store DIR --trips --stops
 """
@@ -26,13 +28,14 @@ from ..sources.tables import TableStore
 ORDER = ("routes", "shapes", "stops", "trips", "tripstops")
 
 
-def plan_steps(steps: Iterable[str]) -> list[str]:
+def plan_steps(steps: Iterable[str], with_dependents: bool = True) -> list[str]:
     """Requested steps in run order; ``all`` means every step and trip-stops
-    follows trips or stops.  Unknown names are ignored."""
+    follows trips or stops (unless ``with_dependents=False``, used when an
+    accessor rebuilds one missing table).  Unknown names are ignored."""
     asked = {s.lower().lstrip("-") for s in steps}
     if "all" in asked:
         asked |= set(ORDER)
-    if asked & {"trips", "stops"}:
+    if with_dependents and asked & {"trips", "stops"}:
         asked.add("tripstops")
     return [s for s in ORDER if s in asked]
 
@@ -43,8 +46,20 @@ def _write(df: DataFrame, path: str, counts: dict, name: str, sort_by=None) -> N
     counts[name] = obs.get["rows"]
 
 
+def _stage(tagged: DataFrame, path: str, counts: dict, name: str) -> None:
+    """One parse, one write: clean and quarantined lines side by side."""
+    obs = Observation(f"staged.{name}")
+    bad = F.col(gtfs_text.STATUS) == "quarantine"
+    write_parquet(tagged.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                 F.count(F.when(bad, F.lit(1))).alias("bad")),
+                  path, partition_by=[gtfs_text.STATUS])
+    m = obs.get
+    counts[f"staged.{name}"], counts[f"quarantine.{name}"] = m["rows"], m["bad"]
+
+
 def refresh(spark: SparkSession, steps: Iterable[str], gtfs_dir: str, store_dir: str, *,
-            mode: str = "PERMISSIVE", keep_axis_aligned: bool = False) -> dict[str, int]:
+            mode: str = "PERMISSIVE", keep_axis_aligned: bool = False,
+            with_dependents: bool = True) -> dict[str, int]:
     """Run the requested steps; return rows written per table."""
     store = TableStore(spark, store_dir, gtfs_dir, mode)
     counts: dict[str, int] = {}
@@ -52,12 +67,12 @@ def refresh(spark: SparkSession, steps: Iterable[str], gtfs_dir: str, store_dir:
 
     def src(name: str) -> DataFrame:
         if name not in parsed:
-            parsed[name] = gtfs_text.read_file(spark, gtfs_dir, name, mode)
-            _write(parsed[name].quarantine, f"{store.store_dir}/_quarantine/{name}.parquet",
-                   counts, f"quarantine.{name}")
+            staged = f"{store.store_dir}/_staged/{name}.parquet"
+            _stage(gtfs_text.read_tagged(spark, gtfs_dir, name, mode), staged, counts, name)
+            parsed[name] = gtfs_text.split_tagged(spark.read.parquet(staged), name)
         return parsed[name].rows
 
-    for step in plan_steps(steps):
+    for step in plan_steps(steps, with_dependents):
         if step == "routes":
             _write(network.clean_fares(src("fare_attributes")), store.path("fares"), counts, "fares")
             _write(network.routes_with_fares(src("routes"), src("fare_rules")), store.path("routes"),

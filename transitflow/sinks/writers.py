@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
-                  sort_by: list[str] | None = None) -> None:
+                  sort_by: list[str] | None = None, partition_by: list[str] | None = None) -> None:
     """One write of the whole table (no per-key appends).  ``sort_by`` sorts
-    within output partitions so later key lookups skip row groups."""
+    within output partitions so later key lookups skip row groups;
+    ``partition_by`` writes one folder per value (pruned on read)."""
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode(mode).parquet(path)
+    w = out.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], *,

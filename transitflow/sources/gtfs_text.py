@@ -79,9 +79,12 @@ def _header_repeats(spark: SparkSession, path: str, schema: T.StructType):
     return same
 
 
-def read_file(spark: SparkSession, gtfs_dir: str, name: str, mode: str = "PERMISSIVE") -> Parsed:
-    """Read one GTFS file; ``mode="FAILFAST"`` aborts on the first bad line.
-    Every line equal to the header is dropped (not only the first one)."""
+STATUS = "_status"
+
+
+def read_tagged(spark: SparkSession, gtfs_dir: str, name: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """Every line of one GTFS file (header repeats dropped) with ``_status``
+    = 'ok' or 'quarantine'; one parse serves both sides."""
     fname, schema, keys = FILES[name]
     path = f"{gtfs_dir.rstrip('/')}/{fname}"
     raw = read_raw(spark, path, schema, mode)
@@ -90,7 +93,19 @@ def read_file(spark: SparkSession, gtfs_dir: str, name: str, mode: str = "PERMIS
     bad = F.col(schemas.CORRUPT).isNotNull()
     for k in keys:
         bad = bad | F.col(k).isNull()
-    return Parsed(rows=raw.where(~bad).selectExpr(*PROJECTIONS[name]), quarantine=raw.where(bad))
+    return raw.withColumn(STATUS, F.when(bad, F.lit("quarantine")).otherwise(F.lit("ok")))
+
+
+def split_tagged(tagged: DataFrame, name: str) -> Parsed:
+    """Clean rows (under the job's column names) and quarantined lines."""
+    return Parsed(rows=tagged.where(F.col(STATUS) == "ok").selectExpr(*PROJECTIONS[name]),
+                  quarantine=tagged.where(F.col(STATUS) == "quarantine").drop(STATUS))
+
+
+def read_file(spark: SparkSession, gtfs_dir: str, name: str, mode: str = "PERMISSIVE") -> Parsed:
+    """Read one GTFS file; ``mode="FAILFAST"`` aborts on the first bad line.
+    Every line equal to the header is dropped (not only the first one)."""
+    return split_tagged(read_tagged(spark, gtfs_dir, name, mode), name)
 
 
 def read_all(spark: SparkSession, gtfs_dir: str, mode: str = "PERMISSIVE") -> dict[str, Parsed]:

@@ -39,7 +39,8 @@ class TableStore:
             if self.gtfs_dir is None:
                 raise LookupError(f"table {name!r} is missing or empty and no GTFS folder is set")
             from ..plans.refresh import refresh
-            refresh(self.spark, [BUILT_BY[name]], self.gtfs_dir, self.store_dir, mode=self.mode)
+            refresh(self.spark, [BUILT_BY[name]], self.gtfs_dir, self.store_dir, mode=self.mode,
+                    with_dependents=False)
             df = self._read(name)
             if df is None or df.isEmpty():
                 raise LookupError(f"table {name!r} is still empty after rebuilding it")
