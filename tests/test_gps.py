@@ -151,3 +151,21 @@ def test_stream_dedupe_within_watermark(spark, tmp_dir):
     q.awaitTermination()
     got = spark.read.parquet(f"{tmp_dir}/out").collect()
     assert sorted(str(r.datetime) for r in got) == ["2015-06-27 00:01:10", "2015-06-27 00:01:40"]
+
+
+def test_stream_picks_up_new_files_after_restart(spark, tmp_dir):
+    rows = fx.gps_rows(spark, SF001)
+    first, second = rows.where(F.col("event_id") < 600), rows.where(F.col("event_id") >= 600)
+    landing, out, ck = f"{tmp_dir}/landing", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    gps.to_documents(first).select("json").write.text(f"{landing}/a")
+    q = gps_stream.start_parquet_sink(gps_stream.gps_rows_stream(spark, f"{landing}/*"), out, ck,
+                                      available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 600
+    gps.to_documents(second).select("json").write.text(f"{landing}/b")   # lands while stopped
+    q = gps_stream.start_parquet_sink(gps_stream.gps_rows_stream(spark, f"{landing}/*"), out, ck,
+                                      available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 1000
+    batch = gps.normalize_gps(gps_json.read_documents(spark, f"{landing}/*"))
+    assert _rows(spark.read.parquet(out)) == _rows(batch)
