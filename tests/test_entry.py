@@ -46,3 +46,16 @@ def test_query_matches_oracle(spark, duck, name):
     a = sorted((tuple(_norm(r[c]) for c in sorted(df.columns)) for r in rows), key=repr)
     b = sorted((tuple(_norm(r[idx[c]]) for c in sorted(ocols)) for r in orows), key=repr)
     assert a == b
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_join_or_python(spark, name, capsys):
+    df = E.queries()[name](spark, SF001)
+    capsys.readouterr()
+    df.explain("extended")
+    plan = capsys.readouterr().out
+    assert not [w for w in FORBIDDEN if w in plan], name
