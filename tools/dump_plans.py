@@ -43,6 +43,13 @@ def main():
              "Stages before a `materialize()` checkpoint appear as `Scan ExistingRDD`.", ""]
     for name in QUERIES:
         parts += [f"## {name}", "", "```", final_plan(qs[name](spark, sf)), "```", ""]
+    # the skew path: every shape cut into chunks of two sequence values
+    from transitflow.operators import shapes
+    from transitflow.sources import fixtures as fx
+    forced = shapes.build_shapes(fx.shape_points(spark, sf), chunk_size=2)
+    parts += ["## shapes_build with stitching forced (chunk_size=2)", "",
+              "Chunks joined back by the next-chunk heads and the earlier-chunk offsets.", "",
+              "```", final_plan(forced), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(parts))
 

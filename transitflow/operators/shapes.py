@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 DEFAULT_CHUNK = 1 << 16
 
@@ -48,8 +48,12 @@ def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
     w = p.select("shape_id", "chunk", "sequence", "lat", "lon", nxt.alias("p2"))
     if stitch:
         by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
-        bridge = (p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
-                  .select("shape_id", "chunk", F.lead("head").over(by_chunk).alias("next_head")))
+        # one row per chunk that has a successor; broadcast when its counted
+        # size allows, so the point side keeps its partitioning
+        bridge = broadcast_if_small(
+            p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
+            .select("shape_id", "chunk", F.lead("head").over(by_chunk).alias("next_head"))
+            .where(F.col("next_head").isNotNull()))
         w = (w.join(bridge, ["shape_id", "chunk"], "left")
              .withColumn("p2", F.coalesce("p2", "next_head")).drop("next_head"))
     return (w.where(F.col("p2").isNotNull())
@@ -116,15 +120,17 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
         return out
     # Shapes span chunks: add the distance and count of earlier chunks.  The
     # segments are materialised because the offsets and the output read them.
-    # Offsets exist only for chunks after a shape's first one, so the table
-    # stays tiny (rows <= points / chunk_size) and AQE broadcasts it.
+    # Offsets exist only for chunks after a shape's first one, so the table is
+    # usually tiny; it is broadcast when its counted size allows, otherwise
+    # joined by shuffle.
     seg = materialize(seg)
     earlier = Window.partitionBy("shape_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (seg.groupBy("shape_id", "chunk")
-               .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
-               .select("shape_id", "chunk", F.sum("chunk_dist").over(earlier).alias("dist_before"),
-                       F.sum("chunk_n").over(earlier).alias("n_before"))
-               .where(F.col("n_before").isNotNull()))
+    offsets = broadcast_if_small(
+        seg.groupBy("shape_id", "chunk")
+        .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
+        .select("shape_id", "chunk", F.sum("chunk_dist").over(earlier).alias("dist_before"),
+                F.sum("chunk_n").over(earlier).alias("n_before"))
+        .where(F.col("n_before").isNotNull()))
     return (seg.join(offsets, ["shape_id", "chunk"], "left")
             .select(F.col("shape_id").alias("id"),
                     (F.coalesce("n_before", F.lit(0)) + F.col("run_n") - 1).cast("long").alias("sequence"),

@@ -102,3 +102,16 @@ def scale_settings(input_bytes: int, *, target_partition_bytes: int = 512 << 20,
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """A side table for a join: materialised, counted, and marked for
+    broadcast only when its row count is within ``max_rows`` (a checked
+    bound); larger tables are returned as they are for a shuffle join."""
+    from pyspark.sql import functions as F
+
+    m = materialize(df)
+    return F.broadcast(m) if m.limit(max_rows + 1).count() <= max_rows else m
