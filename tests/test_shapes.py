@@ -84,3 +84,20 @@ def test_copies_of_points(spark):
     pairs = shapes.shape_pairs(b).collect()
     assert len(pairs) == 2 + 5
     assert sum(1 for r in pairs if r.lat1 == r.lat2 and r.lon1 == r.lon2) == 5
+
+
+def test_row_number_within_splits_copies(spark):
+    # a third of the rows are exact copies of one row
+    base = spark.range(0, 3000).select((F.col("id") % 5).alias("k"), (F.col("id") * 31 % 997).alias("v"))
+    copies = spark.range(0, 1500).select(F.lit(2).cast("long").alias("k"), F.lit(7).cast("long").alias("v"))
+    df = base.unionByName(copies)
+    got = row_number_within(df, "k", ["v"], "rn", num_partitions=8)
+    hot = got.where("k = 2 and v = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot > 1
+    per_key = got.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("rn").alias("lo"),
+                                   F.max("rn").alias("hi"), F.countDistinct("rn").alias("d"))
+    for r in per_key.collect():
+        assert r.lo == 1 and r.hi == r.n == r.d
+    w = Window.partitionBy("k").orderBy("v")
+    want = sorted(map(tuple, df.select("k", "v", F.row_number().over(w).alias("rn")).collect()))
+    assert sorted(map(tuple, got.select("k", "v", "rn").collect())) == want
