@@ -101,3 +101,15 @@ def test_row_number_within_splits_copies(spark):
     w = Window.partitionBy("k").orderBy("v")
     want = sorted(map(tuple, df.select("k", "v", F.row_number().over(w).alias("rn")).collect()))
     assert sorted(map(tuple, got.select("k", "v", "rn").collect())) == want
+
+
+def test_chunk_by_position_with_repeated_sequences(spark):
+    # a malformed shape: many distinct points share sequence values
+    rows = [("m", i // 10, 1.0 + i * 1e-3, 2.0 + (i % 7) * 1e-3) for i in range(200)]
+    pts = spark.createDataFrame(rows, PTS)
+    a = shapes.build_shapes(pts)
+    b = shapes.build_shapes(pts, chunk_size=16, chunk_by="position")
+    assert _rows(a) == _rows(b) and a.count() > 100
+    pa = shapes.shape_pairs(pts).drop("chunk")
+    pb = shapes.shape_pairs(pts, chunk_size=16, chunk_by="position").drop("chunk")
+    assert sorted(map(tuple, pa.collect())) == sorted(map(tuple, pb.collect()))

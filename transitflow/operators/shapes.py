@@ -25,21 +25,33 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..session import broadcast_if_small, materialize
+from .ranking import row_number_within
 
 DEFAULT_CHUNK = 1 << 16
 
 _ORDER = ("sequence", "lat", "lon")
 
 
-def _chunked(points: DataFrame, chunk_size: int) -> DataFrame:
+def _chunked(points: DataFrame, chunk_size: int, chunk_by: str = "sequence") -> DataFrame:
     """Distinct points with their copy count ``_n`` and chunk.  Exact copies
     of a point are collapsed by a partial aggregate (map-side combined), so
-    a group of copies never fills one window partition."""
-    return (points.select("shape_id", "sequence", "lat", "lon")
-            .where(F.col("shape_id").isNotNull() & F.col("sequence").isNotNull()
-                   & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-            .groupBy("shape_id", "sequence", "lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size))))
+    a group of copies never fills one window partition.
+
+    ``chunk_by="sequence"`` (default) cuts ranges of sequence values, which
+    bounds a chunk when sequences are distinct within a shape, as GTFS
+    requires.  ``chunk_by="position"`` cuts ranges of the skew-safe rank
+    within the shape instead: bounded by construction even when a malformed
+    feed repeats sequence values, at the price of the ranking shuffles."""
+    distinct = (points.select("shape_id", "sequence", "lat", "lon")
+                .where(F.col("shape_id").isNotNull() & F.col("sequence").isNotNull()
+                       & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+                .groupBy("shape_id", "sequence", "lat", "lon").agg(F.count(F.lit(1)).alias("_n")))
+    if chunk_by == "position":
+        ranked = row_number_within(distinct, "shape_id", list(_ORDER), "_pos", split_copies=False)
+        return ranked.withColumn("chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_size))).drop("_pos")
+    if chunk_by != "sequence":
+        raise ValueError(f"chunk_by must be 'sequence' or 'position', not {chunk_by!r}")
+    return distinct.withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size)))
 
 
 def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
@@ -62,25 +74,25 @@ def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
                     F.col("p2.lat").alias("lat2"), F.col("p2.lon").alias("lon2")))
 
 
-def _prepare(points: DataFrame, chunk_size: int) -> tuple[DataFrame, bool]:
+def _prepare(points: DataFrame, chunk_size: int, chunk_by: str = "sequence") -> tuple[DataFrame, bool]:
     """Materialise the distinct points once (the pair window and, when
     stitching, the per-chunk heads both read them) and learn, from metrics
     observed on that same job, whether any shape spans several chunks.  When
     every point lies in one chunk, no stitching is needed and the plan skips
     it."""
     obs = Observation(f"chunk_span_{uuid.uuid4().hex}")
-    p = materialize(_chunked(points, chunk_size)
+    p = materialize(_chunked(points, chunk_size, chunk_by)
                     .observe(obs, F.min("chunk").alias("lo"), F.max("chunk").alias("hi")))
     span = obs.get
     lo, hi = span.get("lo"), span.get("hi")
     return p, lo is not None and lo != hi
 
 
-def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "sequence") -> DataFrame:
     """Every pair of consecutive points of a shape (ordered by sequence, then
     lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
     A one-point shape yields no pair."""
-    p, stitch = _prepare(points, chunk_size)
+    p, stitch = _prepare(points, chunk_size, chunk_by)
     # n copies of a point are n-1 pairs of identical points before the pair
     # to the next distinct point
     copies = (p.where(F.col("_n") > 1)
@@ -101,12 +113,12 @@ def keep_rule(keep_axis_aligned: bool = False):
 
 
 def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
-                 chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+                 chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "sequence") -> DataFrame:
     """Shapes table: id, sequence (kept-segment counter from 0), lat1, lon1,
     lat2, lon2, dist (metres), total_dist (running sum including this one)."""
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy("sequence", "lat1", "lon1")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p, stitch = _prepare(points, chunk_size)
+    p, stitch = _prepare(points, chunk_size, chunk_by)
     # Pairs of identical points (copies) never pass either keep rule, so the
     # distinct points suffice.  The running frames share the (shape_id,
     # chunk) partitioning of the pair window, so they add no shuffle.
