@@ -169,3 +169,17 @@ def test_stream_picks_up_new_files_after_restart(spark, tmp_dir):
     assert spark.read.parquet(out).count() == 1000
     batch = gps.normalize_gps(gps_json.read_documents(spark, f"{landing}/*"))
     assert _rows(spark.read.parquet(out)) == _rows(batch)
+
+
+def test_stream_counts_corrupt_documents(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    doc = {"DATA": [["06-27-2015 00:01:10", "A1", "123", "-22.8", "-43.2", "0.0", "N"]]}
+    with open(f"{tmp_dir}/in/a.json", "w") as f:
+        f.write(json.dumps(doc) + "\n{broken\n" + json.dumps(doc) + "\n")
+    q = gps_stream.start_parquet_sink(gps_stream.gps_rows_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/out",
+                                      f"{tmp_dir}/ck", available_now=True)
+    q.awaitTermination()
+    m = [p["observedMetrics"][gps_stream.DOC_METRICS] for p in q.recentProgress
+         if gps_stream.DOC_METRICS in p["observedMetrics"]]
+    assert sum(x["documents"] for x in m) == 3 and sum(x["corrupt"] for x in m) == 1
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 2

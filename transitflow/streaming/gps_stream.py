@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schemas
 from ..operators import gps
 from ..session import scratch_path
 from ..sources import gps_json
@@ -23,6 +24,7 @@ DEFAULT_TRIGGER = "30 seconds"
 
 
 METRICS = "gps_batch"
+DOC_METRICS = "gps_documents"
 
 
 def gps_rows_stream(spark: SparkSession, landing_dir: str, encoding: str = "UTF-8",
@@ -32,13 +34,18 @@ def gps_rows_stream(spark: SparkSession, landing_dir: str, encoding: str = "UTF-
 
     Each micro-batch reports its record count and the number of rows without
     a valid time or position in ``query.lastProgress["observedMetrics"]
-    ["gps_batch"]`` (computed on the fly, no extra pass).
+    ["gps_batch"]``, and its document count and the number of documents that
+    did not parse (never dropped silently) in ``["gps_documents"]`` - all
+    computed on the fly, no extra pass.
 
     ``dedupe_within`` (e.g. ``"10 minutes"``, off by default as in the
     original): a feed re-polled before vehicles report again repeats rows;
     keep one row per (serial_number, datetime) seen within that watermark
     delay.  State older than the watermark is dropped, so it stays bounded."""
     docs = gps_json.stream_documents(spark, landing_dir, encoding, max_files_per_trigger)
+    corrupt = F.col(schemas.CORRUPT).isNotNull() | F.col("DATA").isNull()
+    docs = docs.observe(DOC_METRICS, F.count(F.lit(1)).alias("documents"),
+                        F.count(F.when(corrupt, F.lit(1))).alias("corrupt"))
     rows = gps.normalize_gps(docs, first_only=first_only)
     invalid = F.col("datetime").isNull() | F.col("lat").isNull() | F.col("lon").isNull()
     rows = rows.observe(METRICS, F.count(F.lit(1)).alias("records"),
