@@ -8,11 +8,10 @@ against the direct formulation.  Geometry is expanded inline.
 
 from __future__ import annotations
 
-from ..functions.text import LINE_GROUP_PATTERN as LINE_GROUP
-from ..functions.sql_text import planar_distance_sql, planar_projection_sql
-from ..functions.sql_text import nvec
 from ..functions.sql_text import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql,
-                                  line_code_sql, nearest_latlon_sql, on_segment_sql)
+                                  line_code_sql, nearest_latlon_sql, nvec, on_segment_sql,
+                                  planar_distance_sql, planar_projection_sql)
+from ..functions.text import LINE_GROUP_PATTERN as LINE_GROUP
 
 # ---- fixture projections (FIXTURES.md section 3, same text as the Spark side)
 FX = {
