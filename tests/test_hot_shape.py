@@ -59,3 +59,19 @@ def test_hot_shape_grid_join_equals_brute_force(spark):
              .where(geo.on_segment("lat", "lon", "lat1", "lon1", "lat2", "lon2"))
              .select("stop_id", "seg_sequence"))
     assert got == sorted(map(tuple, brute.collect())) and len(got) > 100
+
+
+def test_hot_shape_window_spreads_over_tasks(spark):
+    pts = _hot_points(spark)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = shapes.shape_pairs(pts, chunk_size=64)
+        per_task = (pairs.select(F.spark_partition_id().alias("p")).groupBy("p").count()
+                    .collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    counts = sorted(r["count"] for r in per_task)
+    total = sum(counts)
+    # one shape, yet no task holds more than half of its pairs
+    assert len(counts) >= 4 and counts[-1] < total / 2
