@@ -75,3 +75,19 @@ def test_hot_shape_window_spreads_over_tasks(spark):
     total = sum(counts)
     # one shape, yet no task holds more than half of its pairs
     assert len(counts) >= 4 and counts[-1] < total / 2
+
+
+def test_hot_shape_corridor_join_spreads_over_tasks(spark):
+    # small chunks stand in for a shape far larger than one chunk
+    segs = shapes.build_shapes(_hot_points(spark), chunk_size=64)
+    rows = fx.stops(spark, SF001).select(F.lit(1).cast("long").alias("trip_id"), F.col("id").alias("stop_id"),
+                                         F.lit(1).alias("sequence"), F.lit("hot").alias("shape_id"), "lat", "lon")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cand = tripstops.corridor_candidates(rows, segs)
+        counts = sorted(r["count"] for r in cand.select(F.spark_partition_id().alias("p"))
+                        .groupBy("p").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(counts) >= 4 and counts[-1] < sum(counts) / 2

@@ -8,11 +8,16 @@ join is keyed spatially as well:
 * Accepted points of a segment lie inside an ellipsoid with the end points as
   foci (``|n0-n1| + |n0-n2| < L + tol``), so every accepted point is within
   ``pad = sqrt((L*tol + tol^2) / 2)`` of the chord between the end points.
-* Space (the unit-vector cube) is cut into cubic cells at a few resolutions,
-  ``g = 100 m * 8^level``.  Each segment picks the coarsest level it needs so
-  its padded bounding box spans at most two cells per axis, and is listed
-  under every cell that box touches (a handful of rows per segment).
-* Each stop is listed under the one cell containing it at every level its
+* Space (the unit-vector cube) is cut into cubic cells at several
+  resolutions, ``g = 100 m * 8^level``.  A shape's first 64 segments (by
+  ``seg_sequence``) each pick the coarsest level they need, so one padded
+  box spans at most two cells per axis; a cell of such a level therefore
+  holds at most 64 segments of the shape.  Every further segment uses cells
+  of at most 800 m and is cut into pieces no longer than a cell, each piece
+  listed under the cells its padded bounding box touches - so even a shape
+  with millions of long segments over one area meets each stop only with
+  the segments passing within a cell of it.
+* Each stop is listed under the one cell containing it at each level its
   shape's segments use.
 
 Joining on (shape_id, level, cell) yields every pair the corridor test could
@@ -31,11 +36,14 @@ from ..functions import geo
 from ..functions.geo import Vec3
 from ..session import materialize
 
-# Finest cell edge (100 m, in unit-sphere chord units), growth per level, and
-# the number of levels (the top one spans the whole sphere).
+# Finest cell edge (100 m, in unit-sphere chord units), growth per level and
+# number of levels (the top one spans the whole sphere); how many segments
+# of a shape may use levels above FINE_LEVEL_CAP (800 m cells).
 BASE_CELL = 100.0 / geo.EARTH_RADIUS_M
 LEVEL_RATIO = 8.0
 N_LEVELS = 7
+FINE_LEVEL_CAP = 1
+COARSE_SEGMENTS = 64
 _OFF = 1 << 20
 
 
@@ -95,9 +103,14 @@ def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> Dat
         b = F.greatest(F.lit(1.0) - ch, ch - inner)
         pad = F.sqrt(b * b + F.lit(sm * sm)) + F.lit(1e-9)
     extent = F.col("chord") + 2 * pad
-    level = F.least(F.lit(N_LEVELS - 1),
-                    F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, extent / F.lit(BASE_CELL))))).cast("int")
-    return v.withColumn("_pad", pad).withColumn("level", level)
+    needed = F.least(F.lit(N_LEVELS - 1),
+                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, extent / F.lit(BASE_CELL)))))
+    capped = F.least(needed, F.lit(FINE_LEVEL_CAP))
+    if "seg_sequence" in segments.columns:
+        level = F.when(F.col("seg_sequence") < COARSE_SEGMENTS, needed).otherwise(capped)
+    else:
+        level = capped
+    return v.withColumn("_pad", pad).withColumn("level", level.cast("int"))
 
 
 def segment_levels(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
@@ -110,17 +123,27 @@ def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERAN
                   within_m: float | None = None) -> DataFrame:
     """Segments with end-point vectors (a*, b*), chord length ``chord`` and one
     (level, cell) row per cell the padded segment touches (see :func:`_sized`
-    for the pad)."""
+    for the pad).  The chord is cut into ``k`` pieces no longer than a cell;
+    each piece contributes the cells of its own padded bounding box."""
     v = _sized(segments, tolerance, within_m)
     g = _cell_size(F.col("level"))
+    k = F.greatest(F.lit(1), F.ceil(F.col("chord") / g)).cast("int")
 
-    def rng(ca: str, cb: str):
-        lo = F.least(F.col(ca), F.col(cb)) - F.col("_pad")
-        hi = F.greatest(F.col(ca), F.col(cb)) + F.col("_pad")
+    def rng(ca: str, cb: str, t0, t1):
+        p0 = F.col(ca) + (F.col(cb) - F.col(ca)) * t0
+        p1 = F.col(ca) + (F.col(cb) - F.col(ca)) * t1
+        lo = F.least(p0, p1) - F.col("_pad")
+        hi = F.greatest(p0, p1) + F.col("_pad")
         return F.sequence(F.floor(lo / g), F.floor(hi / g))
 
-    cells = F.flatten(F.transform(rng("ax", "bx"), lambda ix: F.flatten(F.transform(
-        rng("ay", "by"), lambda iy: F.transform(rng("az", "bz"), lambda iz: _cell_key(ix, iy, iz))))))
+    def piece(j):
+        t0 = j.cast("double") / k
+        t1 = (j + 1).cast("double") / k
+        return F.flatten(F.transform(rng("ax", "bx", t0, t1), lambda ix: F.flatten(F.transform(
+            rng("ay", "by", t0, t1), lambda iy: F.transform(
+                rng("az", "bz", t0, t1), lambda iz: _cell_key(ix, iy, iz))))))
+
+    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), k - 1), piece)))
     return v.select("*", F.explode(cells).alias("cell")).drop("_pad")
 
 
