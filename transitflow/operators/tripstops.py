@@ -74,8 +74,6 @@ def point_cells(rows: DataFrame, levels: DataFrame | None = None) -> DataFrame:
     return lv.withColumn("cell", key)
 
 
-stop_cells = point_cells
-
 
 def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> DataFrame:
     """Segments with end-point vectors (a*, b*), chord length, pad and level.
