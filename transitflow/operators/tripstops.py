@@ -28,6 +28,7 @@ test then runs on native columns with each point's vector computed once.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -204,7 +205,7 @@ def trip_stops(stop_times: DataFrame, stops: DataFrame, segments: DataFrame,
                     (F.col("total_dist") - F.col("dist") + F.col("along")).alias("dist"))
 
 
-def trip_stops_sql(stop_rows: DataFrame, segments: DataFrame, view: str = "tf_stop_segment_pairs") -> DataFrame:
+def trip_stops_sql(stop_rows: DataFrame, segments: DataFrame, view: str | None = None) -> DataFrame:
     """The trip-stops step written as SQL text over a temporary view, with the
     SQL-registered ``onSegment`` and ``alongTrack`` functions (see
     :func:`transitflow.functions.sql.register_sql_functions`).  The view holds
@@ -213,6 +214,7 @@ def trip_stops_sql(stop_rows: DataFrame, segments: DataFrame, view: str = "tf_st
 
     spark = stop_rows.sparkSession
     register_sql_functions(spark)
+    view = view or f"tf_stop_segment_pairs_{uuid.uuid4().hex}"
     corridor_candidates(stop_rows, segments).createOrReplaceTempView(view)
     hits = spark.sql(f"select * from {view} where onSegment(lat, lon, lat1, lon1, lat2, lon2) = true")
     along = F.call_function("alongTrack", *[F.col(c) for c in ("lat", "lon", "lat1", "lon1", "lat2", "lon2")])
