@@ -79,6 +79,13 @@ def q_shape_lengths(spark, sf_dir):
     return s.select("id", "n_segments", _r("length", 3).alias("length"))
 
 
+def q_hot_shape_lengths(spark, sf_dir):
+    # five shapes of a fifth of lineitem each: skew-safe ranking of hot keys,
+    # and chunk stitching once a shape passes 65,536 points
+    s = shapes.shape_lengths(shapes.build_shapes(fx.hot_shape_points(spark, sf_dir)))
+    return s.select("id", "n_segments", _r("length", 3).alias("length"))
+
+
 def q_shapes_ordered(spark, sf_dir):
     s = shapes.order_shapes(shapes_table(spark, sf_dir))
     return s.select("id", "id_num", "sequence", "lat1", "lon1", "lat2", "lon2",

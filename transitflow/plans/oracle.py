@@ -152,6 +152,16 @@ where lat2 is not null"""
 select id, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist, round(total_dist, 3) as total_dist
 from shapes"""
     q["shape_lengths"] = with_fx("fx_shape_points", extra=[("shapes", SHAPES)]) + """
+select id, count(*) as n_segments, round(max(total_dist), 3) as length from shapes group by id"""
+    hot_points = """
+select o.o_orderpriority as shape_id,
+       row_number() over (partition by o.o_orderpriority order by l.l_orderkey, l.l_linenumber, l.l_partkey,
+                          l.l_suppkey, l.l_shipdate, l.l_extendedprice) as sequence,
+       -22.9e0 + cast((l.l_partkey * 7919) % 101 as double) / 1e3 as lat,
+       -43.2e0 - cast((l.l_partkey * 104729) % 103 as double) / 1e3 as lon
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey"""
+    q["hot_shape_lengths"] = "with " + ",\n".join([
+        f"fx_shape_points as ({hot_points})", f"shapes as ({SHAPES})"]) + """
 select id, count(*) as n_segments, round(max(total_dist), 3) as length from shapes group by id"""
     q["shapes_ordered"] = with_fx("fx_shape_points", extra=[("shapes", SHAPES)]) + """
 select id, try_cast(id as bigint) as id_num, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist,

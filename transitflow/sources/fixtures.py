@@ -43,6 +43,23 @@ def shape_points(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
     )
 
 
+def hot_shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A skewed projection: the line items of all orders of one priority form
+    one shape (five shapes, each a fifth of ``lineitem``), ordered by order
+    and line.  ``sequence`` is a long: a hot shape can exceed 2^31 points."""
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    ranked = row_number_within(
+        li.join(o, "l_orderkey"), "o_orderpriority",
+        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn")
+    return ranked.selectExpr(
+        "o_orderpriority as shape_id", "rn as sequence",
+        "-22.9e0 + cast((l_partkey * 7919) % 101 as double) / 1e3 as lat",
+        "-43.2e0 - cast((l_partkey * 104729) % 103 as double) / 1e3 as lon",
+    )
+
+
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw stops: id, code, name, info, lat, lon (codes empty, too long, normal;
     info null for some)."""
