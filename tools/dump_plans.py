@@ -13,7 +13,7 @@ from transitflow.plans import catalog  # noqa: E402
 from transitflow.session import build_session  # noqa: E402
 
 QUERIES = ["shapes_build", "trips_representative", "trip_stops", "routes_with_fares", "gps_clean",
-           "nearby_vehicles", "gps_on_routes"]
+           "nearby_vehicles", "gps_on_routes", "hot_shape_lengths"]
 KEEP = re.compile(r"(Exchange|Join|Aggregate|Window|Scan|Generate|Broadcast|AQEShuffleRead|ReusedExchange"
                   r"|Sort \[|Filter|Union)")
 
