@@ -108,10 +108,13 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """A side table for a join: materialised, counted, and marked for
-    broadcast only when its row count is within ``max_rows`` (a checked
-    bound); larger tables are returned as they are for a shuffle join."""
+    """A side table for a join: materialised, its rows counted by a metric
+    observed on that same job, and marked for broadcast only when the count
+    is within ``max_rows`` (a checked bound); larger tables are returned as
+    they are for a shuffle join."""
+    from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    m = materialize(df)
-    return F.broadcast(m) if m.limit(max_rows + 1).count() <= max_rows else m
+    obs = Observation(f"side_rows_{uuid.uuid4().hex}")
+    m = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return F.broadcast(m) if obs.get["rows"] <= max_rows else m
