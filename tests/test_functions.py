@@ -140,3 +140,9 @@ def test_scale_settings():
     assert int(s["spark.sql.shuffle.partitions"]) == 100_000
     assert scale_settings(10 * (1 << 40))["spark.sql.shuffle.partitions"] == "20480"
     assert scale_settings(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_haversine_antipodal_is_finite(spark):
+    got = _one(spark, [(10.0, 20.0, -10.0, -160.0)], SCHEMA.rsplit(",", 2)[0],
+               geo.haversine("lat", "lon", "lat1", "lon1"))
+    assert abs(got[0] - math.pi * geo.EARTH_RADIUS_M) < 1.0

@@ -117,7 +117,8 @@ def haversine(lat1, lon1, lat2, lon2) -> Column:
     dlat = F.radians(_c(lat2) - _c(lat1))
     dlon = F.radians(_c(lon2) - _c(lon1))
     a = F.pow(F.sin(dlat / 2), 2) + F.pow(F.sin(dlon / 2), 2) * F.cos(p1) * F.cos(p2)
-    return F.lit(EARTH_RADIUS_M) * 2 * F.asin(F.sqrt(a))
+    # rounding can push a past 1 for near-antipodal points
+    return F.lit(EARTH_RADIUS_M) * 2 * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
 # ---- point vs segment tests ---------------------------------------------------

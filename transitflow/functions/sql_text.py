@@ -79,7 +79,7 @@ def nearest_latlon_sql(lat, lon, lat1, lon1, lat2, lon2) -> tuple[str, str]:
 def haversine_sql(lat1, lon1, lat2, lon2) -> str:
     a = (f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + pow(sin(radians({lon2} - {lon1}) / 2), 2)"
          f" * cos(radians({lat1})) * cos(radians({lat2}))")
-    return f"({R} * 2 * asin(sqrt({a})))"
+    return f"({R} * 2 * asin(sqrt(least({a}, 1e0))))"
 
 
 def cross_track_sql(lat, lon, lat1, lon1, lat2, lon2) -> str:
