@@ -183,3 +183,13 @@ def test_stream_counts_corrupt_documents(spark, tmp_dir):
          if gps_stream.DOC_METRICS in p["observedMetrics"]]
     assert sum(x["documents"] for x in m) == 3 and sum(x["corrupt"] for x in m) == 1
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 2
+
+
+def test_console_sink(spark, tmp_dir):
+    docs = gps.to_documents(fx.gps_rows(spark, SF001))
+    docs.select("json").write.text(f"{tmp_dir}/landing")
+    q = gps_stream.start_console_sink(gps_stream.gps_rows_stream(spark, f"{tmp_dir}/landing"), num_rows=3,
+                                      available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1000

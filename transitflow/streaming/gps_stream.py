@@ -83,10 +83,11 @@ def start_batch_sink(rows: DataFrame, fn: Callable[[DataFrame, int], None], chec
     return _trigger(w, trigger, available_now).start()
 
 
-def start_console_sink(rows: DataFrame, *, trigger: str | None = None, num_rows: int = 20) -> StreamingQuery:
+def start_console_sink(rows: DataFrame, *, trigger: str | None = None, num_rows: int = 20,
+                       available_now: bool = False) -> StreamingQuery:
     """Print the first rows of every micro-batch."""
     w = rows.writeStream.format("console").option("numRows", str(num_rows)).option("truncate", "false")
-    return _trigger(w, trigger, False).start()
+    return _trigger(w, trigger, available_now).start()
 
 
 def union_feeds(feeds: dict[str, DataFrame]) -> DataFrame:
