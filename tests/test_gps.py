@@ -192,4 +192,6 @@ def test_console_sink(spark, tmp_dir):
                                       available_now=True)
     q.awaitTermination()
     assert q.exception() is None
-    assert sum(p["numInputRows"] for p in q.recentProgress) == 1000
+    assert sum(p["numInputRows"] for p in q.recentProgress) == docs.count()   # documents
+    assert sum(p["observedMetrics"][gps_stream.METRICS]["records"] for p in q.recentProgress
+               if gps_stream.METRICS in p["observedMetrics"]) == 1000
