@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dedup, quality_rules, token_files
+from . import (decontaminate, language_id, maglev, mixing, near_dedup, quality_fm, quality_rules, secret_scan,
+               substring_dedup, token_files)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,14 +33,34 @@ def op2_near_dedup(spark, sf_dir):
     return near_dedup.op2_near_dedup(documents(spark, sf_dir))
 
 
+def op3_secret_scan(spark, sf_dir):
+    return secret_scan.op3_secret_scan(documents(spark, sf_dir))
+
+
+def op4_quality_fm(spark, sf_dir):
+    return quality_fm.op4_quality_fm(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.op5_decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op6_language_id(spark, sf_dir):
+    return language_id.op6_language_id(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op7_token_files(spark, sf_dir):
     return token_files.op7_token_files(documents(spark, sf_dir), tokenizer_file())
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup.op8_substring_dedup(documents(spark, sf_dir))
+
+
+def op9_maglev(spark, sf_dir):
+    return maglev.op9_maglev(documents(spark, sf_dir))
+
+
 def op10_fair_queue(spark, sf_dir):
     return mixing.op10_fair_queue(documents(spark, sf_dir))
 
@@ -50,4 +71,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": quality_rules.ORACLE, "op2_near_dedup": near_dedup.ORACLE,
+            "op3_secret_scan": secret_scan.oracle(), "op8_substring_dedup": substring_dedup.ORACLE,
             "op10_fair_queue": mixing.ORACLE}

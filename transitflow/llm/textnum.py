@@ -75,8 +75,8 @@ class Words:
     """Words of a run of documents: ``start``/``end`` byte positions, ``first``
     (n+1: index of each document's first word) and 64-bit hashes ``h``."""
 
-    def __init__(self, docs: Docs, hashes: bool = True):
-        parts = [_block_words(docs, lo, hi, hashes) for lo, hi in _blocks(docs)]
+    def __init__(self, docs: Docs, hashes: bool = True, separators: np.ndarray = _SEP):
+        parts = [_block_words(docs, lo, hi, hashes, separators) for lo, hi in _blocks(docs, separators)]
         self.start, self.end, self.h = (
             (np.concatenate(x) if len(x) > 1 else x[0]) if x else np.zeros(0, t)
             for x, t in ((([p[k] for p in parts]), t) for k, t in ((0, np.int64), (1, np.int64), (2, U64))))
@@ -91,25 +91,25 @@ class Words:
         return np.repeat(np.arange(len(self.n)), self.n)
 
 
-def _blocks(docs: Docs) -> Iterator[tuple[int, int]]:
+def _blocks(docs: Docs, separators: np.ndarray) -> Iterator[tuple[int, int]]:
     size = len(docs.buf)
     lo = 0
     while lo < size:
         hi = min(size, lo + 2 * CHUNK_BYTES)
         if hi < size:  # cut at a separator, so no word is split
-            back = np.flatnonzero(_SEP[docs.buf[lo:hi]])
+            back = np.flatnonzero(separators[docs.buf[lo:hi]])
             if len(back):
                 hi = lo + int(back[-1]) + 1
             else:
-                ahead = np.flatnonzero(_SEP[docs.buf[hi:]])
+                ahead = np.flatnonzero(separators[docs.buf[hi:]])
                 hi = hi + int(ahead[0]) + 1 if len(ahead) else size
         yield lo, hi
         lo = hi
 
 
-def _block_words(docs: Docs, lo: int, hi: int, hashes: bool):
+def _block_words(docs: Docs, lo: int, hi: int, hashes: bool, separators: np.ndarray):
     buf = docs.buf[lo:hi]
-    word = ~_SEP[buf]
+    word = ~separators[buf]
     edge = np.zeros(len(buf) + 1, dtype=bool)  # a document starts here
     inner = docs.off[np.searchsorted(docs.off, lo):np.searchsorted(docs.off, hi, "right")] - lo
     edge[inner] = True
