@@ -123,15 +123,20 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
     carry = F.xxhash64(*others) if others else F.lit(0).cast("long")
     plan = schedule(docs, seed, carry)
-    keyed = (docs.withColumn("_u", order_key(docs, seed)).withColumn("_x", carry).withColumnRenamed("source", "_source")
-             .dropDuplicates(["_u", "_x", "_source"]).drop("doc_id"))
-    full = plan.select("doc_id", "source", "u", "x", "copy", "size", "words", "finish").join(
-        keyed, (F.col("u") == F.col("_u")) & (F.col("x") == F.col("_x")) & F.col("source").eqNullSafe(F.col("_source")))
-    cut = F.expr(r"array_join(slice(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), 1, cast(words as int)), ' ')")
-    full = full.withColumn("_cut", F.col("words") < F.col("size")).withColumn("text", F.when(F.col("_cut"), cut).otherwise(F.col("text")))
-    if "n_chars" in others:
-        full = full.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return (full.orderBy("finish", F.col("source").asc_nulls_last(), "u", "x", "copy").select(*docs.columns))
+    rows = (docs.select(F.struct(*docs.columns).alias("_row"), order_key(docs, seed).alias("_u"), carry.alias("_x"),
+                        F.col("source").alias("_source"))
+            .dropDuplicates(["_u", "_x", "_source"]))
+    full = plan.select("source", "u", "x", "copy", "size", "words", "finish").join(
+        rows, (F.col("u") == F.col("_u")) & (F.col("x") == F.col("_x")) & F.col("source").eqNullSafe(F.col("_source")))
+    whole = F.col("words") == F.col("size")
+    words = F.regexp_extract_all(F.col("_row")["text"], F.lit(WORD), F.lit(0))
+    text = F.when(whole, F.col("_row")["text"]).otherwise(F.array_join(F.slice(words, 1, F.col("words").cast("int")), " "))
+    full = full.withColumn("_text", text).orderBy("finish", F.col("source").asc_nulls_last(), "u", "x", "copy")
+    new = {"text": F.col("_text"),
+           "n_chars": F.when(whole, F.col("_row")["n_chars"]).otherwise(F.length("_text"))
+           if "n_chars" in others else None}
+    return full.select(*[(F.col("_row")[c] if new.get(c) is None else new[c].cast(dict(docs.dtypes)[c])).alias(c)
+                         for c in docs.columns])
 
 
 def op10_fair_queue(docs: DataFrame) -> DataFrame:

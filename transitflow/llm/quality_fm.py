@@ -152,14 +152,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mac
                     names=["doc_id", "y", "slots", "values"])
 
     got = rows.mapInArrow(extract, "doc_id long, y long, slots binary, values binary").toPandas()
-    machine = Machine.fresh()
     if not len(got):
-        return machine
+        return Machine(0.0, np.zeros(SIZE), np.zeros((SIZE, FACTORS)))
     got["k"] = got["slots"].map(bytes)
     got = got.sort_values(["doc_id", "y", "k"], kind="stable")  # the order of arrival must not matter
     data = [(np.frombuffer(s, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64))
             for s, v in zip(got["slots"], got["values"], strict=True)]
-    return machine.fit(data, got["y"].to_numpy(dtype=np.float64))
+    return Machine.fresh().fit(data, got["y"].to_numpy(dtype=np.float64))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
