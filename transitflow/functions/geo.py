@@ -62,17 +62,9 @@ class Vec3(NamedTuple):
     def norm(self) -> Column:
         return F.sqrt(self.x * self.x + self.y * self.y + self.z * self.z)
 
-    def equals(self, o: "Vec3") -> Column:
-        return (self.x == o.x) & (self.y == o.y) & (self.z == o.z)
-
-    def angle_to(self, o: "Vec3", sign: "Vec3 | None" = None) -> Column:
-        """Angle in radians, ``atan2(|a x b|, a . b)``; with ``sign`` the
-        sine is negated when ``(a x b) . sign < 0``."""
-        c = self.cross(o)
-        sin = c.norm()
-        if sign is not None:
-            sin = F.when(c.dot(sign) < 0, -sin).otherwise(sin)
-        return F.atan2(sin, self.dot(o))
+    def angle_to(self, o: "Vec3") -> Column:
+        """Angle in radians, ``atan2(|a x b|, a . b)``."""
+        return F.atan2(self.cross(o).norm(), self.dot(o))
 
     def to_latlon(self) -> tuple[Column, Column]:
         """Direction of the vector as (lat, lon) degrees; any length."""
@@ -196,6 +188,15 @@ def cross_track(lat, lon, lat1, lon1, lat2, lon2) -> Column:
     return F.when(same_point(lat1, lon1, lat2, lon2), distance(lat, lon, lat1, lon1)).otherwise(off)
 
 
+def cross_track_signed(lat, lon, lat1, lon1, lat2, lon2) -> Column:
+    """Cross-track distance in metres, negative to the left of the direction
+    from the first end point to the second; a zero-length segment measures
+    (unsigned) to its point."""
+    n0, n1, n2 = nvector(lat, lon), nvector(lat1, lon1), nvector(lat2, lon2)
+    off = F.lit(EARTH_RADIUS_M) * (n1.cross(n2).angle_to(n0) - F.lit(math.pi / 2))
+    return F.when(same_point(lat1, lon1, lat2, lon2), distance(lat, lon, lat1, lon1)).otherwise(off)
+
+
 # ---- planar approximations in degree space ------------------------------------
 
 # Fixed value (must equal the original's): metres per degree of the planar

@@ -7,6 +7,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import geo, text
@@ -42,8 +43,20 @@ def normalize_gps(docs: DataFrame, first_only: bool = False) -> DataFrame:
 
 
 def parse_documents(json_text: DataFrame, column: str = "json") -> DataFrame:
-    """JSON text column -> document rows with ``DATA``."""
-    return json_text.select(F.from_json(column, schemas.GPS_DOCUMENT).alias("d")).select("d.DATA")
+    """JSON text column -> document rows: ``DATA``, and the text of documents
+    that did not parse in ``_corrupt_record`` (see :func:`corrupt_documents`)."""
+    schema = T.StructType([*schemas.GPS_DOCUMENT.fields, T.StructField(schemas.CORRUPT, T.StringType())])
+    d = F.from_json(column, schema, {"columnNameOfCorruptRecord": schemas.CORRUPT})
+    keep = [c for c in json_text.columns if c != column]
+    return json_text.select(*keep, F.col(column).alias("_json"), d.alias("d")).select(
+        *keep, "d.DATA", F.when(F.col("d.DATA").isNull(), F.coalesce(F.col(f"d.{schemas.CORRUPT}"), F.col("_json"), F.lit("")))
+        .alias(schemas.CORRUPT))
+
+
+def corrupt_documents(docs: DataFrame) -> DataFrame:
+    """Documents of :func:`parse_documents` that did not parse: the other side
+    of :func:`normalize_gps`, which holds the rows of all the others."""
+    return docs.where(F.col(schemas.CORRUPT).isNotNull())
 
 
 def split_valid(gps: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,23 +65,25 @@ def split_valid(gps: DataFrame) -> tuple[DataFrame, DataFrame]:
     return gps.where(ok), gps.where(~ok | ok.isNull())
 
 
-def to_documents(rows: DataFrame, doc_size: int = 256) -> DataFrame:
+def to_documents(rows: DataFrame, doc_size: int = 256, feed: str | None = None) -> DataFrame:
     """Typed GPS rows (with an ``event_id``) -> JSON feed documents, column
-    ``json``.  Rows are numbered in (event_id, ...) order with the skew-safe
-    ranking, and document ``d`` holds positions ``d*doc_size ..
-    (d+1)*doc_size - 1``: at most ``doc_size`` records each whatever the ids
-    (repeated ids cannot grow a document).  Records keep that order, so
-    ``DATA[0]`` is the document's first position."""
+    ``json`` (and the column ``feed``, if one is named: documents then hold
+    rows of one feed).  Rows are numbered in (event_id, ...) order within
+    their feed with the skew-safe ranking, and document ``d`` holds positions
+    ``d*doc_size .. (d+1)*doc_size - 1``: at most ``doc_size`` records each
+    whatever the ids (repeated ids cannot grow a document).  Records keep that
+    order, so ``DATA[0]`` is the document's first position."""
     order = ["event_id", *DATA_FIELDS]
-    ranked = row_number_within(rows.select(F.lit(0).alias("_feed"), *order), "_feed", order, "_pos")
+    key = F.col(feed) if feed else F.lit(0)
+    ranked = row_number_within(rows.select(key.alias("_feed"), *order), "_feed", order, "_pos")
     item = F.array(F.date_format("datetime", text.FEED_TIME_FORMAT), F.col("serial_number"),
                    F.col("line"), F.col("lat").cast("string"), F.col("lon").cast("string"),
                    F.col("vel").cast("string"), F.col("direction"))
-    keyed = ranked.select(F.floor((F.col("_pos") - 1) / doc_size).alias("doc_id"),
+    keyed = ranked.select("_feed", F.floor((F.col("_pos") - 1) / doc_size).alias("doc_id"),
                           F.struct(F.col("_pos").alias("k"), item.alias("r")).alias("e"))
     data = F.transform(F.array_sort(F.collect_list("e")), lambda e: e["r"])
-    return (keyed.groupBy("doc_id")
-            .agg(F.to_json(F.struct(data.alias("DATA"))).alias("json")))
+    docs = keyed.groupBy("_feed", "doc_id").agg(F.to_json(F.struct(data.alias("DATA"))).alias("json"))
+    return docs.select(F.col("_feed").alias(feed), "json") if feed else docs.select("json")
 
 
 def vehicles_near(gps: DataFrame, lat: float, lon: float, radius_m: float) -> DataFrame:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from ..session import materialize
 from .tripstops import point_cells, segment_cells
 
 DEFAULT_MAX_OFFSET_M = 100.0
@@ -59,12 +58,11 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     gcols = gps.columns
     if segment_cells_df is None:
         segment_cells_df = route_segment_cells(routes, trips, segments, max_offset_m)
-    # route code -> (shape, level) pairs in use: small, so the fixes fan out
-    # only to the grid levels their shapes' segments occupy
-    levels = segment_cells_df.select("shape_id", "level").distinct()
-    rs_levels = route_shapes(routes, trips).join(levels, "shape_id")
-    fixes = gps.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).join(rs_levels, "route_code")
-    pairs = point_cells(fixes).join(segment_cells_df, ["shape_id", "level", "cell"])
+    # the cells carry the route code, so a fix is listed once per grid level
+    # (seven) whatever the number of shapes of its code, and the join key is
+    # (route_code, level, cell): a busy line spreads over its cells
+    fixes = gps.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = point_cells(fixes).join(segment_cells_df, ["route_code", "level", "cell"])
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))
@@ -76,17 +74,17 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     best = F.min_by(F.struct("shape_id", "seg_sequence", "offset_m", "route_dist", "_n"), rank)
     return (cand.groupBy(*gcols).agg(best.alias("m"))
             .select(*gcols, "m.shape_id", "m.seg_sequence", "m.offset_m", "m.route_dist",
-                    F.explode(F.array_repeat(F.lit(0), F.col("m._n").cast("int"))).alias("_copy"))
+                    F.explode(F.sequence(F.lit(1).cast("long"), F.col("m._n"))).alias("_copy"))
             .drop("_copy"))
 
 
 def route_segment_cells(routes: DataFrame, trips: DataFrame, segments: DataFrame,
                         max_offset_m: float = DEFAULT_MAX_OFFSET_M) -> DataFrame:
-    """Grid cells of the segments of shapes some route code can reach (a
-    semi-join on the small set of those shape ids drops the rest first)."""
-    used = route_shapes(routes, trips).select("shape_id").distinct()
-    segs = materialize(prepare_segments(segments).join(used, "shape_id", "left_semi"))
-    return segment_cells(segs, within_m=max_offset_m)
+    """Grid cells of the segments of shapes some route code can reach, one row
+    per route code of the shape."""
+    cells = segment_cells(prepare_segments(segments), within_m=max_offset_m)
+    codes = route_shapes(routes, trips).select(F.col("shape_id").alias("_sid"), "route_code")
+    return cells.join(codes, F.col("shape_id") == F.col("_sid")).drop("_sid")
 
 
 def prepare_segments(segments: DataFrame) -> DataFrame:

@@ -8,6 +8,11 @@ rows in sorted order, and a small per-(partition, key) table adds the count
 of the key's rows in earlier partitions.  That table has at most one row per
 key plus one per partition.
 
+The bounds of a range partitioning are sampled, so evaluating it twice may cut
+the rows differently.  The ranged rows are therefore written once (a reliable
+checkpoint) and both the rows and the table of runs are read from that copy;
+nothing depends on Spark reusing an exchange.
+
 Exact copies of a row would share one range key and stay in one partition,
 so copies are first collapsed with a count (a partial aggregate) and expanded
 again with a copy index that makes every sort key distinct.  Columns must be
@@ -21,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def row_number_within(df: DataFrame, key: str, order: Sequence[str], out_col: str = "rn",
                       num_partitions: int | None = None, split_copies: bool = True) -> DataFrame:
@@ -37,10 +44,10 @@ def row_number_within(df: DataFrame, key: str, order: Sequence[str], out_col: st
         sort_cols = [*cols, *rest, "_copy"]
     else:
         sort_cols = cols
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = materialize(df.repartitionByRange(n, *sort_cols)
+                         .sortWithinPartitions(*sort_cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     before = Window.partitionBy("_rkey").orderBy("_rpid").rowsBetween(Window.unboundedPreceding, -1)
     runs = (ranged.groupBy(F.col("_pid").alias("_rpid"), F.col(key).alias("_rkey"))
             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))

@@ -10,21 +10,18 @@ task.  Points are therefore windowed per (shape_id, chunk) where ``chunk`` is
 ``floor(sequence / chunk_size)`` - a bounded run of consecutive points.  Two
 small per-chunk tables stitch the chunks back together: the first point of the
 next non-empty chunk (closing the last pair of each chunk) and the distance /
-segment count of all earlier chunks (offsetting the running values).
-Metrics observed while the points are materialised (min and max chunk) tell
-whether any shape spans chunks at all; when none does (ordinary networks),
-the stitching is left out of the plan.
+segment count of all earlier chunks (offsetting the running values).  The plan
+is the same whatever the data: shapes of one chunk just have no row in either
+table.  It is lazy; the points are read once for the pairs and once, by a
+partial aggregate, for the chunk heads.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import broadcast_if_small, materialize
 from .ranking import row_number_within
 
 DEFAULT_CHUNK = 1 << 16
@@ -54,54 +51,38 @@ def _chunked(points: DataFrame, chunk_size: int, chunk_by: str = "sequence") ->
     return distinct.withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size)))
 
 
-def _pairs(p: DataFrame, stitch: bool) -> DataFrame:
+def _pairs(p: DataFrame) -> DataFrame:
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy(*_ORDER)
+    by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
+    # one row per chunk that has a successor
+    bridge = (p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
+              .select(F.col("shape_id").alias("_sid"), F.col("chunk").alias("_chunk"),
+                      F.lead("head").over(by_chunk).alias("next_head"))
+              .where(F.col("next_head").isNotNull()))
     nxt = F.lead(F.struct(*_ORDER)).over(in_chunk)
-    w = p.select("shape_id", "chunk", "sequence", "lat", "lon", nxt.alias("p2"))
-    if stitch:
-        by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
-        # one row per chunk that has a successor; broadcast when its counted
-        # size allows, so the point side keeps its partitioning
-        bridge = broadcast_if_small(
-            p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
-            .select("shape_id", "chunk", F.lead("head").over(by_chunk).alias("next_head"))
-            .where(F.col("next_head").isNotNull()))
-        w = (w.join(bridge, ["shape_id", "chunk"], "left")
-             .withColumn("p2", F.coalesce("p2", "next_head")).drop("next_head"))
+    w = (p.select("shape_id", "chunk", "sequence", "lat", "lon", nxt.alias("p2"))
+         .join(bridge, (F.col("shape_id") == F.col("_sid")) & (F.col("chunk") == F.col("_chunk")), "left")
+         .withColumn("p2", F.coalesce("p2", "next_head")))
     return (w.where(F.col("p2").isNotNull())
             .select("shape_id", "chunk", "sequence", F.col("p2.sequence").alias("sequence2"),
                     F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
                     F.col("p2.lat").alias("lat2"), F.col("p2.lon").alias("lon2")))
 
 
-def _prepare(points: DataFrame, chunk_size: int, chunk_by: str = "sequence") -> tuple[DataFrame, bool]:
-    """Materialise the distinct points once (the pair window and, when
-    stitching, the per-chunk heads both read them) and learn, from metrics
-    observed on that same job, whether any shape spans several chunks.  When
-    every point lies in one chunk, no stitching is needed and the plan skips
-    it."""
-    obs = Observation(f"chunk_span_{uuid.uuid4().hex}")
-    p = materialize(_chunked(points, chunk_size, chunk_by)
-                    .observe(obs, F.min("chunk").alias("lo"), F.max("chunk").alias("hi")))
-    span = obs.get
-    lo, hi = span.get("lo"), span.get("hi")
-    return p, lo is not None and lo != hi
-
-
 def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "sequence") -> DataFrame:
     """Every pair of consecutive points of a shape (ordered by sequence, then
     lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
     A one-point shape yields no pair."""
-    p, stitch = _prepare(points, chunk_size, chunk_by)
+    p = _chunked(points, chunk_size, chunk_by)
     # n copies of a point are n-1 pairs of identical points before the pair
     # to the next distinct point
     copies = (p.where(F.col("_n") > 1)
               .select("shape_id", "chunk", "sequence", F.col("sequence").alias("sequence2"),
                       F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
                       F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
-                      F.explode(F.array_repeat(F.lit(0), (F.col("_n") - 1).cast("int"))).alias("_copy"))
+                      F.explode(F.sequence(F.lit(2).cast("long"), F.col("_n"))).alias("_copy"))
               .drop("_copy"))
-    return _pairs(p, stitch).unionByName(copies)
+    return _pairs(p).unionByName(copies)
 
 
 def keep_rule(keep_axis_aligned: bool = False):
@@ -118,38 +99,39 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
     lat2, lon2, dist (metres), total_dist (running sum including this one)."""
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy("sequence", "lat1", "lon1")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p, stitch = _prepare(points, chunk_size, chunk_by)
-    # Pairs of identical points (copies) never pass either keep rule, so the
-    # distinct points suffice.  The running frames share the (shape_id,
-    # chunk) partitioning of the pair window, so they add no shuffle.
-    seg = (_pairs(p, stitch).where(keep_rule(keep_axis_aligned))
-           .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
-           .withColumn("run_dist", F.sum("dist").over(upto))
-           .withColumn("run_n", F.row_number().over(in_chunk)))
-    out = seg.select(F.col("shape_id").alias("id"), (F.col("run_n") - 1).cast("long").alias("sequence"),
-                     "lat1", "lon1", "lat2", "lon2", "dist", F.col("run_dist").alias("total_dist"))
-    if not stitch:
-        return out
-    # Shapes span chunks: add the distance and count of earlier chunks.  The
-    # segments are materialised because the offsets and the output read them.
-    # Offsets exist only for chunks after a shape's first one, so the table is
-    # usually tiny; it is broadcast when its counted size allows, otherwise
-    # joined by shuffle.
-    seg = materialize(seg)
+    # The running frames share the (shape_id, chunk) partitioning of the pair
+    # window, so they add no shuffle.
+    kept = _segments(points, keep_axis_aligned, chunk_size, chunk_by)
+    seg = kept.withColumn("run_dist", F.sum("dist").over(upto)).withColumn("run_n", F.row_number().over(in_chunk))
     earlier = Window.partitionBy("shape_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = broadcast_if_small(
-        seg.groupBy("shape_id", "chunk")
-        .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
-        .select("shape_id", "chunk", F.sum("chunk_dist").over(earlier).alias("dist_before"),
-                F.sum("chunk_n").over(earlier).alias("n_before"))
-        .where(F.col("n_before").isNotNull()))
-    return (seg.join(offsets, ["shape_id", "chunk"], "left")
+    offsets = (kept.groupBy("shape_id", "chunk")
+               .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
+               .select(F.col("shape_id").alias("_sid"), F.col("chunk").alias("_chunk"),
+                       F.sum("chunk_dist").over(earlier).alias("dist_before"),
+                       F.sum("chunk_n").over(earlier).alias("n_before"))
+               .where(F.col("n_before").isNotNull()))
+    return (seg.join(offsets, (F.col("shape_id") == F.col("_sid")) & (F.col("chunk") == F.col("_chunk")), "left")
             .select(F.col("shape_id").alias("id"),
                     (F.coalesce("n_before", F.lit(0)) + F.col("run_n") - 1).cast("long").alias("sequence"),
                     "lat1", "lon1", "lat2", "lon2", "dist",
                     (F.coalesce("dist_before", F.lit(0.0)) + F.col("run_dist")).alias("total_dist")))
 
 
+def _segments(points: DataFrame, keep_axis_aligned: bool, chunk_size: int, chunk_by: str) -> DataFrame:
+    """Kept pairs with their length.  Pairs of identical points (copies) never
+    pass either keep rule, so the distinct points suffice."""
+    return (_pairs(_chunked(points, chunk_size, chunk_by)).where(keep_rule(keep_axis_aligned))
+            .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2")))
+
+
+def measure_shapes(points: DataFrame, *, keep_axis_aligned: bool = False, chunk_size: int = DEFAULT_CHUNK,
+                   chunk_by: str = "sequence") -> DataFrame:
+    """Per shape: number of kept segments and length in metres, without the
+    running values: pairs and one partial aggregate."""
+    return (_segments(points, keep_axis_aligned, chunk_size, chunk_by).groupBy(F.col("shape_id").alias("id"))
+            .agg(F.count(F.lit(1)).alias("n_segments"), F.sum("dist").alias("length")))
+
+
 def shape_lengths(shapes: DataFrame) -> DataFrame:
     """Per shape: number of kept segments and total length in metres (the last
     running distance).  A partial aggregate: no shape lands whole in one task."""

@@ -9,14 +9,12 @@ join is keyed spatially as well:
   foci (``|n0-n1| + |n0-n2| < L + tol``), so every accepted point is within
   ``pad = sqrt((L*tol + tol^2) / 2)`` of the chord between the end points.
 * Space (the unit-vector cube) is cut into cubic cells at several
-  resolutions, ``g = 100 m * 8^level``.  A shape's first 64 segments (by
-  ``seg_sequence``) each pick the coarsest level they need, so one padded
-  box spans at most two cells per axis; a cell of such a level therefore
-  holds at most 64 segments of the shape.  Every further segment uses cells
-  of at most 800 m and is cut into pieces no longer than a cell, each piece
-  listed under the cells its padded bounding box touches - so even a shape
-  with millions of long segments over one area meets each stop only with
-  the segments passing within a cell of it.
+  resolutions, ``g = 100 m * 8^level``.  A segment's level follows from its
+  length alone: the finest at which it needs at most ``MAX_PIECES`` pieces of
+  a cell each and its pad is at most half a cell.  Each piece is listed under
+  the cells its padded bounding box touches (at most 3 per axis), so a segment
+  of any length has a bounded number of cells, and a stop meets only segments
+  that pass within about a cell of it.
 * Each stop is listed under the one cell containing it at each level its
   shape's segments use.
 
@@ -35,16 +33,14 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from ..session import materialize
 
-# Finest cell edge (100 m, in unit-sphere chord units), growth per level and
-# number of levels (the top one spans the whole sphere); how many segments
-# of a shape may use levels above FINE_LEVEL_CAP (800 m cells).
+# Finest cell edge (100 m, in unit-sphere chord units), growth per level,
+# number of levels (the top one spans the whole sphere) and the most pieces
+# one segment is cut into.
 BASE_CELL = 100.0 / geo.EARTH_RADIUS_M
 LEVEL_RATIO = 8.0
 N_LEVELS = 7
-FINE_LEVEL_CAP = 1
-COARSE_SEGMENTS = 64
+MAX_PIECES = 16
 _OFF = 1 << 20
 
 
@@ -101,14 +97,9 @@ def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> Dat
         inner = F.sqrt(F.greatest(ch * ch - F.lit(sm * sm), F.lit(0.0)))
         b = F.greatest(F.lit(1.0) - ch, ch - inner)
         pad = F.sqrt(b * b + F.lit(sm * sm)) + F.lit(1e-9)
-    extent = F.col("chord") + 2 * pad
-    needed = F.least(F.lit(N_LEVELS - 1),
-                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, extent / F.lit(BASE_CELL)))))
-    capped = F.least(needed, F.lit(FINE_LEVEL_CAP))
-    if "seg_sequence" in segments.columns:
-        level = F.when(F.col("seg_sequence") < COARSE_SEGMENTS, needed).otherwise(capped)
-    else:
-        level = capped
+    cell = F.greatest(2 * pad, F.col("chord") / F.lit(MAX_PIECES))
+    level = F.least(F.lit(N_LEVELS - 1),
+                    F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, cell / F.lit(BASE_CELL)))))
     return v.withColumn("_pad", pad).withColumn("level", level.cast("int"))
 
 
@@ -147,27 +138,34 @@ def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERAN
 
 
 def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
-                        tolerance: float = geo.ON_SEGMENT_TOLERANCE, prune_levels: bool = True) -> DataFrame:
+                        tolerance: float = geo.ON_SEGMENT_TOLERANCE, prune_levels: bool = False) -> DataFrame:
     """(stop row, segment) pairs sharing a shape and a grid cell: a superset
-    of the corridor matches, far smaller than all pairs of a shape.
-
-    Segments of shapes no stop row uses are dropped first by a semi-join on
-    the (small) set of used shape ids.  With ``prune_levels`` the kept
-    segments are materialised and each stop row is listed only under the grid
-    levels its shape's segments occupy (instead of all levels)."""
-    stop_rows = materialize(stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon"))
-    used = stop_rows.select(F.col("shape_id").alias("id")).distinct()
-    segs = (segments.join(used, "id", "left_semi")
-            .select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
-                    "lat1", "lon1", "lat2", "lon2", "dist", "total_dist"))
-    if prune_levels:
-        segs = materialize(segs)
-        points = point_cells(stop_rows, segment_levels(segs, tolerance))
-    else:
-        points = point_cells(stop_rows)
+    of the corridor matches, far smaller than all pairs of a shape.  Segments
+    of shapes without a stop row meet nothing in the join; callers that know
+    the shapes in use leave the others out before building segments.
+
+    With ``prune_levels`` each stop row is listed only under the grid levels
+    its shape's segments occupy (a second, aggregated pass over the segments)
+    instead of under all levels."""
+    stop_rows = stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon")
+    segs = segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
+                           "lat1", "lon1", "lat2", "lon2", "dist", "total_dist")
+    points = point_cells(stop_rows, segment_levels(segs, tolerance)) if prune_levels else point_cells(stop_rows)
     return points.join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
 
 
+def stops_near_starts(stop_rows: DataFrame, segments: DataFrame, within_m: float) -> DataFrame:
+    """Every (stop row, segment of its shape) pair whose stop lies within
+    ``within_m`` metres of the segment's start, with the unit vectors (p*, a*,
+    b*) of stop and end points.  Candidates come from the grid."""
+    segs = segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
+                           "lat1", "lon1", "lat2", "lon2")
+    stops = stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon")
+    pairs = point_cells(stops).join(segment_cells(segs, within_m=within_m), ["shape_id", "level", "cell"])
+    to_start = geo.distance_v(Vec3.named("p"), Vec3.named("a"), geo.same_point("lat", "lon", "lat1", "lon1"))
+    return pairs.where(to_start <= F.lit(float(within_m)))
+
+
 def corridor_matches(stop_rows: DataFrame, segments: DataFrame,
                      tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
     """Every (stop row, segment of its shape) pair passing the corridor test.
@@ -216,9 +214,6 @@ def trip_stops_sql(stop_rows: DataFrame, segments: DataFrame, view: str | None =
     register_sql_functions(spark)
     view = view or f"tf_stop_segment_pairs_{uuid.uuid4().hex}"
     corridor_candidates(stop_rows, segments).createOrReplaceTempView(view)
-    hits = spark.sql(f"select * from {view} where onSegment(lat, lon, lat1, lon1, lat2, lon2) = true")
-    along = F.call_function("alongTrack", *[F.col(c) for c in ("lat", "lon", "lat1", "lon1", "lat2", "lon2")])
-    return (hits.withColumn("along_track", along)
-            .withColumn("stop_dist", F.col("total_dist") - F.col("dist") + F.col("along_track"))
-            .drop("dist").withColumnRenamed("stop_dist", "dist")
-            .select("trip_id", "stop_id", "sequence", "dist"))
+    args = "lat, lon, lat1, lon1, lat2, lon2"
+    return spark.sql(f"""select trip_id, stop_id, sequence, total_dist - dist + alongTrack({args}) as dist
+                         from {view} where onSegment({args})""")

@@ -17,6 +17,7 @@ from ..functions import geo, text
 from ..operators import gps, matching, network, shapes, trips, tripstops
 from ..sources import fixtures as fx
 from ..streaming import gps_stream as stream
+from . import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,17 +76,34 @@ def q_shapes_build(spark, sf_dir):
 
 
 def q_shape_lengths(spark, sf_dir):
-    s = shapes.shape_lengths(shapes_table(spark, sf_dir))
+    s = shapes.measure_shapes(fx.shape_points(spark, sf_dir))
     return s.select("id", "n_segments", _r("length", 3).alias("length"))
 
 
 def q_hot_shape_lengths(spark, sf_dir):
-    # five shapes of a fifth of lineitem each: skew-safe ranking of hot keys,
-    # and chunk stitching once a shape passes 65,536 points
-    s = shapes.shape_lengths(shapes.build_shapes(fx.hot_shape_points(spark, sf_dir)))
+    # five shapes of a fifth of lineitem each: skew-safe ranking of hot keys
+    s = shapes.measure_shapes(fx.hot_shape_points(spark, sf_dir))
     return s.select("id", "n_segments", _r("length", 3).alias("length"))
 
 
+# Chunks small enough that the hot shapes span many at every scale tested.
+STITCHED_CHUNK = 1000
+
+
+def _shape_rows(s):
+    return s.select("id", "sequence", "lat1", "lon1", "lat2", "lon2",
+                    _r("dist", 3).alias("dist"), _r("total_dist", 2).alias("total_dist"))
+
+
+def q_shapes_stitched(spark, sf_dir):
+    return _shape_rows(shapes.build_shapes(fx.hot_shape_points(spark, sf_dir), chunk_size=STITCHED_CHUNK))
+
+
+def q_shapes_by_position(spark, sf_dir):
+    return _shape_rows(shapes.build_shapes(fx.hot_shape_points(spark, sf_dir), chunk_size=STITCHED_CHUNK,
+                                           chunk_by="position"))
+
+
 def q_shapes_ordered(spark, sf_dir):
     s = shapes.order_shapes(shapes_table(spark, sf_dir))
     return s.select("id", "id_num", "sequence", "lat1", "lon1", "lat2", "lon2",
@@ -124,6 +142,25 @@ def q_stops_between_perpendiculars(spark, sf_dir):
     return m.select(*_KEYS, between.alias("between_ends"))
 
 
+SLAB_REACH_M = 1000.0
+
+
+def q_slab_selection(spark, sf_dir):
+    rows = tripstops.stop_rows_of(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir))
+    near = tripstops.stops_near_starts(rows, trip_shapes(spark, sf_dir), SLAB_REACH_M)
+    between = geo.between_perpendiculars_v(
+        geo.Vec3.named("p"), geo.Vec3.named("a"), geo.Vec3.named("b"),
+        geo.same_point("lat1", "lon1", "lat2", "lon2"), geo.same_point("lat", "lon", "lat1", "lon1"))
+    return near.select(*_KEYS, between.alias("between_ends"))
+
+
+def q_cross_track_signed(spark, sf_dir):
+    rows = tripstops.stop_rows_of(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir))
+    near = tripstops.stops_near_starts(rows, trip_shapes(spark, sf_dir), SLAB_REACH_M)
+    off = geo.cross_track_signed("lat", "lon", "lat1", "lon1", "lat2", "lon2")
+    return near.select(*_KEYS, (_r(off, 2) + F.lit(0.0)).alias("cross_track"))  # no negative zero
+
+
 def q_nearest_point_on_circle(spark, sf_dir):
     near = geo.nearest_point_on_circle("lat", "lon", "lat1", "lon1", "lat2", "lon2")
     return (matches(spark, sf_dir).select(*_KEYS, near.alias("n"))
@@ -154,6 +191,18 @@ def q_route_line_groups(spark, sf_dir):
                     text.route_destination("name", 0).alias("dest1"))
 
 
+def q_route_names_line_groups(spark, sf_dir):
+    return fx.named_routes(spark, sf_dir).select("route_id", text.line_group("name").alias("line_group"))
+
+
+def q_stops_from_text(spark, sf_dir):
+    return ingest.stops_from_text(spark, sf_dir)
+
+
+def q_fares_all(spark, sf_dir):
+    return network.fares_lookup(network.clean_fares(fx.fare_attributes(spark, sf_dir)))
+
+
 def q_routes_with_fares(spark, sf_dir):
     return network.routes_with_fares(fx.routes(spark, sf_dir), fx.fare_rules(spark, sf_dir))
 
@@ -206,10 +255,10 @@ BRT_DIRECTIONS = ("purchase", "signup")
 
 def q_gps_all_feeds(spark, sf_dir):
     rows = fx.gps_rows(spark, sf_dir)
-    is_brt = F.col("direction").isin(*BRT_DIRECTIONS)
-    feeds = {"bus": rows.where(~is_brt), "brt": rows.where(is_brt)}
-    parsed = {k: gps.parse_documents(gps.to_documents(v)) for k, v in feeds.items()}
-    return stream.union_feeds({k: gps.normalize_gps(v) for k, v in parsed.items()})
+    # a row without a direction belongs to the bus feed
+    feed = F.when(F.col("direction").isin(*BRT_DIRECTIONS), F.lit("brt")).otherwise(F.lit("bus"))
+    docs = gps.parse_documents(gps.to_documents(rows.withColumn("_source", feed), feed="_source"))
+    return stream.union_feeds({k: gps.normalize_gps(docs.where(F.col("_source") == k)) for k in ("bus", "brt")})
 
 
 def q_gps_stream(spark, sf_dir):
@@ -231,6 +280,16 @@ def q_gps_on_routes(spark, sf_dir):
                     _r("offset_m", 2).alias("offset_m"), _r("route_dist", 2).alias("route_dist"))
 
 
+def q_gps_on_all_routes(spark, sf_dir):
+    routes = network.routes_with_fares(fx.routes(spark, sf_dir), fx.fare_rules(spark, sf_dir))
+    tr = trips_table(spark, sf_dir)
+    reachable = matching.route_shapes(routes, tr).select("shape_id")
+    m = matching.match_fixes(fx.gps_rows_on_all_routes(spark, sf_dir), routes, tr,
+                             shapes_table(spark, sf_dir, only=reachable))
+    return m.select("serial_number", "route_code", "shape_id", "seg_sequence",
+                    _r("offset_m", 2).alias("offset_m"), _r("route_dist", 2).alias("route_dist"))
+
+
 def q_nearby_vehicles(spark, sf_dir):
     near = gps.vehicles_near(gps_feed(spark, sf_dir), *NEAR_CENTER, NEAR_RADIUS_M)
     return near.select("serial_number", "datetime", "lat", "lon", _r("dist", 2).alias("dist"))

@@ -8,10 +8,11 @@ against the direct formulation.  Geometry is expanded inline.
 
 from __future__ import annotations
 
-from ..functions.sql_text import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql,
-                                  line_code_sql, nearest_latlon_sql, nvec, on_segment_sql,
-                                  planar_distance_sql, planar_projection_sql)
-from ..functions.text import LINE_GROUP_PATTERN as LINE_GROUP
+from .oracle_geometry import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql, line_code_sql,
+                              near_side_sql, nearest_latlon_sql, on_segment_sql, planar_distance_sql,
+                              planar_projection_sql, signed_cross_track_sql)
+
+LINE_GROUP = r"\bBRS?\b (([A-D]|I|[0-9])+, ?)+([A-Za-z0-9 -])+"
 
 # ---- fixture projections (FIXTURES.md section 3, same text as the Spark side)
 FX = {
@@ -116,24 +117,25 @@ select r.route_id as id, r.code
 from fx_routes r join fx_fare_rules f on r.route_id = f.route_id"""
 
 
-def _gps_on_routes(max_offset_m: str = "100e0") -> str:
+def _gps_on_routes(max_offset_m: str = "100e0", fixes: str | None = None,
+                   keep: str = "serial_number, datetime, route_code") -> str:
+    fixes = fixes or f"(select event_id, {GPS_CLEAN_COLS} from fx_gps)"
     a6 = ("g.lat", "g.lon", "s.lat1", "s.lon1", "s.lat2", "s.lon2")
-    n0, n1, n2 = nvec("g.lat", "g.lon"), nvec("s.lat1", "s.lon1"), nvec("s.lat2", "s.lon2")
-    near_side = " + ".join(f"{x} * ({y} + {z})" for x, y, z in zip(n0, n1, n2)) + " > 0"
+    near_side = near_side_sql(*a6)
     off = (f"case when {between_sql(*a6)} and ({near_side}) and not (s.lat1 = s.lat2 and s.lon1 = s.lon2) "
            f"then {cross_track_sql(*a6)} else least({dist_sql('g.lat', 'g.lon', 's.lat1', 's.lon1')}, "
            f"{dist_sql('g.lat', 'g.lon', 's.lat2', 's.lon2')}) end")
     cand = f"""
 select g.event_id, g.serial_number, g.datetime, g.route_code, s.id as shape_id, s.sequence as seg_sequence,
        {off} as offset_m, s.total_dist - s.dist + {along_sql(*a6)} as route_dist
-from (select event_id, {GPS_CLEAN_COLS} from fx_gps) g
+from {fixes} g
 join (select distinct r.code as route_code, t.shape_id
       from (select distinct id, code from routes) r join trips t on r.id = t.route_id) c
   on g.route_code = c.route_code
 join shapes s on s.id = c.shape_id"""
     return with_fx("fx_shape_points", "fx_trips", "fx_routes", "fx_fare_rules", "fx_gps", extra=[
         ("shapes", SHAPES), ("trips", TRIPS), ("routes", ROUTES), ("cand", cand)]) + f"""
-select serial_number, datetime, route_code, shape_id, seg_sequence, round(offset_m, 2) as offset_m,
+select {keep}, shape_id, seg_sequence, round(offset_m, 2) as offset_m,
        round(route_dist, 2) as route_dist
 from (select *, row_number() over (partition by event_id order by round(offset_m, 3), shape_id, seg_sequence) as rn
       from cand where offset_m <= {max_offset_m}) x
@@ -163,6 +165,9 @@ from lineitem l join orders o on l.l_orderkey = o.o_orderkey"""
     q["hot_shape_lengths"] = "with " + ",\n".join([
         f"fx_shape_points as ({hot_points})", f"shapes as ({SHAPES})"]) + """
 select id, count(*) as n_segments, round(max(total_dist), 3) as length from shapes group by id"""
+    stitched = "with " + ",\n".join([f"fx_shape_points as ({hot_points})", f"shapes as ({SHAPES})"]) + """
+select id, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist, round(total_dist, 2) as total_dist from shapes"""
+    q["shapes_stitched"] = q["shapes_by_position"] = stitched
     q["shapes_ordered"] = with_fx("fx_shape_points", extra=[("shapes", SHAPES)]) + """
 select id, try_cast(id as bigint) as id_num, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist,
        round(total_dist, 3) as total_dist
@@ -178,6 +183,17 @@ from shapes"""
     q["stops_between_perpendiculars"] = _matches_query(
         f"select trip_id, stop_id, sequence, seg_sequence, "
         f"{between_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')} as between_ends from matches")
+    near = with_fx(*_PIPE, extra=[*_PIPE_STAGES[:3], ("near", f"""
+select r.trip_id, r.stop_id, r.sequence, s.sequence as seg_sequence, r.lat, r.lon, s.lat1, s.lon1, s.lat2, s.lon2
+from (select st.trip_id, st.stop_id, st.sequence, st.shape_id, p.lat, p.lon
+      from stop_times st join fx_stops p on st.stop_id = p.id) r
+join shapes s on r.shape_id = s.id
+where {dist_sql('r.lat', 'r.lon', 's.lat1', 's.lon1')} <= 1000e0""")])
+    q["slab_selection"] = near + (f"select trip_id, stop_id, sequence, seg_sequence, "
+                                  f"{between_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')} as between_ends from near")
+    q["cross_track_signed"] = near + (
+        f"select trip_id, stop_id, sequence, seg_sequence, "
+        f"round({signed_cross_track_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 2) + 0e0 as cross_track from near")
     nla, nlo = nearest_latlon_sql("lat", "lon", "lat1", "lon1", "lat2", "lon2")
     q["nearest_point_on_circle"] = _matches_query(
         f"select trip_id, stop_id, sequence, seg_sequence, round({nla}, 6) as near_lat, "
@@ -199,6 +215,18 @@ from shapes"""
 select route_id, regexp_extract(name, '{LINE_GROUP}', 0) as line_group,
        trim(string_split(name, '-')[1]) as dest1
 from fx_routes"""
+    q["route_names_line_groups"] = f"""
+select cast(c_custkey as varchar) as route_id, regexp_extract(case cast(c_custkey % 5 as int) when 0 then c_name
+       when 1 then 'corridor BR A' || (c_custkey % 10) || ', B2, ' || c_mktsegment || ' - depot'
+       when 2 then 'BRS ' || (c_custkey % 10) || ',' || c_mktsegment
+       when 3 then 'BRX 1, ' || c_mktsegment else 'BR 12 ' || c_mktsegment end, '{LINE_GROUP}', 0) as line_group
+from customer"""
+    q["stops_from_text"] = with_fx("fx_stops") + """
+select id, case when bad then 'quarantine' else 'ok' end as status, case when not bad then code end as code,
+       case when not bad then name || ', "stop"' end as name, case when not bad then coalesce(info, '') end as info,
+       case when not bad then lat end as lat, case when not bad then lon end as lon
+from (select *, id::bigint % 50 = 0 as bad from fx_stops) x"""
+    q["fares_all"] = with_fx("fx_fares") + "select * from fx_fares"
     q["routes_with_fares"] = with_fx("fx_routes", "fx_fare_rules") + """
 select r.route_id as id, r.code, r.name, r.description,
        trim(string_split(r.name, '-')[1]) as dest1, trim(string_split(r.name, '-')[3]) as dest2,
@@ -236,6 +264,11 @@ select serial_number, date_trunc('second', datetime) as datetime,
               ')|V:', cast(vel as varchar), '|D:', direction) as record
 from fx_gps"""
     q["gps_on_routes"] = _gps_on_routes()
+    q["gps_on_all_routes"] = _gps_on_routes(fixes="""(
+select event_id, concat('A', cast(event_id as varchar)) as serial_number, ts as datetime,
+       cast((event_id * 31 + user_id) % 1000 as varchar) as route_code,
+       -22.9e0 + cast((event_id * 7919) % 10100 as double) / 1e5 as lat,
+       -43.2e0 - cast((event_id * 104729) % 10300 as double) / 1e5 as lon from events)""", keep="serial_number, route_code")
     q["nearby_vehicles"] = with_fx("fx_gps") + f"""
 select serial_number, date_trunc('second', datetime) as datetime, lat, lon, round(d, 2) as dist
 from (select *, {dist_sql('lat', 'lon', '-22.86e0', '-43.23e0')} as d from fx_gps) g

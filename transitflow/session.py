@@ -30,7 +30,7 @@ def build_session(master: str | None = None, *, app: str = "transitflow",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         # checkpoint files of materialised intermediates are removed once the
         # DataFrames that use them are garbage collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -52,10 +52,13 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a private one only when
-    the session names none (local tests)."""
+    """Return the session's checkpoint folder.  A private one is made only for
+    a local master (tests); elsewhere executors could not see it, so a session
+    that names none is an error."""
     root = checkpoint_root(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CONF_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="transitflow-ckpt-")
         spark.conf.set(_CONF_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -102,19 +105,3 @@ def scale_settings(input_bytes: int, *, target_partition_bytes: int = 512 << 20,
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
-
-
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """A side table for a join: materialised, its rows counted by a metric
-    observed on that same job, and marked for broadcast only when the count
-    is within ``max_rows`` (a checked bound); larger tables are returned as
-    they are for a shuffle join."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    obs = Observation(f"side_rows_{uuid.uuid4().hex}")
-    m = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return F.broadcast(m) if obs.get["rows"] <= max_rows else m

@@ -32,7 +32,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
 
 
 def jdbc_batch_appender(url: str, table: str, properties: dict[str, str]):
-    """``foreachBatch`` callback appending each streaming micro-batch."""
+    """``foreachBatch`` callback that adds each streaming micro-batch as a
+    table of its own, ``<table>_batch_<id>``, written with ``overwrite``: a
+    batch replayed after a failure replaces itself and repeats no row."""
     def _append(batch: DataFrame, batch_id: int) -> None:
-        write_jdbc(batch, url, table, properties, mode="append")
+        write_jdbc(batch, url, f"{table}_batch_{batch_id}", properties, mode="overwrite")
     return _append

@@ -131,3 +131,23 @@ def gps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "-43.2e0 - cast((event_id * 104729) % 103 as double) / 1e3 as lon",
         "value as vel", "event_type as direction",
     )
+
+
+def named_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """route_id, name: names with and without a line group, e.g. ``corridor BR
+    A1, B2, north - depot``."""
+    return load(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as string) as route_id",
+        "case cast(c_custkey % 5 as int) when 0 then c_name when 1 then concat('corridor BR A', cast(c_custkey % 10 as string), "
+        "', B2, ', c_mktsegment, ' - depot') when 2 then concat('BRS ', cast(c_custkey % 10 as string), ',', c_mktsegment) "
+        "when 3 then concat('BRX 1, ', c_mktsegment) else concat('BR 12 ', c_mktsegment) end as name")
+
+
+def gps_rows_on_all_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GPS rows already normalised, their codes spread over all route codes."""
+    return load(spark, sf_dir, "events").selectExpr(
+        "ts as datetime", "concat('A', cast(event_id as string)) as serial_number",
+        "cast((event_id * 31 + user_id) % 1000 as string) as route_code",
+        "-22.9e0 + cast((event_id * 7919) % 10100 as double) / 1e5 as lat",
+        "-43.2e0 - cast((event_id * 104729) % 10300 as double) / 1e5 as lon",
+        "value as vel", "event_type as direction")

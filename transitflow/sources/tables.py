@@ -30,7 +30,10 @@ class TableStore:
     def _read(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path(name))
-        except AnalysisException:
+        except AnalysisException as e:
+            # only "no such folder" and "folder without data files" mean missing
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return None
 
     def table(self, name: str) -> DataFrame:

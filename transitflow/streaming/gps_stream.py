@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import schemas
 from ..operators import gps
@@ -121,7 +121,7 @@ def start_route_matching(rows: DataFrame, routes: DataFrame, trips: DataFrame, s
     result to Parquet.
 
     The static side (segments exploded into grid cells) is computed once and
-    kept in executor memory across batches; each batch is a plain batch
+    kept in executor memory until the query ends; each batch is a plain batch
     DataFrame inside ``foreachBatch``.  Output files are named by batch id
     (overwrite of ``batch=<id>``), so a batch replayed after a failure
     replaces its own output instead of appending twice."""
@@ -133,4 +133,35 @@ def start_route_matching(rows: DataFrame, routes: DataFrame, trips: DataFrame, s
         matched = matching.match_fixes(batch, routes, trips, segments, max_offset_m, segment_cells_df=cells)
         matched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
 
-    return start_batch_sink(rows, _batch, checkpoint, trigger=trigger, available_now=available_now)
+    query = start_batch_sink(rows, _batch, checkpoint, trigger=trigger, available_now=available_now)
+    spark = rows.sparkSession
+    release = _ReleaseOnEnd(spark, str(query.id), cells)
+    spark.streams.addListener(release)
+    if not query.isActive:  # it may have ended before the listener was there
+        release.free()
+    return query
+
+
+class _ReleaseOnEnd(StreamingQueryListener):
+    """Unpersists a cached side table when its query ends."""
+
+    def __init__(self, spark: SparkSession, query_id: str, cached: DataFrame):
+        self.spark, self.query_id, self.cached = spark, query_id, cached
+
+    def free(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()
+            self.cached = None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.free()
