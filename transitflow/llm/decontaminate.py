@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ERROR_PERCENT = 5
+ERROR_PERCENT = 7
 MIN_WORDS = 5
 BLOCK_BYTES = 4 << 20
 
