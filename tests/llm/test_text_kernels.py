@@ -207,3 +207,26 @@ def test_lattice_sums_all_segmentations():
     at = {p: i for i, p in enumerate(pieces)}
     z = total(b" ab", 0)
     assert uses[at[b"ab"], 0] == pytest.approx(probs[at[b" "], 0] * probs[at[b"ab"], 0] / z)
+
+
+def test_encoder_equals_the_tokenizer_on_whole_texts():
+    import public_tokenizers
+    from transitflow.llm import token_files as K
+    encoder = K.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(1)
+    bits = ["a", "é", " ", "  ", "\n", "\n\n", "\t", "'", "'s", "'ll", ",", ".", "9", "12", " ", "́", "中", "<|endoftext|>",
+            "😀", "\r\n", "#", "B", "\x1f", " ", "don't", "I'm ", "\x7f", " the", " és", " "]
+    rows = [None, "", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(8000))]
+    got = []
+    for docs in T.chunks(pa.array(rows, pa.string()), max_bytes=5000):
+        ids, sizes = encoder(docs)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [[*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in rows]
+    # a table in which nearly every part loses its slot changes nothing
+    old, K.SLOTS = K.SLOTS, 8
+    try:
+        encoder.forget()
+        again = [x for docs in T.chunks(pa.array(rows, pa.string()), max_bytes=5000) for x in [encoder(docs)[0]]]
+    finally:
+        K.SLOTS = old
+    assert np.concatenate(again).tolist() == [i for x in got for i in x]

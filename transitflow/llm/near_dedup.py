@@ -85,7 +85,8 @@ def shingle_sets(docs: T.Docs) -> list[np.ndarray]:
     sets = []
     for i in range(len(docs)):
         if b[i + 1] > b[i]:
-            sets.append(np.unique(g[b[i]:b[i + 1]]))
+            s = np.sort(g[b[i]:b[i + 1]])
+            sets.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
         elif words.n[i]:  # a short text: its word sequence is the only shingle
             h = words.h[words.first[i]:words.first[i + 1]]
             sets.append(T.gram_hashes(h, len(h)) ^ T.U64(len(h)))

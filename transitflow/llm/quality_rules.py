@@ -97,9 +97,10 @@ def _lines(docs: T.Docs, words: T.Words) -> tuple[np.ndarray, np.ndarray]:
                 total += 1
                 seen[line] = 1
         return np.array([total]), np.array([total - len(seen)])
-    cut = np.flatnonzero(docs.buf == 10)
-    start = np.unique(np.concatenate((docs.off[:-1], cut + 1)))
-    start = start[start < len(docs.buf)]
+    begins = np.zeros(len(docs.buf) + 1, dtype=bool)
+    begins[docs.off[:-1]] = True
+    begins[1:] |= docs.buf == 10
+    start = np.flatnonzero(begins[:-1])
     if not len(start):
         return np.zeros(n, np.int64), np.zeros(n, np.int64)
     end = np.append(start[1:], len(docs.buf))

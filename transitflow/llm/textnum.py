@@ -10,6 +10,8 @@ alone, block by block at word boundaries.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,11 +127,25 @@ def _block_words(docs: Docs, lo: int, hi: int, hashes: bool, separators: np.ndar
     return start + lo, end + lo, span_hashes(buf, start, end) if hashes else np.zeros(0, U64)
 
 
+def worker_store() -> dict:
+    """A dictionary that lives as long as the worker process, so tasks of one
+    worker share tables.  What is kept there must be bounded and must never
+    change a result."""
+    name = "_transitflow_worker_store"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, dtype=U64)
-    if n:
+    """base^0 .. base^(n-1) mod 2^64; those of a chunk are kept."""
+    store = worker_store().setdefault("powers", {})
+    if n > len(store.get(base, ())):
+        p = np.full(max(n, CHUNK_BYTES + 1 if n <= CHUNK_BYTES + 1 else n), base, dtype=U64)
         p[0] = 1
-    return np.cumprod(p, dtype=U64)
+        p = np.cumprod(p, dtype=U64)
+        if len(p) > CHUNK_BYTES + 1:
+            return p[:n]
+        store[base] = p
+    return store[base][:n]
 
 
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -9,9 +9,10 @@ Spark's writer stores the images (one row each), so failed or repeated tasks
 leave no half-written shard and any file system will do.
 
 Encoding: the tokenizer's pattern never joins a character that is not white
-space to a following space, so a text can be cut there and its parts encoded
-apart with the same ids.  Distinct parts of a chunk are encoded once, by the
-tokenizers library, and remembered for the task (bounded).
+space to a following space, nor a letter to a following character that is none,
+so a text can be cut there (:func:`cut_between`) and its parts encoded apart
+with the same ids.  Distinct parts of a chunk are encoded once, by the
+tokenizers library, and remembered by the worker (a table of fixed size).
 
 Defined results: a null text is empty, so its document holds the end id alone;
 documents with equal ids are ordered by text; null ids come first; extra
@@ -24,6 +25,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,63 +41,125 @@ from .wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 21
-REMEMBERED = 1 << 20
+SLOTS = 1 << 21            # parts remembered per worker
+REMEMBERED_IDS = 1 << 24   # ids held for them before the table starts anew
+JOINED = 512               # new parts encoded as one text
 MAGIC = b"TOKS"
 
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
+
 
 class Encoder:
-    """Encodes runs of documents, each distinct part once."""
+    """Encodes runs of documents, each distinct part once.
+
+    Parts seen are remembered in a table with one slot per hash residue: a
+    part that finds its slot taken by another is encoded again and takes the
+    slot over, so the table stays at its size and never changes a result."""
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # one character of a byte-level token stands for one byte
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self.token_bytes[i] = len(token)
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, T.U64)          # sorted hashes of the parts seen
-        self.at = np.zeros(0, np.int64)         # place of each part's ids ...
-        self.size = np.zeros(0, np.int64)       # ... and their number
-        self.ids = np.zeros(0, np.uint32)
+        self.keys = np.zeros(SLOTS, T.U64)
+        self.at = np.full(SLOTS, -1, np.int32)      # place of the slot's ids ...
+        self.size = np.zeros(SLOTS, np.int32)       # ... and their number
+        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
 
     def __call__(self, docs: T.Docs) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents with their end ids, ids per document)."""
         n, buf = len(docs), docs.buf
-        inner = (buf[1:] == 0x20) & (buf[:-1] > 0x20) & (buf[:-1] < 0x7F)
-        begins = docs.off[:-1][np.diff(docs.off) > 0]
-        start = np.unique(np.concatenate((begins, np.flatnonzero(inner) + 1)))
+        begins = np.zeros(len(buf) + 1, dtype=bool)
+        cut_between(buf, begins[1:-1])
+        begins[docs.off[:-1]] = True
+        start = np.flatnonzero(begins[:-1])
         end = np.append(start[1:], len(buf)) if len(start) else start
-        part = self._look_up(buf, start, end)
-        size, at = self.size[part], self.at[part]
+        at, size = self._look_up(buf, start, end)
         # ids of part p go to out[dest[p]:dest[p] + size[p]]; one slot more ends a document
         doc = np.searchsorted(docs.off, start, "right") - 1
-        dest = np.cumsum(size) - size + doc
-        total = int(size.sum())
+        ends = np.cumsum(size)
+        begin = ends - size
+        total = int(ends[-1]) if len(ends) else 0
         out = np.full(total + n, END_ID, dtype=np.uint32)
-        step = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(dest, size) + step] = self.ids[np.repeat(at, size) + step]
+        place = np.arange(total)
+        out[place + np.repeat(doc, size)] = self.ids[place + np.repeat(at - begin, size)]
         return out, np.bincount(doc, weights=size, minlength=n).astype(np.int64) + 1
 
-    def _look_up(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        keys, first, inverse = np.unique(T.span_hashes(buf, start, end), return_index=True, return_inverse=True)
-        if len(self.keys) > REMEMBERED:
+    def _look_up(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of ids of every part; encodes what is new."""
+        if self.used > REMEMBERED_IDS:
             self.forget()
-        place = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), dtype=bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == keys[inside]
-        new = np.flatnonzero(~known)
+        h = T.span_hashes(buf, start, end)
+        slot = (h & T.U64(SLOTS - 1)).astype(np.int64)
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
+        new = np.flatnonzero((self.keys[slot] != h) | (at < 0))
         if len(new):
-            raw = buf.tobytes()
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[first[new]], end[first[new]], strict=True)]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            at = len(self.ids) + np.cumsum(size) - size
-            self.ids = np.concatenate((self.ids, np.fromiter((x for y in ids for x in y), np.uint32, int(size.sum()))))
-            self.keys = np.insert(self.keys, place[new], keys[new])
-            self.at = np.insert(self.at, place[new], at)
-            self.size = np.insert(self.size, place[new], size)
-        return np.searchsorted(self.keys, keys)[inverse]
+            keys, first, inverse = np.unique(h[new], return_index=True, return_inverse=True)
+            ids, sizes = self._encode(buf, start[new[first]], end[new[first]])
+            if self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate((self.ids[:self.used], np.zeros(len(ids) + len(self.ids), np.uint32)))
+            places = self.used + np.cumsum(sizes) - sizes
+            self.ids[self.used:self.used + len(ids)] = ids
+            self.used += len(ids)
+            at[new], size[new] = places[inverse], sizes[inverse]
+            s = (keys & T.U64(SLOTS - 1)).astype(np.int64)
+            self.keys[s], self.at[s], self.size[s] = keys, places, sizes
+            clash = self.keys[s] != keys  # two new parts in one slot: forget both
+            self.at[s[clash]] = -1
+        return at, size
+
+    def _encode(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts, one after the other, and their numbers.
+
+        Parts that begin with a space and end in a printable ASCII character
+        are encoded several to a text - the tokenizer cuts it at the same
+        places - and the ids are told apart by the bytes they stand for."""
+        raw, last = buf.tobytes(), buf[end - 1]
+        plain = (buf[start] == 0x20) & (end - start > 1) & (last > 0x20) & (last < 0x7F)
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        n, width = int(plain.sum()), (end - start)[order]
+        parts = [raw[a:b] for a, b in zip(start[order].tolist(), end[order].tolist(), strict=True)]
+        bounds = [(k, min(n, k + JOINED)) for k in range(0, n, JOINED)] + [(i, i + 1) for i in range(n, len(parts))]
+        texts = [b"".join(parts[a:b]).decode("utf-8", "replace") for a, b in bounds]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        sizes = np.empty(len(parts), np.int64)
+        sizes[n:] = [len(x) for x in found[len(bounds) - len(parts) + n:]]
+        m = len(ids) - int(sizes[n:].sum())
+        cut = np.searchsorted(np.cumsum(self.token_bytes[ids[:m]]), np.cumsum(width[:n])) + 1
+        sizes[:n] = np.diff(cut, prepend=0)
+        # back to the order asked for
+        begin, back = np.cumsum(sizes) - sizes, np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        size = sizes[back]
+        return ids[np.repeat(begin[back] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))], size
+
+
+def cut_between(buf: np.ndarray, cut: np.ndarray) -> None:
+    """Marks places between two bytes where the pattern always ends a token
+    and what lies left of the place does not depend on what lies right of it:
+    a printable ASCII character before a space, an ASCII letter before an
+    ASCII character that is none, and one line break between a printable ASCII
+    character and an ASCII letter."""
+    printable, letter = (buf > 0x20) & (buf < 0x7F), _ASCII_LETTER[buf]
+    np.logical_or(printable[:-1] & (buf[1:] == 0x20), letter[:-1] & ~letter[1:] & (buf[1:] < 0x80), out=cut)
+    cut[1:] |= printable[:-2] & (buf[1:-1] == 0x0A) & letter[2:]
+
+
+def worker_encoder(tokenizer_file: str) -> Encoder:
+    """The worker's encoder for a file: tasks of one worker share its table."""
+    store = T.worker_store().setdefault("encoders", {})
+    if tokenizer_file not in store:
+        store[tokenizer_file] = Encoder(tokenizer_file)
+    return store[tokenizer_file]
 
 
 def shard_image(ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> bytes:
@@ -141,7 +205,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_file: str, shard_tokens:
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = Encoder(tokenizer_file), TaskContext.get().partitionId(), 0
+        encoder, part, seq = worker_encoder(tokenizer_file), TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, list, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 MAGIC = b"WVM1"
@@ -35,7 +36,14 @@ class Plane:
         return cls(words, len(bits))
 
     def bits(self) -> np.ndarray:
-        return np.unpackbits(self.words.view(np.uint8), count=self.n, bitorder="little").astype(bool)
+        return np.unpackbits(self.words.view(np.uint8), count=self.n, bitorder="little").view(bool)
+
+    def partition(self, t: np.ndarray) -> np.ndarray:
+        """Entries under zeros, then entries under ones, each in order."""
+        a = pa.array(t)
+        halves = [a.filter(pa.BooleanArray.from_buffers(pa.bool_(), self.n, [None, pa.py_buffer(w)])).to_numpy()
+                  for w in (~self.words, self.words)]
+        return np.concatenate(halves)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return ((self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
@@ -67,20 +75,21 @@ class WaveletMatrix:
         t = t.astype(np.uint16 if bits <= 16 else np.uint32)
         planes = []
         for level in range(bits - 1, -1, -1):
-            bit = (t >> level) & 1 == 1
-            planes.append(Plane.pack(bit))
-            t = np.concatenate((t[~bit], t[bit]))
+            plane = Plane.pack((t & t.dtype.type(1 << level)) != 0)
+            planes.append(plane)
+            t = plane.partition(t)
         return cls(planes, len(t))
 
     def decode(self) -> np.ndarray:
         """The whole sequence, undoing the planes from the lowest."""
-        t = np.zeros(self.n, dtype=np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        t = np.zeros(self.n, dtype=kind)
         for level, plane in enumerate(reversed(self.planes)):
             bit = plane.bits()
             up = np.empty_like(t)
-            up[~bit] = t[:plane.zeros]
-            up[bit] = t[plane.zeros:]
-            t = up | (bit.astype(np.uint32) << np.uint32(level))
+            up[np.flatnonzero(~bit)] = t[:plane.zeros]
+            up[np.flatnonzero(bit)] = t[plane.zeros:] | kind(1 << level)
+            t = up
         return t
 
     def access(self, i: np.ndarray) -> np.ndarray:
