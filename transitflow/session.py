@@ -103,5 +103,7 @@ def scale_settings(input_bytes: int, *, target_partition_bytes: int = 512 << 20,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        # rows handed to Python at a time: long documents make large batches
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
