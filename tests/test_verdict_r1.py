@@ -176,6 +176,26 @@ def test_geometry_by_hand(spark):
         assert get(geo.between_perpendiculars(*lit(lat, lon, 0, 0, 0, 10))) is want
 
 
+def test_bearings_by_hand(spark):
+    r = math.pi * geo.EARTH_RADIUS_M / 180
+    get = lambda c: spark.range(1).select(c.alias("x")).first().x
+    lit = lambda *v: [F.lit(float(x)) for x in v]
+    for lat, lon, want in ((1, 0, 0), (0, 1, 90), (-1, 0, 180), (0, -1, 270)):
+        assert get(geo.bearing(*lit(0, 0, lat, lon))) == pytest.approx(want)
+    assert get(geo.cross_track_by_bearing(*lit(3, 4, 0, 0, 0, 10))) == pytest.approx(-3 * r)
+    assert get(geo.along_track_by_bearing(*lit(3, 4, 0, 0, 0, 10))) == pytest.approx(4 * r)
+    assert get(geo.along_track_by_bearing(*lit(3, -4, 0, 0, 0, 10))) == pytest.approx(-4 * r)
+
+
+def test_tables_print_and_stops_sort(spark, capsys):
+    stops = network.order_stops(network.clean_stops(fx.stops(spark, SF001)))
+    ids = [r.id for r in stops.collect()]
+    assert ids == sorted(ids)
+    writers.print_table(stops, 2)
+    out = capsys.readouterr().out
+    assert "only showing top 2 rows" in out and "| code" in out.replace("|code", "| code")
+
+
 def test_reference_geometry_is_separate():
     src = open(oracle.__file__).read() + open(oracle.__file__.replace("oracle.py", "oracle_geometry.py")).read()
     assert not re.search(r"^(from|import) .*functions", src, re.M)

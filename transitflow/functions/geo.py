@@ -197,6 +197,34 @@ def cross_track_signed(lat, lon, lat1, lon1, lat2, lon2) -> Column:
     return F.when(same_point(lat1, lon1, lat2, lon2), distance(lat, lon, lat1, lon1)).otherwise(off)
 
 
+# ---- the same distances from bearings ------------------------------------------
+
+def bearing(lat1, lon1, lat2, lon2) -> Column:
+    """Initial bearing in degrees from north, clockwise, in [0, 360)."""
+    p1, p2, dl = F.radians(_c(lat1)), F.radians(_c(lat2)), F.radians(_c(lon2) - _c(lon1))
+    east = F.sin(dl) * F.cos(p2)
+    north = F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dl)
+    return F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))
+
+
+def _leg(lat, lon, lat1, lon1, lat2, lon2) -> tuple[Column, Column]:
+    """Arc from the first end point to the point, and its angle to the segment."""
+    turn = F.radians(bearing(lat1, lon1, lat, lon) - bearing(lat1, lon1, lat2, lon2))
+    return haversine(lat1, lon1, lat, lon) / F.lit(EARTH_RADIUS_M), turn
+
+
+def cross_track_by_bearing(lat, lon, lat1, lon1, lat2, lon2) -> Column:
+    """Signed cross-track distance in metres (negative to the left)."""
+    arc, turn = _leg(lat, lon, lat1, lon1, lat2, lon2)
+    return F.lit(EARTH_RADIUS_M) * F.asin(F.sin(arc) * F.sin(turn))
+
+
+def along_track_by_bearing(lat, lon, lat1, lon1, lat2, lon2) -> Column:
+    """Signed along-track distance in metres (negative behind the start)."""
+    arc, turn = _leg(lat, lon, lat1, lon1, lat2, lon2)
+    return F.lit(EARTH_RADIUS_M) * F.atan2(F.sin(arc) * F.cos(turn), F.cos(arc))
+
+
 # ---- planar approximations in degree space ------------------------------------
 
 # Fixed value (must equal the original's): metres per degree of the planar

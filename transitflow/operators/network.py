@@ -51,6 +51,11 @@ def clean_stops(stops: DataFrame) -> DataFrame:
         F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
 
 
+def order_stops(stops: DataFrame) -> DataFrame:
+    """Stops sorted by id (a distributed range sort)."""
+    return stops.orderBy("id")
+
+
 def stops_lookup(stops: DataFrame, stop_id: str | None = None) -> DataFrame:
     return stops if stop_id is None else stops.where(F.col("id") == F.lit(str(stop_id)))
 

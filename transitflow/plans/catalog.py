@@ -161,6 +161,14 @@ def q_cross_track_signed(spark, sf_dir):
     return near.select(*_KEYS, (_r(off, 2) + F.lit(0.0)).alias("cross_track"))  # no negative zero
 
 
+def q_bearing_forms(spark, sf_dir):
+    rows = tripstops.stop_rows_of(stop_times_table(spark, sf_dir), fx.stops(spark, sf_dir))
+    near = tripstops.stops_near_starts(rows, trip_shapes(spark, sf_dir), SLAB_REACH_M)
+    a6 = ("lat", "lon", "lat1", "lon1", "lat2", "lon2")
+    return near.select(*_KEYS, (_r(geo.cross_track_by_bearing(*a6), 2) + F.lit(0.0)).alias("cross_track"),
+                       (_r(geo.along_track_by_bearing(*a6), 2) + F.lit(0.0)).alias("along_track"))
+
+
 def q_nearest_point_on_circle(spark, sf_dir):
     near = geo.nearest_point_on_circle("lat", "lon", "lat1", "lon1", "lat2", "lon2")
     return (matches(spark, sf_dir).select(*_KEYS, near.alias("n"))
@@ -219,6 +227,10 @@ def q_stops_clean(spark, sf_dir):
     return network.clean_stops(fx.stops(spark, sf_dir))
 
 
+def q_stops_ordered(spark, sf_dir):
+    return network.order_stops(network.clean_stops(fx.stops(spark, sf_dir)))
+
+
 def q_stop_keys_md5(spark, sf_dir):
     return network.stop_keys(fx.stops(spark, sf_dir))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from .oracle_geometry import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql, line_code_sql,
                               near_side_sql, nearest_latlon_sql, on_segment_sql, planar_distance_sql,
-                              planar_projection_sql, signed_cross_track_sql)
+                              planar_projection_sql, signed_along_sql, signed_cross_track_sql)
 
 LINE_GROUP = r"\bBRS?\b (([A-D]|I|[0-9])+, ?)+([A-Za-z0-9 -])+"
 
@@ -194,6 +194,10 @@ where {dist_sql('r.lat', 'r.lon', 's.lat1', 's.lon1')} <= 1000e0""")])
     q["cross_track_signed"] = near + (
         f"select trip_id, stop_id, sequence, seg_sequence, "
         f"round({signed_cross_track_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 2) + 0e0 as cross_track from near")
+    q["bearing_forms"] = near + (
+        f"select trip_id, stop_id, sequence, seg_sequence, "
+        f"round({signed_cross_track_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 2) + 0e0 as cross_track, "
+        f"round({signed_along_sql('lat', 'lon', 'lat1', 'lon1', 'lat2', 'lon2')}, 2) + 0e0 as along_track from near")
     nla, nlo = nearest_latlon_sql("lat", "lon", "lat1", "lon1", "lat2", "lon2")
     q["nearest_point_on_circle"] = _matches_query(
         f"select trip_id, stop_id, sequence, seg_sequence, round({nla}, 6) as near_lat, "
@@ -238,6 +242,7 @@ from fx_routes r join fx_fare_rules f on r.route_id = f.route_id"""
 select id, case when length(code) between 1 and 18 then code else '' end as code, name,
        coalesce(info, '') as info, lat, lon
 from fx_stops"""
+    q["stops_ordered"] = q["stops_clean"] + " order by id"
     q["stop_keys_md5"] = with_fx("fx_stops") + """
 select id, md5(concat(cast(lat as varchar), ',', cast(lon as varchar))) as stop_key from fx_stops"""
     q["trips_by_route"] = with_fx("fx_trips", extra=[("trips", TRIPS)]) + \

@@ -86,6 +86,14 @@ def signed_cross_track_sql(lat, lon, lat1, lon1, lat2, lon2) -> str:
             f"else -{EARTH_M} * asin({inner(p, normal(a, b))}) end)")
 
 
+def signed_along_sql(lat, lon, lat1, lon1, lat2, lon2) -> str:
+    """Angle from the start, measured in the segment's plane toward its end."""
+    p, a, b = xyz(lat, lon), xyz(lat1, lon1), xyz(lat2, lon2)
+    n = normal(a, b)
+    ahead = [f"(({n[(i + 1) % 3]}) * ({a[(i + 2) % 3]}) - ({n[(i + 2) % 3]}) * ({a[(i + 1) % 3]}))" for i in range(3)]
+    return f"({EARTH_M} * atan2({inner(p, ahead)}, {inner(p, a)}))"
+
+
 def cross_track_sql(lat, lon, lat1, lon1, lat2, lon2) -> str:
     return f"abs{signed_cross_track_sql(lat, lon, lat1, lon1, lat2, lon2)}"
 

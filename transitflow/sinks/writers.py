@@ -31,6 +31,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
      .jdbc(url=url, table=table, properties=dict(properties)))
 
 
+def print_table(df: DataFrame, rows: int = 20) -> None:
+    """The first rows on the console, whole values."""
+    df.show(rows, truncate=False)
+
+
 def jdbc_batch_appender(url: str, table: str, properties: dict[str, str]):
     """``foreachBatch`` callback that adds each streaming micro-batch as a
     table of its own, ``<table>_batch_<id>``, written with ``overwrite``: a
