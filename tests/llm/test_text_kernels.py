@@ -230,3 +230,13 @@ def test_encoder_equals_the_tokenizer_on_whole_texts():
     finally:
         K.SLOTS = old
     assert np.concatenate(again).tolist() == [i for x in got for i in x]
+
+
+def test_powers_of_any_length(monkeypatch):
+    monkeypatch.setattr(T, "CHUNK_BYTES", 8)
+    T.worker_store().pop("powers", None)
+    for n in (0, 3, 9, 30, 0, 9):
+        assert T._powers(T._MULT, n).tolist() == [pow(T._MULT, k, 1 << 64) for k in range(n)]
+    T.worker_store().pop("powers", None)
+    (docs,) = T.chunks(pa.array(["", None]))
+    assert len(T.Words(docs)) == 0 and T.span_hashes(docs.buf, np.zeros(0, int), np.zeros(0, int)).tolist() == []

@@ -138,14 +138,15 @@ def worker_store() -> dict:
 def _powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) mod 2^64; those of a chunk are kept."""
     store = worker_store().setdefault("powers", {})
-    if n > len(store.get(base, ())):
-        p = np.full(max(n, CHUNK_BYTES + 1 if n <= CHUNK_BYTES + 1 else n), base, dtype=U64)
-        p[0] = 1
-        p = np.cumprod(p, dtype=U64)
-        if len(p) > CHUNK_BYTES + 1:
-            return p[:n]
+    usual = CHUNK_BYTES + 1
+    if n <= usual and base in store:
+        return store[base][:n]
+    p = np.full(max(n, usual), base, dtype=U64)
+    p[0] = 1
+    p = np.cumprod(p, dtype=U64)
+    if n <= usual:
         store[base] = p
-    return store[base][:n]
+    return p[:n]
 
 
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
