@@ -9,10 +9,11 @@ A document in service at the cut contributes the words served by then, so each
 source's taken words equal its target (rounded down to a word).  A source may
 be passed through twice, never more, so targets stop at twice its size.
 
-DataFrame operations only.  Cumulative sums are taken in two steps - sums of
-hash ranges of a source, then a window inside one range - so a source with
-most of the rows is spread over many tasks; only one row per source and one
-per range meet in the small windows.
+DataFrame operations only.  Cumulative sums are taken in steps - a window
+inside one hash range of a source, one over the ranges of a group of ranges,
+one over the groups of a source - so a source with most of the rows is spread
+over many tasks, and each window holds about the square root of the ranges.
+One row per source meets in the window that ranks the sources.
 
 Defined results: a null or empty text has size 0 and is never taken; null
 sources form one source, sorted last; exact copies of a row queue one behind
@@ -31,7 +32,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5      # budget: this times all sizes
 REPEAT = 2       # passes over a source
-RANGE_ROWS = 1 << 16
+RANGE_ROWS = 1 << 12
 
 
 def n_words(text: Column) -> Column:
@@ -69,6 +70,11 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, repeat: i
             .select("source", "source_size", "target"))
 
 
+def _ahead(*by: str, order: str):
+    """Rows of the same ``by`` before this one."""
+    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def queue(docs: DataFrame, seed: str = "mix", carry: Column | None = None) -> DataFrame:
     """One row per document: doc_id, source, u (order key), x (row identity),
     size, source_size, target, quota (whole words of the target) and before
@@ -86,10 +92,15 @@ def queue(docs: DataFrame, seed: str = "mix", carry: Column | None = None) -> Da
     rows = (rows.join(src, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
             .withColumn("range", F.expr("substring(u, 1, digits)")))
     words = F.col("size") * F.col("n")
-    ranges = rows.groupBy("source", "range").agg(F.sum(words).alias("w"))
-    ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(F.col("source").alias("_s"), F.col("range").alias("_r"),
-                           F.coalesce(F.sum("w").over(ahead), F.lit(0)).alias("ranges_before"))
+    ranges = (rows.groupBy("source", "range").agg(F.sum(words).alias("w"))
+              .withColumn("group", F.expr("substring(range, 1, length(range) div 2)")))
+    groups = ranges.groupBy("source", "group").agg(F.sum("w").alias("w"))
+    groups = groups.select(F.col("source").alias("_gs"), F.col("group").alias("_g"),
+                           F.coalesce(F.sum("w").over(_ahead("source", order="group")), F.lit(0)).alias("groups_before"))
+    ranges = (ranges.withColumn("in_group", F.coalesce(F.sum("w").over(_ahead("source", "group", order="range")), F.lit(0)))
+              .join(groups, F.col("source").eqNullSafe(F.col("_gs")) & (F.col("group") == F.col("_g")))
+              .select(F.col("source").alias("_s"), F.col("range").alias("_r"),
+                      (F.col("groups_before") + F.col("in_group")).alias("ranges_before")))
     inside = (Window.partitionBy("source", "range").orderBy("u", "x", "doc_id")
               .rowsBetween(Window.unboundedPreceding, -1))
     return (rows.withColumn("range_before", F.coalesce(F.sum(words).over(inside), F.lit(0)))
