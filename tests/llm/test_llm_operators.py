@@ -278,6 +278,8 @@ def test_token_files(spark, odd, nothing):
         token = document[0]
         every = shard.tokens.decode()
         assert shard.tokens.count(int(token)) == (every == token).sum() == len(shard.occurrences(int(token)))
+        places = sorted((str(r.doc_id), r.position) for r in token_files.find_token(spark, path, int(token)).collect())
+        assert places == sorted((str(i), k) for i, x in want for k, y in enumerate(x) if y == token)
     assert token_files.op7_token_files(nothing, file).count() == 0
 
 
@@ -381,3 +383,10 @@ def test_pipeline(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == sorted(want)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontaminate", "mix", "token_files"]
+
+
+def test_mix_does_not_depend_on_its_ranges(spark, monkeypatch):
+    docs = queries.documents(spark, SF).union(queries.documents(spark, SF).limit(20))
+    want = sorted(mixing.op10_fair_queue(docs).collect())
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 1 / 16)  # three digits for ten rows: ranges in groups
+    assert sorted(mixing.op10_fair_queue(docs).collect()) == want

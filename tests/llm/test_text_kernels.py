@@ -81,6 +81,7 @@ def test_wavelet_matrix(n, top):
     for x in v[rng.integers(0, n, 5)]:
         where = np.flatnonzero(v == x)
         assert m.count(int(x)) == len(where) and (m.occurrences(int(x)) == where).all()
+        assert m.count(int(x) + (1 << m.bits)) == 0 == len(m.occurrences(int(x) + (1 << m.bits)))
         assert m.count(int(x), n // 3, n // 2) == ((where >= n // 3) & (where < n // 2)).sum()
 
 

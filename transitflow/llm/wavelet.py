@@ -103,8 +103,9 @@ class WaveletMatrix:
 
     def rank(self, value: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Occurrences of ``value`` among the first ``i`` entries."""
-        lo, hi = self._narrow(np.asarray(value, np.int64), np.zeros(len(i), np.int64), np.asarray(i, np.int64))
-        return hi - lo
+        value = np.asarray(value, np.int64)
+        lo, hi = self._narrow(value, np.zeros(len(i), np.int64), np.asarray(i, np.int64))
+        return np.where((value >> self.bits) == 0, hi - lo, 0)  # a longer value occurs nowhere
 
     def count(self, value: int, lo: int = 0, hi: int | None = None) -> int:
         a = np.array([lo, self.n if hi is None else hi])
@@ -112,7 +113,8 @@ class WaveletMatrix:
         return int(r[1] - r[0])
 
     def select(self, value: int, j: np.ndarray) -> np.ndarray:
-        """Positions of the j-th (from 0) occurrences of ``value``."""
+        """Positions of the j-th (from 0) occurrences of ``value`` (j below its
+        count)."""
         lo, _ = self._narrow(np.array([value]), np.array([0]), np.array([self.n]))
         i = lo[0] + np.asarray(j, np.int64)
         for level, plane in enumerate(reversed(self.planes)):
