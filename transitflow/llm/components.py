@@ -2,8 +2,9 @@
 
 Each round links every node to the smallest id around it (large star, then
 small star); the edges shrink toward one star per component.  Only minima per
-node are aggregated (map-side combined) and joined back, so a node with very
-many edges is never gathered into one group.  Rounds are cut by reliable
+node are aggregated (map-side combined); they are written before they are
+joined back, so that join reads two plain exchanges and Spark can split the
+edges of a node that has very many.  Rounds are cut by reliable
 checkpoints; the driver sees only counts and checksums.
 """
 
@@ -30,9 +31,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         if not before[0]:
             break
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialize(large)
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")))
         small = (large.join(low, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low).distinct())
         e = materialize(small)

@@ -235,12 +235,14 @@ def _residue_links(members: DataFrame, comps: DataFrame, texts: DataFrame) -> Da
          .join(comps.select(F.col("node").alias("doc_id"), F.col("component").alias("_c")), "doc_id", "left")
          .select("key", "band", "doc_id", F.coalesce("_c", "doc_id").alias("comp")))
     per_comp = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    open_buckets = (per_comp.groupBy("key")
-                    .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"), F.max(F.struct("c", "comp")).alias("top"))
-                    .where("k > 1")
-                    .select("key", F.col("top.comp").alias("top"),
-                            F.ceil((F.col("n") - F.col("top.c")) / RESIDUE_CELL).cast("int").alias("rc"),
-                            F.ceil(F.col("n") / ALL_CELL).cast("int").alias("ac")))
+    # written on its own, so that Spark can split a hot bucket's rows in the join
+    open_buckets = materialize(
+        per_comp.groupBy("key")
+        .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"), F.max(F.struct("c", "comp")).alias("top"))
+        .where("k > 1")
+        .select("key", F.col("top.comp").alias("top"),
+                F.ceil((F.col("n") - F.col("top.c")) / RESIDUE_CELL).cast("int").alias("rc"),
+                F.ceil(F.col("n") / ALL_CELL).cast("int").alias("ac")))
     m = materialize(m.join(open_buckets, "key"))
     residue = (m.where(F.col("comp") != F.col("top"))
                .withColumn("r", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("rc")).cast("int"))
