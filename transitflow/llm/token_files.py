@@ -41,8 +41,8 @@ from .wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 21
-SLOTS = 1 << 21            # parts remembered per worker
-REMEMBERED_IDS = 1 << 24   # ids held for them before the table starts anew
+SLOTS = 1 << 22            # parts remembered per worker
+REMEMBERED_IDS = 1 << 23   # ids held for them before the table starts anew
 JOINED = 512               # new parts encoded as one text
 MAGIC = b"TOKS"
 
@@ -53,9 +53,9 @@ _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
 class Encoder:
     """Encodes runs of documents, each distinct part once.
 
-    Parts seen are remembered in a table with one slot per hash residue: a
-    part that finds its slot taken by another is encoded again and takes the
-    slot over, so the table stays at its size and never changes a result."""
+    Parts seen are remembered in a table with two neighbouring slots per hash
+    residue: a part that finds both taken by others is encoded again and takes
+    one over, so the table stays at its size and never changes a result."""
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -99,6 +99,8 @@ class Encoder:
             self.forget()
         h = T.span_hashes(buf, start, end)
         slot = (h & T.U64(SLOTS - 1)).astype(np.int64)
+        other = np.flatnonzero(self.keys[slot] != h)  # not there: its neighbour may hold it
+        slot[other] ^= 1
         at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         new = np.flatnonzero((self.keys[slot] != h) | (at < 0))
         if len(new):
@@ -111,6 +113,7 @@ class Encoder:
             self.used += len(ids)
             at[new], size[new] = places[inverse], sizes[inverse]
             s = (keys & T.U64(SLOTS - 1)).astype(np.int64)
+            s ^= self.at[s] >= 0  # taken: use the neighbour
             self.keys[s], self.at[s], self.size[s] = keys, places, sizes
             clash = self.keys[s] != keys  # two new parts in one slot: forget both
             self.at[s[clash]] = -1
@@ -264,6 +267,20 @@ def read_documents(spark, path: str) -> DataFrame:
             .select("doc_id", (F.col("_offset") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"))
 
 
+def find_token(spark, path: str, token: int) -> DataFrame:
+    """Every occurrence of a token: doc_id and position in the document.  Each
+    shard is asked by select, without decoding its ids."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for image in batch["image"]:
+                hits = Shard(image.as_py()).occurrences(token)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d for d, _ in hits], pa.int64()), pa.array([p for _, p in hits], pa.int64())],
+                    names=["doc_id", "position"])
+
+    return spark.read.parquet(path).select("image").mapInArrow(find, "doc_id long, position long")
+
+
 def op7_token_files(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     path = scratch_path(docs.sparkSession, "token-shards")
     write_shards(docs, path, tokenizer_file)
