@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_LABELS = 10_000
+
 
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fold that no model learns from: crc32 of the id as text,
@@ -18,12 +20,17 @@ def shuffled(doc_id: str = "doc_id", seed: str = "train") -> Column:
 
 
 def sample_per_class(rows: DataFrame, label: str, per_class: int, doc_id: str = "doc_id") -> DataFrame:
-    """At most ``per_class`` rows of every label, picked by id alone.  Labels
-    are counted first and thinned to about twice the number wanted, so the
-    window that fixes the exact number sees a bounded group."""
-    sizes = rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    thin = (rows.join(sizes, F.col(label) == F.col("_label")).withColumn("_u", shuffled(doc_id))
-            .where(F.col("_u") * F.col("_n") <= 2.0 * per_class + 64))
+    """At most ``per_class`` rows of every label, picked by id alone.  The rows
+    of each label are counted first (one number per label comes back, at most
+    ``MAX_LABELS``) and thinned, before any shuffle, to about twice the number
+    wanted; so the window that fixes the exact number sees a bounded group."""
+    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LABELS + 1).collect()
+    if len(sizes) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values: not a set of classes")
+    if not sizes:
+        return rows
+    n = F.create_map(*[F.lit(x) for r in sizes for x in (r[0], r[1])])[F.col(label)]
+    thin = rows.withColumn("_u", shuffled(doc_id)).where(F.col("_u") * n <= 2.0 * per_class + 64)
     order = Window.partitionBy(label).orderBy("_u", doc_id)
     return (thin.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_class)
-            .drop("_label", "_n", "_u", "_k"))
+            .drop("_u", "_k"))
