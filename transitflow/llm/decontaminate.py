@@ -32,6 +32,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 ERROR_PERCENT = 7
 MIN_WORDS = 5
@@ -146,6 +147,7 @@ def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[li
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, distance (edits) of every item found in a document."""
     doc_type, item_type = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
+    id_kind = to_arrow_type(items.schema["item_id"].dataType)
     out = None
     for block in item_blocks(items):
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
@@ -158,7 +160,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                         ids.append(item_id)
                         dist.append(d)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(ids, pa.int64() if item_type == "bigint" else None),
+                    [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(ids, id_kind),
                      pa.array(dist, pa.int64())], names=["doc_id", "item_id", "distance"])
         part = docs.select("doc_id", "text").mapInArrow(search, f"doc_id {doc_type}, item_id {item_type}, distance long")
         out = part if out is None else out.unionByName(part)
