@@ -117,14 +117,23 @@ def served(start: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("quota") - start))
 
 
-def schedule(docs: DataFrame, seed: str = "mix", carry: Column | None = None) -> DataFrame:
-    """The mix in order: one row per document and pass that is served, with
-    its virtual ``finish`` time and ``words`` taken, globally range-sorted."""
+def service(docs: DataFrame, seed: str = "mix", carry: Column | None = None) -> DataFrame:
+    """One row per document and pass that is served by virtual time 1, with
+    its virtual ``finish`` time and ``words`` taken; in no order."""
     q = queue(docs, seed, carry).withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(REPEAT - 1))))
     start = F.col("pass") * F.col("source_size") + F.col("before")
     return (q.withColumn("words", served(start)).where("words > 0")
-            .withColumn("finish", (start + F.col("size")) / F.col("target"))
-            .orderBy("finish", F.col("source").asc_nulls_last(), "u", "x", "copy"))
+            .withColumn("finish", (start + F.col("size")) / F.col("target")))
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Globally range-sorted by virtual finish time, ties by source and key."""
+    return rows.orderBy("finish", F.col("source").asc_nulls_last(), "u", "x", "copy")
+
+
+def schedule(docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """The mix in order, without texts."""
+    return in_order(service(docs, seed))
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
@@ -132,22 +141,19 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     ``docs``.  A document taken twice appears twice; one cut at the budget
     keeps its first words, joined by single spaces, and its new n_chars."""
     others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
-    carry = F.xxhash64(*others) if others else F.lit(0).cast("long")
-    plan = schedule(docs, seed, carry)
-    rows = (docs.select(F.struct(*docs.columns).alias("_row"), order_key(docs, seed).alias("_u"), carry.alias("_x"),
-                        F.col("source").alias("_source"))
-            .dropDuplicates(["_u", "_x", "_source"]))
-    full = plan.select("source", "u", "x", "copy", "size", "words", "finish").join(
-        rows, (F.col("u") == F.col("_u")) & (F.col("x") == F.col("_x")) & F.col("source").eqNullSafe(F.col("_source")))
+    carry = F.xxhash64("source", *others)  # with the order key: the identity of a row
+    taken = service(docs, seed, carry).select("source", "u", "x", "copy", "size", "words", "finish")
+    rows = (docs.select(F.struct(*docs.columns).alias("_row"), order_key(docs, seed).alias("_u"), carry.alias("_x"))
+            .dropDuplicates(["_u", "_x"]))
+    full = taken.join(rows, (F.col("u") == F.col("_u")) & (F.col("x") == F.col("_x")))
     whole = F.col("words") == F.col("size")
     words = F.regexp_extract_all(F.col("_row")["text"], F.lit(WORD), F.lit(0))
     text = F.when(whole, F.col("_row")["text"]).otherwise(F.array_join(F.slice(words, 1, F.col("words").cast("int")), " "))
-    full = full.withColumn("_text", text).orderBy("finish", F.col("source").asc_nulls_last(), "u", "x", "copy")
-    new = {"text": F.col("_text"),
-           "n_chars": F.when(whole, F.col("_row")["n_chars"]).otherwise(F.length("_text"))
-           if "n_chars" in others else None}
-    return full.select(*[(F.col("_row")[c] if new.get(c) is None else new[c].cast(dict(docs.dtypes)[c])).alias(c)
-                         for c in docs.columns])
+    new = {"text": text}
+    if "n_chars" in others:
+        new["n_chars"] = F.when(whole, F.col("_row")["n_chars"]).otherwise(F.length(text)).cast(dict(docs.dtypes)["n_chars"])
+    out = F.struct(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns]).alias("_out")
+    return in_order(full.select(out, "finish", "source", "u", "x", "copy")).select("_out.*")
 
 
 def op10_fair_queue(docs: DataFrame) -> DataFrame:
