@@ -61,7 +61,8 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     # the cells carry the route code, so a fix is listed once per grid level
     # (seven) whatever the number of shapes of its code, and the join key is
     # (route_code, level, cell): a busy line spreads over its cells
-    fixes = gps.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
+    codes = route_shapes(routes, trips).select("route_code").distinct()
+    fixes = gps.join(codes, "route_code", "left_semi").groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
     pairs = point_cells(fixes).join(segment_cells_df, ["route_code", "level", "cell"])
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")

@@ -40,7 +40,7 @@ from ..functions.geo import Vec3
 BASE_CELL = 100.0 / geo.EARTH_RADIUS_M
 LEVEL_RATIO = 8.0
 N_LEVELS = 7
-MAX_PIECES = 16
+MAX_PIECES = 4
 _OFF = 1 << 20
 
 
