@@ -317,6 +317,21 @@ def test_substrings(spark, odd, nothing, monkeypatch):
     assert found(df) == removed(rows)
 
 
+def test_windows_at_the_edges_of_a_common_passage_are_dealt_out(spark, monkeypatch):
+    # under the passage's outermost grams every document has a segment of its own
+    rng = random.Random(8)
+    word = lambda: f"u{rng.randrange(10 ** 9)}"
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, " ".join([*(word() for _ in range(20)), passage, *(word() for _ in range(20))])) for i in range(1, 1201)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(substring_dedup, "HOT_SEGMENTS", 100)
+    known, shards = substring_dedup.known_packs(df)
+    sent = [r.n for r in substring_dedup.sent_segments(known, shards).groupBy("shard").agg(F.sum("n").alias("n")).collect()]
+    assert len(sent) == shards and max(sent) < 1.5 * sum(sent) / shards
+    found = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.op8_substring_dedup(df).collect())
+    assert found == removed(rows)
+
+
 def test_placement(spark, odd, nothing):
     got = maglev.op9_maglev(odd).collect()
     assert len(got) == len(ODD) and len({r.shard for r in got if r.doc_id == 7}) == 1

@@ -10,8 +10,12 @@ occurrence of its windows, and shards are independent of one another.
 
 1. Documents are packed into rows of about two megabytes (compressed), stored
    once; every later step reads packs.
-2. Each pack sends the hashes of its anchors to their shards; a shard answers
-   with one bit per anchor: does it occur anywhere else?
+2. Each pack sends the hashes of its anchors to their shards, with the number
+   of distinct segments under each; a shard answers with one bit per anchor
+   (does it occur anywhere else?) and the anchors that are *hot*: those under
+   which all packs together hold more than ``HOT_SEGMENTS`` segments.  Windows
+   under a hot anchor are segments of their own and go to the shard of their
+   own hash; equal windows still meet.
 3. Each pack sends its distinct segments under such anchors, with the smallest
    document id that holds each.  A shard indexes the distinct segments, streams
    all of them through the index, and for every window takes the smallest
@@ -21,8 +25,10 @@ occurrence of its windows, and shards are independent of one another.
 4. Packs join the answers: a window is removed from a document if the bit is
    set, or if a smaller document of the same pack holds the segment.
 
-A passage in a third of all documents reaches its shard once per pack, not
-once per document, and nothing is counted, capped or sampled.  Anchor hashes
+Windows inside a passage that a third of all documents hold reach their shard
+once per pack.  Windows at its edges take in words of each document, so they
+differ per document; their anchor is hot and they are dealt over all shards.
+Nothing is capped or sampled.  Anchor hashes
 may collide: that only sends a segment in vain.  Words travel as 40 bits of
 their hash, so two different windows that agree in all but one word are taken
 for equal with probability 2^-40.
@@ -55,6 +61,7 @@ WINDOW = 13
 GRAM = 5
 SEGMENT_WINDOWS = 48        # longer runs are cut: it bounds one suffix
 SHARD_BYTES = 8 << 20       # text per shard
+HOT_SEGMENTS = 1024         # an anchor with more is dealt out by window (below 65535)
 WORD_BYTES = 5
 NO_ID = np.iinfo(np.int64).max
 
@@ -110,6 +117,7 @@ class Pack:
             anchor = low[self.at]
         else:
             self.at, anchor = np.zeros(0, np.int64), np.zeros(0, T.U64)
+        self.shards = shards
         self.doc = doc[self.at]
         self.shard = ((anchor >> T.U64(32)) % T.U64(shards)).astype(np.int64)
         self.low = (anchor & T.U64(0xFFFFFFFF)).astype(np.uint32)
@@ -126,28 +134,49 @@ class Pack:
         first[self.place[::-1]] = self.doc[::-1]
         return (self.keys >> T.U64(32)).astype(np.int64), (self.keys & T.U64(0xFFFFFFFF)).astype(np.uint32), first < last
 
-    def segments(self, repeated: np.ndarray) -> None:
-        """Runs of windows under one repeated anchor (``repeated``: a flag per
-        distinct anchor), and the distinct ones among them."""
-        live = repeated[self.place]
-        w = np.flatnonzero(live)
+    def _runs(self, w: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs under one anchor among the windows ``w``: the first window of
+        each, their sizes and fingerprints.  A window marked ``alone`` is a run
+        of its own."""
         n = len(w)
         new = np.ones(n, dtype=bool)
         new[1:] = ((self.place[w[1:]] != self.place[w[:-1]]) | (self.at[w[1:]] != self.at[w[:-1]] + 1)
                    | (self.doc[w[1:]] != self.doc[w[:-1]]))
+        new |= alone
         begin = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         new |= (np.arange(n) - begin) % SEGMENT_WINDOWS == 0
         first = np.flatnonzero(new)
-        self.windows = np.diff(np.append(first, n))      # windows of each run
-        self.run_at = self.at[w[first]]                  # its first word
-        self.run_doc = self.doc[w[first]]
-        self.run_shard = self.shard[w[first]]
-        words = self.windows + WINDOW - 1
+        size = np.diff(np.append(first, n))
+        first = w[first]
+        at, words = self.at[first], size + WINDOW - 1
         # a run's fingerprint, from prefix sums over the pack's word hashes
         p = T._powers(T._MULT, len(self.words) + 1)
         c = np.concatenate((np.zeros(1, T.U64), np.cumsum(self.words.h * p[:-1], dtype=T.U64)))
-        print_ = (c[self.run_at + words] - c[self.run_at]) * T._powers(T._MULT_INV, len(self.words) + 1)[self.run_at]
-        print_ = T.mix(print_ ^ (words.astype(T.U64) * T.U64(0xD6E8FEB86659FD93)))
+        print_ = (c[at + words] - c[at]) * T._powers(T._MULT_INV, len(self.words) + 1)[at]
+        return first, size, T.mix(print_ ^ (words.astype(T.U64) * T.U64(0xD6E8FEB86659FD93)))
+
+    def counts(self) -> np.ndarray:
+        """Distinct segments under each distinct anchor."""
+        first, _, print_ = self._runs(np.arange(len(self.at)), np.zeros(len(self.at), dtype=bool))
+        place = self.place[first]
+        n = np.bincount(place, minlength=len(self.keys))
+        several = np.flatnonzero(n[place] > 1)
+        place, print_ = place[several], print_[several]
+        order = np.lexsort((print_, place))
+        place, print_ = place[order], print_[order]
+        again = (place[1:] == place[:-1]) & (print_[1:] == print_[:-1])
+        return n - np.bincount(place[1:][again], minlength=len(self.keys))
+
+    def segments(self, repeated: np.ndarray, hot: np.ndarray) -> None:
+        """Runs of windows under one repeated anchor (``repeated`` and ``hot``:
+        flags per distinct anchor), and the distinct ones among them."""
+        w = np.flatnonzero(repeated[self.place])
+        alone = hot[self.place[w]]
+        first, self.windows, print_ = self._runs(w, alone)  # windows of each run
+        self.run_at = self.at[first]                     # its first word
+        self.run_doc = self.doc[first]
+        # a window under a hot anchor has a fingerprint of its own: its shard
+        self.run_shard = np.where(hot[self.place[first]], (print_ % T.U64(self.shards)).astype(np.int64), self.shard[first])
         order = np.lexsort((self.ids[self.run_doc], print_, self.run_shard))
         head = np.ones(len(order), dtype=bool)
         a, b = print_[order], self.run_shard[order]
@@ -181,38 +210,56 @@ def _send_anchors(shards: int):
         for batch in batches:
             for k, pack in _opened(batch, shards):
                 shard, low, several = pack.anchors()
+                counts = np.minimum(pack.counts(), 0xFFFF).astype(np.uint16)
                 cut = np.searchsorted(shard, np.arange(shards + 1))
                 used = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array(np.full(len(used), batch.column("pack")[k].as_py()), pa.int64()),
                      pa.array([low[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary()),
-                     pa.array([np.packbits(several[cut[s]:cut[s + 1]]).tobytes() for s in used], pa.binary())],
-                    names=["shard", "pack", "low", "several"])
+                     pa.array([np.packbits(several[cut[s]:cut[s + 1]]).tobytes() for s in used], pa.binary()),
+                     pa.array([counts[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary())],
+                    names=["shard", "pack", "low", "several", "counts"])
     return send
 
 
-def _answer_anchors(table: pa.Table) -> pa.Table:
+def _hot(every: np.ndarray, counts: np.ndarray, bound: int) -> np.ndarray:
+    """The anchors, in order, whose counts add up to more than ``bound``."""
+    order = np.argsort(every)
+    every = every[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    return every[first[np.add.reduceat(counts[order], first, dtype=np.int64) > bound]]
+
+
+def _answer_anchors(hot_segments: int):
+    return lambda table: _anchors_answered(table, hot_segments)
+
+
+def _anchors_answered(table: pa.Table, hot_segments: int) -> pa.Table:
     low = [np.frombuffer(x.as_py(), np.uint32) for x in table["low"]]
     several = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(l)).astype(bool)
                for x, l in zip(table["several"], low, strict=True)]
     every = np.sort(np.concatenate(low))
     twice = np.unique(every[1:][every[1:] == every[:-1]])  # distinct within a pack, so two packs hold it
-    out = []
+    hot = _hot(np.concatenate(low), np.concatenate([np.frombuffer(x.as_py(), np.uint16) for x in table["counts"]]), hot_segments)
+    out, own = [], []
     for values, many in zip(low, several, strict=True):
+        own.append(np.flatnonzero(np.isin(values, hot)).astype(np.uint32).tobytes() if len(hot) else b"")
         p = np.searchsorted(twice, values)
         p[p == len(twice)] = 0
         out.append(np.packbits(many | (twice[p] == values) if len(twice) else many).tobytes())
-    return pa.table({"pack": table["pack"], "shard": table["shard"], "repeated": pa.array(out, pa.binary())})
+    return pa.table({"pack": table["pack"], "shard": table["shard"], "repeated": pa.array(out, pa.binary()),
+                     "hot": pa.array(own, pa.binary())})
 
 
-def _flags(pack: Pack, answers) -> np.ndarray:
-    """Step 2's answers as one flag per distinct anchor of the pack."""
+def _flags(pack: Pack, answers) -> tuple[np.ndarray, np.ndarray]:
+    """Step 2's answers as flags, repeated and hot, per distinct anchor of the pack."""
     shard, _, _ = pack.anchors()
-    flags = np.zeros(len(shard), dtype=bool)
+    flags, hot = np.zeros(len(shard), dtype=bool), np.zeros(len(shard), dtype=bool)
     for a in answers:
         lo, hi = np.searchsorted(shard, [a["shard"], a["shard"] + 1])
         flags[lo:hi] = np.unpackbits(np.frombuffer(a["repeated"], np.uint8), count=hi - lo)
-    return flags
+        hot[lo + np.frombuffer(a["hot"], np.uint32).astype(np.int64)] = True
+    return flags, hot
 
 
 # ---- step 3: segments through the index -----------------------------------------
@@ -221,7 +268,7 @@ def _send_segments(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, pack in _opened(batch, shards):
-                pack.segments(_flags(pack, batch.column("repeated")[k].as_py()))
+                pack.segments(*_flags(pack, batch.column("repeated")[k].as_py()))
                 rows = list(pack.by_shard())
                 blobs = []
                 for _, d in rows:
@@ -305,7 +352,7 @@ def _finish(shards: int):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, pack in _opened(batch, shards):
-                pack.segments(_flags(pack, batch.column("repeated")[k].as_py() or []))
+                pack.segments(*_flags(pack, batch.column("repeated")[k].as_py() or []))
                 removed = _removed(pack, batch.column("outside")[k].as_py() or [])
                 first, n = pack.words.first, pack.words.n
                 lost = T.sums_by_document(removed, first)
@@ -321,21 +368,30 @@ def _finish(shards: int):
     return finish
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed and ``kept`` (the kept words joined by one
-    space, as bytes) of every row of ``docs``."""
+def known_packs(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The packs with step 2's answers, and the number of shards."""
     packs = materialize(docs.select("doc_id", "text").mapInArrow(_pack, _PACK))
     total = packs.agg(F.sum("n_bytes")).first()[0] or 0
     spark = docs.sparkSession
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
     repeated = materialize(
-        packs.mapInArrow(_send_anchors(shards), "shard int, pack long, low binary, several binary")
-        .groupBy("shard").applyInArrow(_answer_anchors, "pack long, shard int, repeated binary"))
-    by_pack = repeated.groupBy("pack").agg(F.collect_list(F.struct("shard", "repeated")).alias("repeated"))
-    known = packs.join(by_pack, "pack", "left").select("pack", "ids", "offsets", "texts", "repeated")
-    outside = (known.where("repeated is not null")
-               .mapInArrow(_send_segments(shards), "shard int, pack long, n long, segments binary")
-               .groupBy("shard").applyInArrow(_answer_segments, "pack long, shard int, outside binary"))
+        packs.mapInArrow(_send_anchors(shards), "shard int, pack long, low binary, several binary, counts binary")
+        .groupBy("shard").applyInArrow(_answer_anchors(HOT_SEGMENTS), "pack long, shard int, repeated binary, hot binary"))
+    by_pack = repeated.groupBy("pack").agg(F.collect_list(F.struct("shard", "repeated", "hot")).alias("repeated"))
+    return packs.join(by_pack, "pack", "left").select("pack", "ids", "offsets", "texts", "repeated"), shards
+
+
+def sent_segments(known: DataFrame, shards: int) -> DataFrame:
+    """Step 3's rows, one per pack and shard: ``n`` segments each."""
+    return (known.where("repeated is not null")
+            .mapInArrow(_send_segments(shards), "shard int, pack long, n long, segments binary"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed and ``kept`` (the kept words joined by one
+    space, as bytes) of every row of ``docs``."""
+    known, shards = known_packs(docs)
+    outside = sent_segments(known, shards).groupBy("shard").applyInArrow(_answer_segments, "pack long, shard int, outside binary")
     outside = materialize(outside.groupBy("pack").agg(F.collect_list(F.struct("shard", "outside")).alias("outside")))
     return (known.join(outside, "pack", "left")
             .mapInArrow(_finish(shards), "doc_id long, n_words long, n_removed long, kept binary"))
