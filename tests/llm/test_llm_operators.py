@@ -249,6 +249,19 @@ def test_decontamination(spark, odd, nothing):
     assert decontaminate.op5_decontaminate(nothing, mine).count() == 0 and decontaminate.clean_documents(nothing, mine).count() == 0
 
 
+def test_short_and_unspaced_items_are_found_inside_documents(spark):
+    zh = "春天的早晨阳光照在安静的河面上渔夫慢慢地撑着小船离开了村庄"
+    items = [(1, zh), (2, "勉強します"), (3, "Four short words here"), (4, "ภาษาไทย"), (5, "GPU加速"), (6, "cat sat")]
+    docs = [(1, "前文很长" * 9 + zh + "后文也很长" * 9), (2, zh.replace("河", "湖")), (3, "毎日、図書館で勉強します。そして帰る"),
+            (4, "it is four SHORT words, here too"), (5, "นี่คือภาษาไทยที่ดี"), (6, "使用GPU加速计算"), (7, zh[:14] + "，\n" + zh[14:]),
+            (8, "the bobcat sat on catsats and a cat satin"), (9, "前文" * 30), (10, "the cat sat down")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.op5_decontaminate(docs, items).collect())
+    assert got == [(1, 1, 0), (2, 1, 1), (3, 2, 0), (4, 3, 0), (5, 4, 0), (6, 5, 0), (7, 1, 0), (10, 6, 0)]
+    assert [r.doc_id for r in decontaminate.clean_documents(docs, items).orderBy("doc_id").collect()] == [8, 9]
+
+
 def test_item_blocks_cover_the_benchmark(spark):
     items = queries.table(spark, SF, "benchmark")
     blocks = list(decontaminate.item_blocks(items, 1000))

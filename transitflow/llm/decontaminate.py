@@ -9,16 +9,22 @@ bit-parallel algorithm gives the smallest edit distance between the item and
 any substring of the window.
 
 Texts and items are compared lower-cased, with every run of characters other
-than letters, digits and marks turned into one space, and one space at either end (so a
-match keeps to word boundaries).
+than letters and digits turned into one space, and one space at either end (so
+an unedited match keeps to word boundaries).  Scripts written without spaces
+(``_UNSPACED``: Chinese, Japanese, Thai and others) have no such boundaries:
+spaces and punctuation between two of their characters are dropped, a space
+parts them from other scripts, and an item that begins or ends in one needs no
+space there.
+
+Items of any length are searched inside documents.  The budget is by
+characters alone: below 15 it is 0, and the one piece is the item itself.
 
 The items are a stated query set: they go to the tasks in blocks of at most
 ``BLOCK_BYTES`` (their total is measured first), each block searched over all
 documents in one map without a shuffle.
 
 Defined results: null or empty texts match nothing; items without a word match
-nothing; an item of fewer than ``MIN_WORDS`` words matches only a document
-that consists of it; items with the same words are all reported; repeated rows
+nothing; items with the same words are all reported; repeated rows
 are reported one by one; empty tables give an empty result; extra columns are
 ignored, and :func:`clean_documents` carries them along.
 """
@@ -35,17 +41,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 ERROR_PERCENT = 7
-MIN_WORDS = 5
+MIN_WORDS = 5              # of a Matcher that is not told otherwise; the operators search every item
 BLOCK_BYTES = 4 << 20
 
 _NOT_WORD = re.compile(r"[\W_]+")
+_UNSPACED = ("\u0e00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u3005-\u3007\u3040-\u312f\u31a0-\u31bf"
+             "\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua980-\ua9df\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+             "\U0001b000-\U0001b16f\U00020000-\U0003ffff")
+_UNSPACED_CHAR = re.compile(f"[{_UNSPACED}]")
+_INNER_SPACE = re.compile(f"(?<=[{_UNSPACED}]) (?=[{_UNSPACED}])")
+_SCRIPT_EDGE = re.compile(f"(?<=[{_UNSPACED}])(?=[^ {_UNSPACED}])|(?<=[^ {_UNSPACED}])(?=[{_UNSPACED}])")
 
 
 def normalise(text: str | None) -> str:
     s = _NOT_WORD.sub(" ", (text or "").lower()).strip(" ")
+    if _UNSPACED_CHAR.search(s):
+        s = _SCRIPT_EDGE.sub(" ", _INNER_SPACE.sub("", s))
     return f" {s} " if s else ""
 
 
+def pattern(s: str) -> str:
+    """A normalised item without the end spaces that its script does not have."""
+    return s[1 if _UNSPACED_CHAR.match(s[1]) else 0:-1 if _UNSPACED_CHAR.match(s[-2]) else None]
+
+
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
     """``item`` cut into k + 1 pieces of nearly equal length, with offsets."""
     n = len(item)
@@ -87,7 +106,9 @@ def myers(masks: dict[str, int], m: int, text: str) -> int:
 
 
 class Matcher:
-    """Items of one block: ``(item_id, text)`` pairs."""
+    """Items of one block: ``(item_id, text)`` pairs.  Items of fewer than
+    ``min_words`` words match only a text that consists of them; 0: every item
+    is searched inside texts."""
 
     def __init__(self, items: list[tuple], error_percent: int = ERROR_PERCENT, min_words: int = MIN_WORDS):
         ids: dict[str, list] = {}
@@ -95,7 +116,7 @@ class Matcher:
             if s := normalise(text):
                 ids.setdefault(s, []).append(item_id)
         self.whole = {s: v for s, v in ids.items() if s.count(" ") <= min_words}
-        self.items = [(s, v) for s, v in ids.items() if s not in self.whole]
+        self.items = [(pattern(s), v) for s, v in ids.items() if s not in self.whole]
         self.k = [len(s) * error_percent // 100 for s, _ in self.items]
         self.masks = [peq(s) for s, _ in self.items]
         at: dict[str, list[tuple[int, int]]] = {}
@@ -116,9 +137,13 @@ class Matcher:
         if not self.search or not s:
             return found
         windows: dict[int, list[list[int]]] = {}
+        exact: set[int] = set()  # items without a budget: their one piece is all of them
         for end, (size, where) in self.automaton.iter(s):
             for j, offset in where:
                 m, k = len(self.items[j][0]), self.k[j]
+                if not k:
+                    exact.add(j)
+                    continue
                 lo = end - size + 1 - offset - k
                 hi = lo + m + 2 * k
                 runs = windows.setdefault(j, [])
@@ -126,9 +151,11 @@ class Matcher:
                     runs[-1] = [min(lo, runs[-1][0]), max(hi, runs[-1][1])]
                 else:
                     runs.append([lo, hi])
+        for j in exact:
+            found += [(i, 0) for i in self.items[j][1]]
         for j, runs in windows.items():
-            pattern, ids = self.items[j]
-            best = min(myers(self.masks[j], len(pattern), s[max(0, lo):hi]) for lo, hi in runs)
+            item, ids = self.items[j]
+            best = min(myers(self.masks[j], len(item), s[max(0, lo):hi]) for lo, hi in runs)
             if best <= self.k[j]:
                 found += [(i, best) for i in ids]
         return found
@@ -151,7 +178,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     out = None
     for block in item_blocks(items):
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block)
+            matcher = Matcher(block, min_words=0)
             for batch in batches:
                 at, ids, dist = [], [], []
                 for row, text in enumerate(batch.column("text")):
@@ -171,7 +198,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all columns."""
     for block in item_blocks(items):
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block)
+            matcher = Matcher(block, min_words=0)
             for batch in batches:
                 ok = [not matcher.find(text.as_py()) for text in batch.column("text")]
                 yield batch.filter(pa.array(ok, pa.bool_()))
