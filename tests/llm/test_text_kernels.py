@@ -233,6 +233,25 @@ def test_encoder_equals_the_tokenizer_on_whole_texts():
     assert np.concatenate(again).tolist() == [i for x in got for i in x]
 
 
+def test_added_tokens_are_encoded_as_the_library_does():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from transitflow.llm import token_files as K
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, whole = K.Encoder(file), Tokenizer.from_file(file)
+    assert whole.encode("ab <|endoftext|> cd", add_special_tokens=False).ids == [397, 220, 50256, 22927]
+    end = "<|endoftext|>"
+    rows = [f"ab {end} cd", end, end * 3, f"{end} x\ny{end}\nz", "a<|endof", "text|> b", f"<|endoftext{end}", f"\n{end}a {end}  b", "", end]
+    rng = random.Random(3)
+    bits = [end, "<|endof", "text|>", "<|", " ", "a", "I'm", "\n", "é", "中", ".", " the", "|>"]
+    rows += ["".join(rng.choice(bits) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    got = []
+    for docs in T.chunks(pa.array(rows, pa.string()), max_bytes=3000):
+        ids, sizes = encoder(docs)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [[*whole.encode(t, add_special_tokens=False).ids, 0] for t in rows]
+
+
 def test_powers_of_any_length(monkeypatch):
     monkeypatch.setattr(T, "CHUNK_BYTES", 8)
     T.worker_store().pop("powers", None)

@@ -11,7 +11,9 @@ leave no half-written shard and any file system will do.
 Encoding: the tokenizer's pattern never joins a character that is not white
 space to a following space, nor a letter to a following character that is none,
 so a text can be cut there (:func:`cut_between`) and its parts encoded apart
-with the same ids.  Distinct parts of a chunk are encoded once, by the
+with the same ids.  The string of an added token (``<|endoftext|>``) is that
+token's id, as the library has it by default: texts are cut around it first,
+never through it.  Distinct parts of a chunk are encoded once, by the
 tokenizers library, and remembered by the worker (a table of fixed size).
 
 Defined results: a null text is empty, so its document holds the end id alone;
@@ -22,6 +24,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -60,7 +63,12 @@ class Encoder:
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content) for t in added):
+            raise ValueError("added tokens that depend on what is around them, or hold white space, are not supported")
+        # the longest that begins at a place, as the tokenizer has it
+        strings = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, strings))) if strings else None
         # one character of a byte-level token stands for one byte
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
@@ -79,6 +87,9 @@ class Encoder:
         n, buf = len(docs), docs.buf
         begins = np.zeros(len(buf) + 1, dtype=bool)
         cut_between(buf, begins[1:-1])
+        for a, b in self._added_tokens(docs):
+            begins[a] = begins[b] = True
+            begins[a + 1:b] = False
         begins[docs.off[:-1]] = True
         start = np.flatnonzero(begins[:-1])
         end = np.append(start[1:], len(buf)) if len(start) else start
@@ -93,6 +104,17 @@ class Encoder:
         out[place + np.repeat(doc, size)] = self.ids[place + np.repeat(at - begin, size)]
         return out, np.bincount(doc, weights=size, minlength=n).astype(np.int64) + 1
 
+    def _added_tokens(self, docs: T.Docs) -> Iterator[tuple[int, int]]:
+        """Start and end of the added tokens' strings in the texts."""
+        raw, at = docs.buf.tobytes(), 0
+        while self.added and (m := self.added.search(raw, at)):
+            end = int(docs.off[np.searchsorted(docs.off, m.start(), "right")])
+            if m.end() > end:  # goes on in the next text: what is left of this one alone
+                m = self.added.search(raw, m.start(), end)
+            if m:
+                yield m.span()
+            at = m.end() if m else end
+
     def _look_up(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place and number of ids of every part; encodes what is new."""
         if self.used > REMEMBERED_IDS:
