@@ -1,6 +1,7 @@
 """Language identification by segmentation-marginalised unigrams.
 
-Each language gives every piece of a fixed public vocabulary a probability.  A
+Each language gives every piece of a fixed public vocabulary, up to ``PIECE``
+bytes long, a probability.  A
 word's probability is the sum over all ways to cut it into pieces of the
 product of the pieces' probabilities, computed by a forward pass; a text's
 log-probability is the sum over its words.  The piece probabilities are fitted
@@ -11,7 +12,7 @@ held-out fold.
 Words are runs of ASCII letters and non-ASCII bytes, ASCII letters
 lower-cased, with a space before them (so word-initial pieces count).  A run
 longer than ``PART`` bytes is cut into parts of that length, so a lattice is
-small whatever the text.  Distinct words are scored once per task and
+small whatever the text; segmentations across a cut are not summed.  Distinct words are scored once per task and
 remembered (bounded).
 
 Defined results: a text that is null or has no letter gives ``und`` and score
