@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, language_id, maglev, mixing, near_dedup, quality_fm, quality_rules, secret_scan,
-               substring_dedup, token_files)
+from . import (bpe, decontaminate, language_id, maglev, mixing, near_dedup, quality_fm, quality_rules, ranked_search,
+               secret_scan, spelling, substring_dedup, token_files)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,18 @@ def op10_fair_queue(spark, sf_dir):
     return mixing.op10_fair_queue(documents(spark, sf_dir))
 
 
+def op11_bpe(spark, sf_dir):
+    return bpe.op11_bpe(documents(spark, sf_dir), tokenizer_file())
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.op12_spelling_variants(documents(spark, sf_dir))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search.op13_ranked_search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
@@ -72,4 +84,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": quality_rules.ORACLE, "op2_near_dedup": near_dedup.ORACLE,
             "op3_secret_scan": secret_scan.oracle(), "op8_substring_dedup": substring_dedup.ORACLE,
-            "op10_fair_queue": mixing.ORACLE}
+            "op10_fair_queue": mixing.ORACLE, "op12_spelling_variants": spelling.ORACLE,
+            "op13_ranked_search": ranked_search.ORACLE}
