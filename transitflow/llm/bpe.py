@@ -13,15 +13,18 @@ A text is cut into the pieces of the tokenizer's pattern; added tokens
   that position is closed for good and the encoder steps back one token.  Every
   position is closed at most once.
 
-Compatible pairs met are kept in a table, and so are short pieces met; both are
-of fixed size per worker, keyed by the pair or the piece itself (no hashes),
-and start anew when full, so they never change a result.
+The new pieces of a chunk of texts take these steps side by side, one array
+operation for all of them; long pieces go alone.  Pairs met are kept in a table
+with one slot per residue, pieces met in a dictionary that starts anew when
+full.  Both have a fixed size per worker and are keyed by the pair or the piece
+itself, so they never change a result.
 
 Decoding gathers bytes: all tokens lie one after the other in one array, and an
 offset table gives each id its place and length.
 
-Memory of a task is one Arrow batch of texts, the tables, and one block of
-``BLOCK`` pieces; a single piece (a run without a cut) is held whole.
+Memory of a task is one Arrow batch of texts, the tables, and the pieces of one
+chunk of texts or one block of ``BLOCK`` pieces of a longer one; a single piece
+(a run without a cut) is held whole.
 
 Defined results: a null text is empty and an empty text has no ids (the digest
 of nothing); repeated rows and repeated or null document ids are encoded row by
@@ -51,7 +54,10 @@ BLOCK = 1 << 16        # pieces encoded at a time
 LONG_TEXT = 1 << 20    # code points from which pieces are found block by block
 PIECES_KEPT = 1 << 19  # pieces remembered per worker ...
 PIECE_KEPT = 48        # ... of at most so many code points
-PAIRS_KEPT = 1 << 20   # pairs remembered per worker
+PAIR_SLOTS = 1 << 20   # slots of the table of pairs
+CHUNK_BYTES = 1 << 21  # texts whose new pieces are encoded together
+TOGETHER = 64          # bytes of a piece that is encoded with others
+FEW = 32               # pieces left over that are finished one by one
 
 # The white space of Unicode, and the pattern of byte-level
 # pre-tokenizers (letters, contractions, digits or other characters, white
@@ -99,7 +105,8 @@ class Merges:
                 raise ValueError("two merges make one token")
             self.rank[made], self.left[made], self.right[made] = r, vocab[a], vocab[b]
             self.pair[vocab[a], vocab[b]] = r
-        self.known: dict[int, bool] = {}  # pairs met: compatible or not
+        # pairs met, one per slot: compatible or not
+        self.known, self.fit = np.full(PAIR_SLOTS, -1, np.int64), np.zeros(PAIR_SLOTS, bool)
         self._index()
 
     def _index(self) -> None:
@@ -124,6 +131,7 @@ class Merges:
                     break
         automaton.make_automaton()
         self.automaton = automaton
+        self.lengths, self.shorters = np.array(self.length, np.int32), np.array(self.shorter, np.int32)
 
     def fits(self, a: int, b: int, until: int | None = None) -> bool:
         """Whether tokens ``a`` and ``b`` stay apart when their joined bytes
@@ -147,46 +155,101 @@ class Merges:
             else:
                 b_taken, b = rank[b], self.left[b]
 
+    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`fits` of many pairs; pairs not in the table are looked at once."""
+        pair = a.astype(np.int64) * self.size + b
+        slot = (pair * 0x9E3779B1 >> 12) & (PAIR_SLOTS - 1)
+        out = self.fit[slot]
+        new = np.flatnonzero(self.known[slot] != pair)
+        if len(new):
+            pairs, back = np.unique(pair[new], return_inverse=True)
+            fit = np.array([self.fits(*divmod(p, self.size)) for p in pairs.tolist()], bool)
+            out[new] = fit[back]
+            # written through one index array, so a slot's pair and its answer belong together
+            at, first = np.unique((pairs * 0x9E3779B1 >> 12) & (PAIR_SLOTS - 1), return_index=True)
+            self.known[at], self.fit[at] = pairs[first], fit[first]
+        return out
+
+    def longest(self, text: str) -> array:
+        """The longest token that starts at each character (one per byte)."""
+        longest = array("i", [NONE]) * len(text)
+        for end, (token, back) in self.automaton.iter(text):
+            longest[end - back] = token  # ends ascend: the last one is the longest
+        return longest
+
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
         n = len(piece)
-        longest = array("i", [NONE]) * n
-        for end, (token, back) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - back] = token  # ends ascend: the last one is the longest
-        if not n or self.length[longest[0]] == n:
-            return longest.tolist()[:1]
-        length, shorter, size, known = self.length, self.shorter, self.size, self.known
-        if len(known) > PAIRS_KEPT:
-            known.clear()
+        longest = self.longest(piece.decode("latin-1"))
+        length, shorter, fits = self.length, self.shorter, self.fits
         ids: list[int] = []
         is_open = bytearray(b"\1") * (n + 1)
-        at, token, last = 0, longest[0], NONE
+        at, token = 0, longest[0] if n else NONE
         while at < n:
-            while token != NONE:
-                if is_open[at + length[token]]:
-                    if last == NONE:
-                        break
-                    pair = last * size + token
-                    fit = known.get(pair)
-                    if fit is None:
-                        fit = known[pair] = self.fits(last, token)
-                    if fit:
-                        break
+            while token != NONE and not (is_open[at + length[token]] and (not ids or fits(ids[-1], token))):
                 token = shorter[token]
             if token != NONE:
                 ids.append(token)
                 at += length[token]
-                last = token
-                if at < n:
-                    token = longest[at]
+                token = longest[at] if at < n else NONE
             else:
                 is_open[at] = 0
                 token = ids.pop()
                 at -= length[token]
                 token = shorter[token]
-                last = ids[-1] if ids else NONE
         return ids
 
+    def encode_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of many short pieces: the steps of :meth:`encode`, each taken by
+        all pieces that are not finished."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        # a character no token holds stands between pieces, and for the place after the last byte
+        text = "\u0100".join([p.decode("latin-1") for p in pieces]) + "\u0100"
+        longest = np.frombuffer(self.longest(text), np.int32)
+        end = np.cumsum(size + 1) - 1
+        at = end - size
+        is_open, before = np.ones(len(text), bool), np.full(len(text), NONE, np.int32)
+        last, token = np.full(len(pieces), NONE, np.int32), longest[at].copy()
+        left = np.flatnonzero(at < end)
+        while len(left) > FEW:
+            stuck = token[left] == NONE
+            if stuck.any():  # close the place, step back one token
+                k = left[stuck]
+                is_open[at[k]] = False
+                at[k] -= self.lengths[last[k]]
+                token[k] = self.shorters[last[k]]
+                last[k] = before[at[k]]
+                left_now = left[~stuck]
+            else:
+                left_now = left
+            t, a = token[left_now], last[left_now]
+            to = at[left_now] + self.lengths[t]
+            ok = is_open[to]
+            ask = np.flatnonzero(ok & (a != NONE))
+            ok[ask] = self.compatible(a[ask], t[ask])
+            k, to = left_now[ok], to[ok]
+            before[to] = last[k] = t[ok]
+            at[k], token[k] = to, longest[to]
+            k = left_now[~ok]
+            token[k] = self.shorters[token[k]]
+            left = left[at[left] < end[left]]
+        # the tokens of a finished piece, from its end to its start
+        ids, starts = np.full(len(text), NONE, np.int32), end - size
+        done = np.ones(len(pieces), bool)
+        done[left] = False
+        k, place = np.flatnonzero(done & (size > 0)), end.copy()
+        while len(k):
+            t = before[place[k]]
+            place[k] -= self.lengths[t]
+            ids[place[k]] = t
+            k = k[place[k] > starts[k]]
+        n = np.add.reduceat(ids != NONE, starts) if len(starts) else size
+        flat, ends = ids[ids != NONE].tolist(), np.cumsum(n).tolist()
+        out = [tuple(flat[e - m:e]) for e, m in zip(ends, n.tolist(), strict=True)]
+        for i in left.tolist():
+            out[i] = tuple(self.encode(pieces[i]))
+        return out
+
 
 class Codec:
     """Encoder and decoder of a byte-level BPE file of the tokenizers library."""
@@ -217,6 +280,7 @@ class Codec:
         self.offset = np.cumsum(self.width) - self.width
         self.flat = np.frombuffer(b"".join(by_id[i] for i in sorted(by_id)), np.uint8)
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.decimal = [str(i) for i in range(len(self.width))]
         self.classes, self.stand_in, self.seen = pre_tokenizers.ByteLevel(add_prefix_space=False), {}, set()
 
     # -- pieces ---------------------------------------------------------------
@@ -246,31 +310,56 @@ class Codec:
         while block := [text[m.start():m.end()] for m in islice(found, BLOCK)]:
             yield block
 
-    def _ids(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        kept, encode = self.kept, self.merges.encode
-        ids = list(map(kept.get, pieces))
-        if None not in ids:
-            return ids
-        own = {}
-        for p in {p for p, i in zip(pieces, ids, strict=True) if i is None}:
-            own[p] = found = tuple(encode(p.encode()))
-            if len(p) <= PIECE_KEPT:
-                if len(kept) >= PIECES_KEPT:
-                    kept.clear()
-                kept[p] = found
-        return [own[p] if i is None else i for p, i in zip(pieces, ids, strict=True)]
+    def _ids(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of the pieces that are not remembered; short ones then are."""
+        new = list({p for p in pieces if p not in self.kept})
+        raw = [p.encode() for p in new]
+        short = [i for i, r in enumerate(raw) if len(r) <= TOGETHER]
+        own = dict(zip([new[i] for i in short], self.merges.encode_many([raw[i] for i in short]), strict=True))
+        if len(self.kept) + len(own) > PIECES_KEPT:
+            self.kept.clear()
+        if len(own) <= PIECES_KEPT:
+            self.kept |= {p: ids for p, ids in own.items() if len(p) <= PIECE_KEPT}
+        for p, r in zip(new, raw, strict=True):
+            if len(r) > TOGETHER:
+                own[p] = tuple(self.merges.encode(r))
+        return own
 
     # -- both directions ------------------------------------------------------
 
-    def encode_blocks(self, text: str) -> Iterator[list[int]]:
-        """Ids of a text, one block of pieces at a time."""
+    def _blocks(self, text: str) -> Iterator[list[str] | int]:
+        """A text as blocks of pieces and ids of added tokens."""
         parts = self.cut.split(text) if self.cut else [text]
         for k, part in enumerate(parts):
             if k % 2:
-                yield [self.added[part]]
+                yield self.added[part]
             elif part:
-                for pieces in self._pieces(part):
-                    yield list(chain.from_iterable(self._ids(pieces)))
+                yield from self._pieces(part)
+
+    def _joined(self, block: list[str] | int) -> list[int]:
+        if isinstance(block, int):
+            return [block]
+        ids = list(map(self.kept.get, block))
+        if None in ids:
+            own = self._ids([p for p, i in zip(block, ids, strict=True) if i is None])
+            ids = [own[p] if i is None else i for p, i in zip(block, ids, strict=True)]
+        return list(chain.from_iterable(ids))
+
+    def encode_blocks(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text, one block of pieces at a time."""
+        return map(self._joined, self._blocks(text))
+
+    def texts(self, texts: pa.Array) -> Iterator[Iterator[list[int]]]:
+        """:meth:`encode_blocks` of every text of a column (null: empty).  The
+        new pieces of a chunk of short texts are looked up together first."""
+        for run in T.chunks(texts, CHUNK_BYTES):
+            if len(run) == 1:  # may be of any length
+                yield self.encode_blocks(run.raw(0).decode())
+                continue
+            cut = [list(self._blocks(run.raw(i).decode())) for i in range(len(run))]
+            self._ids(chain.from_iterable(b for blocks in cut for b in blocks if not isinstance(b, int)))
+            for blocks in cut:
+                yield map(self._joined, blocks)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.encode_blocks(text)))
@@ -302,7 +391,8 @@ def encode_documents(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(tokenizer_file)
         for batch in batches:
-            ids = pa.array([codec.encode(t.as_py() or "") for t in batch.column("text")], pa.list_(pa.int32()))
+            ids = pa.array([list(chain.from_iterable(blocks)) for blocks in codec.texts(batch.column("text"))],
+                           pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {doc_type}, ids array<int>")
@@ -321,13 +411,13 @@ def decode_documents(encoded: DataFrame, tokenizer_file: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decode, f"doc_id {doc_type}, text string")
 
 
-def round_trip_digests(codec: Codec, text: str) -> tuple[int, str, str]:
+def round_trip_digests(codec: Codec, blocks: Iterable[list[int]]) -> tuple[int, str, str]:
     """Number of ids, SHA-256 of the ids in decimal and of the decoded text."""
     n, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
     utf8 = codecs.getincrementaldecoder("utf-8")("replace")
-    for block in codec.encode_blocks(text):
+    for block in blocks:
         if block:
-            ids_hash.update(("," if n else "").encode() + ",".join(map(str, block)).encode())
+            ids_hash.update(("," if n else "").encode() + ",".join(map(codec.decimal.__getitem__, block)).encode())
             n += len(block)
             text_hash.update(utf8.decode(codec.decode_bytes(block)).encode())
     text_hash.update(utf8.decode(b"", True).encode())
@@ -340,7 +430,7 @@ def op11_bpe(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(tokenizer_file)
         for batch in batches:
-            rows = [round_trip_digests(codec, t.as_py() or "") for t in batch.column("text")]
+            rows = [round_trip_digests(codec, blocks) for blocks in codec.texts(batch.column("text"))]
             n, ids, text = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(text, pa.string())],
