@@ -152,7 +152,7 @@ class KdTree:
 
     def __init__(self, pts: np.ndarray, bucket: int, tight: bool):
         most = np.iinfo(pts.dtype).max
-        self.order = np.arange(len(pts))
+        self.order, self.tight = np.arange(len(pts)), tight
         lo, hi, kids, begin, end = [], [], [], [], []
 
         def node(a: int, b: int, low: np.ndarray, high: np.ndarray) -> int:
@@ -185,30 +185,39 @@ class KdTree:
             work += kids[v]
         self.lo, self.hi = np.array(lo), np.array(hi)
         self.kids, self.begin, self.end = np.array(kids), np.array(begin), np.array(end)
+        self.must, self.bar = _held(self.lo), ~_held(self.hi)  # letters all hold, none holds
         ends = self.kids[:, 0] < 0
         self.leaf = np.where(ends, np.cumsum(ends) - 1, -1)
         self.leaves = int(ends.sum())
 
     def reach(self, pts: np.ndarray, gain: int, lose: int) -> tuple[np.ndarray, np.ndarray]:
         """(point, leaf node) pairs: leaves whose box a point can come into by
-        gaining ``gain`` and losing ``lose`` letters at most."""
-        out_p, out_v = [], []
+        gaining ``gain`` and losing ``lose`` letters at most (in a tight tree,
+        and a few leaves more)."""
+        out_p, out_v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        has = _held(pts)
         step = max(1, PAIR_BYTES // (8 * DIMS))
         work = [(np.arange(a, min(len(pts), a + step)), np.zeros(min(len(pts), a + step) - a, np.int64))
                 for a in range(0, len(pts), step)]
         while work:
             p, v = work.pop()
-            c = pts[p]
-            up = np.maximum(self.lo[v] - c, 0).sum(axis=1)
-            down = np.maximum(c - self.hi[v], 0).sum(axis=1)
-            ok = (up <= gain) & (down <= lose)
+            h = has[p]  # letters missing and letters barred: the least that must change
+            ok = (_ones(self.must[v] & ~h) <= gain) & (_ones(self.bar[v] & h) <= lose)
             p, v = p[ok], v[ok]
             end = self.leaf[v] >= 0
             out_p.append(p[end])
             out_v.append(v[end])
             p, v = np.repeat(p[~end], 2), self.kids[v[~end]].ravel()
             work += [(p[a:a + step], v[a:a + step]) for a in range(0, len(p), step)]
-        return np.concatenate(out_p), np.concatenate(out_v)
+        p, v = np.concatenate(out_p), np.concatenate(out_v)
+        if self.tight:  # pairs are verified anyway
+            return p, v
+        ok = np.empty(len(p), bool)
+        for a in range(0, len(p), step):  # the boxes of the leaves, to the letter
+            c, low, high = pts[p[a:a + step]], self.lo[v[a:a + step]], self.hi[v[a:a + step]]
+            ok[a:a + step] = ((np.maximum(low - c, 0).sum(axis=1) <= gain)
+                              & (np.maximum(c - high, 0).sum(axis=1) <= lose))
+        return p[ok], v[ok]
 
 
 def _best_cut(part: np.ndarray) -> tuple[int, int] | None:
@@ -233,14 +242,28 @@ def _best_cut(part: np.ndarray) -> tuple[int, int] | None:
     return best[1:]
 
 
-def _pack(pts: np.ndarray) -> np.ndarray:
-    """Parities of the counts in two 64-bit words: words an edit apart differ
-    in two of them at most."""
-    bits = np.zeros((len(pts), 128), np.uint8)
-    bits[:, :DIMS] = pts & 1
+def _bits(flags: np.ndarray) -> np.ndarray:
+    """One flag per letter in two 64-bit words."""
+    bits = np.zeros((len(flags), 128), np.uint8)
+    bits[:, :DIMS] = flags
     return np.packbits(bits, axis=1).view(np.uint64)
 
 
+def _held(pts: np.ndarray) -> np.ndarray:
+    """Letters held at all and letters held twice, as bits."""
+    return np.concatenate((_bits(pts > 0), _bits(pts > 1)), axis=1)
+
+
+def _ones(bits: np.ndarray) -> np.ndarray:
+    n = np.bitwise_count(bits)
+    return sum(n[:, k] for k in range(n.shape[1]))
+
+
+def _parity(pts: np.ndarray) -> np.ndarray:
+    """Parities of the counts: words an edit apart differ in two at most."""
+    return _bits(pts & 1)
+
+
 # -- search in a leaf ---------------------------------------------------------
 
 class Leaf:
@@ -253,7 +276,7 @@ class Leaf:
         self.counts = [counts[i] for i in order]
         self.rows = letters(self.words)
         self.points = points(self.rows)
-        self.parity = _pack(self.points)
+        self.parity = _parity(self.points)
         self.tree = KdTree(self.points, BUCKET, tight=True)
 
     def near(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -262,7 +285,7 @@ class Leaf:
         rows = letters(words)
         shorter = rows.shape[1] < self.rows.shape[1]
         pts = points(rows).astype(self.points.dtype)
-        parity = _pack(pts)
+        parity = _parity(pts)
         q, v = self.tree.reach(pts, 1, 0 if shorter else 1)
         if not len(q):
             return
@@ -278,7 +301,7 @@ class Leaf:
                 k = np.searchsorted(ends[a:b] - (ends[a - 1] if a else 0), flat, "right")
                 start = (ends[a:b] - size[a:b] - (ends[a - 1] if a else 0))[k]
                 qi, di = q[a:b][k], self.tree.order[self.tree.begin[v[a:b][k]] + flat - start]
-                odd = np.bitwise_count(parity[qi] ^ self.parity[di]).sum(axis=1)
+                odd = _ones(parity[qi] ^ self.parity[di])
                 ok = odd == 1 if shorter else odd == 2
                 # a replaced letter shows in two parities, an added one in one
                 yield from self._verified(rows, pts, qi[ok], di[ok], shorter)
