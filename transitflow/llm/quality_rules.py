@@ -110,7 +110,7 @@ def _lines(docs: T.Docs, words: T.Words) -> tuple[np.ndarray, np.ndarray]:
     has = np.searchsorted(words.start, end) > np.searchsorted(words.start, start)
     start, end = start[has], end[has]
     doc = np.searchsorted(docs.off, start, "right") - 1
-    h = T.span_hashes(docs.buf, start, end) ^ T.mix(doc.astype(T.U64))
+    h = T.text_hashes(docs.buf, start, end) ^ T.mix(doc.astype(T.U64))
     lines = np.bincount(doc, minlength=n)
     _, first = np.unique(h, return_index=True)
     return lines, lines - np.bincount(doc[first], minlength=n)

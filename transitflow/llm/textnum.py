@@ -2,8 +2,8 @@
 
 A batch of documents is one contiguous run of UTF-8 bytes plus offsets.  Words
 (``[^\\x20\\x09-\\x0D]+``) have ASCII separators only, so they are found on the
-bytes.  Every span gets a 64-bit hash from prefix sums, without a Python-level
-loop over words.  Work is cut into chunks of a few megabytes, so memory per
+bytes.  Every span gets a 64-bit hash from sums over its bytes, without a
+Python-level loop over words.  Work is cut into chunks of a few megabytes, so memory per
 task does not grow with the batch; a document longer than a chunk is handled
 alone, block by block at word boundaries.
 """
@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 21
+HASH_BLOCK = 1 << 17
 U64 = np.uint64
 
 _SEP = np.zeros(256, dtype=bool)
@@ -124,7 +125,7 @@ def _block_words(docs: Docs, lo: int, hi: int, hashes: bool, separators: np.ndar
     after[-1] = False
     after[:-1] = word[1:]
     end = np.flatnonzero(word & (~after | edge[1:])) + 1
-    return start + lo, end + lo, span_hashes(buf, start, end) if hashes else np.zeros(0, U64)
+    return start + lo, end + lo, text_hashes(buf, start, end) if hashes else np.zeros(0, U64)
 
 
 def worker_store() -> dict:
@@ -149,8 +150,43 @@ def _powers(base: int, n: int) -> np.ndarray:
     return p[:n]
 
 
+def text_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span of ``buf`` (equal spans, equal hashes).
+
+    Every byte counts with a scrambled value of itself and its place in the
+    span, so no pattern of places cancels out whatever the text; the values of
+    a span are summed, block by block."""
+    size = end - start
+    out, cum = np.zeros(len(start), U64), np.concatenate((np.zeros(1, np.int64), np.cumsum(size, dtype=np.int64)))
+    for lo in range(0, int(cum[-1]), HASH_BLOCK):
+        hi = min(int(cum[-1]), lo + HASH_BLOCK)
+        a, b = int(np.searchsorted(cum, lo, "right")) - 1, int(np.searchsorted(cum, hi, "left"))
+        first, last = np.maximum(cum[a:b], lo), np.minimum(cum[a + 1:b + 1], hi)
+        place = np.arange(lo, hi) - np.repeat(cum[a:b], last - first)
+        at = place + np.repeat(start[a:b], last - first)
+        sums = np.zeros(hi - lo + 1, U64)
+        np.cumsum(mix(_BYTE[buf[at]] ^ (place.astype(U64) * U64(_MULT))), out=sums[1:])
+        out[a:b] += sums[last - lo] - sums[first - lo]
+    return mix(out ^ (size.astype(U64) * U64(0xD6E8FEB86659FD93)))
+
+
+def equal_spans(buf: np.ndarray, start: np.ndarray, size: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each span of ``buf`` holds the same bytes as the one of that
+    size at ``at`` in ``other``."""
+    same, cum = np.ones(len(start), bool), np.concatenate((np.zeros(1, np.int64), np.cumsum(size, dtype=np.int64)))
+    for lo in range(0, int(cum[-1]), HASH_BLOCK):
+        hi = min(int(cum[-1]), lo + HASH_BLOCK)
+        a, b = int(np.searchsorted(cum, lo, "right")) - 1, int(np.searchsorted(cum, hi, "left"))
+        first, last = np.maximum(cum[a:b], lo), np.minimum(cum[a + 1:b + 1], hi)
+        place = np.arange(lo, hi) - np.repeat(cum[a:b], last - first)
+        apart = np.flatnonzero(buf[place + np.repeat(start[a:b], last - first)] != other[place + np.repeat(at[a:b], last - first)])
+        same[np.searchsorted(cum, apart + lo, "right") - 1] = False
+    return same
+
+
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span of ``buf`` (equal spans, equal hashes)."""
+    """64-bit hash of byte spans that may overlap.  For short spans only: from
+    1,024 bytes on there are different texts with one hash."""
     n = len(buf)
     c = np.zeros(n + 1, dtype=U64)
     np.cumsum(_BYTE[buf] * _powers(_MULT, n), out=c[1:])

@@ -44,8 +44,10 @@ from .wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 1 << 21
-SLOTS = 1 << 22            # parts remembered per worker
-REMEMBERED_IDS = 1 << 23   # ids held for them before the table starts anew
+SLOTS = 1 << 21            # parts remembered per worker, of at most ...
+REMEMBERED_PART = 256      # ... so many bytes
+REMEMBERED_IDS = 1 << 23   # ids and bytes held for them before the table starts anew
+REMEMBERED_BYTES = 1 << 26
 JOINED = 512               # new parts encoded as one text
 MAGIC = b"TOKS"
 
@@ -80,7 +82,10 @@ class Encoder:
         self.keys = np.zeros(SLOTS, T.U64)
         self.at = np.full(SLOTS, -1, np.int32)      # place of the slot's ids ...
         self.size = np.zeros(SLOTS, np.int32)       # ... and their number
+        self.width = np.zeros(SLOTS, np.int32)      # bytes of the part ...
+        self.text = np.zeros(SLOTS, np.int32)       # ... and their place
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.bytes, self.held = np.zeros(1 << 20, np.uint8), 0
 
     def __call__(self, docs: T.Docs) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents with their end ids, ids per document)."""
@@ -116,31 +121,53 @@ class Encoder:
             at = m.end() if m else end
 
     def _look_up(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and number of ids of every part; encodes what is new."""
-        if self.used > REMEMBERED_IDS:
+        """Place and number of ids of every part; encodes what is new.  A part
+        counts as seen only if its bytes are those remembered."""
+        if self.used > REMEMBERED_IDS or self.held > REMEMBERED_BYTES:
             self.forget()
-        h = T.span_hashes(buf, start, end)
+        h, width = T.text_hashes(buf, start, end), end - start
         slot = (h & T.U64(SLOTS - 1)).astype(np.int64)
         other = np.flatnonzero(self.keys[slot] != h)  # not there: its neighbour may hold it
         slot[other] ^= 1
         at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
-        new = np.flatnonzero((self.keys[slot] != h) | (at < 0))
+        seen = (self.keys[slot] == h) & (at >= 0) & (self.width[slot] == width)
+        hit = np.flatnonzero(seen)
+        seen[hit] = T.equal_spans(buf, start[hit], width[hit], self.bytes, self.text[slot[hit]])
+        new = np.flatnonzero(~seen)
         if len(new):
             keys, first, inverse = np.unique(h[new], return_index=True, return_inverse=True)
-            ids, sizes = self._encode(buf, start[new[first]], end[new[first]])
+            # parts that share a hash with another one but not its bytes stand for themselves
+            twin = new[first][inverse]
+            alike = (width[new] == width[twin]) & (width[new] > 0)
+            alike[alike] = T.equal_spans(buf, start[new[alike]], width[new[alike]], buf, start[twin[alike]])
+            alone = np.flatnonzero(~alike)
+            inverse[alone] = len(first) + np.arange(len(alone))
+            part = np.concatenate((new[first], new[alone]))
+            ids, sizes = self._encode(buf, start[part], end[part])
             if self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate((self.ids[:self.used], np.zeros(len(ids) + len(self.ids), np.uint32)))
             places = self.used + np.cumsum(sizes) - sizes
             self.ids[self.used:self.used + len(ids)] = ids
             self.used += len(ids)
             at[new], size[new] = places[inverse], sizes[inverse]
-            s = (keys & T.U64(SLOTS - 1)).astype(np.int64)
-            s ^= self.at[s] >= 0  # taken: use the neighbour
-            self.keys[s], self.at[s], self.size[s] = keys, places, sizes
-            clash = self.keys[s] != keys  # two new parts in one slot: forget both
-            self.at[s[clash]] = -1
+            self._remember(buf, start[new[first]], width[new[first]], keys, places[:len(keys)], sizes[:len(keys)])
         return at, size
 
+    def _remember(self, buf, start, width, keys, places, sizes) -> None:
+        short = width <= REMEMBERED_PART
+        start, width, keys, places, sizes = (x[short] for x in (start, width, keys, places, sizes))
+        text = self.held + np.cumsum(width) - width
+        total = int(width.sum())
+        if self.held + total > len(self.bytes):
+            self.bytes = np.concatenate((self.bytes[:self.held], np.zeros(total + len(self.bytes), np.uint8)))
+        self.bytes[self.held:self.held + total] = buf[np.arange(total) + np.repeat(start - (text - self.held), width)]
+        self.held += total
+        s = (keys & T.U64(SLOTS - 1)).astype(np.int64)
+        s ^= self.at[s] >= 0  # taken: use the neighbour
+        self.keys[s], self.at[s], self.size[s], self.width[s], self.text[s] = keys, places, sizes, width, text
+        clash = self.keys[s] != keys  # two new parts in one slot: forget both
+        self.at[s[clash]] = -1
+
     def _encode(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts, one after the other, and their numbers.
 
