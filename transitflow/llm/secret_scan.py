@@ -56,19 +56,56 @@ RULES = BASE + MORE
 _SPANS = "array<struct<start:long,end:long>>"
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """Spans of a rule's matches in a text, in order."""
+BLOCK = 512  # matches whose places are summed one after the other
+
+
+def _steps(text: Column, rule: Rule) -> Column:
+    """Per match of a rule: characters before it (from the last match), in it
+    and in its value.  Null where there is none."""
     pattern = F.lit(rule.pattern)
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
     value = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else hits
     rows = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), hits.alias("hit"), value.alias("value"))
-    steps = F.transform(F.filter(rows, lambda r: r["hit"].isNotNull()),
+    found = F.transform(F.filter(rows, lambda r: r["hit"].isNotNull()),
                         lambda r: F.struct(F.length(r["gap"]).alias("g"), F.length(r["hit"]).alias("h"), F.length(r["value"]).alias("v")))
-    ends = F.transform(steps, lambda s, i: F.struct(
-        F.aggregate(F.slice(steps, 1, i + 1), F.lit(0).cast("long"), lambda acc, x: acc + x["g"] + x["h"]).alias("end"), s.alias("s")))
-    kept = F.filter(ends, lambda e: e["s"]["v"] >= rule.least)
-    found = F.transform(kept, lambda e: F.struct((e["end"] - e["s"]["h"]).alias("start"), e["end"].alias("end")))
-    return F.when(F.regexp_like(text, pattern), found).otherwise(F.array().cast(_SPANS))
+    return F.when(F.regexp_like(text, pattern), found)
+
+
+def _in_blocks(steps: Column) -> Column:
+    """Steps in blocks: the length of each, and its matches' places in it."""
+    first = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast("array<struct<start:long,end:long,v:int>>").alias("out"))
+
+    def add(acc, s):
+        start = acc["pos"] + s["g"]
+        match = F.struct(start.alias("start"), (start + s["h"]).alias("end"), s["v"].alias("v"))
+        return F.struct((start + s["h"]).alias("pos"), F.concat(acc["out"], F.array(match)).alias("out"))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int"))
+    return F.transform(numbers, lambda k: F.aggregate(F.slice(steps, k * BLOCK + 1, F.lit(BLOCK)), first, add))
+
+
+def _spans(blocks: Column, rule: Rule) -> Column:
+    """The spans of matches whose value is long enough, in order."""
+    def placed(block, i):
+        before = F.aggregate(F.slice(blocks, F.lit(1), i), F.lit(0).cast("long"), lambda acc, b: acc + b["pos"])
+        long_enough = F.filter(block["out"], lambda m: m["v"] >= rule.least)
+        return F.transform(long_enough, lambda m: F.struct((before + m["start"]).alias("start"), (before + m["end"]).alias("end")))
+    return F.flatten(F.transform(blocks, placed))
+
+
+def with_spans(rows: DataFrame, rules=RULES) -> DataFrame:
+    """blob, kind, version, spans of the rules each row (``blob``, ``_text``,
+    ``todo``: kinds to run) asks for.  Matches, places in blocks and spans are
+    columns of three projections, so each is worked out once per text: the work
+    is in proportion to a text's length and matches."""
+    each = range(len(rules))
+    out = rows.select("blob", "todo", *[F.when(F.array_contains("todo", r.kind), _steps(F.col("_text"), r)).alias(f"_s{i}")
+                                        for i, r in enumerate(rules)])
+    out = out.select("blob", "todo", *[_in_blocks(F.col(f"_s{i}")).alias(f"_b{i}") for i in each])
+    none = F.array().cast(_SPANS)
+    done = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
+                              F.coalesce(_spans(F.col(f"_b{i}"), r), none).alias("spans")) for i, r in enumerate(rules)])
+    return out.select("blob", F.inline(F.filter(done, lambda x: F.array_contains("todo", x["kind"]))))
 
 
 def _text(col: str) -> Column:
@@ -112,11 +149,7 @@ def scan(versions: DataFrame, paths: list[str], ledger_path: str, rules=RULES, t
     same = F.col("blob") == F.col("_blob")
     for i, p in enumerate(paths):
         same = same & F.col(p).eqNullSafe(F.col(f"_p{i}"))
-    due = lambda r: F.when(F.array_contains("todo", r.kind), spans(F.col("_text"), r))
-    scanned = rows.join(todo, same).select("blob", F.filter(F.array(*[
-        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), due(r).alias("spans")) for r in rules]),
-        lambda x: x["spans"].isNotNull()).alias("r"))
-    (scanned.select("blob", F.inline("r")).write.mode("append").parquet(ledger_path))
+    with_spans(rows.join(todo, same), rules).write.mode("append").parquet(ledger_path)
     return addressed.join(findings(read_ledger(spark, ledger_path), rules), "blob", "left")
 
 
