@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from .tripstops import point_cells, segment_cells
+from .tripstops import grid_join, point_cells, segment_cells
 
 DEFAULT_MAX_OFFSET_M = 100.0
 
@@ -40,8 +40,8 @@ def offset_v(n0: Vec3, a: Vec3, b: Vec3, degenerate, at_start, to_a, to_b):
 
 
 def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: DataFrame,
-                max_offset_m: float = DEFAULT_MAX_OFFSET_M, segment_cells_df: DataFrame | None = None
-                ) -> DataFrame:
+                max_offset_m: float = DEFAULT_MAX_OFFSET_M, segment_cells_df: DataFrame | None = None,
+                cell_bound: int | None = None) -> DataFrame:
     """GPS rows (with ``route_code``) matched to their route's shape.
 
     Output: the GPS columns plus shape_id, seg_sequence, offset_m (metres off
@@ -54,7 +54,8 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     are grouped first - a partial aggregate - matched once, and expanded back,
     so the fix itself is the deterministic grouping key.  ``segment_cells_df``
     lets a caller pass precomputed :func:`segment_cells` (e.g. cached across
-    micro-batches of a stream)."""
+    micro-batches of a stream); with ``cell_bound`` crowded cells are split
+    (see :func:`~transitflow.operators.tripstops.split_crowded`)."""
     gcols = gps.columns
     if segment_cells_df is None:
         segment_cells_df = route_segment_cells(routes, trips, segments, max_offset_m)
@@ -63,7 +64,7 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     # (route_code, level, cell): a busy line spreads over its cells
     codes = route_shapes(routes, trips).select("route_code").distinct()
     fixes = gps.join(codes, "route_code", "left_semi").groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = point_cells(fixes).join(segment_cells_df, ["route_code", "level", "cell"])
+    pairs = grid_join(point_cells(fixes), segment_cells_df, "route_code", cell_bound)
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))

@@ -21,6 +21,11 @@ join is keyed spatially as well:
 Joining on (shape_id, level, cell) yields every pair the corridor test could
 accept - no false negatives - while pairs far apart never meet.  The exact
 test then runs on native columns with each point's vector computed once.
+
+A route that runs through one street a million times fills one cell with its
+segments.  :func:`split_crowded` counts the cells and splits those above a
+bound: first into finer cells, down to the pad of their segments, then, where
+the segments really share one place, into slices of bounded size.
 """
 
 from __future__ import annotations
@@ -33,6 +38,12 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
+from ..session import materialize
+
+# Most rows of either side that meet under one key of a split join, and the
+# most parts per axis a crowded cell is cut into.
+CELL_BOUND = 4096
+MAX_SPLIT = 4
 
 # Finest cell edge (100 m, in unit-sphere chord units), growth per level,
 # number of levels (the top one spans the whole sphere) and the most pieces
@@ -134,11 +145,107 @@ def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERAN
                 rng("az", "bz", t0, t1), lambda iz: _cell_key(ix, iy, iz))))))
 
     cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), k - 1), piece)))
-    return v.select("*", F.explode(cells).alias("cell")).drop("_pad")
+    return v.select("*", F.explode(cells).alias("cell"))
+
+
+# ---- crowded cells ------------------------------------------------------------
+
+SPLIT_KEY = ("_sub", "_seg_slice", "_point_slice")
+
+
+def _axis(cell: Column, shift: int) -> Column:
+    """Index of a cell along one axis (see :func:`_cell_key`)."""
+    return (F.shiftright(cell, shift).bitwiseAND(F.lit((1 << 21) - 1)) - F.lit(_OFF)).cast("double")
+
+
+def _sub_index(ix: Column, iy: Column, iz: Column, k: Column) -> Column:
+    return ((ix * k + iy) * k + iz).cast("int")
+
+
+def _point_sub(k: Column) -> Column:
+    """The part of its cell a point lies in."""
+    edge = _cell_size(F.col("level"))
+
+    def index(c: str, shift: int):
+        inside = F.col(c) / edge - _axis(F.col("cell"), shift)
+        return F.least(k - 1, F.greatest(F.lit(0), F.floor(inside * k))).cast("int")
+    return _sub_index(index("px", 42), index("py", 21), index("pz", 0), k)
+
+
+def _segment_subs(cells: DataFrame) -> DataFrame:
+    """One row (``_sub``) per part of its cell that a segment's pad can reach:
+    parts whose centre is no farther from the chord than the pad and half the
+    part's diagonal.  Rows with a null ``_k`` keep their cell whole."""
+    k = F.col("_k")
+    rows = cells.withColumn("_sub", F.explode(F.when(k > 1, F.sequence(F.lit(0), k * k * k - 1)).otherwise(F.array(F.lit(0)))))
+    i, edge = F.col("_sub"), _cell_size(F.col("level"))
+    part = edge / k
+    at = [F.floor(i / (k * k)), F.floor(i / k) % k, i % k]
+    d = [F.col(f"b{x}") - F.col(f"a{x}") for x in "xyz"]
+    v = [_axis(F.col("cell"), s) * edge + (x.cast("double") + F.lit(0.5)) * part - F.col(f"a{n}")
+         for x, s, n in zip(at, (42, 21, 0), "xyz", strict=True)]
+    along = (v[0] * d[0] + v[1] * d[1] + v[2] * d[2]) / F.greatest(d[0] * d[0] + d[1] * d[1] + d[2] * d[2], F.lit(1e-300))
+    rows = rows.withColumn("_t", F.least(F.lit(1.0), F.greatest(F.lit(0.0), along)))
+    off = [v[j] - d[j] * F.col("_t") for j in range(3)]
+    reach = F.col("_pad") + part * F.lit(math.sqrt(3) / 2 * (1 + 1e-9)) + F.lit(1e-15)
+    return (rows.withColumn("_off", F.sqrt(off[0] * off[0] + off[1] * off[1] + off[2] * off[2]) - reach)
+            .where(F.coalesce(k, F.lit(1)).eqNullSafe(1) | (F.col("_off") <= 0)).drop("_t", "_off", "_k"))
+
+
+def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CELL_BOUND
+                  ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a grid join and the columns to join on, such that no key
+    holds many more than ``bound`` rows of either side.
+
+    ``points``: rows of :func:`point_cells`; ``cells``: rows of
+    :func:`segment_cells`; ``by``: the column besides ``level`` and ``cell``
+    they are joined on.  Cells with more than ``bound`` segments are cut into
+    ``k`` parts per axis, no finer than twice the largest pad there; a part that
+    still holds more is dealt into slices by hash, which every point of the part
+    meets, and parts with many points likewise, the other way round.  The
+    tables of crowded cells and parts hold at most one row per ``bound`` rows.
+    The pairs are the same, whatever the bound."""
+    points, cells = materialize(points), materialize(cells)
+    key = [by, "level", "cell"]
+    room = F.floor(_cell_size(F.col("level")) / (F.lit(2.0) * F.col("_pad")))
+    wanted = F.ceil(F.sqrt(F.col("_n") / F.lit(bound)))
+    crowded = (cells.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max("_pad").alias("_pad"))
+               .where(F.col("_n") > bound)
+               .select(*key, F.greatest(F.lit(1), F.least(F.lit(MAX_SPLIT), room, wanted)).cast("int").alias("_k")))
+    crowded = materialize(crowded)
+    k = F.coalesce(F.col("_k"), F.lit(1))
+    points = (points.join(crowded, key, "left")
+              .withColumn("_sub", F.when(F.col("_k") > 1, _point_sub(k)).otherwise(F.lit(0))).drop("_k"))
+    cells = _segment_subs(cells.join(crowded, key, "left"))
+
+    part = [*key, "_sub"]
+    fill = lambda df, name: (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound)
+                             .select(*part, F.ceil(F.col("_n") * 2 / bound).cast("int").alias(name)))
+    seg_slices, point_slices = materialize(fill(cells, "_s")), materialize(fill(points, "_p"))
+
+    def dealt(df: DataFrame, own: DataFrame, n: str, slice_: str, other: DataFrame, m: str, every: str) -> DataFrame:
+        """Rows dealt into their own side's slices, once for each of the other's."""
+        rest = [c for c in df.columns if c not in part]
+        df = df.join(own, part, "left").join(other, part, "left")
+        return (df.withColumn(slice_, F.when(F.col(n) > 1, F.pmod(F.xxhash64(*rest), F.col(n))).otherwise(F.lit(0)).cast("int"))
+                .withColumn(every, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(m), F.lit(1)) - 1))).drop(n, m))
+    points = dealt(points, point_slices, "_p", "_point_slice", seg_slices, "_s", "_seg_slice")
+    cells = dealt(cells, seg_slices, "_s", "_seg_slice", point_slices, "_p", "_point_slice")
+    return points, cells, [*key, *SPLIT_KEY]
+
+
+def grid_join(points: DataFrame, cells: DataFrame, by: str, bound: int | None = None) -> DataFrame:
+    """Pairs of points and segments that share ``by`` and a grid cell; with
+    ``bound``, crowded cells are split first."""
+    on = [by, "level", "cell"]
+    if bound is not None:
+        points, cells, on = split_crowded(points, cells, by, bound)
+    return points.join(cells, on).drop("_pad", *SPLIT_KEY)
 
 
 def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
-                        tolerance: float = geo.ON_SEGMENT_TOLERANCE, prune_levels: bool = False) -> DataFrame:
+                        tolerance: float = geo.ON_SEGMENT_TOLERANCE, prune_levels: bool = False,
+                        cell_bound: int | None = None) -> DataFrame:
     """(stop row, segment) pairs sharing a shape and a grid cell: a superset
     of the corridor matches, far smaller than all pairs of a shape.  Segments
     of shapes without a stop row meet nothing in the join; callers that know
@@ -146,12 +253,12 @@ def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
 
     With ``prune_levels`` each stop row is listed only under the grid levels
     its shape's segments occupy (a second, aggregated pass over the segments)
-    instead of under all levels."""
+    instead of under all levels.  With ``cell_bound`` crowded cells are split."""
     stop_rows = stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon")
     segs = segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
                            "lat1", "lon1", "lat2", "lon2", "dist", "total_dist")
     points = point_cells(stop_rows, segment_levels(segs, tolerance)) if prune_levels else point_cells(stop_rows)
-    return points.join(segment_cells(segs, tolerance), ["shape_id", "level", "cell"])
+    return grid_join(points, segment_cells(segs, tolerance), "shape_id", cell_bound)
 
 
 def stops_near_starts(stop_rows: DataFrame, segments: DataFrame, within_m: float) -> DataFrame:
@@ -161,13 +268,13 @@ def stops_near_starts(stop_rows: DataFrame, segments: DataFrame, within_m: float
     segs = segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
                            "lat1", "lon1", "lat2", "lon2")
     stops = stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon")
-    pairs = point_cells(stops).join(segment_cells(segs, within_m=within_m), ["shape_id", "level", "cell"])
+    pairs = grid_join(point_cells(stops), segment_cells(segs, within_m=within_m), "shape_id")
     to_start = geo.distance_v(Vec3.named("p"), Vec3.named("a"), geo.same_point("lat", "lon", "lat1", "lon1"))
     return pairs.where(to_start <= F.lit(float(within_m)))
 
 
 def corridor_matches(stop_rows: DataFrame, segments: DataFrame,
-                     tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
+                     tolerance: float = geo.ON_SEGMENT_TOLERANCE, cell_bound: int | None = None) -> DataFrame:
     """Every (stop row, segment of its shape) pair passing the corridor test.
 
     ``stop_rows``: trip_id, stop_id, sequence, shape_id, lat, lon.
@@ -175,7 +282,7 @@ def corridor_matches(stop_rows: DataFrame, segments: DataFrame,
     total_dist).  Output: stop columns, seg_sequence, segment end points, dist,
     total_dist, along (metres from the segment start) and the unit vectors
     (p*, a*, b*) of stop and end points."""
-    pairs = corridor_candidates(stop_rows, segments, tolerance)
+    pairs = corridor_candidates(stop_rows, segments, tolerance, cell_bound=cell_bound)
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     at_start = geo.same_point("lat", "lon", "lat1", "lon1")
@@ -194,15 +301,26 @@ def stop_rows_of(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
 
 
 def trip_stops(stop_times: DataFrame, stops: DataFrame, segments: DataFrame,
-               tolerance: float = geo.ON_SEGMENT_TOLERANCE) -> DataFrame:
+               tolerance: float = geo.ON_SEGMENT_TOLERANCE, cell_bound: int | None = None) -> DataFrame:
     """Trip-stops table: trip_id, stop_id, sequence, dist (metres along the
     route = running distance before the matched segment + along-track).  A
     stop matching k segments gives k rows; one matching none is dropped."""
-    m = corridor_matches(stop_rows_of(stop_times, stops), segments, tolerance)
+    m = corridor_matches(stop_rows_of(stop_times, stops), segments, tolerance, cell_bound)
     return m.select("trip_id", "stop_id", "sequence",
                     (F.col("total_dist") - F.col("dist") + F.col("along")).alias("dist"))
 
 
+def stop_passes(stop_rows: DataFrame, segments: DataFrame, cell_bound: int | None = CELL_BOUND) -> DataFrame:
+    """Per stop row: how often its route passes it (segments whose corridor
+    holds the stop), and where it does so first and last, in metres along the
+    route.  For routes that run through one street many times; crowded cells
+    are split, and the passes are summed without listing them."""
+    at = F.col("total_dist") - F.col("dist") + F.col("along")
+    return (corridor_matches(stop_rows, segments, cell_bound=cell_bound)
+            .groupBy("trip_id", "stop_id", "sequence", "shape_id")
+            .agg(F.count(F.lit(1)).alias("n_passes"), F.min(at).alias("first_dist"), F.max(at).alias("last_dist")))
+
+
 def trip_stops_sql(stop_rows: DataFrame, segments: DataFrame, view: str | None = None) -> DataFrame:
     """The trip-stops step written as SQL text over a temporary view, with the
     SQL-registered ``onSegment`` and ``alongTrack`` functions (see

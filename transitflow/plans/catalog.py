@@ -142,6 +142,18 @@ def q_stops_between_perpendiculars(spark, sf_dir):
     return m.select(*_KEYS, between.alias("between_ends"))
 
 
+# Segments of one shape that may meet under one key in the crowded street
+# (small enough that its cells are split at every scale tested).
+STREET_BOUND = 256
+
+
+def q_street_passes(spark, sf_dir):
+    segments = shapes.build_shapes(fx.street_points(spark, sf_dir))
+    passes = tripstops.stop_passes(fx.street_stop_rows(spark, sf_dir), segments, STREET_BOUND)
+    return passes.select("shape_id", "stop_id", "n_passes", _r("first_dist", 2).alias("first_dist"),
+                         _r("last_dist", 2).alias("last_dist"))
+
+
 SLAB_REACH_M = 1000.0
 
 

@@ -168,6 +168,15 @@ select id, count(*) as n_segments, round(max(total_dist), 3) as length from shap
     stitched = "with " + ",\n".join([f"fx_shape_points as ({hot_points})", f"shapes as ({SHAPES})"]) + """
 select id, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist, round(total_dist, 2) as total_dist from shapes"""
     q["shapes_stitched"] = q["shapes_by_position"] = stitched
+    street = hot_points.replace("/ 1e3", "/ 1e6")
+    q["street_passes"] = "with " + ",\n".join([f"fx_shape_points as ({street})", f"shapes as ({SHAPES})"]) + f"""
+select shape_id, stop_id, count(*) as n_passes, round(min(total_dist - dist + along), 2) as first_dist,
+       round(max(total_dist - dist + along), 2) as last_dist
+from (select s.id as shape_id, p.stop_id, s.dist, s.total_dist, {along_sql('p.lat', 'p.lon', 's.lat1', 's.lon1', 's.lat2', 's.lon2')} as along
+      from (select cast(n_nationkey as varchar) as stop_id, -22.9e0 + cast((n_nationkey * 7919) % 101 as double) / 1e6 as lat,
+                   -43.2e0 - cast((n_nationkey * 104729) % 103 as double) / 1e6 as lon from nation) p, shapes s
+      where {on_segment_sql('p.lat', 'p.lon', 's.lat1', 's.lon1', 's.lat2', 's.lon2')}) x
+group by shape_id, stop_id"""
     q["shapes_ordered"] = with_fx("fx_shape_points", extra=[("shapes", SHAPES)]) + """
 select id, try_cast(id as bigint) as id_num, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist,
        round(total_dist, 3) as total_dist

@@ -87,7 +87,8 @@ def refresh(spark: SparkSession, steps: Iterable[str], gtfs_dir: str, store_dir:
         elif step == "tripstops":
             st = trips.stop_times_of_trips(src("stop_times"), store.trips())
             _write(st, store.path("stop_times"), counts, "stop_times")
-            ts = tripstops.trip_stops(store.table("stop_times"), store.stops(), store.shapes())
+            ts = tripstops.trip_stops(store.table("stop_times"), store.stops(), store.shapes(),
+                                      cell_bound=tripstops.CELL_BOUND)
             _write(ts, store.path("tripstops"), counts, "tripstops")
     return counts
 

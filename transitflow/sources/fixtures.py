@@ -43,7 +43,7 @@ def shape_points(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
     )
 
 
-def hot_shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hot_shape_points(spark: SparkSession, sf_dir: str, scale: str = "1e3") -> DataFrame:
     """A skewed projection: the line items of all orders of one priority form
     one shape (five shapes, each a fifth of ``lineitem``), ordered by order
     and line.  ``sequence`` is a long: a hot shape can exceed 2^31 points."""
@@ -55,11 +55,33 @@ def hot_shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn")
     return ranked.selectExpr(
         "o_orderpriority as shape_id", "rn as sequence",
-        "-22.9e0 + cast((l_partkey * 7919) % 101 as double) / 1e3 as lat",
-        "-43.2e0 - cast((l_partkey * 104729) % 103 as double) / 1e3 as lon",
+        f"-22.9e0 + cast((l_partkey * 7919) % 101 as double) / {scale} as lat",
+        f"-43.2e0 - cast((l_partkey * 104729) % 103 as double) / {scale} as lon",
     )
 
 
+def street_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of :func:`hot_shape_points` moved into one street of about
+    10 m by 10 m: five routes that run through it a fifth of ``lineitem`` times
+    each."""
+    return hot_shape_points(spark, sf_dir, scale="1e6")
+
+
+def street_stop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stop per nation in that street, on the route of each priority: trip_id,
+    stop_id, sequence, shape_id, lat, lon."""
+    shapes = load(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("shape_id")).distinct()
+    stops = load(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as string) as stop_id", "cast(n_nationkey as int) as sequence",
+        "-22.9e0 + cast((n_nationkey * 7919) % 101 as double) / 1e6 as lat",
+        "-43.2e0 - cast((n_nationkey * 104729) % 103 as double) / 1e6 as lon")
+    # each route lists every nation's stop: the shapes travel as one small array per stop row
+    every = shapes.groupBy().agg(F.collect_set("shape_id").alias("_all")).select("_all", F.lit(0).alias("_one"))
+    return (stops.withColumn("_one", F.lit(0)).join(every, "_one")
+            .select(F.col("sequence").cast("long").alias("trip_id"), "stop_id", "sequence",
+                    F.explode("_all").alias("shape_id"), "lat", "lon"))
+
+
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw stops: id, code, name, info, lat, lon (codes empty, too long, normal;
     info null for some)."""
