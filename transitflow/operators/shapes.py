@@ -6,14 +6,17 @@ is a native expression, and the running sum / kept-segment counter are window
 frames.
 
 Skew: a window partitioned by ``shape_id`` alone puts a whole shape in one
-task.  Points are therefore windowed per (shape_id, chunk) where ``chunk`` is
-``floor(sequence / chunk_size)`` - a bounded run of consecutive points.  Two
-small per-chunk tables stitch the chunks back together: the first point of the
-next non-empty chunk (closing the last pair of each chunk) and the distance /
-segment count of all earlier chunks (offsetting the running values).  The plan
-is the same whatever the data: shapes of one chunk just have no row in either
-table.  It is lazy; the points are read once for the pairs and once, by a
-partial aggregate, for the chunk heads.
+task.  Points are therefore grouped per (shape_id, chunk) where ``chunk`` is
+``floor(sequence / chunk_size)`` - a bounded run of consecutive points.  One
+exchange of the points serves everything: a chunk's distinct points are
+collected as a set (combined on the map side, so a group of copies stays one
+point), sorted, zipped into pairs, and the windows of the running values use
+the same partitioning.  Two small per-chunk tables stitch the chunks back
+together: the first point of the next non-empty chunk (closing the last pair of
+each chunk) and the distance / segment count of all earlier chunks (offsetting
+the running values).  Both are built from the shapes that reach beyond chunk 0
+alone - a filter on ``sequence`` that a scan can use - so shapes of one chunk
+are read and measured once.  The plan is the same whatever the data, and lazy.
 """
 
 from __future__ import annotations
@@ -29,60 +32,76 @@ DEFAULT_CHUNK = 1 << 16
 _ORDER = ("sequence", "lat", "lon")
 
 
-def _chunked(points: DataFrame, chunk_size: int, chunk_by: str = "sequence") -> DataFrame:
-    """Distinct points with their copy count ``_n`` and chunk.  Exact copies
-    of a point are collapsed by a partial aggregate (map-side combined), so
-    a group of copies never fills one window partition.
+def _located(points: DataFrame) -> DataFrame:
+    return (points.select("shape_id", "sequence", "lat", "lon")
+            .where(F.col("shape_id").isNotNull() & F.col("sequence").isNotNull()
+                   & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
+
+
+def _counted(points: DataFrame) -> DataFrame:
+    """Distinct points with their number of copies ``_n``."""
+    return _located(points).groupBy("shape_id", "sequence", "lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _placed(points: DataFrame, chunk_size: int, chunk_by: str) -> DataFrame:
+    """Located points with their chunk (from 0 on; sequences below 0, which
+    GTFS has not, count to chunk 0).
 
     ``chunk_by="sequence"`` (default) cuts ranges of sequence values, which
     bounds a chunk when sequences are distinct within a shape, as GTFS
     requires.  ``chunk_by="position"`` cuts ranges of the skew-safe rank
     within the shape instead: bounded by construction even when a malformed
     feed repeats sequence values, at the price of the ranking shuffles."""
-    distinct = (points.select("shape_id", "sequence", "lat", "lon")
-                .where(F.col("shape_id").isNotNull() & F.col("sequence").isNotNull()
-                       & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-                .groupBy("shape_id", "sequence", "lat", "lon").agg(F.count(F.lit(1)).alias("_n")))
     if chunk_by == "position":
-        ranked = row_number_within(distinct, "shape_id", list(_ORDER), "_pos", split_copies=False)
+        ranked = row_number_within(_counted(points).drop("_n"), "shape_id", list(_ORDER), "_pos", split_copies=False)
         return ranked.withColumn("chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_size))).drop("_pos")
     if chunk_by != "sequence":
         raise ValueError(f"chunk_by must be 'sequence' or 'position', not {chunk_by!r}")
-    return distinct.withColumn("chunk", F.floor(F.col("sequence") / F.lit(chunk_size)))
-
-
-def _pairs(p: DataFrame) -> DataFrame:
-    in_chunk = Window.partitionBy("shape_id", "chunk").orderBy(*_ORDER)
-    by_chunk = Window.partitionBy("shape_id").orderBy("chunk")
-    # one row per chunk that has a successor
-    bridge = (p.groupBy("shape_id", "chunk").agg(F.min(F.struct(*_ORDER)).alias("head"))
-              .select(F.col("shape_id").alias("_sid"), F.col("chunk").alias("_chunk"),
-                      F.lead("head").over(by_chunk).alias("next_head"))
+    chunk = F.floor(F.col("sequence") / F.lit(chunk_size))
+    return _located(points).withColumn("chunk", F.greatest(chunk, F.lit(0).cast("long")))
+
+
+def _heads(placed: DataFrame) -> DataFrame:
+    """First point of every chunk but chunk 0: _sid, _chunk, head."""
+    return (placed.where(F.col("chunk") > 0).groupBy(F.col("shape_id").alias("_sid"), F.col("chunk").alias("_chunk"))
+            .agg(F.min(F.struct(*_ORDER)).alias("head")))
+
+
+def _pairs(placed: DataFrame) -> DataFrame:
+    """Pairs of consecutive distinct points.  A chunk's points are collected as
+    a set, combined on the map side, so copies of a point never travel
+    together."""
+    chunks = placed.groupBy("shape_id", "chunk").agg(F.sort_array(F.collect_set(F.struct(*_ORDER))).alias("pts"))
+    # what follows each chunk: one row per chunk that has a successor
+    heads = _heads(placed)
+    first = heads.select("_sid").distinct().select("_sid", F.lit(0).cast("long").alias("_chunk"),
+                                                   F.lit(None).cast(heads.schema["head"].dataType).alias("head"))
+    bridge = (heads.unionByName(first)
+              .select("_sid", "_chunk", F.lead("head").over(Window.partitionBy("_sid").orderBy("_chunk")).alias("next_head"))
               .where(F.col("next_head").isNotNull()))
-    nxt = F.lead(F.struct(*_ORDER)).over(in_chunk)
-    w = (p.select("shape_id", "chunk", "sequence", "lat", "lon", nxt.alias("p2"))
-         .join(bridge, (F.col("shape_id") == F.col("_sid")) & (F.col("chunk") == F.col("_chunk")), "left")
-         .withColumn("p2", F.coalesce("p2", "next_head")))
-    return (w.where(F.col("p2").isNotNull())
-            .select("shape_id", "chunk", "sequence", F.col("p2.sequence").alias("sequence2"),
-                    F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
-                    F.col("p2.lat").alias("lat2"), F.col("p2.lon").alias("lon2")))
+    same = (F.col("shape_id") == F.col("_sid")) & (F.col("chunk") == F.col("_chunk"))
+    last = F.when(F.col("next_head").isNotNull(), F.array("next_head")).otherwise(F.array().cast(chunks.schema["pts"].dataType))
+    return (chunks.join(bridge, same, "left")
+            .select("shape_id", "chunk", "pts", F.concat(F.slice("pts", F.lit(2), F.size("pts")), last).alias("nxt"))
+            .select("shape_id", "chunk", F.inline(F.arrays_zip(F.slice("pts", F.lit(1), F.size("nxt")).alias("p"), F.col("nxt").alias("q"))))
+            .select("shape_id", "chunk", F.col("p.sequence").alias("sequence"), F.col("q.sequence").alias("sequence2"),
+                    F.col("p.lat").alias("lat1"), F.col("p.lon").alias("lon1"),
+                    F.col("q.lat").alias("lat2"), F.col("q.lon").alias("lon2")))
 
 
 def shape_pairs(points: DataFrame, chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "sequence") -> DataFrame:
     """Every pair of consecutive points of a shape (ordered by sequence, then
-    lat, lon): shape_id, chunk, sequence, sequence2, lat1, lon1, lat2, lon2.
-    A one-point shape yields no pair."""
-    p = _chunked(points, chunk_size, chunk_by)
+    lat, lon): shape_id, chunk (null for a pair of copies), sequence, sequence2,
+    lat1, lon1, lat2, lon2.  A one-point shape yields no pair."""
     # n copies of a point are n-1 pairs of identical points before the pair
     # to the next distinct point
-    copies = (p.where(F.col("_n") > 1)
-              .select("shape_id", "chunk", "sequence", F.col("sequence").alias("sequence2"),
-                      F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
-                      F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
-                      F.explode(F.sequence(F.lit(2).cast("long"), F.col("_n"))).alias("_copy"))
+    again = _counted(points).where(F.col("_n") > 1)
+    copies = (again.select("shape_id", F.lit(None).cast("long").alias("chunk"), "sequence", F.col("sequence").alias("sequence2"),
+                           F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
+                           F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
+                           F.explode(F.sequence(F.lit(2).cast("long"), F.col("_n"))).alias("_copy"))
               .drop("_copy"))
-    return _pairs(p).unionByName(copies)
+    return _pairs(_placed(points, chunk_size, chunk_by)).unionByName(copies)
 
 
 def keep_rule(keep_axis_aligned: bool = False):
@@ -99,12 +118,15 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
     lat2, lon2, dist (metres), total_dist (running sum including this one)."""
     in_chunk = Window.partitionBy("shape_id", "chunk").orderBy("sequence", "lat1", "lon1")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # The running frames share the (shape_id, chunk) partitioning of the pair
-    # window, so they add no shuffle.
-    kept = _segments(points, keep_axis_aligned, chunk_size, chunk_by)
+    # The running frames and the sums per chunk share the (shape_id, chunk)
+    # partitioning of the points, so they add no shuffle of them.
+    placed = _placed(points, chunk_size, chunk_by)
+    kept = _segments(placed, keep_axis_aligned)
     seg = kept.withColumn("run_dist", F.sum("dist").over(upto)).withColumn("run_n", F.row_number().over(in_chunk))
     earlier = Window.partitionBy("shape_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (kept.groupBy("shape_id", "chunk")
+    # only shapes of several chunks have anything to offset
+    several = placed.join(_heads(placed).select(F.col("_sid").alias("shape_id")).distinct(), "shape_id", "left_semi")
+    offsets = (_segments(several, keep_axis_aligned).groupBy("shape_id", "chunk")
                .agg(F.sum("dist").alias("chunk_dist"), F.count(F.lit(1)).alias("chunk_n"))
                .select(F.col("shape_id").alias("_sid"), F.col("chunk").alias("_chunk"),
                        F.sum("chunk_dist").over(earlier).alias("dist_before"),
@@ -117,10 +139,10 @@ def build_shapes(points: DataFrame, *, keep_axis_aligned: bool = False,
                     (F.coalesce("dist_before", F.lit(0.0)) + F.col("run_dist")).alias("total_dist")))
 
 
-def _segments(points: DataFrame, keep_axis_aligned: bool, chunk_size: int, chunk_by: str) -> DataFrame:
+def _segments(placed: DataFrame, keep_axis_aligned: bool) -> DataFrame:
     """Kept pairs with their length.  Pairs of identical points (copies) never
     pass either keep rule, so the distinct points suffice."""
-    return (_pairs(_chunked(points, chunk_size, chunk_by)).where(keep_rule(keep_axis_aligned))
+    return (_pairs(placed).where(keep_rule(keep_axis_aligned))
             .withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2")))
 
 
@@ -128,7 +150,7 @@ def measure_shapes(points: DataFrame, *, keep_axis_aligned: bool = False, chunk_
                    chunk_by: str = "sequence") -> DataFrame:
     """Per shape: number of kept segments and length in metres, without the
     running values: pairs and one partial aggregate."""
-    return (_segments(points, keep_axis_aligned, chunk_size, chunk_by).groupBy(F.col("shape_id").alias("id"))
+    return (_segments(_placed(points, chunk_size, chunk_by), keep_axis_aligned).groupBy(F.col("shape_id").alias("id"))
             .agg(F.count(F.lit(1)).alias("n_segments"), F.sum("dist").alias("length")))
 
 
