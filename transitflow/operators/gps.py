@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,3 +99,33 @@ def vehicles_near(gps: DataFrame, lat: float, lon: float, radius_m: float) -> Da
             cond = cond & F.col("lon").between(lon - dlon, lon + dlon)
     d = geo.distance(F.col("lat"), F.col("lon"), F.lit(float(lat)), F.lit(float(lon)))
     return gps.where(cond).withColumn("dist", d).where(F.col("dist") <= F.lit(float(radius_m)))
+
+
+def nearest_within(centres: DataFrame, points: DataFrame, centre_key: str, point_key: str, radius_m: float, k: int) -> DataFrame:
+    """For every centre its ``k`` nearest points within ``radius_m`` metres:
+    centre_key, rank (from 1), point_key, dist.  Equal distances (to the
+    millimetre) are ranked by ``point_key``; keys name their rows.
+
+    Both sides are keyed by a cubic grid of unit vectors with cells as wide as
+    the radius: a point lies in one cell, a centre asks its own and the 26
+    around it, so only neighbours meet.  The best ``k`` are taken per centre and
+    cell first, then per centre, so no window holds more than a cell's points
+    of one centre."""
+    chord = 2 * math.sin(min(radius_m / geo.EARTH_RADIUS_M, math.pi) / 2)
+    edge = F.lit(chord * (1 + 1e-9) + 1e-12)
+    c = centres.select(F.col(centre_key).alias("_c"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
+                       *geo.nvector("lat", "lon").columns("a"))
+    p = points.select(F.col(point_key).alias("_q"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
+                      *geo.nvector("lat", "lon").columns("b"))
+    axis = lambda v, i: (F.floor(F.col(f"{v}{'xyz'[i]}") / edge)).alias(f"_g{i}")
+    p = p.select("*", *[axis("b", i) for i in range(3)])
+    c = c.select("*", *[axis("a", i) for i in range(3)])
+    for i in range(3):
+        c = c.withColumn(f"_g{i}", F.explode(F.sequence(F.col(f"_g{i}") - 1, F.col(f"_g{i}") + 1)))
+    cell = [f"_g{i}" for i in range(3)]
+    dist = geo.distance("lat1", "lon1", "lat2", "lon2")
+    pairs = c.join(p, cell).withColumn("dist", dist).where(F.col("dist") <= F.lit(float(radius_m)))
+    order = (F.round("dist", 3), F.col("_q"))
+    best = (pairs.withColumn("_r", F.row_number().over(Window.partitionBy("_c", *cell).orderBy(*order))).where(F.col("_r") <= k)
+            .withColumn("rank", F.row_number().over(Window.partitionBy("_c").orderBy(*order))).where(F.col("rank") <= k))
+    return best.select(F.col("_c").alias(centre_key), "rank", F.col("_q").alias(point_key), "dist")

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import gps, matching, network, shapes, trips, tripstops
-from ..sources import fixtures as fx
+from ..sources import charsets, fixtures as fx
 from ..streaming import gps_stream as stream
+from ..streaming import recovery
+from ..session import scratch_path
 from . import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,5 +321,89 @@ def q_nearby_vehicles(spark, sf_dir):
     return near.select("serial_number", "datetime", "lat", "lon", _r("dist", 2).alias("dist"))
 
 
+NEAREST_M, NEAREST_K = 150.0, 3
+
+
+def q_nearest_vehicles(spark, sf_dir):
+    near = gps.nearest_within(fx.stops(spark, sf_dir), fx.gps_rows_on_all_routes(spark, sf_dir), "id", "serial_number",
+                              NEAREST_M, NEAREST_K)
+    return near.select("id", "rank", "serial_number", _r("dist", 2).alias("dist"))
+
+
+# ---- text to store to lookup ---------------------------------------------------
+
+def q_trip_stops_from_text(spark, sf_dir):
+    ts = ingest.store_from_text(spark, sf_dir).table("tripstops")
+    return ts.select("trip_id", "stop_id", "sequence", _r("dist", 2).alias("dist"))
+
+
+def q_shape_from_text(spark, sf_dir):
+    # sorted Parquet: the lookup's filter is pushed down and skips row groups
+    s = ingest.store_from_text(spark, sf_dir).shapes("1")
+    return s.select("id", "sequence", "lat1", "lon1", "lat2", "lon2", _r("dist", 3).alias("dist"),
+                    _r("total_dist", 3).alias("total_dist"))
+
+
+# ---- the feed under restarts, replays and repeats ------------------------------
+
+def feed_documents(spark, sf_dir, rows=None):
+    return gps.to_documents(fx.gps_rows(spark, sf_dir) if rows is None else rows)
+
+
+def q_gps_stream_resumed(spark, sf_dir):
+    return recovery.stopped_and_resumed(spark, feed_documents(spark, sf_dir))
+
+
+def q_gps_stream_replayed(spark, sf_dir):
+    return recovery.killed_and_replayed(spark, feed_documents(spark, sf_dir)).drop("batch")
+
+
+def q_gps_stream_polled_again(spark, sf_dir):
+    # the feed, the same again, the feed 30 days later, then the first once more
+    docs = feed_documents(spark, sf_dir)
+    rows = fx.gps_rows(spark, sf_dir)
+    later = feed_documents(spark, sf_dir, rows.withColumn("datetime", F.col("datetime") + F.expr("interval 30 days")))
+    seen = recovery.polled_again(spark, [docs, docs, later, docs], "10 minutes")
+    return seen.select("serial_number", "datetime")
+
+
+def q_gps_batch_counts(spark, sf_dir):
+    docs = feed_documents(spark, sf_dir)
+    broken = docs.select(F.substring("json", 1, 20).alias("json"))
+    return recovery.counted_batches(spark, [docs, broken])
+
+
+def q_gps_on_routes_stream(spark, sf_dir):
+    routes = network.routes_with_fares(fx.routes(spark, sf_dir), fx.fare_rules(spark, sf_dir))
+    tr = trips_table(spark, sf_dir)
+    reachable = matching.route_shapes(routes, tr).select("shape_id")
+    m = recovery.matched_on_routes(spark, feed_documents(spark, sf_dir), routes, tr,
+                                   shapes_table(spark, sf_dir, only=reachable))
+    return m.select("serial_number", "datetime", "route_code", "shape_id", "seg_sequence",
+                    _r("offset_m", 2).alias("offset_m"), _r("route_dist", 2).alias("route_dist"))
+
+
+# Appended to every direction in the feed of mixed encodings: a letter both
+# charsets spell differently, and a dash only CP1252 has among single bytes.
+MIXED_SUFFIX = " – é"
+
+
+def q_gps_mixed_encodings(spark, sf_dir):
+    rows = fx.gps_rows(spark, sf_dir).withColumn("direction", F.concat("direction", F.lit(MIXED_SUFFIX)))
+    feed = F.when(F.col("direction").startswith(BRT_DIRECTIONS[0]), F.lit("brt")).otherwise(F.lit("bus"))
+    docs = gps.to_documents(rows.withColumn("_source", feed), feed="_source")
+    base = scratch_path(spark, "gps-mixed")
+    docs.where("_source = 'bus'").select("json").write.text(f"{base}/bus")
+    old = docs.where("_source = 'brt'").select(charsets.encode_cp1252(F.col("json")).alias("raw"))
+    old.select(F.col("raw").cast("string").alias("value")).write.text(f"{base}/brt")
+    # a line with a byte CP1252 leaves undefined
+    spark.range(1).select(F.unhex(F.lit("7B8122E97D")).cast("string").alias("value")).write.text(f"{base}/bad")
+    got = charsets.read_mixed(spark, base)
+    fixes = gps.normalize_gps(gps.parse_documents(got.where("quarantine is null").select("encoding", "json")).select("DATA"))
+    lost = got.where("quarantine is not null").groupBy().agg(F.count(F.lit(1)).alias("n_quarantined"))
+    return (fixes.groupBy("direction").agg(F.count(F.lit(1)).alias("n_rows"), F.min("lat").alias("min_lat"))
+            .withColumn("_one", F.lit(0)).join(lost.withColumn("_one", F.lit(0)), "_one").drop("_one"))
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import gtfs_text
+from ..sources.tables import TableStore
+from .refresh import refresh
 
 # Every ``BAD_EVERY``-th stop (by key) is written badly: in turn with an extra
 # field, with too few fields, and with a latitude that is no number.
@@ -44,3 +46,32 @@ def stops_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.col(gtfs_text.STATUS) == "ok"
     typed = [F.when(ok, F.col(c)).alias(c) for c in ("code", "name", "info", "lat", "lon")]
     return got.select("id", F.col(gtfs_text.STATUS).alias("status"), *typed)
+
+
+def write_gtfs_text(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """All seven files (folders of quoted text files, each with the header)."""
+    x = F.lit("x")
+    rows = {
+        "fare_attributes": fx.fare_attributes(spark, sf_dir).select(
+            x.alias("agency"), "id", "price", x.alias("currency"), x.alias("method"), "transfers", "transfer_duration"),
+        "fare_rules": fx.fare_rules(spark, sf_dir).select("fare_id", "route_id"),
+        "routes": fx.routes(spark, sf_dir).select("route_id", x.alias("agency"), "code", "name", "description",
+                                                  x.alias("type"), x.alias("url"), "color"),
+        "shapes": fx.shape_points(spark, sf_dir).select("shape_id", "lat", "lon", "sequence"),
+        "stops": fx.stops(spark, sf_dir).select("id", "code", "name", "info", "lat", "lon"),
+        "trips": fx.trips(spark, sf_dir).select("route_id", x.alias("service"), "id", "headsign", "direction",
+                                                x.alias("block"), "shape_id"),
+        "stop_times": fx.stop_times(spark, sf_dir).select("trip_id", x.alias("arrival"), x.alias("departure"), "stop_id",
+                                                          "sequence"),
+    }
+    for name, df in rows.items():
+        df.write.option("header", True).option("quoteAll", True).csv(f"{folder}/{name}.txt")
+
+
+def store_from_text(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Text files of all seven tables, and the store that every step of
+    ``refresh`` builds from them."""
+    base = scratch_path(spark, "gtfs-store")
+    write_gtfs_text(spark, sf_dir, f"{base}/gtfs")
+    refresh(spark, ["--all"], f"{base}/gtfs", f"{base}/store")
+    return TableStore(spark, f"{base}/store")

@@ -283,6 +283,31 @@ select event_id, concat('A', cast(event_id as varchar)) as serial_number, ts as
        cast((event_id * 31 + user_id) % 1000 as varchar) as route_code,
        -22.9e0 + cast((event_id * 7919) % 10100 as double) / 1e5 as lat,
        -43.2e0 - cast((event_id * 104729) % 10300 as double) / 1e5 as lon from events)""", keep="serial_number, route_code")
+    q["gps_stream_resumed"] = q["gps_stream_replayed"] = q["gps_stream"]
+    q["gps_on_routes_stream"] = q["gps_on_routes"]
+    q["trip_stops_from_text"] = q["trip_stops"]
+    q["shape_from_text"] = q["shapes_build"] + " where id = '1'"
+    q["gps_stream_polled_again"] = with_fx("fx_gps") + """
+select distinct serial_number, date_trunc('second', datetime) as datetime from fx_gps
+union all
+select distinct serial_number, date_trunc('second', datetime) + interval 30 days as datetime from fx_gps"""
+    q["gps_batch_counts"] = """
+select 0::bigint as batch, ceil(count(*) / 256)::bigint as documents, 0::bigint as corrupt, count(*) as records,
+       0::bigint as invalid from events
+union all
+select 1, ceil(count(*) / 256)::bigint, ceil(count(*) / 256)::bigint, 0, 0 from events"""
+    q["gps_mixed_encodings"] = with_fx("fx_gps") + """
+select direction || ' – é' as direction, count(*) as n_rows, min(lat) as min_lat, 1::bigint as n_quarantined
+from fx_gps group by direction"""
+    q["nearest_vehicles"] = with_fx("fx_stops") + f"""
+select id, rank::int as rank, serial_number, round(d, 2) as dist
+from (select *, row_number() over (partition by id order by round(d, 3), serial_number) as rank
+      from (select s.id, g.serial_number, {dist_sql('s.lat', 's.lon', 'g.lat', 'g.lon')} as d
+            from fx_stops s, (select concat('A', cast(event_id as varchar)) as serial_number,
+                 -22.9e0 + cast((event_id * 7919) % 10100 as double) / 1e5 as lat,
+                 -43.2e0 - cast((event_id * 104729) % 10300 as double) / 1e5 as lon from events) g) x
+      where d <= 150e0) y
+where rank <= 3"""
     q["nearby_vehicles"] = with_fx("fx_gps") + f"""
 select serial_number, date_trunc('second', datetime) as datetime, lat, lon, round(d, 2) as dist
 from (select *, {dist_sql('lat', 'lon', '-22.86e0', '-43.23e0')} as d from fx_gps) g
