@@ -174,22 +174,26 @@ def _point_sub(k: Column) -> Column:
 
 def _segment_subs(cells: DataFrame) -> DataFrame:
     """One row (``_sub``) per part of its cell that a segment's pad can reach:
-    parts whose centre is no farther from the chord than the pad and half the
-    part's diagonal.  Rows with a null ``_k`` keep their cell whole."""
-    k = F.col("_k")
-    rows = cells.withColumn("_sub", F.explode(F.when(k > 1, F.sequence(F.lit(0), k * k * k - 1)).otherwise(F.array(F.lit(0)))))
-    i, edge = F.col("_sub"), _cell_size(F.col("level"))
+    parts its padded box touches whose centre is no farther from the chord than
+    the pad and half the part's diagonal.  Rows with a null ``_k`` keep their
+    cell whole."""
+    k, edge = F.coalesce("_k", F.lit(1)), _cell_size(F.col("level"))
     part = edge / k
-    at = [F.floor(i / (k * k)), F.floor(i / k) % k, i % k]
+    rows = cells
+    for x, shift in zip("xyz", (42, 21, 0), strict=True):
+        low, high = F.least(f"a{x}", f"b{x}") - F.col("_pad"), F.greatest(f"a{x}", f"b{x}") + F.col("_pad")
+        index = lambda c, shift=shift: F.least(k - 1, F.greatest(F.lit(0), F.floor((c / edge - _axis(F.col("cell"), shift)) * k)))
+        rows = rows.withColumn(f"_i{x}", F.explode(F.sequence(index(low).cast("int"), index(high).cast("int"))))
     d = [F.col(f"b{x}") - F.col(f"a{x}") for x in "xyz"]
-    v = [_axis(F.col("cell"), s) * edge + (x.cast("double") + F.lit(0.5)) * part - F.col(f"a{n}")
-         for x, s, n in zip(at, (42, 21, 0), "xyz", strict=True)]
+    v = [_axis(F.col("cell"), s) * edge + (F.col(f"_i{x}") + F.lit(0.5)) * part - F.col(f"a{x}")
+         for x, s in zip("xyz", (42, 21, 0), strict=True)]
     along = (v[0] * d[0] + v[1] * d[1] + v[2] * d[2]) / F.greatest(d[0] * d[0] + d[1] * d[1] + d[2] * d[2], F.lit(1e-300))
     rows = rows.withColumn("_t", F.least(F.lit(1.0), F.greatest(F.lit(0.0), along)))
     off = [v[j] - d[j] * F.col("_t") for j in range(3)]
     reach = F.col("_pad") + part * F.lit(math.sqrt(3) / 2 * (1 + 1e-9)) + F.lit(1e-15)
-    return (rows.withColumn("_off", F.sqrt(off[0] * off[0] + off[1] * off[1] + off[2] * off[2]) - reach)
-            .where(F.coalesce(k, F.lit(1)).eqNullSafe(1) | (F.col("_off") <= 0)).drop("_t", "_off", "_k"))
+    near = F.sqrt(off[0] * off[0] + off[1] * off[1] + off[2] * off[2]) <= reach
+    return (rows.where((k == 1) | near).withColumn("_sub", _sub_index(F.col("_ix"), F.col("_iy"), F.col("_iz"), k))
+            .drop("_t", "_k", "_ix", "_iy", "_iz"))
 
 
 def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CELL_BOUND
@@ -205,7 +209,8 @@ def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CEL
     meets, and parts with many points likewise, the other way round.  The
     tables of crowded cells and parts hold at most one row per ``bound`` rows.
     The pairs are the same, whatever the bound."""
-    points, cells = materialize(points), materialize(cells)
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points, cells = materialize(points), materialize(cells.repartition(n))  # dealt evenly: a key may hold most rows
     key = [by, "level", "cell"]
     room = F.floor(_cell_size(F.col("level")) / (F.lit(2.0) * F.col("_pad")))
     wanted = F.ceil(F.sqrt(F.col("_n") / F.lit(bound)))
@@ -216,7 +221,7 @@ def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CEL
     k = F.coalesce(F.col("_k"), F.lit(1))
     points = (points.join(crowded, key, "left")
               .withColumn("_sub", F.when(F.col("_k") > 1, _point_sub(k)).otherwise(F.lit(0))).drop("_k"))
-    cells = _segment_subs(cells.join(crowded, key, "left"))
+    cells = materialize(_segment_subs(cells.join(crowded, key, "left")))
 
     part = [*key, "_sub"]
     fill = lambda df, name: (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound)
