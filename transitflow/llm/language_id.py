@@ -1,19 +1,24 @@
 """Language identification by segmentation-marginalised unigrams.
 
-Each language gives every piece of a fixed public vocabulary, up to ``PIECE``
-bytes long, a probability.  A
-word's probability is the sum over all ways to cut it into pieces of the
-product of the pieces' probabilities, computed by a forward pass; a text's
-log-probability is the sum over its words.  The piece probabilities are fitted
-by expectation-maximisation (forward and backward passes over the same
-lattice) on at most ``PER_LANGUAGE`` documents of each language, none from the
-held-out fold.
+Each language gives every piece of a fixed public vocabulary that can occur in
+a word a probability.  A word's probability is the sum over all ways to cut it
+into pieces of the product of the pieces' probabilities, computed by a forward
+pass; a text's log-probability is the sum over its words.  The piece
+probabilities are fitted by expectation-maximisation (forward and backward
+passes over the same lattice).
 
 Words are runs of ASCII letters and non-ASCII bytes, ASCII letters
-lower-cased, with a space before them (so word-initial pieces count).  A run
-longer than ``PART`` bytes is cut into parts of that length, so a lattice is
-small whatever the text; segmentations across a cut are not summed.  Distinct words are scored once per task and
-remembered (bounded).
+lower-cased, with a space before them (so word-initial pieces count).  Runs of
+any length are scored whole: sums are taken over logarithms, so nothing
+underflows, and a long run is passed over in windows that carry the sums of the
+last bytes, as many as the longest piece has.  Distinct words are scored once
+per task and remembered (bounded).
+
+The model is fitted on a bounded sample, none of it from the held-out fold: at
+most ``LANGUAGES`` languages (those with most labelled documents),
+``PER_LANGUAGE`` documents of each, and ``SAMPLE_BYTES`` bytes in all, shared
+evenly by the documents; a longer document gives runs spread over its length.
+For fitting only, runs are taken in windows of ``RUN_BYTES``.
 
 Defined results: a text that is null or has no letter gives ``und`` and score
 0; ties go to the first language in code point order; without labelled rows
@@ -36,12 +41,13 @@ from . import textnum as T
 from .sampling import held_out, sample_per_class
 
 PER_LANGUAGE = 400
-PIECE = 10          # longest piece used, in bytes
-PART = 23           # longest run scored as one lattice (plus its space)
+LANGUAGES = 256
+SAMPLE_BYTES = 16 << 20
+RUN_BYTES = 512     # longest run used in fitting
 ROUNDS = 3
 FLOOR = 1e-7        # probability a piece keeps in every language
 REMEMBERED = 1 << 19
-BLOCK = 4096
+CELLS = 1 << 20     # bytes times languages of one lattice
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -55,98 +61,178 @@ def vocabulary(path: str) -> list[bytes]:
     pieces of letters with or without a space before them."""
     with open(path, "rb") as f:
         pieces = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-    ok = [p for p in pieces if len(p) <= PIECE and all(_LETTER[b] and not 65 <= b < 91 for b in p.removeprefix(b" "))]
+    ok = [p for p in pieces if all(_LETTER[b] and not 65 <= b < 91 for b in p.removeprefix(b" "))]
     return sorted({*ok, b" ", *(bytes([b]) for b in range(256) if _LETTER[b] and not 65 <= b < 91)})
 
 
-class Lattice:
-    """Pieces found in a block of words: ``piece[w, i, k]`` is the vocabulary
-    entry of bytes i..i+k of word w, or ``none``."""
-
-    def __init__(self, keys: np.ndarray, order: np.ndarray, words: list[bytes]):
-        self.n, self.none = len(words), len(keys)
-        self.size = np.array([len(w) + 1 for w in words])
-        buf = np.frombuffer(b" " + b" ".join(words), dtype=np.uint8)
-        start = np.cumsum(self.size) - self.size
-        longest = int(self.size.max())
-        self.piece = np.full((self.n, longest, PIECE), self.none, dtype=np.int32)
-        for k in range(PIECE):
-            w, i = np.nonzero(np.arange(longest)[None, :] + k < self.size[:, None])
-            if not len(w):
+class Trie:
+    """The pieces as a tree of bytes, walked for many places of a text at once."""
+
+    def __init__(self, pieces: list[bytes]):
+        child, piece = {}, [-1]
+        for i, p in enumerate(pieces):
+            node = 0
+            for byte in p:
+                key = (node << 8) | byte
+                if key not in child:
+                    child[key] = len(piece)
+                    piece.append(-1)
+                node = child[key]
+            piece[node] = i
+        self.depth = max(map(len, pieces))
+        self.keys = np.array(sorted(child), dtype=np.int64)
+        self.child = np.array([child[k] for k in sorted(child)], dtype=np.int64)
+        self.piece = np.array(piece, dtype=np.int64)
+
+    def matches(self, buf: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, size and piece of every piece in ``buf`` that ends by the
+        ``stop`` of its start; in order of size, then start."""
+        at, node, found = np.arange(len(buf)), np.zeros(len(buf), np.int64), []
+        for size in range(1, self.depth + 1):
+            key = (node << 8) | buf[at + size - 1]
+            to = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = self.keys[to] == key
+            at, node = at[on], self.child[to[on]]
+            piece = self.piece[node]
+            hit = piece >= 0
+            found.append((at[hit], np.full(int(hit.sum()), size), piece[hit]))
+            on = at + size < stop[at]
+            at, node = at[on], node[on]
+            if not len(at):
                 break
-            a = start[w] + i
-            h = T.span_hashes(buf, a, a + k + 1)
-            p = np.searchsorted(keys, h)
-            p[p == len(keys)] = 0
-            hit = keys[p] == h
-            self.piece[w[hit], i[hit], k] = order[p[hit]]
-
-    def forward(self, probs: np.ndarray) -> np.ndarray:
-        """a[i, w, l]: probability of the first i bytes.  ``probs`` has a last
-        row of zeros for the missing piece."""
-        longest = self.piece.shape[1]
-        a = np.zeros((longest + 1, self.n, probs.shape[1]))
-        a[0] = 1.0
-        for end in range(1, longest + 1):
-            for k in range(min(end, PIECE)):
-                a[end] += a[end - 1 - k] * probs[self.piece[:, end - 1 - k, k]]
-        return a
+        start, size, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        return start, size, piece
+
+
+class Lattice:
+    """All pieces in a block of texts, ordered by size.  Byte i of text w is
+    cell ``begin[w] + i``, its end cell ``last[w]``; only pieces that end after
+    byte ``skip`` count."""
+
+    def __init__(self, trie: Trie, texts: list[bytes], skip: int = 0):
+        size = np.array([len(t) for t in texts])
+        buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        text = np.repeat(np.arange(len(texts)), size)
+        start, length, self.piece = trie.matches(buf, np.cumsum(size)[text])
+        # every text has one cell more than bytes
+        self.text = text[start]
+        self.begin = np.cumsum(size + 1) - size - 1
+        self.last = self.begin + size
+        self.cells = int(size.sum()) + len(texts)
+        self.tail = start + self.text
+        self.head = self.tail + length
+        if skip:
+            late = self.head > skip
+            self.text, self.piece, self.tail, self.head = (x[late] for x in (self.text, self.piece, self.tail, self.head))
+
+    def _steps(self, cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The pieces by place of ``cell`` in its text: for each place in order,
+        the pieces, where each text's begin among them, and the text's turn."""
+        place = cell - self.begin[self.text]
+        order = np.argsort(place * len(self.begin) + self.text, kind="stable")
+        place, text = place[order], self.text[order]
+        new = np.append(True, (place[1:] != place[:-1]) | (text[1:] != text[:-1]))
+        turn = np.cumsum(new) - 1
+        cut = np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])), len(place))
+        for a, b in zip(cut, cut[1:], strict=False):
+            yield order[a:b], np.flatnonzero(new[a:b]), turn[a:b] - turn[a]
+
+    def _sums(self, probs: np.ndarray, out: np.ndarray, steps, to: np.ndarray, source: np.ndarray) -> np.ndarray:
+        """Fill ``out`` in the order of ``steps``: the log of the sum, over the
+        pieces of a cell of ``to``, of what their ``source`` holds times their
+        probability.  Cells that nothing reaches stay at minus infinity."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(probs)
+            for pieces, first, turn in steps:
+                x = out[source[pieces]] + logs[self.piece[pieces]]
+                top = np.maximum(np.maximum.reduceat(x, first), -1e300)
+                out[to[pieces[first]]] = top + np.log(np.add.reduceat(np.exp(x - top[turn]), first))
+        return out
+
+    def _blank(self, ends: np.ndarray, langs: int) -> np.ndarray:
+        out = np.full((self.cells, langs), -np.inf)
+        out[ends] = 0.0
+        return out
+
+    def forward(self, probs: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+        """Per cell and language: log probability of the text up to there.
+        ``known``: that of the first cells, for a block of one text."""
+        out = self._blank(self.begin, probs.shape[1])
+        if known is not None:
+            out[:len(known)] = known
+        return self._sums(probs, out, self._steps(self.head), self.head, self.tail)
 
     def totals(self, probs: np.ndarray) -> np.ndarray:
-        return self.forward(probs)[self.size, np.arange(self.n)]
+        """Log probability of each text."""
+        return self.forward(probs)[self.last]
 
     def expected(self, probs: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece, with words weighted per language."""
-        a, longest = self.forward(probs), self.piece.shape[1]
-        b = np.zeros((longest + 1, self.n, probs.shape[1]))
-        b[self.size, np.arange(self.n)] = 1.0
-        for i in range(longest - 1, -1, -1):
-            for k in range(min(PIECE, longest - i)):
-                b[i] += b[i + 1 + k] * probs[self.piece[:, i, k]]
-        scale = weight / np.maximum(a[self.size, np.arange(self.n)], 1e-290)
-        out = np.zeros_like(probs)
-        for i in range(longest):
-            for k in range(min(PIECE, longest - i)):
-                p = self.piece[:, i, k]
-                use = a[i] * probs[p] * b[i + 1 + k] * scale
-                for l in range(probs.shape[1]):
-                    out[:, l] += np.bincount(p, weights=use[:, l], minlength=len(out))
-        out[-1] = 0.0
-        return out
+        """Expected uses of each piece, with texts weighted per language."""
+        a = self.forward(probs)
+        back = reversed(list(self._steps(self.tail)))
+        b = self._sums(probs, self._blank(self.last, probs.shape[1]), back, self.tail, self.head)
+        total = np.maximum(a[self.last], -1e300)[self.text]
+        use = probs[self.piece] * np.exp(a[self.tail] + b[self.head] - total) * weight[self.text]
+        return np.stack([np.bincount(self.piece, weights=u, minlength=len(probs)) for u in use.T], axis=1)
 
 
 class Model:
     """Languages and piece probabilities over a vocabulary."""
 
-    def __init__(self, pieces: list[bytes], langs: list[str], probs: np.ndarray):
+    def __init__(self, pieces: list[bytes], langs: list[str], probs: np.ndarray, trie: Trie | None = None):
         self.langs, self.probs = langs, probs
-        buf = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        size = np.array([len(p) for p in pieces])
-        end = np.cumsum(size)
-        h = T.span_hashes(buf, end - size, end)
-        self.order = np.argsort(h).astype(np.int32)
-        self.keys = h[self.order]
+        self.trie = trie or Trie(pieces)
+
+    def blocks(self, words: list[bytes]) -> Iterator[np.ndarray]:
+        """Words of similar length whose lattice is bounded; a longer one alone."""
+        size = np.array([len(w) for w in words], dtype=np.int64)
+        by_size = np.argsort(size, kind="stable")
+        cost = (size[by_size] + 2) * max(1, len(self.langs))
+        lo, total = 0, np.cumsum(cost)
+        while lo < len(words):
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] - cost[lo] + CELLS, "right")))
+            yield by_size[lo:hi]
+            lo = hi
 
     def lattices(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, Lattice]]:
-        by_size = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for lo in range(0, len(words), BLOCK):
-            pick = np.array(by_size[lo:lo + BLOCK])
-            yield pick, Lattice(self.keys, self.order, [words[i] for i in pick])
+        for pick in self.blocks(words):
+            yield pick, Lattice(self.trie, [b" " + words[i] for i in pick])
+
+    def long_text(self, text: bytes, window: int) -> np.ndarray:
+        """Log probability of one text, window by window."""
+        window = max(self.trie.depth, window)
+        state, lo, done = np.zeros((1, len(self.langs))), 0, 0
+        while done < len(text):
+            end = min(len(text), done + window)
+            state = Lattice(self.trie, [text[lo:end]], done - lo).forward(self.probs, state)
+            keep = max(lo, end + 1 - self.trie.depth)
+            state, lo, done = state[keep - lo:], keep, end
+        return state[-1]
 
     def log_probs(self, words: list[bytes]) -> np.ndarray:
+        """Per word and language; a word that no pieces make up gets -1e290."""
         out = np.zeros((len(words), len(self.langs)))
-        for pick, lattice in self.lattices(words):
-            out[pick] = np.log(np.maximum(lattice.totals(self.probs), 1e-290))
-        return out
-
-    def fit(self, words: list[bytes], weight: np.ndarray, rounds: int = ROUNDS) -> "Model":
-        for _ in range(rounds):
-            uses = np.zeros_like(self.probs)
-            for pick, lattice in self.lattices(words):
-                uses += lattice.expected(self.probs, weight[pick])
-            uses[:-1] += 0.01
-            self.probs = FLOOR + uses / uses.sum(axis=0)
-            self.probs[-1] = 0.0
+        for pick in self.blocks(words):
+            texts = [b" " + words[i] for i in pick]
+            out[pick] = (Lattice(self.trie, texts).totals(self.probs) if len(pick) > 1
+                         else self.long_text(texts[0], CELLS // max(1, len(self.langs))))
+        return np.maximum(out, -1e290)
+
+    def fit(self, samples: list[tuple[list[bytes], np.ndarray]], rounds: int = ROUNDS) -> "Model":
+        """``samples``: per language, the words of its sample and how often
+        each occurs.  To start, a piece counts as often as it occurs at all."""
+        for l, (words, n) in enumerate(samples):
+            one = Model([], self.langs[l:l + 1], None, self.trie)
+            for _ in range(rounds + 1):
+                uses = np.zeros((len(self.probs), 1))
+                for pick, lattice in one.lattices(words):
+                    if one.probs is None:
+                        uses[:, 0] += np.bincount(lattice.piece, weights=n[pick][lattice.text], minlength=len(uses))
+                    else:
+                        uses += lattice.expected(one.probs, n[pick][:, None])
+                uses += 0.01
+                one.probs = FLOOR + uses / uses.sum()
+            self.probs[:, l] = one.probs[:, 0]
         return self
 
 
@@ -156,58 +242,54 @@ def runs(docs: T.Docs) -> tuple[T.Docs, T.Words]:
     return low, T.Words(low, separators=_NOT_LETTER)
 
 
-def parts(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and word of the parts of at most ``PART`` bytes."""
-    size = words.end - words.start
-    pieces = -(-size // PART)
-    word = np.repeat(np.arange(len(size)), pieces)
-    step = np.arange(len(word)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    start = words.start[word] + step * PART
-    return start, np.minimum(start + PART, words.end[word]), word
-
-
-def train(docs: DataFrame, vocabulary_file: str, per_language: int = PER_LANGUAGE) -> Model:
+def sampled_runs(low: T.Docs, words: T.Words, doc_bytes: int) -> Iterator[tuple[int, bytes]]:
+    """(document row, run) for fitting: windows of at most ``RUN_BYTES`` that
+    begin at a character, every s-th of a document with s times ``doc_bytes``."""
+    raw, doc = low.buf.tobytes(), words.doc()
+    skip = -(-T.sums_by_document(words.end - words.start, words.first) // doc_bytes)
+    turn = np.zeros(len(skip), np.int64)
+    for d, a, b in zip(doc.tolist(), words.start.tolist(), words.end.tolist(), strict=True):
+        while a < b:
+            end = min(b, a + RUN_BYTES)
+            while end < b and end > a + RUN_BYTES - 3 and raw[end] & 0xC0 == 0x80:
+                end -= 1
+            if turn[d] % skip[d] == 0:
+                yield d, raw[a:end]
+            turn[d] += 1
+            a = end
+
+
+def train(docs: DataFrame, vocabulary_file: str, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES,
+          sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on a bounded sample; the driver gets its distinct words only."""
     pieces = vocabulary(vocabulary_file)
     known = docs.where(~held_out() & F.col("lang").isNotNull()).select("doc_id", F.col("lang").alias("_l"))
-    picked = F.broadcast(sample_per_class(known, "_l", per_language).distinct())
-    rows = docs.select("doc_id", "text", "lang").join(picked.withColumnRenamed("doc_id", "_id"),
+    picked = sample_per_class(known, "_l", per_language, max_labels=languages).distinct()
+    n_docs = max(1, picked.count())
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(picked.withColumnRenamed("doc_id", "_id")),
                                                       (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_l")))
+    doc_bytes = max(64, sample_bytes // n_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in T.chunks(batch.column("text")):
-                low, words = runs(run)
-                start, end, word = parts(words)
-                lang = np.array(batch.column("lang").slice(run.first, len(run)).to_pylist(), dtype=object)[words.doc()[word]]
-                raw = low.buf.tobytes()
-                n = Counter((l, raw[a:b]) for l, a, b in zip(lang, start, end, strict=True))
+                lang = batch.column("lang").slice(run.first, len(run)).to_pylist()
+                n = Counter((lang[d], word) for d, word in sampled_runs(*runs(run), doc_bytes))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.binary()), pa.array(list(n.values()), pa.int64())],
                     names=["lang", "word", "n"])
 
     got = (rows.select("lang", "text").mapInArrow(count, "lang string, word binary, n long")
            .groupBy("lang", "word").agg(F.sum("n").alias("n")).collect())
-    langs = sorted({r[0] for r in got})
-    words = sorted({bytes(r[1]) for r in got})
-    probs = np.zeros((len(pieces) + 1, len(langs)))
-    model = Model(pieces, langs, probs)
-    if not langs:
-        return model
-    at, column = {w: i for i, w in enumerate(words)}, {l: i for i, l in enumerate(langs)}
-    weight = np.zeros((len(words), len(langs)))
+    words: dict[str, dict[bytes, int]] = {}
     for lang, word, n in got:
-        weight[at[bytes(word)], column[lang]] += n
-    uses = np.zeros_like(probs)  # to start: how often each piece occurs at all
-    for pick, lattice in model.lattices(words):
-        flat = lattice.piece.reshape(len(pick), -1)
-        for l in range(len(langs)):
-            uses[:, l] += np.bincount(flat.ravel(), weights=np.repeat(weight[pick, l], flat.shape[1]), minlength=len(uses))
-    uses[:-1] += 0.01
-    uses[-1] = 0.0
-    model.probs = FLOOR + uses / uses.sum(axis=0)
-    model.probs[-1] = 0.0
-    return model.fit(words, weight)
+        words.setdefault(lang, {})[bytes(word)] = n
+    langs = sorted(words)
+    samples = []
+    for lang in langs:
+        mine = sorted(words[lang])
+        samples.append((mine, np.array([words[lang][w] for w in mine], dtype=float)))
+    return Model(pieces, langs, np.zeros((len(pieces), len(langs)))).fit(samples)
 
 
 class Scorer:
@@ -223,8 +305,7 @@ class Scorer:
 
     def __call__(self, docs: T.Docs) -> tuple[list[str], np.ndarray]:
         low, words = runs(docs)
-        start, end, word = parts(words)
-        keys, first, inverse = np.unique(T.span_hashes(low.buf, start, end), return_index=True, return_inverse=True)
+        keys, first, inverse = np.unique(words.h, return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBERED:
             self.forget()
         place = np.searchsorted(self.keys, keys)
@@ -234,12 +315,12 @@ class Scorer:
         new = np.flatnonzero(~known)
         if len(new):
             raw = low.buf.tobytes()
-            logs = self.model.log_probs([raw[start[i]:end[i]] for i in first[new]])
+            logs = self.model.log_probs([raw[words.start[i]:words.end[i]] for i in first[new]])
             self.keys = np.insert(self.keys, place[new], keys[new])
             self.logs = np.insert(self.logs, place[new], logs, axis=0)
         at = np.searchsorted(self.keys, keys)[inverse]
         n, langs = len(docs), self.model.langs
-        doc = words.doc()[word]
+        doc = words.doc()
         total = np.stack([np.bincount(doc, weights=self.logs[at, l], minlength=n) for l in range(len(langs))], axis=1)
         best = total.argmax(axis=1)
         score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
