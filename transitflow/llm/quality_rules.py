@@ -4,7 +4,9 @@ Every rule is evaluated once per document.  The ledger keeps the measurements
 and one bit per failed rule; policies (a name, a version and a mask of rules)
 are applied to the stored bits, and an ablation of a policy - how many
 documents would come back if one rule were dropped - is a count over the
-distinct bit patterns, so neither reads the texts again.
+distinct bit patterns, so neither reads the texts again.  The ledger is stored
+as Parquet with the versions of its rules; where a rule has changed since, the
+bits are worked out anew from the stored measurements.
 
 Measurements are taken in one map over the texts (no shuffle).  Defined
 results: a null text is empty; an empty text has all measurements 0; repeated
@@ -19,9 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import textnum as T
 
 WINDOW = 8
@@ -31,10 +34,12 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 @dataclass(frozen=True)
 class Rule:
     """``fails`` is a SQL condition over the measurements; ``bit`` its place
-    in the mask (never reused when a rule is withdrawn)."""
+    in the mask (never reused when a rule is withdrawn); ``version`` goes up
+    when the condition changes."""
     name: str
     bit: int
     fails: str
+    version: int = 1
 
 
 #: Ratios are compared as integers, so every engine decides alike.
@@ -141,9 +146,39 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
     src = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"))
     id_type = dict(docs.dtypes)[id_col]
     schema = ", ".join([f"`{id_col}` {id_type}", *(f"{m} long" for m in MEASURES)])
-    bits = sum((F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in rules),
-               F.lit(0)).cast("long")
-    return src.mapInArrow(_measure, schema).withColumn("failed_rules", bits)
+    return src.mapInArrow(_measure, schema).withColumn("failed_rules", failed(rules))
+
+
+def failed(rules=RULES) -> Column:
+    """The failure bits, from the measurements."""
+    return sum((F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in rules), F.lit(0)).cast("long")
+
+
+def rule_versions(rules=RULES) -> str:
+    return ",".join(f"{r.name}@{r.version}" for r in sorted(rules, key=lambda r: r.bit))
+
+
+def write_ledger(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> None:
+    """Store the ledger of ``docs``, with the versions of its rules.  A second
+    run over the same path replaces what the first one left."""
+    (ledger(docs, id_col, text_col, rules).withColumn("rule_versions", F.lit(rule_versions(rules)))
+     .write.mode("overwrite").parquet(path))
+
+
+def read_ledger(spark: SparkSession, path: str, rules=RULES) -> DataFrame:
+    """A stored ledger.  Bits of other rules or rule versions are replaced by
+    those of ``rules``, from the measurements."""
+    stored = spark.read.parquet(path)
+    same = F.col("rule_versions") == rule_versions(rules)
+    return (stored.withColumn("failed_rules", F.when(same, F.col("failed_rules")).otherwise(failed(rules)))
+            .withColumn("rule_versions", F.lit(rule_versions(rules))))
+
+
+def stored_ledger(docs: DataFrame, rules=RULES) -> DataFrame:
+    """The ledger of ``docs``, written to the shared scratch folder and read."""
+    path = scratch_path(docs.sparkSession, "quality-ledger")
+    write_ledger(docs, path, rules=rules)
+    return read_ledger(docs.sparkSession, path, rules)
 
 
 def passes(policy: Policy, bits: str = "failed_rules", rules=RULES) -> Column:
@@ -185,12 +220,18 @@ def ablation(ledger_df: DataFrame, policy: Policy = DEFAULT, rules=RULES) -> Dat
 
 def op1_quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, failed_rules of every row."""
-    v = with_verdict(ledger(docs))
+    base_failed, kept, failed_rules of every row, from the stored ledger."""
+    v = with_verdict(stored_ledger(docs))
     return v.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "failed_rules")
 
 
+def quality_ablation(docs: DataFrame) -> DataFrame:
+    """What each rule of the default policy costs, from the stored ledger:
+    rule, rejected, only_this, words_back.  No rows for an empty table."""
+    return ablation(stored_ledger(docs))
+
+
 def filter_documents(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """The rows of ``docs`` whose text passes, with all their columns.  The
     measurements travel with the rows (no join back, so ids may repeat or be
@@ -198,8 +239,7 @@ def filter_documents(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"))
     row_type = packed.schema["_row"].dataType.simpleString()
     measured = packed.mapInArrow(_measure, ", ".join([f"_row {row_type}", *(f"{m} long" for m in MEASURES)]))
-    bits = sum((F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in RULES), F.lit(0)).cast("long")
-    kept = with_verdict(measured.withColumn("failed_rules", bits), policy).where("kept")
+    kept = with_verdict(measured.withColumn("failed_rules", failed()), policy).where("kept")
     return kept.select("_row.*")
 
 
@@ -228,3 +268,13 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (r0
        (r0::int + 2 * r1::int + 4 * r2::int + 8 * r3::int + 16 * r4::int + 32 * r5::int)::bigint as failed_rules
 from b
 """
+
+ABLATION_ORACLE = f"""
+with ledger as ({ORACLE}),
+rules(rule, bit) as (values ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8),
+                            ('long_words', 16), ('short_words', 32))
+select rule, count(*) filter (where failed_rules & bit != 0)::bigint as rejected,
+       count(*) filter (where failed_rules = bit)::bigint as only_this,
+       coalesce(sum(n_words) filter (where failed_rules = bit), 0)::bigint as words_back
+from ledger cross join rules group by rule
+"""

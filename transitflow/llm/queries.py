@@ -29,6 +29,10 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules.op1_quality_rules(documents(spark, sf_dir))
 
 
+def quality_ablation(spark, sf_dir):
+    return quality_rules.quality_ablation(documents(spark, sf_dir))
+
+
 def op2_near_dedup(spark, sf_dir):
     return near_dedup.op2_near_dedup(documents(spark, sf_dir))
 
@@ -78,11 +82,12 @@ def op13_ranked_search(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
+    ops = {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
+    return ops | {"quality_ablation": quality_ablation}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality_rules.ORACLE, "op2_near_dedup": near_dedup.ORACLE,
-            "op3_secret_scan": secret_scan.oracle(), "op8_substring_dedup": substring_dedup.ORACLE,
+    return {"op1_quality_rules": quality_rules.ORACLE, "quality_ablation": quality_rules.ABLATION_ORACLE,
+            "op2_near_dedup": near_dedup.ORACLE, "op3_secret_scan": secret_scan.oracle(), "op8_substring_dedup": substring_dedup.ORACLE,
             "op10_fair_queue": mixing.ORACLE, "op12_spelling_variants": spelling.ORACLE,
             "op13_ranked_search": ranked_search.ORACLE}
