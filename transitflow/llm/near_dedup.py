@@ -263,9 +263,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = (sigs.join(classes.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("doc_id") == F.col("rep")))
             .select("doc_id", "sig"))
     bands = reps.mapInArrow(_bands, "key long, band int, doc_id long")
-    buckets = (bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                                        F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("leader"))
-               .where("n > 1"))
+    # written on its own, so that Spark can split a hot key's rows in the join
+    buckets = materialize(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("leader"))
+                          .where("n > 1"))
     members = materialize(bands.join(buckets, "key"))
     edges = materialize(_leader_links(members, reps, texts.where("doc_id is not null")))
     comps = materialize(connected_components(edges))
@@ -285,10 +286,14 @@ def op2_near_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns: one per
-    component, and one row where an id repeats."""
-    keep = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    component, and of the rows of a repeated id the one with the smallest
+    digest, so that a recomputed task keeps the same row."""
+    keep = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
+    row = F.struct(*docs.columns)
+    kept = (docs.select("doc_id", row.alias("_row"), F.xxhash64(F.to_json(row)).alias("_digest"))
+            .join(keep, F.col("doc_id") == F.col("_id"), "left_semi")
+            .groupBy("doc_id").agg(F.min_by("_row", "_digest").alias("_row")))
+    return kept.select("_row.*").unionByName(docs.where("doc_id is null"))
 
 
 ORACLE = r"""
