@@ -211,13 +211,13 @@ def _send_anchors(shards: int):
             for k, pack in _opened(batch, shards):
                 shard, low, several = pack.anchors()
                 counts = np.minimum(pack.counts(), 0xFFFF).astype(np.uint16)
-                cut = np.searchsorted(shard, np.arange(shards + 1))
-                used = np.flatnonzero(np.diff(cut))
+                used, begin = np.unique(shard, return_index=True)  # the shards of this pack, whatever their number
+                spans = [slice(a, b) for a, b in zip(begin, np.append(begin[1:], len(shard)), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array(np.full(len(used), batch.column("pack")[k].as_py()), pa.int64()),
-                     pa.array([low[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary()),
-                     pa.array([np.packbits(several[cut[s]:cut[s + 1]]).tobytes() for s in used], pa.binary()),
-                     pa.array([counts[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary())],
+                     pa.array([low[x].tobytes() for x in spans], pa.binary()),
+                     pa.array([np.packbits(several[x]).tobytes() for x in spans], pa.binary()),
+                     pa.array([counts[x].tobytes() for x in spans], pa.binary())],
                     names=["shard", "pack", "low", "several", "counts"])
     return send
 
