@@ -9,7 +9,8 @@ lookup, no shuffle.  The table has ``slots`` rows whatever the data, which
 bounds the broadcast.
 
 Defined results: rows with equal keys share a shard, null keys too; an empty
-table gives an empty result; other columns are kept as they are.
+table gives an empty result; other columns are kept as they are, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -61,20 +62,33 @@ def table_frame(spark: SparkSession, shards: Sequence[str], slots: int = SLOTS,
 
 def place(df: DataFrame, keys: Sequence[str], shards: Sequence[str] = SHARDS, slots: int = SLOTS,
           weights: dict[str, int] | None = None, slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
-    """``df`` with each row's slot and shard."""
-    names = F.broadcast(table_frame(df.sparkSession, shards, slots, weights).toDF("_slot", shard_col))
-    keyed = df.withColumn(slot_col, F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("long"))
-    return keyed.join(names, F.col(slot_col) == F.col("_slot")).drop("_slot")
+    """``df`` with each row's slot and shard.  Where ``df`` has a column of
+    one of those two names, the new one gets underscores before its name."""
+    slot_col, shard_col = _free(slot_col, df.columns), _free(shard_col, df.columns)
+    names = F.broadcast(table_frame(df.sparkSession, shards, slots, weights).toDF("_slot", "_shard"))
+    # the row travels as one column, so none of its names can clash
+    keyed = df.select(F.struct(*df.columns).alias("_row"), F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("long").alias("_at"))
+    placed = keyed.join(names, F.col("_at") == F.col("_slot"))
+    return placed.select("_row.*", F.col("_at").alias(slot_col), F.col("_shard").alias(shard_col))
+
+
+def _free(name: str, columns: Sequence[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = "_" + name
+    return name
 
 
 def write_shards(df: DataFrame, path: str, keys: Sequence[str], shards: Sequence[str] = SHARDS,
                  slots: int = SLOTS, files_per_shard: int = 1) -> None:
-    """One folder per shard.  The shuffle is by slot group, so a large shard
-    is written by ``files_per_shard`` tasks."""
+    """One folder per shard, ``shard=<name>`` (underscores before it if the data
+    has such a column).  The shuffle is by slot group, so a large shard is
+    written by ``files_per_shard`` tasks."""
+    slot, shard = _free("slot", df.columns), _free("shard", df.columns)
     placed = place(df, keys, shards, slots)
-    part = F.pmod(F.col("slot"), F.lit(files_per_shard))
-    (placed.repartition(len(shards) * files_per_shard, "shard", part).drop("slot")
-     .write.partitionBy("shard").parquet(path))
+    part = F.pmod(F.col(slot), F.lit(files_per_shard))
+    (placed.repartition(len(shards) * files_per_shard, shard, part).drop(slot)
+     .write.partitionBy(shard).parquet(path))
 
 
 def op9_maglev(docs: DataFrame) -> DataFrame:
