@@ -1,8 +1,12 @@
+import math
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from transitflow.operators import shapes
+from transitflow.functions import geo
+from transitflow.operators import shapes, trips
 from transitflow.operators.ranking import row_number_within
 from transitflow.sources import fixtures as fx
 
@@ -113,3 +117,31 @@ def test_chunk_by_position_with_repeated_sequences(spark):
     pa = shapes.shape_pairs(pts).drop("chunk")
     pb = shapes.shape_pairs(pts, chunk_size=16, chunk_by="position").drop("chunk")
     assert sorted(map(tuple, pa.collect())) == sorted(map(tuple, pb.collect()))
+
+
+def test_turns_by_hand(spark):
+    lit = lambda *xs: [F.lit(float(x)) for x in xs]
+    get = lambda c: spark.range(1).select(c).first()[0]
+    assert get(geo.turn_angle(*lit(0, 0, 0, 1, 1, 1))) == pytest.approx(90)
+    assert get(geo.turn_angle(*lit(0, 0, 0, 1, -1, 1))) == pytest.approx(-90)
+    assert get(geo.turn_angle(*lit(0, 0, 0, 1, 0, 2))) == pytest.approx(0)
+    assert get(geo.turn_angle(*lit(0, 0, 0, 1, 0, 0))) == pytest.approx(180)
+    assert get(geo.turn_angle(*lit(0, 1, 0, 1, 0, 2))) is None and get(geo.turn_angle(*lit(0, 1, 0, 2, 0, 2))) is None
+    assert get(geo.turn_angle(F.lit(None).cast("double"), *lit(0, 0, 1, 0, 2))) is None
+    a, b, up = (geo.Vec3(*lit(*v)) for v in ((1, 0, 0), (0, 1, 0), (0, 0, 1)))
+    assert get(a.angle_to(b, about=up)) == pytest.approx(math.pi / 2) == -get(b.angle_to(a, about=up)) == get(b.angle_to(a))
+
+
+def test_shape_turns_where_segments_meet(spark):
+    # the move from (1, 1) to (1, 2) keeps the latitude, so it is no segment and no turn joins its neighbours
+    pts = [("s", i, float(la), float(lo)) for i, (la, lo) in enumerate([(0, 0), (1, 1), (1, 2), (2, 3), (3, 2)])]
+    points = spark.createDataFrame(pts + [("t", 0, 5.0, 5.0)], "shape_id string, sequence long, lat double, lon double")
+    rows = shapes.shape_turns(shapes.build_shapes(points)).collect()
+    assert [(r.id, r.sequence, r.lat, r.lon) for r in rows] == [("s", 2, 2.0, 3.0)]
+    assert rows[0].turn == pytest.approx(90, abs=0.2)
+    assert shapes.shape_turns(shapes.build_shapes(points.limit(0))).count() == 0
+
+
+def test_trips_are_ordered(spark):
+    rows = spark.createDataFrame([(3, "b"), (1, "z"), (1, "a"), (None, "c")], "id long, route_id string")
+    assert [tuple(r) for r in trips.order_trips(rows).collect()] == [(None, "c"), (1, "a"), (1, "z"), (3, "b")]

@@ -62,9 +62,15 @@ class Vec3(NamedTuple):
     def norm(self) -> Column:
         return F.sqrt(self.x * self.x + self.y * self.y + self.z * self.z)
 
-    def angle_to(self, o: "Vec3") -> Column:
-        """Angle in radians, ``atan2(|a x b|, a . b)``."""
-        return F.atan2(self.cross(o).norm(), self.dot(o))
+    def angle_to(self, o: "Vec3", about: "Vec3 | None" = None) -> Column:
+        """Angle in radians, ``atan2(|a x b|, a . b)``, from 0 to pi.  Given a
+        direction ``about``, the angle is negative where the turn from this
+        vector to the other is clockwise as seen from its tip."""
+        normal = self.cross(o)
+        size = normal.norm()
+        if about is not None:
+            size = F.when(normal.dot(about) < 0, -size).otherwise(size)
+        return F.atan2(size, self.dot(o))
 
     def to_latlon(self) -> tuple[Column, Column]:
         """Direction of the vector as (lat, lon) degrees; any length."""
@@ -197,6 +203,16 @@ def cross_track_signed(lat, lon, lat1, lon1, lat2, lon2) -> Column:
     return F.when(same_point(lat1, lon1, lat2, lon2), distance(lat, lon, lat1, lon1)).otherwise(off)
 
 
+def turn_angle(lat1, lon1, lat2, lon2, lat3, lon3) -> Column:
+    """Change of direction at the second of three points, in degrees: positive
+    to the left, 180 for a way straight back; null where two neighbours are the
+    same point, since no direction leads from one to the other."""
+    n1, n2, n3 = nvector(lat1, lon1), nvector(lat2, lon2), nvector(lat3, lon3)
+    turn = F.degrees(n1.cross(n2).angle_to(n2.cross(n3), about=n2))
+    still = same_point(lat1, lon1, lat2, lon2) | same_point(lat2, lon2, lat3, lon3)
+    return F.when(~still, turn)
+
+
 # ---- the same distances from bearings ------------------------------------------
 
 def bearing(lat1, lon1, lat2, lon2) -> Column:

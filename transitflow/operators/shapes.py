@@ -165,3 +165,20 @@ def order_shapes(shapes: DataFrame) -> DataFrame:
     """Shapes sorted by numeric id, then sequence (a distributed range sort)."""
     return (shapes.withColumn("id_num", F.col("id").try_cast("long"))
             .orderBy(F.col("id_num").asc_nulls_last(), "id", "sequence"))
+
+
+def shape_turns(shapes: DataFrame) -> DataFrame:
+    """Where a segment of a shape ends at the start of the next one: id,
+    sequence (of the second segment), lat, lon and ``turn``, the signed change
+    of direction in degrees (positive to the left).
+
+    Segments meet on (id, sequence), which no two of a shape share, so a long
+    shape spreads over all tasks."""
+    before = shapes.select(F.col("id").alias("_id"), (F.col("sequence") + 1).alias("_next"),
+                           F.col("lat1").alias("_lat0"), F.col("lon1").alias("_lon0"),
+                           F.col("lat2").alias("_lat1"), F.col("lon2").alias("_lon1"))
+    meets = ((F.col("id") == F.col("_id")) & (F.col("sequence") == F.col("_next"))
+             & (F.col("lat1") == F.col("_lat1")) & (F.col("lon1") == F.col("_lon1")))
+    return (shapes.join(before, meets)
+            .select("id", "sequence", F.col("lat1").alias("lat"), F.col("lon1").alias("lon"),
+                    geo.turn_angle("_lat0", "_lon0", "lat1", "lon1", "lat2", "lon2").alias("turn")))

@@ -112,10 +112,20 @@ def q_shapes_ordered(spark, sf_dir):
                     _r("dist", 3).alias("dist"), _r("total_dist", 3).alias("total_dist"))
 
 
+def q_shape_turns(spark, sf_dir):
+    t = shapes.shape_turns(shapes_table(spark, sf_dir))
+    turn = _r("turn", 2) + F.lit(0.0)  # no negative zero
+    return t.select("id", "sequence", "lat", "lon", F.when(turn == -180.0, 180.0).otherwise(turn).alias("turn"))
+
+
 def q_trips_representative(spark, sf_dir):
     return trips_table(spark, sf_dir)
 
 
+def q_trips_ordered(spark, sf_dir):
+    return trips.order_trips(trips_table(spark, sf_dir))
+
+
 def q_stop_times_filtered(spark, sf_dir):
     return stop_times_table(spark, sf_dir)
 

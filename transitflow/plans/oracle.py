@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from .oracle_geometry import (along_sql, between_sql, cross_track_sql, dist_sql, haversine_sql, line_code_sql,
                               near_side_sql, nearest_latlon_sql, on_segment_sql, planar_distance_sql,
-                              planar_projection_sql, signed_along_sql, signed_cross_track_sql)
+                              planar_projection_sql, signed_along_sql, signed_cross_track_sql, turn_sql)
 
 LINE_GROUP = r"\bBRS?\b (([A-D]|I|[0-9])+, ?)+([A-Za-z0-9 -])+"
 
@@ -181,7 +181,13 @@ group by shape_id, stop_id"""
 select id, try_cast(id as bigint) as id_num, sequence, lat1, lon1, lat2, lon2, round(dist, 3) as dist,
        round(total_dist, 3) as total_dist
 from shapes"""
+    q["shape_turns"] = with_fx("fx_shape_points", extra=[("shapes", SHAPES)]) + f"""
+select id, sequence, lat1 as lat, lon1 as lon, {turn_sql('lat0', 'lon0', 'lat1', 'lon1', 'lat2', 'lon2')} as turn
+from (select *, lag(lat1) over w as lat0, lag(lon1) over w as lon0, lag(lat2) over w as end_lat, lag(lon2) over w as end_lon
+      from shapes window w as (partition by id order by sequence)) s
+where end_lat = lat1 and end_lon = lon1"""
     q["trips_representative"] = with_fx("fx_trips", extra=[("trips", TRIPS)]) + "select * from trips"
+    q["trips_ordered"] = q["trips_representative"] + " order by id, route_id"
     q["stop_times_filtered"] = with_fx("fx_trips", "fx_stop_times", extra=[
         ("trips", TRIPS), ("stop_times", STOP_TIMES)]) + "select * from stop_times"
     q["trip_stops"] = _matches_query(

@@ -117,3 +117,17 @@ def planar_projection_sql(lat, lon, lat1, lon1, lat2, lon2) -> tuple[str, str]:
 def line_code_sql(c: str) -> str:
     return (f"(case when length({c}) < 3 then '' when length({c}) = 3 then regexp_replace('00' || {c}, '[.].*', '') "
             f"when length({c}) = 4 then regexp_replace('0' || {c}, '[.].*', '') else regexp_replace({c}, '[.].*', '') end)")
+
+
+def course_sql(lat1, lon1, lat2, lon2) -> str:
+    """Direction at the first point toward the second, in degrees from north."""
+    return (f"degrees(atan2(sin(radians({lon2} - {lon1})) * cos(radians({lat2})), "
+            f"cos(radians({lat1})) * sin(radians({lat2})) - "
+            f"sin(radians({lat1})) * cos(radians({lat2})) * cos(radians({lon2} - {lon1}))))")
+
+
+def turn_sql(lat0, lon0, lat1, lon1, lat2, lon2) -> str:
+    """Course held before the middle point less the one after it, in (-180, 180]."""
+    left = f"({course_sql(lat1, lon1, lat0, lon0)} + 180e0 - {course_sql(lat1, lon1, lat2, lon2)})"
+    turn = f"round({left} - 360e0 * round({left} / 360e0), 2)"
+    return f"(case when {turn} = -180e0 then 180e0 else {turn} + 0e0 end)"
