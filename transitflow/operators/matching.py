@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from .tripstops import grid_join, point_cells, segment_cells
+from .tripstops import grid_join, point_cells, segment_cells, segment_levels
 
 DEFAULT_MAX_OFFSET_M = 100.0
 
@@ -59,12 +59,15 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     gcols = gps.columns
     if segment_cells_df is None:
         segment_cells_df = route_segment_cells(routes, trips, segments, max_offset_m)
+        levels = route_levels(routes, trips, segments, max_offset_m)
+    else:
+        levels = segment_cells_df.select("route_code", "level").distinct()
     # the cells carry the route code, so a fix is listed once per grid level
-    # (seven) whatever the number of shapes of its code, and the join key is
-    # (route_code, level, cell): a busy line spreads over its cells
+    # that its code uses, whatever the number of shapes of the code, and the
+    # join key is (route_code, level, cell): a busy line spreads over its cells
     codes = route_shapes(routes, trips).select("route_code").distinct()
     fixes = gps.join(codes, "route_code", "left_semi").groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = grid_join(point_cells(fixes), segment_cells_df, "route_code", cell_bound)
+    pairs = grid_join(point_cells(fixes, levels, "route_code"), segment_cells_df, "route_code", cell_bound)
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))
@@ -89,6 +92,14 @@ def route_segment_cells(routes: DataFrame, trips: DataFrame, segments: DataFrame
     return cells.join(codes, F.col("shape_id") == F.col("_sid")).drop("_sid")
 
 
+def route_levels(routes: DataFrame, trips: DataFrame, segments: DataFrame,
+                 max_offset_m: float = DEFAULT_MAX_OFFSET_M) -> DataFrame:
+    """(route_code, level) pairs in use: at most seven rows per code."""
+    levels = segment_levels(prepare_segments(segments), within_m=max_offset_m)
+    codes = route_shapes(routes, trips).select(F.col("shape_id").alias("_sid"), "route_code")
+    return levels.join(codes, F.col("shape_id") == F.col("_sid")).select("route_code", "level").distinct()
+
+
 def prepare_segments(segments: DataFrame) -> DataFrame:
     """Shapes table -> the segment columns the matcher joins on."""
     return segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),

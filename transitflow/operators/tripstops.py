@@ -63,11 +63,11 @@ def _cell_key(ix: Column, iy: Column, iz: Column) -> Column:
     return ((ix + _OFF) * F.lit(1 << 42) + (iy + _OFF) * F.lit(1 << 21) + (iz + _OFF)).cast("long")
 
 
-def point_cells(rows: DataFrame, levels: DataFrame | None = None) -> DataFrame:
-    """Point rows (lat, lon, shape_id) with vector columns (px, py, pz) and one
-    (level, cell) row per level.  With ``levels`` (shape_id, level) only the
-    levels some segment of the row's shape uses are listed (a join to that
-    small table instead of one row per level); rows that already carry a
+def point_cells(rows: DataFrame, levels: DataFrame | None = None, by: str = "shape_id") -> DataFrame:
+    """Point rows (lat, lon and ``by``) with vector columns (px, py, pz) and one
+    (level, cell) row per level.  With ``levels`` (``by``, level) only the
+    levels some segment of the row's shape or code uses are listed (a join to
+    that small table instead of one row per level); rows that already carry a
     ``level`` column keep it."""
     n0 = geo.nvector("lat", "lon")
     v = rows.select("*", *n0.columns("p"))
@@ -76,7 +76,7 @@ def point_cells(rows: DataFrame, levels: DataFrame | None = None) -> DataFrame:
     elif levels is None:
         lv = v.select("*", F.explode(F.sequence(F.lit(0), F.lit(N_LEVELS - 1))).alias("level"))
     else:
-        lv = v.join(levels, "shape_id")
+        lv = v.join(levels, by)
     g = _cell_size(F.col("level"))
     key = _cell_key(F.floor(F.col("px") / g), F.floor(F.col("py") / g), F.floor(F.col("pz") / g))
     return lv.withColumn("cell", key)
