@@ -9,6 +9,11 @@ end, which widens the suffix interval to the enclosing group of the
 longest-common-prefix array.  So at every position of a pattern the length of
 the longest match there (capped at ``depth``) and its suffix interval are
 known.
+
+The suffix array serves the construction only.  What stays is the wavelet
+matrix (one bit per place and plane, with its ranks), the count of smaller
+words per word, one byte per place for the common prefixes, and one owner per
+group of suffixes that share ``depth`` words.
 """
 
 from __future__ import annotations
@@ -58,9 +63,10 @@ def _group_starts(sorted_values: np.ndarray) -> np.ndarray:
 
 
 class FMIndex:
-    """Index of sequences given as one array of hashes and their lengths."""
+    """Index of sequences given as one array of hashes and their lengths; with
+    ``owners`` (a value per sequence) it tells the smallest owner of a match."""
 
-    def __init__(self, words: np.ndarray, lengths: np.ndarray, depth: int):
+    def __init__(self, words: np.ndarray, lengths: np.ndarray, depth: int, owners: np.ndarray | None = None):
         self.depth = depth
         self.alphabet, code = np.unique(words, return_inverse=True)
         n_seq = len(lengths)
@@ -70,22 +76,23 @@ class FMIndex:
         is_word[ends] = False
         text[is_word] = code + 1
         self.n = len(text)
-        self.sa = suffix_array(text, ends)
-        self.sequence = np.searchsorted(ends, self.sa)  # sequence of each suffix
-        self.bwt = WaveletMatrix.build(text[self.sa - 1], max(1, int(len(self.alphabet)).bit_length()))
+        sa = suffix_array(text, ends)
+        self.bwt = WaveletMatrix.build(text[sa - 1], max(1, int(len(self.alphabet)).bit_length()))
         counts = np.bincount(text, minlength=len(self.alphabet) + 1)
         self.below = np.cumsum(counts) - counts
         # common prefix of each suffix with the one before it, capped at depth
         lcp = np.zeros(self.n, dtype=np.int8)
         alive = np.arange(1, self.n)
         for k in range(depth):
-            a, b = self.sa[alive] + k, self.sa[alive - 1] + k
+            a, b = sa[alive] + k, sa[alive - 1] + k
             inside = (a < self.n) & (b < self.n)
             alive, a, b = alive[inside], a[inside], b[inside]
             alive = alive[(text[a] == text[b]) & (text[a] > 0)]
             lcp[alive] = k + 1
         self.lcp = lcp
         self._cuts: dict[int, np.ndarray] = {}
+        if owners is not None:  # of each suffix, then of each group
+            self.least = np.minimum.reduceat(owners[np.searchsorted(ends, sa)], self.cuts(depth)[:-1])
 
     def cuts(self, length: int) -> np.ndarray:
         """Where groups of suffixes sharing ``length`` words begin; then n."""
@@ -157,9 +164,7 @@ class FMIndex:
             self._leaves = self.bwt._narrow(every, np.zeros(len(every), np.int64), np.zeros(len(every), np.int64))[0]
         return self._leaves[code]
 
-    def smallest(self, owner: np.ndarray, lo: np.ndarray) -> np.ndarray:
-        """Smallest owner (a value per sequence) over the interval of a match
-        of full depth that begins at ``lo``."""
-        cuts = self.cuts(self.depth)
-        low = np.minimum.reduceat(owner[self.sequence], cuts[:-1])
-        return low[np.searchsorted(cuts, lo, "right") - 1]
+    def smallest(self, lo: np.ndarray) -> np.ndarray:
+        """Smallest owner over the interval of a match of full depth that
+        begins at ``lo``."""
+        return self.least[np.searchsorted(self.cuts(self.depth), lo, "right") - 1]

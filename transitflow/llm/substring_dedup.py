@@ -29,9 +29,8 @@ Windows inside a passage that a third of all documents hold reach their shard
 once per pack.  Windows at its edges take in words of each document, so they
 differ per document; their anchor is hot and they are dealt over all shards.
 Nothing is capped or sampled.  Anchor hashes
-may collide: that only sends a segment in vain.  Words travel as 40 bits of
-their hash, so two different windows that agree in all but one word are taken
-for equal with probability 2^-40.
+may collide: that only sends a segment in vain.  Words travel as text, which
+packs better than hashes, and are compared by their 64-bit hashes.
 
 Defined results: a null text is empty; a text of fewer than ``WINDOW`` words
 keeps all of them; rows with one id do not remove from one another; a row
@@ -62,7 +61,6 @@ GRAM = 5
 SEGMENT_WINDOWS = 48        # longer runs are cut: it bounds one suffix
 SHARD_BYTES = 8 << 20       # text per shard
 HOT_SEGMENTS = 1024         # an anchor with more is dealt out by window (below 65535)
-WORD_BYTES = 5
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -186,6 +184,14 @@ class Pack:
         self.of[order] = np.cumsum(head) - 1
         self.owner = self.ids[self.run_doc[self.distinct]]
 
+    def text(self, words: np.ndarray) -> np.ndarray:
+        """The words with these numbers, a space after each, as bytes."""
+        start = self.words.start[words]
+        size = self.words.end[words] - start + 1
+        out = self.docs.buf[np.minimum(_ragged(start, size), len(self.docs.buf) - 1)]
+        out[np.cumsum(size) - 1] = 0x20
+        return out
+
     def by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
         shard = self.run_shard[self.distinct]
         cut = np.concatenate(([0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(shard)])) if len(shard) else [0]
@@ -274,9 +280,7 @@ def _send_segments(shards: int):
                 for _, d in rows:
                     run = pack.distinct[d]
                     size = pack.windows[run] + WINDOW - 1
-                    words = pack.words.h[_ragged(pack.run_at[run], size)]
-                    raw = words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
-                    blobs.append((_press(pack.owner[d], size.astype(np.int32), np.ascontiguousarray(raw)), len(d)))
+                    blobs.append((_press(pack.owner[d], size.astype(np.int32), pack.text(_ragged(pack.run_at[run], size))), len(d)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _ in rows], pa.int32()), pa.array([batch.column("pack")[k].as_py()] * len(rows), pa.int64()),
                      pa.array([n for _, n in blobs], pa.int64()), pa.array([b for b, _ in blobs], pa.binary())],
@@ -284,12 +288,6 @@ def _send_segments(shards: int):
     return send
 
 
-def _widen(raw: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(raw) // WORD_BYTES, 8), dtype=np.uint8)
-    wide[:, :WORD_BYTES] = raw.reshape(-1, WORD_BYTES)
-    return wide.view(T.U64).ravel()
-
-
 def first_owners(words: np.ndarray, sizes: np.ndarray, owners: np.ndarray) -> np.ndarray:
     """For every window of every segment, in order: the smallest owner of a
     segment that holds the same window."""
@@ -301,12 +299,12 @@ def first_owners(words: np.ndarray, sizes: np.ndarray, owners: np.ndarray) -> np
     least = np.full(len(first), NO_ID)
     np.minimum.at(least, of, owners)
     pattern, length = words[_ragged(start[first], sizes[first])], sizes[first]
-    index = FMIndex(pattern, length, WINDOW)
+    index = FMIndex(pattern, length, WINDOW, least)
     matched, lo, _ = index.matching_statistics(pattern, length)
     begin = np.cumsum(length) - length
     at = _ragged(begin, length - WINDOW + 1)        # the words that start a window
     assert (matched[at] == WINDOW).all()            # each window occurs at least in itself
-    owner = index.smallest(least, lo[at])
+    owner = index.smallest(lo[at])
     windows = length - WINDOW + 1
     begin = np.cumsum(windows) - windows
     return owner[_ragged(begin[of], windows[of])]
@@ -318,7 +316,8 @@ def _answer_segments(table: pa.Table) -> pa.Table:
         raw = _unpress(raw.as_py())
         owners.append(np.frombuffer(raw, np.int64, n))
         sizes.append(np.frombuffer(raw, np.int32, n, 8 * n).astype(np.int64))
-        words.append(_widen(np.frombuffer(raw, np.uint8, offset=12 * n)))
+        text = np.frombuffer(raw, np.uint8, offset=12 * n)
+        words.append(T.Words(T.Docs(text, np.array([0, len(text)]), 0)).h)
     windows = [s - WINDOW + 1 for s in sizes]
     smallest = first_owners(np.concatenate(words), np.concatenate(sizes), np.concatenate(owners))
     cut = np.cumsum([0, *(int(w.sum()) for w in windows)])
