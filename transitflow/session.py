@@ -84,6 +84,15 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, name: str):
+    """A copy of ``df`` written as a table in the shared folder.  Unlike a
+    checkpoint it has no partitioning, so a join with it shuffles both sides
+    and Spark can split a hot key of the other one."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scale_settings(input_bytes: int, *, target_partition_bytes: int = 512 << 20,
                    max_partitions: int = 100_000, max_split_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
