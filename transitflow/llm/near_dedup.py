@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, stored
 from . import textnum as T
 from .components import connected_components
 
@@ -236,13 +236,13 @@ def _residue_links(members: DataFrame, comps: DataFrame, texts: DataFrame) -> Da
          .select("key", "band", "doc_id", F.coalesce("_c", "doc_id").alias("comp")))
     per_comp = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     # written on its own, so that Spark can split a hot bucket's rows in the join
-    open_buckets = materialize(
+    open_buckets = stored(
         per_comp.groupBy("key")
         .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"), F.max(F.struct("c", "comp")).alias("top"))
         .where("k > 1")
         .select("key", F.col("top.comp").alias("top"),
                 F.ceil((F.col("n") - F.col("top.c")) / RESIDUE_CELL).cast("int").alias("rc"),
-                F.ceil(F.col("n") / ALL_CELL).cast("int").alias("ac")))
+                F.ceil(F.col("n") / ALL_CELL).cast("int").alias("ac")), "open-buckets")
     m = materialize(m.join(open_buckets, "key"))
     residue = (m.where(F.col("comp") != F.col("top"))
                .withColumn("r", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("rc")).cast("int"))
@@ -264,9 +264,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", "sig"))
     bands = reps.mapInArrow(_bands, "key long, band int, doc_id long")
     # written on its own, so that Spark can split a hot key's rows in the join
-    buckets = materialize(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                                                   F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("leader"))
-                          .where("n > 1"))
+    buckets = stored(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
+                                              F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("leader"))
+                     .where("n > 1"), "buckets")
     members = materialize(bands.join(buckets, "key"))
     edges = materialize(_leader_links(members, reps, texts.where("doc_id is not null")))
     comps = materialize(connected_components(edges))

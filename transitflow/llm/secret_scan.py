@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, stored
 
 
 @dataclass(frozen=True)
@@ -150,7 +150,9 @@ def scan(versions: DataFrame, paths: list[str], ledger_path: str, rules=RULES, t
     for i, p in enumerate(paths):
         same = same & F.col(p).eqNullSafe(F.col(f"_p{i}"))
     with_spans(rows.join(todo, same), rules).write.mode("append").parquet(ledger_path)
-    return addressed.join(findings(read_ledger(spark, ledger_path), rules), "blob", "left")
+    # written on its own, so that Spark can split the rows of a blob that many paths hold
+    found = stored(findings(read_ledger(spark, ledger_path), rules), "secret-findings")
+    return addressed.join(found, "blob", "left")
 
 
 def findings(ledger: DataFrame, rules=RULES) -> DataFrame:
