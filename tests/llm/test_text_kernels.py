@@ -146,7 +146,7 @@ def test_matcher_finds_edited_items():
         found = m.find(" ".join(word() for _ in range(50)) + " " + "".join(s).upper() + ". " + word())
         assert [f[0] for f in found] == [item_id]
     assert m.find(" ".join(word() for _ in range(400))) == []
-    assert m.find("just FOUR words... here!") == [(99, 0)] and m.find("it is just four words here too") == []
+    assert m.find("just FOUR words... here!") == [(99, 0)] == m.find("it is just four words here too")
     assert m.find(None) == [] and m.find("") == []
 
 

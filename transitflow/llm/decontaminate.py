@@ -41,7 +41,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 ERROR_PERCENT = 7
-MIN_WORDS = 5              # of a Matcher that is not told otherwise; the operators search every item
 BLOCK_BYTES = 4 << 20
 
 _NOT_WORD = re.compile(r"[\W_]+")
@@ -106,17 +105,14 @@ def myers(masks: dict[str, int], m: int, text: str) -> int:
 
 
 class Matcher:
-    """Items of one block: ``(item_id, text)`` pairs.  Items of fewer than
-    ``min_words`` words match only a text that consists of them; 0: every item
-    is searched inside texts."""
+    """Items of one block: ``(item_id, text)`` pairs."""
 
-    def __init__(self, items: list[tuple], error_percent: int = ERROR_PERCENT, min_words: int = MIN_WORDS):
+    def __init__(self, items: list[tuple], error_percent: int = ERROR_PERCENT):
         ids: dict[str, list] = {}
         for item_id, text in items:
             if s := normalise(text):
                 ids.setdefault(s, []).append(item_id)
-        self.whole = {s: v for s, v in ids.items() if s.count(" ") <= min_words}
-        self.items = [(pattern(s), v) for s, v in ids.items() if s not in self.whole]
+        self.items = [(pattern(s), v) for s, v in ids.items()]
         self.k = [len(s) * error_percent // 100 for s, _ in self.items]
         self.masks = [peq(s) for s, _ in self.items]
         at: dict[str, list[tuple[int, int]]] = {}
@@ -133,9 +129,9 @@ class Matcher:
     def find(self, text: str | None) -> list[tuple]:
         """(item_id, distance) of every item found in ``text``."""
         s = normalise(text)
-        found = [(i, 0) for i in self.whole.get(s, ())]
         if not self.search or not s:
-            return found
+            return []
+        found = []
         windows: dict[int, list[list[int]]] = {}
         exact: set[int] = set()  # items without a budget: their one piece is all of them
         for end, (size, where) in self.automaton.iter(s):
@@ -178,7 +174,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     out = None
     for block in item_blocks(items):
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, min_words=0)
+            matcher = Matcher(block)
             for batch in batches:
                 at, ids, dist = [], [], []
                 for row, text in enumerate(batch.column("text")):
@@ -198,7 +194,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all columns."""
     for block in item_blocks(items):
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, min_words=0)
+            matcher = Matcher(block)
             for batch in batches:
                 ok = [not matcher.find(text.as_py()) for text in batch.column("text")]
                 yield batch.filter(pa.array(ok, pa.bool_()))
