@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import stored
 from .ranking import row_number_within
 
 DEFAULT_CHUNK = 1 << 16
@@ -54,7 +55,8 @@ def _placed(points: DataFrame, chunk_size: int, chunk_by: str) -> DataFrame:
     feed repeats sequence values, at the price of the ranking shuffles."""
     if chunk_by == "position":
         ranked = row_number_within(_counted(points).drop("_n"), "shape_id", list(_ORDER), "_pos", split_copies=False)
-        return ranked.withColumn("chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_size))).drop("_pos")
+        # written once: the pairs, the heads and the offsets of chunks all read it
+        return stored(ranked.withColumn("chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_size))).drop("_pos"), "placed")
     if chunk_by != "sequence":
         raise ValueError(f"chunk_by must be 'sequence' or 'position', not {chunk_by!r}")
     chunk = F.floor(F.col("sequence") / F.lit(chunk_size))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import row_number_within
+from ..session import stored
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -34,7 +35,7 @@ def shape_points(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
         li = li.join(keep, F.col("l_orderkey").cast("string") == F.col("_sid"), "left_semi")
     ranked = row_number_within(
         li, "l_orderkey",
-        ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn")
+        ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn", keep=["l_partkey"])
     return ranked.selectExpr(
         "cast(l_orderkey as string) as shape_id",
         "cast(rn as int) as sequence",
@@ -52,12 +53,13 @@ def hot_shape_points(spark: SparkSession, sf_dir: str, scale: str = "1e3") -> Da
     o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
     ranked = row_number_within(
         li.join(o, "l_orderkey"), "o_orderpriority",
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn")
-    return ranked.selectExpr(
+        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "rn", keep=["l_partkey"])
+    # written once: the steps that build shapes read their points several times
+    return stored(ranked.selectExpr(
         "o_orderpriority as shape_id", "rn as sequence",
         f"-22.9e0 + cast((l_partkey * 7919) % 101 as double) / {scale} as lat",
         f"-43.2e0 - cast((l_partkey * 104729) % 103 as double) / {scale} as lon",
-    )
+    ), "hot-points")
 
 
 def street_points(spark: SparkSession, sf_dir: str) -> DataFrame:
