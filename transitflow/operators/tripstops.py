@@ -38,13 +38,17 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from ..session import materialize
+from ..session import materialize, stored
 
 # Most rows of either side that meet under one key of a split join, and the
 # most parts per axis a crowded cell is cut into.
 CELL_BOUND = 4096
 MAX_SPLIT = 4
 
+# Stop rows up to this number are sent to every task instead of being met in a
+# shuffle: the segments then stay where they are, however crowded their cells.
+FEW_STOP_ROWS = 20_000
+
 # Finest cell edge (100 m, in unit-sphere chord units), growth per level,
 # number of levels (the top one spans the whole sphere) and the most pieces
 # one segment is cut into.
@@ -83,12 +87,14 @@ def point_cells(rows: DataFrame, levels: DataFrame | None = None, by: str = "sha
 
 
 
-def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> DataFrame:
+def sized_segments(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE, within_m: float | None = None,
+                   pieces: int = MAX_PIECES) -> DataFrame:
     """Segments with end-point vectors (a*, b*), chord length, pad and level.
 
     The pad covers every point the corridor test with ``tolerance`` can
     accept; with ``within_m`` it instead covers every point within that many
-    metres of the arc (chord bound plus the arc's sag off its chord)."""
+    metres of the arc (chord bound plus the arc's sag off its chord).  More
+    ``pieces`` put long segments on finer levels."""
     n1, n2 = geo.nvector("lat1", "lon1"), geo.nvector("lat2", "lon2")
     v = segments.select("*", *n1.columns("a"), *n2.columns("b"))
     a, b = Vec3.named("a"), Vec3.named("b")
@@ -108,7 +114,7 @@ def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> Dat
         inner = F.sqrt(F.greatest(ch * ch - F.lit(sm * sm), F.lit(0.0)))
         b = F.greatest(F.lit(1.0) - ch, ch - inner)
         pad = F.sqrt(b * b + F.lit(sm * sm)) + F.lit(1e-9)
-    cell = F.greatest(2 * pad, F.col("chord") / F.lit(MAX_PIECES))
+    cell = F.greatest(2 * pad, F.col("chord") / F.lit(pieces))
     level = F.least(F.lit(N_LEVELS - 1),
                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, cell / F.lit(BASE_CELL)))))
     return v.withColumn("_pad", pad).withColumn("level", level.cast("int"))
@@ -117,16 +123,21 @@ def _sized(segments: DataFrame, tolerance: float, within_m: float | None) -> Dat
 def segment_levels(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
                    within_m: float | None = None) -> DataFrame:
     """(shape_id, level) pairs in use: at most one row per level per shape."""
-    return _sized(segments, tolerance, within_m).select("shape_id", "level").distinct()
+    return sized_segments(segments, tolerance, within_m).select("shape_id", "level").distinct()
 
 
 def segment_cells(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE,
                   within_m: float | None = None) -> DataFrame:
     """Segments with end-point vectors (a*, b*), chord length ``chord`` and one
-    (level, cell) row per cell the padded segment touches (see :func:`_sized`
-    for the pad).  The chord is cut into ``k`` pieces no longer than a cell;
-    each piece contributes the cells of its own padded bounding box."""
-    v = _sized(segments, tolerance, within_m)
+    (level, cell) row per cell the padded segment touches (see
+    :func:`sized_segments` for the pad)."""
+    return list_cells(sized_segments(segments, tolerance, within_m))
+
+
+def list_cells(v: DataFrame) -> DataFrame:
+    """Rows of :func:`sized_segments`, one per (level, cell).  The chord is cut
+    into ``k`` pieces no longer than a cell; each piece contributes the cells of
+    its own padded bounding box."""
     g = _cell_size(F.col("level"))
     k = F.greatest(F.lit(1), F.ceil(F.col("chord") / g)).cast("int")
 
@@ -207,10 +218,10 @@ def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CEL
     ``k`` parts per axis, no finer than twice the largest pad there; a part that
     still holds more is dealt into slices by hash, which every point of the part
     meets, and parts with many points likewise, the other way round.  The
-    tables of crowded cells and parts hold at most one row per ``bound`` rows.
-    The pairs are the same, whatever the bound."""
-    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    points, cells = materialize(points), materialize(cells.repartition(n))  # dealt evenly: a key may hold most rows
+    tables of crowded cells and parts hold at most one row per ``bound`` rows
+    and are sent to every task, so neither side is shuffled or written before
+    the join; the counts read both sides anew, so callers pass rows that are
+    cheap to list again.  The pairs are the same, whatever the bound."""
     key = [by, "level", "cell"]
     room = F.floor(_cell_size(F.col("level")) / (F.lit(2.0) * F.col("_pad")))
     wanted = F.ceil(F.sqrt(F.col("_n") / F.lit(bound)))
@@ -219,9 +230,9 @@ def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CEL
                .select(*key, F.greatest(F.lit(1), F.least(F.lit(MAX_SPLIT), room, wanted)).cast("int").alias("_k")))
     crowded = materialize(crowded)
     k = F.coalesce(F.col("_k"), F.lit(1))
-    points = (points.join(crowded, key, "left")
+    points = (points.join(F.broadcast(crowded), key, "left")
               .withColumn("_sub", F.when(F.col("_k") > 1, _point_sub(k)).otherwise(F.lit(0))).drop("_k"))
-    cells = materialize(_segment_subs(cells.join(crowded, key, "left")))
+    cells = _segment_subs(cells.join(F.broadcast(crowded), key, "left"))
 
     part = [*key, "_sub"]
     fill = lambda df, name: (df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound)
@@ -231,7 +242,7 @@ def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CEL
     def dealt(df: DataFrame, own: DataFrame, n: str, slice_: str, other: DataFrame, m: str, every: str) -> DataFrame:
         """Rows dealt into their own side's slices, once for each of the other's."""
         rest = [c for c in df.columns if c not in part]
-        df = df.join(own, part, "left").join(other, part, "left")
+        df = df.join(F.broadcast(own), part, "left").join(F.broadcast(other), part, "left")
         return (df.withColumn(slice_, F.when(F.col(n) > 1, F.pmod(F.xxhash64(*rest), F.col(n))).otherwise(F.lit(0)).cast("int"))
                 .withColumn(every, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(m), F.lit(1)) - 1))).drop(n, m))
     points = dealt(points, point_slices, "_p", "_point_slice", seg_slices, "_s", "_seg_slice")
@@ -239,13 +250,26 @@ def split_crowded(points: DataFrame, cells: DataFrame, by: str, bound: int = CEL
     return points, cells, [*key, *SPLIT_KEY]
 
 
-def grid_join(points: DataFrame, cells: DataFrame, by: str, bound: int | None = None) -> DataFrame:
-    """Pairs of points and segments that share ``by`` and a grid cell; with
-    ``bound``, crowded cells are split first."""
+def within_pad() -> Column:
+    """Whether a point (p*) lies within ``_pad`` of the chord from a* to b*: a
+    few products, true wherever the exact tests behind the pad can be."""
+    p, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
+    d, v = b.minus(a), p.minus(a)
+    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), v.dot(d) / F.greatest(d.dot(d), F.lit(1e-300))))
+    off = Vec3(v.x - d.x * t, v.y - d.y * t, v.z - d.z * t)
+    reach = F.col("_pad") * F.lit(1 + 1e-9) + F.lit(1e-12)
+    return off.dot(off) <= reach * reach
+
+
+def grid_join(points: DataFrame, cells: DataFrame, by: str, bound: int | None = None,
+              near: Column | None = None) -> DataFrame:
+    """Pairs of points and segments that share ``by`` and a grid cell (and meet
+    the condition ``near``); with ``bound``, crowded cells are split first."""
     on = [by, "level", "cell"]
     if bound is not None:
         points, cells, on = split_crowded(points, cells, by, bound)
-    return points.join(cells, on).drop("_pad", *SPLIT_KEY)
+    pairs = points.join(cells, on)
+    return (pairs if near is None else pairs.where(near)).drop("_pad", *SPLIT_KEY)
 
 
 def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
@@ -258,10 +282,21 @@ def corridor_candidates(stop_rows: DataFrame, segments: DataFrame,
 
     With ``prune_levels`` each stop row is listed only under the grid levels
     its shape's segments occupy (a second, aggregated pass over the segments)
-    instead of under all levels.  With ``cell_bound`` crowded cells are split."""
+    instead of under all levels.  With ``cell_bound`` no task holds the pairs of
+    a crowded cell: a few stop rows are sent to every task, so the segments are
+    neither shuffled nor written; with more, crowded cells are split."""
     stop_rows = stop_rows.select("trip_id", "stop_id", "sequence", "shape_id", "lat", "lon")
     segs = segments.select(F.col("id").alias("shape_id"), F.col("sequence").alias("seg_sequence"),
                            "lat1", "lon1", "lat2", "lon2", "dist", "total_dist")
+    if cell_bound is not None:
+        stop_rows = stored(stop_rows, "stop-rows")
+        if stop_rows.limit(FEW_STOP_ROWS + 1).count() <= FEW_STOP_ROWS:
+            used = F.broadcast(stop_rows.select("shape_id").distinct())
+            return grid_join(F.broadcast(point_cells(stop_rows)),
+                             segment_cells(segs.join(used, "shape_id", "left_semi"), tolerance), "shape_id")
+        # the counts of crowded cells read both sides again: only segments of shapes in use, written once
+        segs = stored(segs.join(stop_rows.select("shape_id").distinct(), "shape_id", "left_semi"), "segments")
+        prune_levels = True
     points = point_cells(stop_rows, segment_levels(segs, tolerance)) if prune_levels else point_cells(stop_rows)
     return grid_join(points, segment_cells(segs, tolerance), "shape_id", cell_bound)
 

@@ -49,7 +49,8 @@ def stops_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_gtfs_text(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """All seven files (folders of quoted text files, each with the header)."""
+    """All seven files (folders of quoted, compressed text files, each with the
+    header)."""
     x = F.lit("x")
     rows = {
         "fare_attributes": fx.fare_attributes(spark, sf_dir).select(
@@ -65,7 +66,7 @@ def write_gtfs_text(spark: SparkSession, sf_dir: str, folder: str) -> None:
                                                           "sequence"),
     }
     for name, df in rows.items():
-        df.write.option("header", True).option("quoteAll", True).csv(f"{folder}/{name}.txt")
+        df.write.option("header", True).option("quoteAll", True).option("compression", "gzip").csv(f"{folder}/{name}.txt")
 
 
 def store_from_text(spark: SparkSession, sf_dir: str) -> TableStore:
