@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import geo, text
+from ..session import stored
 from .ranking import row_number_within
 
 DATA_FIELDS = ("datetime", "serial_number", "line", "lat", "lon", "vel", "direction")
@@ -101,31 +102,77 @@ def vehicles_near(gps: DataFrame, lat: float, lon: float, radius_m: float) -> Da
     return gps.where(cond).withColumn("dist", d).where(F.col("dist") <= F.lit(float(radius_m)))
 
 
+# Finest cell edge (metres) and most levels of the search for nearest points.
+FINEST_M = 0.05
+MOST_LEVELS = 12
+
+
 def nearest_within(centres: DataFrame, points: DataFrame, centre_key: str, point_key: str, radius_m: float, k: int) -> DataFrame:
     """For every centre its ``k`` nearest points within ``radius_m`` metres:
     centre_key, rank (from 1), point_key, dist.  Equal distances (to the
     millimetre) are ranked by ``point_key``; keys name their rows.
 
-    Both sides are keyed by a cubic grid of unit vectors with cells as wide as
-    the radius: a point lies in one cell, a centre asks its own and the 26
-    around it, so only neighbours meet.  The best ``k`` are taken per centre and
-    cell first, then per centre, so no window holds more than a cell's points
-    of one centre."""
-    chord = 2 * math.sin(min(radius_m / geo.EARTH_RADIUS_M, math.pi) / 2)
-    edge = F.lit(chord * (1 + 1e-9) + 1e-12)
-    c = centres.select(F.col(centre_key).alias("_c"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
-                       *geo.nvector("lat", "lon").columns("a"))
-    p = points.select(F.col(point_key).alias("_q"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
-                      *geo.nvector("lat", "lon").columns("b"))
-    axis = lambda v, i: (F.floor(F.col(f"{v}{'xyz'[i]}") / edge)).alias(f"_g{i}")
-    p = p.select("*", *[axis("b", i) for i in range(3)])
-    c = c.select("*", *[axis("a", i) for i in range(3)])
-    for i in range(3):
-        c = c.withColumn(f"_g{i}", F.explode(F.sequence(F.col(f"_g{i}") - 1, F.col(f"_g{i}") + 1)))
-    cell = [f"_g{i}" for i in range(3)]
-    dist = geo.distance("lat1", "lon1", "lat2", "lon2")
-    pairs = c.join(p, cell).withColumn("dist", dist).where(F.col("dist") <= F.lit(float(radius_m)))
+    Cubic grids of unit vectors on several levels: cells as wide as the radius
+    on level 0, half as wide on each next one.  A place (distinct position of
+    centres) whose own cell of some level holds ``k`` points has its ``k``
+    nearest within that cell's diagonal (and a millimetre, for ties), so it
+    searches the cell and its 26 neighbours one level up, however many points
+    the radius holds; the others search level 0.  Of points at one position
+    only the ``k`` smallest keys can rank, so no more travel.  The best ``k`` are
+    taken per place, then per centre."""
+    rows = stored(centres.select(F.col(centre_key).alias("_c"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
+                  .where(F.col("lat1").isNotNull() & F.col("lon1").isNotNull()), "centres")
+    pairs = place_pairs(rows.select("lat1", "lon1").distinct(), points, point_key, radius_m, k)
     order = (F.round("dist", 3), F.col("_q"))
-    best = (pairs.withColumn("_r", F.row_number().over(Window.partitionBy("_c", *cell).orderBy(*order))).where(F.col("_r") <= k)
-            .withColumn("rank", F.row_number().over(Window.partitionBy("_c").orderBy(*order))).where(F.col("rank") <= k))
-    return best.select(F.col("_c").alias(centre_key), "rank", F.col("_q").alias(point_key), "dist")
+    best = (pairs.select("lat1", "lon1", "_q", "dist")
+            .withColumn("_r", F.row_number().over(Window.partitionBy("lat1", "lon1").orderBy(*order))).where(F.col("_r") <= k).drop("_r"))
+    ranked = (rows.join(best, ["lat1", "lon1"])
+              .withColumn("rank", F.row_number().over(Window.partitionBy("_c").orderBy(*order))).where(F.col("rank") <= k))
+    return ranked.select(F.col("_c").alias(centre_key), "rank", F.col("_q").alias(point_key), "dist")
+
+
+def place_pairs(places: DataFrame, points: DataFrame, point_key: str, radius_m: float, k: int) -> DataFrame:
+    """Places (distinct lat1, lon1) with points (``_q``, lat2, lon2, ``dist``)
+    within the radius, among them the ``k`` nearest of each place (see
+    :func:`nearest_within`)."""
+    angle = min(radius_m / geo.EARTH_RADIUS_M, math.pi)
+    edge0 = 2 * math.sin(angle / 2) * (1 + 1e-9) + 1e-12
+    tie = 1e-3 / geo.EARTH_RADIUS_M * (1 + 1e-6) + 1e-12
+    top = max(0, min(MOST_LEVELS, math.floor(math.log2(max(radius_m / FINEST_M, 1)))))
+    axes = [f"_g{i}" for i in range(3)]
+    cell = ["_level", *axes]
+
+    def grid(v: str):
+        """Columns of the cell of a vector on the row's level."""
+        return [F.floor(F.col(f"{v}{x}") / (F.lit(edge0) / F.pow(F.lit(2.0), F.col("_level")))).alias(g)
+                for x, g in zip("xyz", axes, strict=True)]
+    levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_level")
+
+    # points: per position the k smallest keys
+    first = Window.partitionBy("lat2", "lon2").orderBy("_q")
+    spots = stored(points.select(F.col(point_key).alias("_q"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+                   .where(F.col("lat2").isNotNull() & F.col("lon2").isNotNull())
+                   .withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k)
+                   .select("_q", "lat2", "lon2", *geo.nvector("lat2", "lon2").columns("b")), "spots")
+    places = places.select("*", *geo.nvector("lat1", "lon1").columns("a"))
+
+    # the finest level on which a place's own cell holds k points
+    full = (spots.select("bx", "by", "bz", levels).select("_level", *grid("b"))
+            .groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).drop("_n"))
+    sure = (places.select("lat1", "lon1", "ax", "ay", "az", levels).select("lat1", "lon1", "_level", *grid("a"))
+            .join(full, cell).groupBy("lat1", "lon1").agg(F.max("_level").alias("_own")))
+    own_edge = F.lit(edge0) / F.pow(F.lit(2.0), F.col("_own"))
+    asks = stored(places.join(sure, ["lat1", "lon1"], "left")
+                  .withColumn("_reach", F.coalesce(F.least(F.lit(edge0), own_edge * F.lit(math.sqrt(3) * (1 + 1e-9)) + F.lit(tie)), F.lit(edge0)))
+                  .withColumn("_level", F.greatest(F.coalesce(F.col("_own") - 1, F.lit(0)), F.lit(0))).drop("_own"), "places")
+
+    asked = asks.select("*", *grid("a"))
+    for g in axes:
+        asked = asked.withColumn(g, F.explode(F.sequence(F.col(g) - 1, F.col(g) + 1)))
+    used = [r["_level"] for r in asks.select("_level").distinct().collect()]  # at most one per level
+    listed = spots.select("*", F.explode(F.array(*[F.lit(u) for u in used or [0]])).alias("_level")).select("*", *grid("b"))
+    a, b = geo.Vec3.named("a"), geo.Vec3.named("b")
+    chord = a.minus(b)
+    near = chord.dot(chord) <= F.col("_reach") * F.col("_reach") * F.lit(1 + 1e-9) + F.lit(1e-24)
+    return (asked.join(listed, cell).where(near).withColumn("dist", geo.distance("lat1", "lon1", "lat2", "lon2"))
+            .where(F.col("dist") <= F.lit(float(radius_m))))
