@@ -5,7 +5,7 @@ shape.  A fix is matched to the nearest segment of those shapes lying within
 ``max_offset_m`` metres, and gets its distance along the route.  Candidates
 come from the same multi-resolution grid join as the trip-stops job (padded
 by the offset instead of the corridor width), so no fix meets every segment
-of a long shape.  The nearest candidate per fix is a partial aggregate.
+of a long shape.  The nearest candidate per position is a partial aggregate.
 """
 
 from __future__ import annotations
@@ -17,10 +17,15 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import Vec3
-from .tripstops import grid_join, point_cells, segment_cells, segment_levels
+from ..session import stored
+from .tripstops import grid_join, list_cells, point_cells, segment_cells, segment_levels, sized_segments, within_pad
 
 DEFAULT_MAX_OFFSET_M = 100.0
 
+# Pieces a segment may be cut into here: a code's shapes cover a whole town, so
+# cells much shorter than a segment keep fixes from meeting far segments.
+MATCH_PIECES = 16
+
 
 def route_shapes(routes: DataFrame, trips: DataFrame) -> DataFrame:
     """(route_code, shape_id) pairs: route code -> its representative trip's shape."""
@@ -40,7 +45,7 @@ def offset_v(n0: Vec3, a: Vec3, b: Vec3, degenerate, at_start, to_a, to_b):
 
 
 def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: DataFrame,
-                max_offset_m: float = DEFAULT_MAX_OFFSET_M, segment_cells_df: DataFrame | None = None,
+                max_offset_m: float = DEFAULT_MAX_OFFSET_M, route_segments_df: DataFrame | None = None,
                 cell_bound: int | None = None) -> DataFrame:
     """GPS rows (with ``route_code``) matched to their route's shape.
 
@@ -50,24 +55,24 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     segment, are left out.  Ties go to the smaller (offset to the millimetre,
     shape_id, seg_sequence).
 
-    Identical fixes (a feed re-polled before the vehicle moved repeats rows)
-    are grouped first - a partial aggregate - matched once, and expanded back,
-    so the fix itself is the deterministic grouping key.  ``segment_cells_df``
-    lets a caller pass precomputed :func:`segment_cells` (e.g. cached across
-    micro-batches of a stream); with ``cell_bound`` crowded cells are split
-    (see :func:`~transitflow.operators.tripstops.split_crowded`)."""
+    A match depends on the code and the position alone, so each spot
+    (route_code, lat, lon) is matched once and joined back to its fixes.
+    ``route_segments_df`` lets a caller pass precomputed :func:`route_segments`
+    (e.g. cached across micro-batches of a stream); with ``cell_bound`` crowded
+    cells are split (see :func:`~transitflow.operators.tripstops.split_crowded`)."""
     gcols = gps.columns
-    if segment_cells_df is None:
-        segment_cells_df = route_segment_cells(routes, trips, segments, max_offset_m)
-        levels = route_levels(routes, trips, segments, max_offset_m)
-    else:
-        levels = segment_cells_df.select("route_code", "level").distinct()
-    # the cells carry the route code, so a fix is listed once per grid level
+    fixes = stored(gps.where(F.col("route_code").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()), "fixes")
+    spot = ["route_code", "lat", "lon"]
+    spots = fixes.select(*spot).distinct()
+    if route_segments_df is None:
+        route_segments_df = route_segments(routes, trips, segments, max_offset_m)
+    # segments of codes no fix reports meet nothing
+    segs = stored(route_segments_df.join(fixes.select("route_code").distinct(), "route_code", "left_semi"), "segments")
+    # the cells carry the route code, so a spot is listed once per grid level
     # that its code uses, whatever the number of shapes of the code, and the
     # join key is (route_code, level, cell): a busy line spreads over its cells
-    codes = route_shapes(routes, trips).select("route_code").distinct()
-    fixes = gps.join(codes, "route_code", "left_semi").groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = grid_join(point_cells(fixes, levels, "route_code"), segment_cells_df, "route_code", cell_bound)
+    levels = segs.select("route_code", "level").distinct()
+    pairs = grid_join(point_cells(spots, levels, "route_code"), list_cells(segs), "route_code", cell_bound, within_pad())
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
     to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))
@@ -75,12 +80,19 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     off = offset_v(n0, a, b, degenerate, geo.same_point("lat", "lon", "lat1", "lon1"), to_a, to_b)
     cand = (pairs.withColumn("offset_m", off).where(F.col("offset_m") <= F.lit(max_offset_m))
             .withColumn("route_dist", F.col("total_dist") - F.col("dist") + geo.along_track_v(n0, a, b)))
-    rank = F.struct(F.round("offset_m", 3).alias("o"), "shape_id", "seg_sequence")
-    best = F.min_by(F.struct("shape_id", "seg_sequence", "offset_m", "route_dist", "_n"), rank)
-    return (cand.groupBy(*gcols).agg(best.alias("m"))
-            .select(*gcols, "m.shape_id", "m.seg_sequence", "m.offset_m", "m.route_dist",
-                    F.explode(F.sequence(F.lit(1).cast("long"), F.col("m._n"))).alias("_copy"))
-            .drop("_copy"))
+    ranked = F.struct(F.round("offset_m", 3).alias("o"), "shape_id", "seg_sequence", "offset_m", "route_dist")
+    best = cand.groupBy(*spot).agg(F.min(ranked).alias("m"))
+    return (fixes.join(best, spot)
+            .select(*gcols, "m.shape_id", "m.seg_sequence", "m.offset_m", "m.route_dist"))
+
+
+def route_segments(routes: DataFrame, trips: DataFrame, segments: DataFrame,
+                   max_offset_m: float = DEFAULT_MAX_OFFSET_M) -> DataFrame:
+    """Segments (with end-point vectors, pad and grid level) of shapes some
+    route code can reach, one row per route code of the shape."""
+    sized = sized_segments(prepare_segments(segments), within_m=max_offset_m, pieces=MATCH_PIECES)
+    codes = route_shapes(routes, trips).select(F.col("shape_id").alias("_sid"), "route_code")
+    return sized.join(codes, F.col("shape_id") == F.col("_sid")).drop("_sid")
 
 
 def route_segment_cells(routes: DataFrame, trips: DataFrame, segments: DataFrame,

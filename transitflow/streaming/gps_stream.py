@@ -120,22 +120,23 @@ def start_route_matching(rows: DataFrame, routes: DataFrame, trips: DataFrame, s
     """Match each micro-batch of GPS rows to route shapes and append the
     result to Parquet.
 
-    The static side (segments exploded into grid cells) is computed once and
-    kept in executor memory until the query ends; each batch is a plain batch
+    The static side (the segments of every route code, not yet listed under
+    grid cells) is computed once and kept in executor memory until the query
+    ends; each batch is a plain batch
     DataFrame inside ``foreachBatch``.  Output files are named by batch id
     (overwrite of ``batch=<id>``), so a batch replayed after a failure
     replaces its own output instead of appending twice."""
     from ..operators import matching
 
-    cells = matching.route_segment_cells(routes, trips, segments, max_offset_m).persist()
+    segs = matching.route_segments(routes, trips, segments, max_offset_m).persist()
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        matched = matching.match_fixes(batch, routes, trips, segments, max_offset_m, segment_cells_df=cells)
+        matched = matching.match_fixes(batch, routes, trips, segments, max_offset_m, route_segments_df=segs)
         matched.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
 
     query = start_batch_sink(rows, _batch, checkpoint, trigger=trigger, available_now=available_now)
     spark = rows.sparkSession
-    release = _ReleaseOnEnd(spark, str(query.id), cells)
+    release = _ReleaseOnEnd(spark, str(query.id), segs)
     spark.streams.addListener(release)
     if not query.isActive:  # it may have ended before the listener was there
         release.free()
