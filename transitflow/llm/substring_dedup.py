@@ -218,7 +218,7 @@ def _send_anchors(shards: int):
                 shard, low, several = pack.anchors()
                 counts = np.minimum(pack.counts(), 0xFFFF).astype(np.uint16)
                 used, begin = np.unique(shard, return_index=True)  # the shards of this pack, whatever their number
-                spans = [slice(a, b) for a, b in zip(begin, np.append(begin[1:], len(shard)), strict=True)]
+                spans = [slice(a, b) for a, b in zip(begin, np.append(begin, len(shard))[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array(np.full(len(used), batch.column("pack")[k].as_py()), pa.int64()),
                      pa.array([low[x].tobytes() for x in spans], pa.binary()),
