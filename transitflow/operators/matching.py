@@ -67,7 +67,8 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     if route_segments_df is None:
         route_segments_df = route_segments(routes, trips, segments, max_offset_m)
     # segments of codes no fix reports meet nothing
-    segs = stored(route_segments_df.join(fixes.select("route_code").distinct(), "route_code", "left_semi"), "segments")
+    n = int(gps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    segs = stored(route_segments_df.join(fixes.select("route_code").distinct(), "route_code", "left_semi").repartition(n), "segments")
     # the cells carry the route code, so a spot is listed once per grid level
     # that its code uses, whatever the number of shapes of the code, and the
     # join key is (route_code, level, cell): a busy line spreads over its cells
@@ -78,10 +79,14 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))
     to_b = geo.distance_v(n0, b, geo.same_point("lat", "lon", "lat2", "lon2"))
     off = offset_v(n0, a, b, degenerate, geo.same_point("lat", "lon", "lat1", "lon1"), to_a, to_b)
-    cand = (pairs.withColumn("offset_m", off).where(F.col("offset_m") <= F.lit(max_offset_m))
-            .withColumn("route_dist", F.col("total_dist") - F.col("dist") + geo.along_track_v(n0, a, b)))
-    ranked = F.struct(F.round("offset_m", 3).alias("o"), "shape_id", "seg_sequence", "offset_m", "route_dist")
-    best = cand.groupBy(*spot).agg(F.min(ranked).alias("m"))
+    # almost every pair within the pad passes, so the exact limit is the first
+    # column of the rank: as a filter before it, its long expression would be
+    # evaluated inside the join, where common parts are computed again and again
+    cand = pairs.select(*spot, "shape_id", "seg_sequence", off.alias("offset_m"),
+                        (F.col("total_dist") - F.col("dist") + geo.along_track_v(n0, a, b)).alias("route_dist"))
+    ranked = F.struct((F.col("offset_m") > F.lit(max_offset_m)).alias("far"), F.round("offset_m", 3).alias("o"),
+                      "shape_id", "seg_sequence", "offset_m", "route_dist")
+    best = cand.groupBy(*spot).agg(F.min(ranked).alias("m")).where(~F.col("m.far"))
     return (fixes.join(best, spot)
             .select(*gcols, "m.shape_id", "m.seg_sequence", "m.offset_m", "m.route_dist"))
 

@@ -138,25 +138,26 @@ def list_cells(v: DataFrame) -> DataFrame:
     """Rows of :func:`sized_segments`, one per (level, cell).  The chord is cut
     into ``k`` pieces no longer than a cell; each piece contributes the cells of
     its own padded bounding box."""
-    g = _cell_size(F.col("level"))
-    k = F.greatest(F.lit(1), F.ceil(F.col("chord") / g)).cast("int")
-
-    def rng(ca: str, cb: str, t0, t1):
-        p0 = F.col(ca) + (F.col(cb) - F.col(ca)) * t0
-        p1 = F.col(ca) + (F.col(cb) - F.col(ca)) * t1
-        lo = F.least(p0, p1) - F.col("_pad")
-        hi = F.greatest(p0, p1) + F.col("_pad")
-        return F.sequence(F.floor(lo / g), F.floor(hi / g))
-
-    def piece(j):
-        t0 = j.cast("double") / k
-        t1 = (j + 1).cast("double") / k
-        return F.flatten(F.transform(rng("ax", "bx", t0, t1), lambda ix: F.flatten(F.transform(
-            rng("ay", "by", t0, t1), lambda iy: F.transform(
-                rng("az", "bz", t0, t1), lambda iz: _cell_key(ix, iy, iz))))))
-
-    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), k - 1), piece)))
-    return v.select("*", F.explode(cells).alias("cell"))
+    rows = (v.withColumn("_edge", _cell_size(F.col("level")))
+            .withColumn("_k", F.greatest(F.lit(1), F.ceil(F.col("chord") / F.col("_edge"))).cast("int"))
+            .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))))
+
+    def box(x: str, j: Column):
+        """First and last cell index of piece ``j`` along one axis."""
+        ends = [F.col(f"a{x}") + (F.col(f"b{x}") - F.col(f"a{x}")) * (t.cast("double") / F.col("_k")) for t in (j, j + 1)]
+        return (F.floor((F.least(*ends) - F.col("_pad")) / F.col("_edge")),
+                F.floor((F.greatest(*ends) + F.col("_pad")) / F.col("_edge")))
+
+    # pieces follow each other along a line, so a cell in an earlier piece's box
+    # is in the box just before as well
+    again = F.col("_j") > 0
+    for x in "xyz":
+        low, high = box(x, F.col("_j"))
+        before, last = box(x, F.col("_j") - 1)
+        rows = (rows.select("*", F.explode(F.sequence(low, high)).alias(f"_i{x}"), before.alias(f"_p{x}"), last.alias(f"_q{x}")))
+        again = again & F.col(f"_i{x}").between(F.col(f"_p{x}"), F.col(f"_q{x}"))
+    return (rows.where(~again).withColumn("cell", _cell_key(F.col("_ix"), F.col("_iy"), F.col("_iz")))
+            .drop("_edge", "_k", "_j", *[f"_{c}{x}" for c in "ipq" for x in "xyz"]))
 
 
 # ---- crowded cells ------------------------------------------------------------
@@ -255,10 +256,10 @@ def within_pad() -> Column:
     few products, true wherever the exact tests behind the pad can be."""
     p, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
     d, v = b.minus(a), p.minus(a)
-    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), v.dot(d) / F.greatest(d.dot(d), F.lit(1e-300))))
-    off = Vec3(v.x - d.x * t, v.y - d.y * t, v.z - d.z * t)
+    size = F.greatest(d.dot(d), F.lit(1e-300))
+    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), v.dot(d) / size))
     reach = F.col("_pad") * F.lit(1 + 1e-9) + F.lit(1e-12)
-    return off.dot(off) <= reach * reach
+    return v.dot(v) - t * (F.lit(2.0) * v.dot(d) - t * size) <= reach * reach
 
 
 def grid_join(points: DataFrame, cells: DataFrame, by: str, bound: int | None = None,
