@@ -1,11 +1,13 @@
 """Near-duplicate documents: MinHash bands, Bayesian pruning, exact check.
 
 1. Each text becomes its set of five-word shingles (64-bit hashes) and a
-   MinHash signature.  Documents with the same set are one *class*, stood for
-   by its smallest id; only classes go on.
+   MinHash signature, of which each value's low 16 bits are kept.  Documents
+   with the same set are one *class*, stood for by its smallest id; only
+   classes go on, written once with their signatures.
 2. Signatures are cut into bands.  Classes that agree on a whole band meet in
-   a bucket.  Every bucket member is paired with the bucket's leader (an
-   arbitrary but fixed member, another one in every band).
+   a bucket; a bucket's key ends in its band's number.  Every bucket member is
+   paired with the bucket's leader (an arbitrary but fixed member; every band
+   has its own order of ids).
 3. A pair's signatures are compared batch by batch.  After n compared values
    with m matches the similarity has a Beta(m+1, n-m+1) posterior; the pair is
    dropped as soon as P(similarity >= threshold) falls to ``miss``.
@@ -20,7 +22,8 @@
 So no bucket is ever expanded into all its pairs, none is capped, and every
 reported link was confirmed on full sets.  A pair at similarity 0.75 shares no
 band with probability (1 - 0.75^4)^32 = 5e-6; the posterior test adds at most
-about ``miss`` per batch.
+about ``miss`` per batch.  Cut values agree wherever whole ones do, and by
+chance once in 65,536: such a pair is compared in vain, none is missed.
 
 Defined results: a null or empty text has no shingles and is linked with
 nothing; fewer than five words make one shingle of the whole sequence; rows
@@ -103,6 +106,11 @@ def signature(s: np.ndarray) -> np.ndarray:
     return sig
 
 
+def short_signature(s: np.ndarray) -> np.ndarray:
+    """The signature as it travels: the low 16 bits of every value."""
+    return signature(s).astype(np.uint16)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for docs in T.chunks(batch.column("text")):
@@ -111,7 +119,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("doc_id").slice(docs.first, len(docs)),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([short_signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
             ], names=["doc_id", "n_shingles", "fp", "sig"])
 
 
@@ -119,18 +127,19 @@ def _matrix(col: pa.Array) -> np.ndarray:
     """Signatures of a binary column without nulls, one row each."""
     col = col.cast(pa.large_binary())
     if not len(col):
-        return np.zeros((0, HASHES), np.uint32)
+        return np.zeros((0, HASHES), np.uint16)
     off = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
-    return np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]].view(np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]].view(np.uint16).reshape(-1, HASHES)
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    """(n, BANDS) 64-bit keys: hash of each band's values and its number."""
+    """(n, BANDS) 64-bit keys: hash of each band's values and its number, which
+    the lowest bits hold once more."""
     s = sig.reshape(len(sig), BANDS, ROWS).astype(T.U64)
     h = s[:, :, 0] * T._GRAM[0] + np.arange(BANDS, dtype=T.U64) * T._GRAM[60]
     for r in range(1, ROWS):
         h = h + s[:, :, r] * T._GRAM[r]
-    return T.mix(h)
+    return T.mix(h) // T.U64(BANDS) * T.U64(BANDS) + np.arange(BANDS, dtype=T.U64)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +149,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = band_keys(_matrix(part.column("sig")))
             yield pa.RecordBatch.from_arrays([
                 pa.array(keys.ravel().view(np.int64)),
-                pa.array(np.tile(np.arange(BANDS, dtype=np.int32), part.num_rows)),
                 pa.array(np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), BANDS)),
-            ], names=["key", "band", "doc_id"])
+            ], names=["key", "doc_id"])
 
 
 def surviving(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -186,9 +194,9 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cell(table: pa.Table) -> pa.Table:
     """Joining edges of one cell: residue members against all members."""
     ids, comp = table["doc_id"].to_numpy(), table["comp"].to_numpy()
-    role, band = table["residue"].to_numpy(zero_copy_only=False), int(table["band"][0].as_py())
+    role, band = table["residue"].to_numpy(zero_copy_only=False), table["key"][0].as_py() % BANDS
     sets = list(_all_sets(table["text"]))
-    sig = np.array([signature(s) for s in sets]).reshape(-1, HASHES)
+    sig = np.array([short_signature(s) for s in sets]).reshape(-1, HASHES)
     keys = band_keys(sig)
     _, group = np.unique(comp, return_inverse=True)
     parent = list(range(int(group.max()) + 1)) if len(group) else []
@@ -217,10 +225,10 @@ def _cell(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _leader_links(members: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
+def _leader_links(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = (members.where(F.col("doc_id") != F.col("leader"))
              .select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct())
-    s = sigs.select("doc_id", "sig")
+    s = classes.select("rep", "sig")
     with_sigs = (pairs.join(s.toDF("a", "sig_a"), "a").join(s.toDF("b", "sig_b"), "b")
                  .select("a", "b", "sig_a", "sig_b"))
     survivors = with_sigs.mapInArrow(_prune, "a long, b long")
@@ -231,9 +239,9 @@ def _leader_links(members: DataFrame, sigs: DataFrame, texts: DataFrame) -> Data
 
 def _residue_links(members: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
     """Edges that join components inside the buckets where several remain."""
-    m = (members.where("n > 2").select("key", "band", "doc_id")
+    m = (members.where("n > 2").select("key", "doc_id")
          .join(comps.select(F.col("node").alias("doc_id"), F.col("component").alias("_c")), "doc_id", "left")
-         .select("key", "band", "doc_id", F.coalesce("_c", "doc_id").alias("comp")))
+         .select("key", "doc_id", F.coalesce("_c", "doc_id").alias("comp")))
     per_comp = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     # written on its own, so that Spark can split a hot bucket's rows in the join
     open_buckets = stored(
@@ -249,7 +257,7 @@ def _residue_links(members: DataFrame, comps: DataFrame, texts: DataFrame) -> Da
                .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("ac") - 1))).withColumn("residue", F.lit(True)))
     every = (m.withColumn("s", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("ac")).cast("int"))
              .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rc") - 1))).withColumn("residue", F.lit(False)))
-    cols = ["key", "band", "r", "s", "doc_id", "comp", "residue"]
+    cols = ["key", "r", "s", "doc_id", "comp", "residue"]
     cells = residue.select(*cols).union(every.select(*cols)).join(texts, "doc_id")
     return (cells.select(*cols, "text").groupBy("key", "r", "s")
             .applyInArrow(_cell, "a long, b long"))
@@ -259,20 +267,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     texts = docs.select("doc_id", "text")
     sigs = materialize(texts.mapInArrow(_sign, "doc_id long, n_shingles long, fp binary, sig binary"))
-    classes = sigs.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    reps = (sigs.join(classes.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("doc_id") == F.col("rep")))
-            .select("doc_id", "sig"))
-    bands = reps.mapInArrow(_bands, "key long, band int, doc_id long")
+    # one set has one signature, so any row of a class has its class's
+    classes = stored(sigs.where("fp is not null and doc_id is not null").groupBy("fp")
+                     .agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")), "classes")
+    bands = classes.select(F.col("rep").alias("doc_id"), "sig").mapInArrow(_bands, "key long, doc_id long")
+    # the smallest id under the band's mask leads: one long to aggregate
+    mask = F.xxhash64(F.pmod("key", F.lit(BANDS)))
     # written on its own, so that Spark can split a hot key's rows in the join
-    buckets = stored(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                                              F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("leader"))
-                     .where("n > 1"), "buckets")
+    buckets = stored(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("doc_id").bitwiseXOR(mask)).alias("_low"))
+                     .where("n > 1").select("key", "n", F.col("_low").bitwiseXOR(mask).alias("leader")), "buckets")
     members = materialize(bands.join(buckets, "key"))
-    edges = materialize(_leader_links(members, reps, texts.where("doc_id is not null")))
+    edges = materialize(_leader_links(members, classes, texts.where("doc_id is not null")))
     comps = materialize(connected_components(edges))
     more = _residue_links(members, comps, texts.where("doc_id is not null"))
     comps = connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    by_class = (classes.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    by_class = (classes.select("fp", "rep").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
                 .select("fp", F.coalesce("component", "rep").alias("component_id")))
     out = sigs.select("doc_id", "n_shingles", "fp").join(by_class, "fp", "left")
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
