@@ -2,10 +2,10 @@
 
 Each fix's line code names routes; each route's representative trip names a
 shape.  A fix is matched to the nearest segment of those shapes lying within
-``max_offset_m`` metres, and gets its distance along the route.  Candidates
-come from the same multi-resolution grid join as the trip-stops job (padded
-by the offset instead of the corridor width), so no fix meets every segment
-of a long shape.  The nearest candidate per position is a partial aggregate.
+``max_offset_m`` metres, and gets its distance along the route.  Each position
+of a code looks for its nearest segment in rounds that look farther and farther
+(see :mod:`~transitflow.operators.nearest`), so neither a long shape nor a code
+with many shapes makes it meet every segment in reach.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.geo import Vec3
 from ..session import stored
-from .tripstops import grid_join, list_cells, point_cells, segment_cells, segment_levels, sized_segments, within_pad
+from . import nearest
+from .tripstops import segment_cells, segment_levels, sized_segments
 
 DEFAULT_MAX_OFFSET_M = 100.0
 
@@ -58,37 +59,36 @@ def match_fixes(gps: DataFrame, routes: DataFrame, trips: DataFrame, segments: D
     A match depends on the code and the position alone, so each spot
     (route_code, lat, lon) is matched once and joined back to its fixes.
     ``route_segments_df`` lets a caller pass precomputed :func:`route_segments`
-    (e.g. cached across micro-batches of a stream); with ``cell_bound`` crowded
-    cells are split (see :func:`~transitflow.operators.tripstops.split_crowded`)."""
+    (e.g. cached across micro-batches of a stream); ``cell_bound`` is the number
+    of a code's spots or segments that may meet in one task (see
+    :mod:`~transitflow.operators.nearest`)."""
     gcols = gps.columns
     fixes = stored(gps.where(F.col("route_code").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()), "fixes")
-    spot = ["route_code", "lat", "lon"]
-    spots = fixes.select(*spot).distinct()
+    spot = list(nearest.SPOT)
+    # a position that is no number is near nothing
+    n0 = geo.nvector("lat", "lon")
+    spots = stored(fixes.select(*spot).where(~F.isnan(n0.x + n0.y + n0.z)).distinct(), "spots")
     if route_segments_df is None:
         route_segments_df = route_segments(routes, trips, segments, max_offset_m)
     # segments of codes no fix reports meet nothing
-    n = int(gps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    segs = stored(route_segments_df.join(fixes.select("route_code").distinct(), "route_code", "left_semi").repartition(n), "segments")
-    # the cells carry the route code, so a spot is listed once per grid level
-    # that its code uses, whatever the number of shapes of the code, and the
-    # join key is (route_code, level, cell): a busy line spreads over its cells
-    levels = segs.select("route_code", "level").distinct()
-    pairs = grid_join(point_cells(spots, levels, "route_code"), list_cells(segs), "route_code", cell_bound, within_pad())
+    segs = (route_segments_df.where(F.col("chord").isNotNull() & ~F.isnan("chord"))
+            .join(spots.select("route_code").distinct(), "route_code", "left_semi")
+            .select("route_code", "shape_id", "seg_sequence", "lat1", "lon1", "lat2", "lon2",
+                    (F.col("total_dist") - F.col("dist")).alias("_start")))
+    best = nearest.nearest_segments(spots, segs, spot_offset, max_offset_m, cell_bound)
+    best = best.select("*", *n0.columns("p"), *geo.nvector("lat1", "lon1").columns("a"), *geo.nvector("lat2", "lon2").columns("b"))
+    along = geo.along_track_v(Vec3.named("p"), Vec3.named("a"), Vec3.named("b"))
+    best = best.select(*spot, "shape_id", "seg_sequence", spot_offset().alias("offset_m"), (F.col("_start") + along).alias("route_dist"))
+    return fixes.join(best, spot).select(*gcols, "shape_id", "seg_sequence", "offset_m", "route_dist")
+
+
+def spot_offset():
+    """:func:`offset_v` of columns: a spot (lat, lon, p*) and a segment (lat1,
+    lon1, lat2, lon2, a*, b*)."""
     n0, a, b = Vec3.named("p"), Vec3.named("a"), Vec3.named("b")
-    degenerate = geo.same_point("lat1", "lon1", "lat2", "lon2")
-    to_a = geo.distance_v(n0, a, geo.same_point("lat", "lon", "lat1", "lon1"))
-    to_b = geo.distance_v(n0, b, geo.same_point("lat", "lon", "lat2", "lon2"))
-    off = offset_v(n0, a, b, degenerate, geo.same_point("lat", "lon", "lat1", "lon1"), to_a, to_b)
-    # almost every pair within the pad passes, so the exact limit is the first
-    # column of the rank: as a filter before it, its long expression would be
-    # evaluated inside the join, where common parts are computed again and again
-    cand = pairs.select(*spot, "shape_id", "seg_sequence", off.alias("offset_m"),
-                        (F.col("total_dist") - F.col("dist") + geo.along_track_v(n0, a, b)).alias("route_dist"))
-    ranked = F.struct((F.col("offset_m") > F.lit(max_offset_m)).alias("far"), F.round("offset_m", 3).alias("o"),
-                      "shape_id", "seg_sequence", "offset_m", "route_dist")
-    best = cand.groupBy(*spot).agg(F.min(ranked).alias("m")).where(~F.col("m.far"))
-    return (fixes.join(best, spot)
-            .select(*gcols, "m.shape_id", "m.seg_sequence", "m.offset_m", "m.route_dist"))
+    at_start = geo.same_point("lat", "lon", "lat1", "lon1")
+    to_a, to_b = geo.distance_v(n0, a, at_start), geo.distance_v(n0, b, geo.same_point("lat", "lon", "lat2", "lon2"))
+    return offset_v(n0, a, b, geo.same_point("lat1", "lon1", "lat2", "lon2"), at_start, to_a, to_b)
 
 
 def route_segments(routes: DataFrame, trips: DataFrame, segments: DataFrame,

@@ -86,6 +86,20 @@ def point_cells(rows: DataFrame, levels: DataFrame | None = None, by: str = "sha
     return lv.withColumn("cell", key)
 
 
+def arc_pad(chord: Column, angle: Column) -> Column:
+    """How far from its chord a point may lie that counts as within ``angle``
+    (radians) of a segment: that close to an end point, or on the segment's
+    side of the sphere, between the end perpendiculars and that close to its
+    great circle (see matching.offset_v).  With ch = cos(half the arc angle)
+    and sm = sin(angle) such a point is within sqrt(B^2 + sm^2) of the chord,
+    B = max(1 - ch, ch - sqrt(ch^2 - sm^2))."""
+    half = F.least(chord / 2, F.lit(1.0))
+    ch = F.sqrt(F.lit(1.0) - half * half)
+    sm = F.sin(F.least(angle, F.lit(math.pi / 2)))
+    inner = F.sqrt(F.greatest(ch * ch - sm * sm, F.lit(0.0)))
+    b = F.greatest(F.lit(1.0) - ch, ch - inner)
+    return F.sqrt(b * b + sm * sm) + F.lit(1e-9)
+
 
 def sized_segments(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERANCE, within_m: float | None = None,
                    pieces: int = MAX_PIECES) -> DataFrame:
@@ -102,18 +116,7 @@ def sized_segments(segments: DataFrame, tolerance: float = geo.ON_SEGMENT_TOLERA
     if within_m is None:
         pad = F.sqrt((F.col("chord") * tolerance + tolerance * tolerance) / 2) + F.lit(1e-9)
     else:
-        # A point counts as within ``within_m`` of the segment when it is that
-        # close to an end point, or on the segment's side of the sphere,
-        # between the end perpendiculars and that close to its great circle
-        # (see matching.offset_v).  With ch = cos(half the arc angle) and
-        # sm = sin(within_m / R) such a point is within
-        # sqrt(B^2 + sm^2) of the chord, B = max(1 - ch, ch - sqrt(ch^2 - sm^2)).
-        half = F.least(F.col("chord") / 2, F.lit(1.0))
-        ch = F.sqrt(F.lit(1.0) - half * half)
-        sm = math.sin(min(within_m / geo.EARTH_RADIUS_M, math.pi / 2))
-        inner = F.sqrt(F.greatest(ch * ch - F.lit(sm * sm), F.lit(0.0)))
-        b = F.greatest(F.lit(1.0) - ch, ch - inner)
-        pad = F.sqrt(b * b + F.lit(sm * sm)) + F.lit(1e-9)
+        pad = arc_pad(F.col("chord"), F.lit(within_m / geo.EARTH_RADIUS_M))
     cell = F.greatest(2 * pad, F.col("chord") / F.lit(pieces))
     level = F.least(F.lit(N_LEVELS - 1),
                     F.greatest(F.lit(0), F.ceil(F.log(LEVEL_RATIO, cell / F.lit(BASE_CELL)))))

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -93,6 +95,20 @@ def stored(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept_in_place(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, a join on more columns than both its sides are partitioned
+    by leaves them where they are; Spark would else shuffle them by all of them.
+    Rows and results are the same either way."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scale_settings(input_bytes: int, *, target_partition_bytes: int = 512 << 20,
                    max_partitions: int = 100_000, max_split_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
