@@ -96,17 +96,24 @@ def numbered(segments: DataFrame, n: int) -> tuple[DataFrame, int]:
     return segs.withColumn("_rank", F.shiftleft(part, bits[1]).bitwiseOR(row)).drop("_id"), sum(bits)
 
 
+def _spread(c: str) -> Column:
+    """Extent of a column without its outliers (a far fix or shape must not
+    make a town look wide)."""
+    q = F.percentile_approx(c, [0.05, 0.95], 200)
+    return (q[1] - q[0]) / 0.9
+
+
 def first_reach(segs: DataFrame, max_offset_m: float) -> DataFrame:
-    """Per line: how many segments it has and how far its first round looks."""
-    arcs, a, b = _arcs(segs), Vec3.named("a"), Vec3.named("b")
-    spread = [F.max(F.greatest(f"a{x}", f"b{x}")) - F.min(F.least(f"a{x}", f"b{x}")) for x in "xyz"]
-    x, y, z = F.col("_x"), F.col("_y"), F.col("_z")
+    """Per line: how many segments it has, how long they are in the mean and how
+    far its first round looks."""
+    a, b = Vec3.named("a"), Vec3.named("b")
+    x, y, z, n = F.col("_x"), F.col("_y"), F.col("_z"), F.col("_segments")
     area = F.sqrt(x * x * y * y + y * y * z * z + z * z * x * x)
-    reach = F.lit(EXPECTED * geo.EARTH_RADIUS_M / 2) * area / F.greatest("_length", F.lit(1e-12))
-    return (arcs.groupBy("route_code")
-            .agg(F.count(F.lit(1)).alias("_segments"), F.sum(b.minus(a).norm()).alias("_length"),
-                 *[s.alias(f"_{c}") for s, c in zip(spread, "xyz", strict=True)])
-            .select("route_code", "_segments", F.least(F.lit(float(max_offset_m)), F.greatest(F.lit(LEAST_REACH_M), reach)).alias("_first")))
+    reach = F.lit(EXPECTED * geo.EARTH_RADIUS_M / 2) * area / F.greatest(F.col("_mean") * n, F.lit(1e-12))
+    return (_arcs(segs).groupBy("route_code")
+            .agg(F.count(F.lit(1)).alias("_segments"), F.avg(b.minus(a).norm()).alias("_mean"),
+                 *[_spread(f"a{c}").alias(f"_{c}") for c in "xyz"])
+            .select("route_code", "_segments", "_mean", F.least(F.lit(float(max_offset_m)), F.greatest(F.lit(LEAST_REACH_M), reach)).alias("_first")))
 
 
 def _reach(first, max_offset_m: float, step: int):
@@ -120,12 +127,14 @@ def grids(spots: DataFrame, lines: DataFrame, max_offset_m: float, step: int, bo
     """Per line and face with spots: reach, corner, edge and size of the grid,
     and how many cells a tile has per axis."""
     n, w, h = F.col("_spots"), F.col("_w"), F.col("_h")
-    least = F.lit(2 / geo.EARTH_RADIUS_M) * F.col("_reach")
-    edge = F.greatest(F.sqrt(w * h * PER_CELL / n), F.greatest(w, h) / (4 * F.sqrt(n)), F.greatest(w, h) / MOST_CELLS, least, F.lit(SLACK))
+    # no finer than makes a segment pass about as many cells as a side of the grid has
+    least = F.greatest(F.lit(2 / geo.EARTH_RADIUS_M) * F.col("_reach"), F.col("_mean") / (2 * F.sqrt(n)), F.lit(SLACK))
+    edge = F.greatest(F.sqrt(F.col("_du") * F.col("_dv") * PER_CELL / n), F.greatest(w, h) / MOST_CELLS, least)
     most = F.greatest(n, "_segments")
     tile = F.greatest(F.lit(1), F.floor(F.sqrt(F.col("_nu") * F.col("_nv") * bound / (4 * most))))
     box = (placed(spots).groupBy("route_code", "_face")
            .agg(F.count(F.lit(1)).alias("_spots"), F.min("_u").alias("_u0"), F.min("_v").alias("_v0"),
+                _spread("_u").alias("_du"), _spread("_v").alias("_dv"),
                 (F.max("_u") - F.min("_u")).alias("_w"), (F.max("_v") - F.min("_v")).alias("_h")))
     return (box.join(lines, "route_code").withColumn("_reach", _reach(F.col("_first"), max_offset_m, step))
             .withColumn("_e", edge).withColumns({"_nu": F.floor(w / F.col("_e")) + 1, "_nv": F.floor(h / F.col("_e")) + 1})
